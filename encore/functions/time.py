@@ -10,24 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_seconds(ts: Column) -> Column:
     """Whole epoch seconds of a TIMESTAMP_NTZ (floor for times after 1970)."""
-    return F.timestamp_diff("SECOND", EPOCH_NTZ, ts)
+    return F.timestamp_diff("SECOND", _epoch(), ts)
 
 
 def from_epoch_seconds(seconds: Column) -> Column:
     """TIMESTAMP_NTZ from epoch seconds."""
-    return F.timestamp_add("SECOND", seconds, EPOCH_NTZ)
+    return F.timestamp_add("SECOND", seconds, _epoch())
 
 
 def ntz_to_instant(ts: Column) -> Column:
     """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP (needed by watermarks)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), ts))
 
 
 def instant_to_ntz(ts: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ as UTC wall clock."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch())

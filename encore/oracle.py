@@ -95,22 +95,23 @@ def top_n(name: str, source: str, n: int = 30, order: str = "score DESC") -> str
     FROM {source}) WHERE rank <= {n})"""
 
 
-def today_and_prev(events_cte: str) -> str:
+def today_and_prev(events_cte: str, n: int = 30) -> str:
     """CTEs up to ``top_today`` / ``top_prev`` for a given event source CTE."""
     return ",\n".join([
         weighted("w_today", events_cte), candidates("cand_today", "w_today"),
-        anti("kept_today", "cand_today", "dismissals"), top_n("top_today", "kept_today"),
+        anti("kept_today", "cand_today", "dismissals"), top_n("top_today", "kept_today", n),
         weighted("w_prev", "before"), candidates("cand_prev", "w_prev"),
-        anti("kept_prev", "cand_prev", "old_dismissals"), top_n("top_prev", "kept_prev"),
+        anti("kept_prev", "cand_prev", "old_dismissals"), top_n("top_prev", "kept_prev", n),
     ])
 
 
-FINAL = """merged AS (
+def final(n: int = 30) -> str:
+    return f"""merged AS (
   SELECT user_id, track_id, max(score) AS score FROM (
     SELECT user_id, track_id, score FROM top_today
     UNION ALL SELECT user_id, track_id, score FROM top_prev) u
   GROUP BY user_id, track_id),
-{anti_merged},
+{anti("kept_merged", "merged", "dismissals")},
 labelled AS (SELECT k.*, v.label FROM kept_merged k LEFT JOIN vec v ON v.track_id = k.track_id),
 diverse AS (
   SELECT user_id, track_id, label, CAST(score AS DOUBLE) AS base_score,
@@ -122,27 +123,203 @@ final AS (
     SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, track_id)
                          AS INTEGER) AS rank,
            track_id, score, base_score
-    FROM diverse) WHERE rank <= 30)""".format(
-    anti_merged=anti("kept_merged", "merged", "dismissals"))
+    FROM diverse) WHERE rank <= {n})"""
 
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def batch_recommendations_sql(events_cte: str = "daily") -> str:
+def recs_ctes(events_cte: str = "daily", n: int = 30) -> str:
     return with_ctes(PLAYS, DAILY, BEFORE, SIMILAR, DISMISSALS, OLD_DISMISSALS,
-                     today_and_prev(events_cte), FINAL) + \
-        "SELECT user_id, rank, track_id, score, base_score FROM final"
+                     today_and_prev(events_cte, n), final(n))
 
 
-QUERIES: dict[str, str] = {}
+def today_ctes(events_cte: str = "daily", n: int = 30, order: str = "score DESC") -> str:
+    return with_ctes(PLAYS, DAILY, SIMILAR, DISMISSALS, weighted("w_today", events_cte),
+                     candidates("cand_today", "w_today"),
+                     anti("kept_today", "cand_today", "dismissals"),
+                     top_n("top_today", "kept_today", n, order))
 
 
-def register(name: str, sql: str) -> None:
-    QUERIES[name] = sql
+EPOCH = "epoch_us(ts) // 1000000"
+DAILY_LINE = f"""concat_ws(',', CAST(user_id AS VARCHAR), CAST(track_id AS VARCHAR),
+  CAST({EPOCH} AS VARCHAR), CAST(ms_played AS VARCHAR), reason_start,
+  coalesce(reason_end, 'null'))"""
+RATING_LINE = f"""concat_ws(',', CAST(user_id AS VARCHAR), CAST(track_id AS VARCHAR),
+  CAST({EPOCH} AS VARCHAR), CAST(CAST(rating AS DECIMAL(38,6)) AS VARCHAR))"""
+PARSED_PLAYS = """SELECT user_id, track_id, date_trunc('second', ts) AS ts,
+  CAST(ms_played AS DOUBLE) AS ms_played, reason_start, reason_end FROM plays"""
 
+RECENT_FROM = "CAST(DATE '2001-11-04' - INTERVAL 3 YEAR AS TIMESTAMP)"
+ACTIVE_FROM = "CAST(DATE '2001-11-04' - INTERVAL 6 MONTH AS TIMESTAMP)"
+RECENT = f"recent AS (SELECT * FROM history WHERE ts >= {RECENT_FROM})"
 
-register("batch_recommendations", batch_recommendations_sql())
-register("similar_tracks", with_ctes(SIMILAR) + """SELECT track_id, rank, similar_track_id,
-  CAST(similarity AS DOUBLE) AS similarity, similar_label FROM sim_top""")
+
+def active_tracks(name: str, source: str, mode: str = "any") -> str:
+    op = "AND" if mode == "any" else "OR"
+    return f"""{name} AS (
+  SELECT * FROM {source} WHERE track_id IN (
+    SELECT track_id FROM {source} GROUP BY track_id
+    HAVING count(*) >= 10 {op} max(ts) >= {ACTIVE_FROM}))"""
+
+
+def active_users(name: str, source: str, n: int = 10) -> str:
+    return f"""{name} AS (
+  SELECT * FROM {source} WHERE user_id IN (
+    SELECT user_id FROM {source} GROUP BY user_id HAVING count(*) >= {n}))"""
+
+
+TRAINING = with_ctes(
+    HISTORY,
+    f"hacc AS (SELECT * FROM history WHERE ts < {HISTORY_SPLIT})",
+    f"hdaily AS (SELECT * FROM history WHERE ts >= {HISTORY_SPLIT})",
+    f"recent AS (SELECT * FROM hacc WHERE ts >= {RECENT_FROM})",
+    active_tracks("t1", "recent"), active_users("u1", "t1"),
+    """merged AS (
+  SELECT user_id, track_id, max(ts) AS ts, CAST(sum(r) AS DOUBLE) AS rating FROM (
+    SELECT user_id, track_id, ts, CAST(rating AS DECIMAL(38,6)) AS r FROM u1
+    UNION ALL SELECT user_id, track_id, ts, CAST(rating AS DECIMAL(38,6)) AS r FROM hdaily) u
+  GROUP BY user_id, track_id)""",
+    active_tracks("t2", "merged"),
+    """training AS (
+  SELECT CAST(user_id AS INTEGER) AS user_id, CAST(track_id AS INTEGER) AS track_id, rating
+  FROM t2)""")
+
+MERGED = with_ctes(PLAYS, DAILY, BEFORE, ACC, weighted("w_today", "daily"), """merged AS (
+  SELECT user_id, track_id, max(ts) AS ts, CAST(sum(r) AS DOUBLE) AS rating FROM (
+    SELECT user_id, track_id, ts, CAST(rating AS DECIMAL(38,6)) AS r FROM acc
+    UNION ALL SELECT user_id, track_id, ts, CAST(weight AS DECIMAL(38,6)) AS r FROM w_today) u
+  GROUP BY user_id, track_id)""")
+
+QUERIES: dict[str, str] = {
+    # sources
+    "scan_daily_lines": with_ctes(PLAYS) + f"SELECT {DAILY_LINE} AS value FROM plays",
+    "scan_rating_lines": with_ctes(PLAYS, BEFORE, ACC) + f"SELECT {RATING_LINE} AS value FROM acc",
+    "track_vector_lookup": with_ctes(PLAYS, VEC) + """SELECT p.event_id, p.user_id, p.track_id,
+  v.label, CAST(len(v.features) AS INTEGER) AS n_dims, v.features[1] AS first_component
+FROM plays p JOIN vec v ON p.track_id = v.track_id""",
+    # parsing
+    "parse_daily": with_ctes(PLAYS) + PARSED_PLAYS,
+    "map_partitions": with_ctes(PLAYS) + PARSED_PLAYS,
+    "parse_ratings": with_ctes(PLAYS, BEFORE, ACC) + """SELECT user_id, track_id,
+  date_trunc('second', ts) AS ts, rating FROM acc""",
+    "parse_quarantine": with_ctes(PLAYS, BEFORE, ACC) + f"""SELECT {RATING_LINE} AS line,
+  'expected 6 fields, found 4' AS parse_error FROM acc""",
+    "to_als_rating": with_ctes(PLAYS, BEFORE, ACC) + """SELECT CAST(user_id AS INTEGER) AS user_id,
+  CAST(track_id AS INTEGER) AS track_id, rating FROM acc
+WHERE user_id BETWEEN -2147483648 AND 2147483647
+  AND track_id BETWEEN -2147483648 AND 2147483647 AND rating IS NOT NULL""",
+    # scores
+    "event_weight": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT event_id, user_id,
+  track_id, reason_start, CAST(weight AS DOUBLE) AS weight FROM w""",
+    "cosine_similarity": with_ctes(SIMILAR) + """SELECT s.track_id, s.similar_track_id,
+  round(list_cosine_similarity(a.features, b.features), 6) AS similarity
+FROM sim_top s JOIN vec a ON a.track_id = s.track_id JOIN vec b ON b.track_id = s.similar_track_id""",
+    "explode_events": with_ctes(PLAYS, SIMILAR) + """SELECT p.event_id, p.user_id, p.track_id,
+  s.similar_track_id, CAST(s.similarity AS DOUBLE) AS similarity
+FROM plays p JOIN sim_top s ON p.track_id = s.track_id""",
+    "rec_score": with_ctes(PLAYS, DAILY, SIMILAR, weighted("w", "daily")) + """SELECT w.event_id,
+  w.user_id, s.similar_track_id, CAST(s.similarity * w.weight AS DOUBLE) AS score
+FROM w JOIN sim_top s ON w.track_id = s.track_id""",
+    "event_candidates": with_ctes(PLAYS, DAILY, SIMILAR, weighted("w_today", "daily"),
+                                  candidates("cand_today", "w_today"))
+    + "SELECT user_id, track_id, CAST(score AS DOUBLE) AS score FROM cand_today",
+    "diversity_ratio": today_ctes() + """SELECT user_id, track_id,
+  CASE WHEN CAST(score AS DOUBLE) = 0 THEN NULL
+       ELSE CAST(user_id AS DOUBLE) / CAST(score AS DOUBLE) END AS ratio FROM top_today""",
+    "diversity_reweight": today_ctes() + """, ranked AS (
+  SELECT t.user_id, t.track_id, v.label, CAST(t.score AS DOUBLE) AS base_score,
+         CAST(row_number() OVER (PARTITION BY t.user_id, v.label
+                                 ORDER BY t.score DESC, t.track_id) AS INTEGER) AS label_rank
+  FROM top_today t LEFT JOIN vec v ON v.track_id = t.track_id)
+SELECT user_id, track_id, label, label_rank, base_score, base_score / label_rank AS score
+FROM ranked""",
+    "user_bucket": with_ctes(HISTORY) + """SELECT DISTINCT user_id,
+  CAST(floor(user_id / 100) AS BIGINT) AS range_bucket,
+  CAST(1 + (user_id % 4) AS INTEGER) AS hash_bucket FROM history""",
+    # filters
+    "filter_recent": with_ctes(HISTORY, RECENT) + "SELECT * FROM recent",
+    "filter_active_tracks": with_ctes(HISTORY, RECENT, active_tracks("a", "recent", "any"))
+    + "SELECT * FROM a",
+    "filter_active_tracks_all": with_ctes(HISTORY, RECENT, active_tracks("a", "recent", "all"))
+    + "SELECT * FROM a",
+    "filter_active_users": with_ctes(HISTORY, RECENT, active_users("a", "recent"))
+    + "SELECT * FROM a",
+    "filter_dismissed": today_ctes() + """SELECT user_id, track_id, CAST(score AS DOUBLE) AS score
+FROM kept_today""",
+    "sample_users": with_ctes(HISTORY) + "SELECT * FROM history WHERE user_id % 100 = 0",
+    "events_of_user": with_ctes(PLAYS) + """SELECT event_id, user_id, track_id, ts,
+  CAST(ms_played AS DOUBLE) AS ms_played, reason_start FROM plays WHERE user_id = 42""",
+    # merges
+    "merge_ratings": MERGED + "SELECT * FROM merged",
+    "latest_rating": with_ctes(HISTORY) + """SELECT user_id, track_id, ts, max(rating) AS rating
+FROM (SELECT *, max(ts) OVER (PARTITION BY user_id, track_id) AS latest FROM history) h
+WHERE ts = latest GROUP BY user_id, track_id, ts""",
+    "user_ratings_and_events": with_ctes(PLAYS, DAILY, BEFORE, ACC, weighted("w_today", "daily"),
+                                         """r AS (
+  SELECT user_id, count(*) AS n_ratings, sum(CAST(rating AS DECIMAL(38,6))) AS rating_sum
+  FROM acc GROUP BY user_id)""", """e AS (
+  SELECT user_id, count(*) AS n_events, sum(CAST(weight AS DECIMAL(38,6))) AS weight_sum
+  FROM w_today GROUP BY user_id)""") + """SELECT r.user_id, r.n_ratings,
+  CAST(r.rating_sum AS DOUBLE) AS rating_sum, coalesce(e.n_events, 0) AS n_events,
+  CAST(e.weight_sum AS DOUBLE) AS weight_sum FROM r LEFT JOIN e ON r.user_id = e.user_id""",
+    "merge_prev_recs": recs_ctes() + """SELECT user_id, track_id, CAST(score AS DOUBLE) AS score
+FROM merged""",
+    # aggregates
+    "events_by_track": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT track_id,
+  count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS weight_sum, max(ts) AS last_ts
+FROM w GROUP BY track_id""",
+    "track_activity": with_ctes(HISTORY, RECENT) + """SELECT track_id, count(*) AS listens,
+  max(ts) AS last_active FROM recent GROUP BY track_id""",
+    "user_activity": with_ctes(HISTORY, RECENT) + """SELECT user_id, count(*) AS listens,
+  max(ts) AS last_active FROM recent GROUP BY user_id""",
+    "recs_by_user": recs_ctes() + """SELECT user_id, CAST(count(*) AS INTEGER) AS n_recs,
+  arg_min(track_id, rank) AS first_track_id,
+  list_reduce(list(score ORDER BY rank), lambda a, b: a + b) AS score_sum
+FROM final GROUP BY user_id""",
+    "gram_matrix": with_ctes(VEC, """e AS (
+  SELECT track_id, unnest(features) AS x,
+         CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS i FROM vec)""")
+    + """SELECT a.i, b.i AS j, round(sum(a.x * b.x), 6) AS value
+FROM e a JOIN e b ON a.track_id = b.track_id GROUP BY a.i, b.i""",
+    "stage_counts": today_ctes() + """SELECT 'weighted_events' AS stage, count(*) AS n_rows
+FROM w_today
+UNION ALL SELECT 'candidates', count(*) FROM cand_today
+UNION ALL SELECT 'not_dismissed', count(*) FROM kept_today
+UNION ALL SELECT 'top_n', count(*) FROM top_today""",
+    # top-N
+    "user_top_n": today_ctes() + """SELECT user_id, rank, track_id, CAST(score AS DOUBLE) AS score
+FROM top_today""",
+    "user_top_n_asc": today_ctes(order="score ASC") + """SELECT user_id, rank, track_id,
+  CAST(score AS DOUBLE) AS score FROM top_today""",
+    "user_top_n_final": recs_ctes(n=10) + "SELECT user_id, rank, track_id, score, base_score FROM final",
+    "batch_recommendations": recs_ctes() + """SELECT user_id, rank, track_id, score, base_score
+FROM final""",
+    "similar_tracks": with_ctes(SIMILAR) + """SELECT track_id, rank, similar_track_id,
+  CAST(similarity AS DOUBLE) AS similarity, similar_label FROM sim_top""",
+    # sinks
+    "sink_user_recs": recs_ctes() + "SELECT user_id, rank, track_id, score FROM final",
+    "sink_merged_ratings": MERGED + """SELECT user_id, track_id, date_trunc('second', ts) AS ts,
+  rating FROM merged""",
+    # model
+    "training_ratings": TRAINING + "SELECT * FROM training",
+    "als_item_ids": TRAINING + "SELECT DISTINCT track_id FROM training",
+    # streaming
+    "stream_scan": with_ctes(PLAYS) + PARSED_PLAYS,
+    "stream_union": with_ctes(PLAYS) + PARSED_PLAYS,
+    "stream_sink_batches": with_ctes(PLAYS) + "SELECT *, 0 AS batch_id FROM (" + PARSED_PLAYS + ")",
+    "stream_restart": with_ctes(PLAYS) + "SELECT *, 0 AS batch_id FROM (" + PARSED_PLAYS + ")",
+    "stream_event_weight": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT user_id, track_id,
+  date_trunc('second', ts) AS ts, reason_start, CAST(weight AS DOUBLE) AS weight FROM w""",
+    "stream_events_by_track": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT track_id,
+  count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS weight_sum,
+  max(date_trunc('second', ts)) AS last_ts FROM w GROUP BY track_id""",
+    "stream_track_window": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT
+  CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, track_id, count(*) AS n_events,
+  CAST(sum(weight) AS DOUBLE) AS weight_sum FROM w GROUP BY 1, 2""",
+    "stream_user_top_n": today_ctes("plays") + """SELECT user_id, rank, track_id,
+  CAST(score AS DOUBLE) AS score FROM top_today""",
+    "stream_recommendations": recs_ctes("plays") + """SELECT user_id, rank, track_id, score,
+  base_score FROM final""",
+}

@@ -19,6 +19,7 @@ from encore.operators.merge import merge_prev_recs
 from encore.operators.recommend import diversity_reweight, event_candidates, weigh_events
 from encore.operators.similar import similar_tracks
 from encore.operators.topn import top_n_per_key, user_top_n
+from encore.sinks.files import materialize
 from encore.sources import testdata
 
 DEFAULT_N = 30
@@ -40,9 +41,12 @@ class SimilarIndex:
 
 def build_index(vectors: DataFrame, k: int = DEFAULT_K,
                 n_vectors: int | None = None) -> SimilarIndex:
+    """J4 once per run, written to the shared checkpoint folder (used by both
+    the previous and today's lists, and by every micro-batch of a stream)."""
     if n_vectors is None:
         n_vectors = vectors.count()
-    table = similar_tracks(vectors, k=k, n_vectors=n_vectors)
+    table = materialize(vectors.sparkSession, similar_tracks(vectors, k=k, n_vectors=n_vectors),
+                        "similar_tracks")
     return SimilarIndex(table, vectors.select("track_id", "label"), n_vectors, k)
 
 
