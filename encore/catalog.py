@@ -490,3 +490,41 @@ def q_stream_recommendations(spark, sf_dir):
     transform = recommender.recommend_transform(index, td.dismissals(spark, sf_dir), prev, N)
     return spark.read.parquet(_run_lines_stream(spark, lines, transform, "stream_recs")) \
         .drop("batch_id")
+
+
+# ---------------------------------------------------------------- approximate and fold-in
+# (property checks; no SQL oracle)
+
+@query("similar_tracks_lsh")
+def q_similar_tracks_lsh(spark, sf_dir):
+    from encore.operators.similar import similar_tracks_lsh
+    sim = similar_tracks_lsh(td.vectors(spark, sf_dir), k=K, dim=64)
+    return sim.select("track_id", "rank", "similar_track_id", _dbl("similarity"),
+                      "similar_label")
+
+
+@query("filter_dismissed_bloom")
+def q_filter_dismissed_bloom(spark, sf_dir):
+    from encore.operators.bloom import filter_dismissed_bloom
+    kept = filter_dismissed_bloom(_today_candidates(spark, sf_dir), td.dismissals(spark, sf_dir))
+    return kept.select("user_id", "track_id", _dbl("score"))
+
+
+@query("als_fold_in")
+def q_als_fold_in(spark, sf_dir):
+    """M4: item vectors re-solved from the recent history with user factors fixed."""
+    import numpy as np
+
+    from encore.operators.model import fold_in_items, train_implicit_als, user_factors
+    rank = 8
+    ratings = materialize(spark, training.history_training_ratings(spark, sf_dir),
+                          "fold_in_ratings")
+    users = materialize(spark, user_factors(train_implicit_als(ratings, rank=rank,
+                                                               iterations=5)), "user_factors")
+    gram = np.zeros((rank, rank))
+    for row in agg.gram_matrix(users, dim=rank).collect():  # rank x rank values
+        gram[row["i"], row["j"]] = row["value"]
+    events = td.history_daily(spark, sf_dir).select(
+        F.col("user_id").cast("int").alias("user_id"), "track_id", "rating")
+    vectors = fold_in_items(events, users, gram, rank)
+    return training.item_factor_summary(vectors)

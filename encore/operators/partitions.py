@@ -12,23 +12,22 @@ from encore.functions.time import from_epoch_seconds
 def _parse_batches(batches):
     """Parse each Arrow batch as it arrives; nothing is buffered across batches."""
     for pdf in batches:
-        parts = pdf["value"].str.split(",", expand=True, regex=False)
-        if parts.shape[1] < 6:
-            parts = parts.reindex(columns=range(6))
-        good = parts[6].isna() if parts.shape[1] > 6 else pd.Series(True, index=parts.index)
-        good &= parts[5].notna()
-        user = pd.to_numeric(parts[0], errors="coerce")
-        track = pd.to_numeric(parts[1], errors="coerce")
-        secs = pd.to_numeric(parts[2], errors="coerce")
-        ms = pd.to_numeric(parts[3], errors="coerce")
-        good &= user.notna() & track.notna() & secs.notna() & ms.notna()
+        parts = pdf["value"].astype(object).str.split(",", expand=True, regex=False)
+        parts = parts.reindex(columns=range(max(7, parts.shape[1])))
+        good = parts[6].isna() & parts[5].notna()
+        num = {i: pd.to_numeric(parts[i], errors="coerce") for i in range(4)}
+        for i in range(4):
+            good &= num[i].notna()
+        for i in range(3):  # ids and seconds must be whole numbers
+            good &= num[i].where(num[i].notna(), 0) % 1 == 0
+        end = parts[5][good].astype(object)
         yield pd.DataFrame({
-            "user_id": user[good].astype("int64"),
-            "track_id": track[good].astype("int64"),
-            "epoch": secs[good].astype("int64"),
-            "ms_played": ms[good].astype("float64"),
-            "reason_start": parts[4][good],
-            "reason_end": parts[5][good].where(parts[5][good] != "null", None),
+            "user_id": num[0][good].to_numpy(dtype="int64"),
+            "track_id": num[1][good].to_numpy(dtype="int64"),
+            "epoch": num[2][good].to_numpy(dtype="int64"),
+            "ms_played": num[3][good].to_numpy(dtype="float64"),
+            "reason_start": parts[4][good].astype(object).to_numpy(),
+            "reason_end": end.where(end != "null", None).to_numpy(),
         })
 
 

@@ -116,3 +116,82 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
                     (F.col("sim_micro").cast("decimal(14,0)") / F.lit(1_000_000))
                     .cast(SIMILARITY_TYPE).alias("similarity"),
                     "similar_label"))
+
+
+def _hyperplane_codes(dim: int, n_bands: int, bits: int, seed: int):
+    planes = np.random.default_rng(seed).standard_normal((n_bands * bits, dim))
+    weights = (1 << np.arange(bits)).astype(np.int64)
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
+            signs = (x @ planes.T >= 0).reshape(len(x), n_bands, bits)
+            codes = (signs * weights).sum(axis=2)
+            yield pd.DataFrame({
+                "track_id": np.repeat(pdf["track_id"].to_numpy(np.int64), n_bands),
+                "band": np.tile(np.arange(n_bands, dtype=np.int32), len(x)),
+                "bucket": codes.ravel().astype(np.int64),
+            })
+    return run
+
+
+def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
+                       n_bands: int = 8, bits: int | None = None, seed: int = 7,
+                       bucket_target: int = 512, n_vectors: int | None = None,
+                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Approximate k most similar tracks with random-hyperplane LSH.
+
+    A track's candidates are the tracks sharing a bucket with it in at least
+    one of ``n_bands`` bands of ``bits`` sign bits. Each bucket is scored with
+    the same bounded block pairs as the exact form (a hot bucket is split into
+    blocks, never expanded into pairs); the best score per pair over bands is
+    kept and cut to ``k`` per track. Same output as ``similar_tracks``.
+    ``bits`` defaults to the number that leaves about ``bucket_target``
+    vectors per bucket.
+    """
+    if bits is None:
+        if n_vectors is None:
+            n_vectors = vectors.count()
+        bits = max(1, math.ceil(math.log2(max(2.0, n_vectors / bucket_target))))
+    if dim is None:
+        dim = len(vectors.select("features").first()[0])
+    vec = vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
+                         "label")
+    codes = vec.select("track_id", "features").mapInPandas(
+        _hyperplane_codes(dim, n_bands, bits, seed), "track_id long, band int, bucket long")
+    sizes = (codes.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
+             .withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("size") / block_rows))
+                         .cast("int")))
+    placed = (codes.join(sizes, ["band", "bucket"]).join(vec, "track_id")
+              .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.col("nb")).cast("int")))
+    blocks = F.sequence(F.lit(0), F.col("nb") - 1)
+    as_query = placed.select("band", "bucket", F.col("blk").alias("qb"),
+                             F.explode(blocks).alias("cb"), F.lit(0).alias("side"),
+                             "track_id", "features", "label")
+    as_cand = placed.select("band", "bucket", F.explode(blocks).alias("qb"),
+                            F.col("blk").alias("cb"), F.lit(1).alias("side"),
+                            "track_id", "features", "label")
+    partial = (as_query.unionByName(as_cand)
+               .groupBy("band", "bucket", "qb", "cb")
+               .applyInPandas(_block_top_k(k, False), _PARTIAL_SCHEMA))
+    best = (partial.groupBy("track_id", "similar_track_id")
+            .agg(F.max("sim_micro").alias("sim_micro"), F.first("similar_label").alias(
+                "similar_label")))
+    w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
+                                               F.col("similar_track_id").asc())
+    return (best.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= k)
+            .select("track_id", "rank", "similar_track_id",
+                    (F.col("sim_micro").cast("decimal(14,0)") / F.lit(1_000_000))
+                    .cast(SIMILARITY_TYPE).alias("similarity"),
+                    "similar_label"))
+
+
+def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """Share of the exact (track, similar track) pairs the approximate table found."""
+    hit = exact.select("track_id", "similar_track_id").join(
+        approx.select("track_id", "similar_track_id", F.lit(1).alias("found")),
+        ["track_id", "similar_track_id"], "left")
+    return hit.agg((F.sum(F.coalesce("found", F.lit(0))) / F.count(F.lit(1))).alias("recall"))
