@@ -302,20 +302,20 @@ def q_gram_matrix(spark, sf_dir):
 
 @query("stage_counts")
 def q_stage_counts(spark, sf_dir):
-    """Rows after each step of today's list."""
+    """Rows after each step of today's list, observed in one pass (no extra jobs)."""
+    from pyspark.sql import Observation
     index = _index(spark, sf_dir)
-    weighted = weigh_events(td.daily(spark, sf_dir))
-    cands = event_candidates(weighted, index.table, index.rows_bound)
-    kept = flt.filter_dismissed(cands, td.dismissals(spark, sf_dir))
-    top = user_top_n(kept, N)
-    stages = [("weighted_events", weighted), ("candidates", cands), ("not_dismissed", kept),
-              ("top_n", top)]
-    out = None
-    for name, df in stages:
-        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"),
-                                                               "n_rows")
-        out = row if out is None else out.unionByName(row)
-    return out
+    names = ["weighted_events", "candidates", "not_dismissed", "top_n"]
+    obs = {name: Observation(name) for name in names}
+
+    def seen(df, name):
+        return df.observe(obs[name], F.count(F.lit(1)).alias("n_rows"))
+    weighted = seen(weigh_events(td.daily(spark, sf_dir)), "weighted_events")
+    cands = seen(event_candidates(weighted, index.table, index.rows_bound), "candidates")
+    kept = seen(flt.filter_dismissed(cands, td.dismissals(spark, sf_dir)), "not_dismissed")
+    seen(user_top_n(kept, N), "top_n").write.format("noop").mode("overwrite").save()
+    counts = [(name, int(obs[name].get["n_rows"])) for name in names]  # four numbers
+    return spark.createDataFrame(counts, "stage string, n_rows long")
 
 
 # ---------------------------------------------------------------- top-N
@@ -477,7 +477,8 @@ def q_stream_track_window(spark, sf_dir):
 def q_stream_user_top_n(spark, sf_dir):
     index = _index(spark, sf_dir)
     lines = source.event_lines(_event_stream(spark, sf_dir))
-    transform = recommender.top_n_transform(index, td.dismissals(spark, sf_dir), N)
+    dismissals = materialize(spark, td.dismissals(spark, sf_dir), "dismissals")
+    transform = recommender.top_n_transform(index, dismissals, N)
     return spark.read.parquet(_run_lines_stream(spark, lines, transform, "stream_top_n")) \
         .drop("batch_id")
 
@@ -487,7 +488,8 @@ def q_stream_recommendations(spark, sf_dir):
     index = _index(spark, sf_dir)
     prev = materialize(spark, batch.previous_recs(spark, sf_dir, index), "previous_recs")
     lines = source.event_lines(_event_stream(spark, sf_dir))
-    transform = recommender.recommend_transform(index, td.dismissals(spark, sf_dir), prev, N)
+    dismissals = materialize(spark, td.dismissals(spark, sf_dir), "dismissals")
+    transform = recommender.recommend_transform(index, dismissals, prev, N)
     return spark.read.parquet(_run_lines_stream(spark, lines, transform, "stream_recs")) \
         .drop("batch_id")
 

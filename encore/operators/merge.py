@@ -56,10 +56,18 @@ def user_ratings_and_events(ratings: DataFrame, events: DataFrame,
                     F.col("weight_sum").cast("double").alias("weight_sum")))
 
 
-def merge_prev_recs(today: DataFrame, previous: DataFrame) -> DataFrame:
-    """Union today's recs with earlier ones; one row per (user, track), best score."""
+def merge_prev_recs(today: DataFrame, previous: DataFrame,
+                    today_users_only: bool = True) -> DataFrame:
+    """Union today's recs with earlier ones; one row per (user, track), best score.
+
+    As in the reference, the earlier list is fetched for the users of today's
+    list only (a semi join that also keeps the earlier table out of the
+    shuffle for everyone else); ``today_users_only=False`` merges all users.
+    """
     cols = lambda df: df.select("user_id", "track_id",
                                 F.col("score").cast(SCORE_TYPE).alias("score"))
+    if today_users_only:
+        previous = previous.join(today.select("user_id").distinct(), "user_id", "left_semi")
     return (cols(today).unionByName(cols(previous))
             .groupBy("user_id", "track_id")
             .agg(F.max("score").alias("score")))

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from encore.functions.score import SIMILARITY_TYPE
 
-DEFAULT_BLOCK_ROWS = 4096
-_QUERY_CHUNK = 1024
+DEFAULT_BLOCK_ROWS = 16384
+_QUERY_CHUNK = 512
 _NO_SCORE = np.iinfo(np.int64).min
 
 _PARTIAL_SCHEMA = ("track_id long, similar_track_id long, sim_micro long, "

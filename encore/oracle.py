@@ -109,7 +109,8 @@ def final(n: int = 30) -> str:
     return f"""merged AS (
   SELECT user_id, track_id, max(score) AS score FROM (
     SELECT user_id, track_id, score FROM top_today
-    UNION ALL SELECT user_id, track_id, score FROM top_prev) u
+    UNION ALL SELECT user_id, track_id, score FROM top_prev
+              WHERE user_id IN (SELECT user_id FROM top_today)) u
   GROUP BY user_id, track_id),
 {anti("kept_merged", "merged", "dismissals")},
 labelled AS (SELECT k.*, v.label FROM kept_merged k LEFT JOIN vec v ON v.track_id = k.track_id),

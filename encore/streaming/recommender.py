@@ -1,8 +1,11 @@
 """Streaming recommender (T6): the batch operators applied per micro-batch.
 
 S5 -> P1 -> P8 -> J4 -> P14 -> P9 -> F5 -> A2 -> J5 -> P12 -> W3 -> K2.
-The similar-tracks index and yesterday's recs are static tables read by each
-batch; dismissals are re-read per batch so new ones apply at once.
+The similar-tracks index, yesterday's recs and the dismissals are tables read
+by each batch (so updates to them apply at the next batch). Before the
+shuffles, both are cut to the batch's users with a semi join: the batch's
+user set is small and broadcast by adaptive execution, so a micro-batch never
+shuffles the whole dismissal or recommendation table.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ def recommend_transform(index: SimilarIndex, dismissals: DataFrame,
     """foreachBatch transform: daily lines -> final recs of the batch's users."""
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = parse_daily(batch_lines)
-        out = recommend(events, index, dismissals, previous, n)
+        users = events.select("user_id").distinct()
+        prev = None if previous is None else previous.join(users, "user_id", "left_semi")
+        out = recommend(events, index, dismissals.join(users, "user_id", "left_semi"), prev, n)
         return out.select("user_id", "rank", "track_id", "score", "base_score",
                           F.lit(batch_id).alias("batch_id"))
     return transform
@@ -29,7 +34,8 @@ def top_n_transform(index: SimilarIndex, dismissals: DataFrame, n: int = 30):
     """W3 per batch: today's candidates cut to ``n`` per user."""
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = parse_daily(batch_lines)
-        out = candidate_recs(events, index, dismissals, n)
+        users = events.select("user_id").distinct()
+        out = candidate_recs(events, index, dismissals.join(users, "user_id", "left_semi"), n)
         return out.select("user_id", "rank", "track_id", F.col("score").cast("double"),
                           F.lit(batch_id).alias("batch_id"))
     return transform
