@@ -46,8 +46,12 @@ def test_top_n_ties_and_direction(spark):
 def test_merge_prev_recs_keeps_best(spark):
     today = spark.createDataFrame([(1, 5, 2.0), (1, 6, 1.0)], "user_id long, track_id long, score double")
     prev = spark.createDataFrame([(1, 5, 3.0), (2, 9, 1.0)], "user_id long, track_id long, score double")
-    got = sorted((r.user_id, r.track_id, float(r.score)) for r in merge_prev_recs(today, prev).collect())
-    assert got == [(1, 5, 3.0), (1, 6, 1.0), (2, 9, 1.0)]
+    def run(**kw):
+        return sorted((r.user_id, r.track_id, float(r.score))
+                      for r in merge_prev_recs(today, prev, **kw).collect())
+    # earlier lists are refreshed for today's users only, unless asked for all
+    assert run() == [(1, 5, 3.0), (1, 6, 1.0)]
+    assert run(today_users_only=False) == [(1, 5, 3.0), (1, 6, 1.0), (2, 9, 1.0)]
 
 
 def test_literal_diversity_ratio(spark):
