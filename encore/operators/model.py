@@ -48,7 +48,7 @@ def user_factors(model: ALSModel) -> DataFrame:
 
 
 def _partial_normal_equations(rank: int, alpha: float):
-    """Per partition and track: sum over events of (c-1) x x^T and c p x, and counts."""
+    """Per batch and track: [sum (c-1) x x^T (rank*rank), sum c p x (rank), n positives]."""
     def run(batches):
         for pdf in batches:
             if pdf.empty:
@@ -57,18 +57,14 @@ def _partial_normal_equations(rank: int, alpha: float):
             r = pdf["rating"].to_numpy(np.float64)
             c = 1.0 + alpha * np.abs(r)
             p = (r > 0).astype(np.float64)
-            outer = (c - 1.0)[:, None, None] * x[:, :, None] * x[:, None, :]
-            rhs = (c * p)[:, None] * x
-            frame = pd.DataFrame({"track_id": pdf["track_id"].to_numpy()})
-            codes, uniques = pd.factorize(frame["track_id"])
-            n_groups = len(uniques)
-            a_sum = np.zeros((n_groups, rank * rank))
-            b_sum = np.zeros((n_groups, rank))
-            np.add.at(a_sum, codes, outer.reshape(len(r), -1))
-            np.add.at(b_sum, codes, rhs)
-            cnt = np.bincount(codes, weights=(r > 0).astype(np.float64), minlength=n_groups)
-            yield pd.DataFrame({"track_id": uniques.astype(np.int64),
-                                "a": list(a_sum), "b": list(b_sum), "n": cnt})
+            codes, uniques = pd.factorize(pdf["track_id"])
+            parts = np.zeros((len(uniques), rank * rank + rank + 1))
+            outer = ((c - 1.0)[:, None, None] * x[:, :, None] * x[:, None, :]).reshape(len(r), -1)
+            np.add.at(parts[:, :rank * rank], codes, outer)
+            np.add.at(parts[:, rank * rank:rank * rank + rank], codes, (c * p)[:, None] * x)
+            np.add.at(parts[:, -1], codes, p)
+            yield pd.DataFrame({"track_id": np.asarray(uniques, dtype=np.int64),
+                                "v": list(parts)})
     return run
 
 
@@ -78,9 +74,13 @@ def _solve(rank: int, reg: float, gram: np.ndarray):
             if pdf.empty:
                 continue
             out = []
-            for a, b, n in zip(pdf["a"], pdf["b"], pdf["n"]):
-                lhs = gram + np.asarray(a).reshape(rank, rank) + reg * max(n, 1.0) * np.eye(rank)
-                out.append(np.linalg.solve(lhs, np.asarray(b)))
+            for v in pdf["v"]:
+                v = np.asarray(v)
+                a = v[:rank * rank].reshape(rank, rank)
+                b = v[rank * rank:rank * rank + rank]
+                n = v[-1]
+                lhs = gram + a + reg * max(n, 1.0) * np.eye(rank)
+                out.append(np.linalg.solve(lhs, b))
             yield pd.DataFrame({"track_id": pdf["track_id"], "features": out})
     return run
 
@@ -94,26 +94,18 @@ def fold_in_items(events: DataFrame, users: DataFrame, gram: np.ndarray,
     factors, C = 1 + alpha r and n the number of positive events (Spark's
     scaling of lambda). ``gram`` is Y^T Y (rank x rank, from ``gram_matrix``).
 
-    Events are reduced to per-partition partial sums per track before the
-    shuffle, so a hot track sends one partial per map task, never its events.
+    Events are folded into per-batch partial sums per track on the map side;
+    the shuffle carries rank^2 + rank + 1 numbers per track and map batch,
+    never a track's events, so a hot track costs no more than any other.
     """
     joined = (events.select("user_id", "track_id", "rating")
               .join(users.select("user_id", F.col("features").cast("array<double>")
                                  .alias("features")), "user_id"))
-    partial = joined.mapInPandas(
-        _partial_normal_equations(rank, alpha),
-        "track_id long, a array<double>, b array<double>, n double")
-    summed = (partial
-              .select("track_id", "n", F.posexplode("a").alias("i", "v"), "b")
-              .groupBy("track_id", "i").agg(F.sum("v").alias("v"))
+    partial = joined.mapInPandas(_partial_normal_equations(rank, alpha),
+                                 "track_id long, v array<double>")
+    summed = (partial.select("track_id", F.posexplode("v").alias("i", "x"))
+              .groupBy("track_id", "i").agg(F.sum("x").alias("x"))
               .groupBy("track_id")
-              .agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("a")))
-    rhs = (partial.select("track_id", "n", F.posexplode("b").alias("i", "v"))
-           .groupBy("track_id", "i").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
-           .groupBy("track_id")
-           .agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("b"),
-                F.first("n").alias("n")))
-    # the n column was summed once per i in ``rhs``; any i carries the full count
-    eq = (summed.join(rhs, "track_id")
-          .select("track_id", F.col("a.v").alias("a"), F.col("b.v").alias("b"), "n"))
-    return eq.mapInPandas(_solve(rank, reg, gram), "track_id long, features array<double>")
+              .agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
+              .select("track_id", F.col("v.x").alias("v")))
+    return summed.mapInPandas(_solve(rank, reg, gram), "track_id long, features array<double>")

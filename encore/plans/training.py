@@ -33,9 +33,16 @@ def training_ratings(acc: DataFrame, daily_scores: DataFrame, as_of: str,
 
 
 def history_training_ratings(spark: SparkSession, sf_dir: str, mode: str = "any") -> DataFrame:
+    """``training_ratings`` on the test history.
+
+    The history is a lineitem x orders join; the retained part is written
+    once (the activity filters read it several times), as a stored
+    accumulated-ratings table would be.
+    """
     daily = testdata.history_daily(spark, sf_dir).withColumnRenamed("rating", "score")
-    return training_ratings(testdata.history_acc(spark, sf_dir), daily,
-                            testdata.HISTORY_AS_OF, mode=mode)
+    acc = materialize(spark, filter_recent(testdata.history_acc(spark, sf_dir),
+                                           testdata.HISTORY_AS_OF), "recent_ratings")
+    return training_ratings(acc, daily, testdata.HISTORY_AS_OF, mode=mode)
 
 
 def train_item_factors(spark: SparkSession, sf_dir: str, rank: int = 40, iterations: int = 15,
