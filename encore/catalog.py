@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from encore.functions.bucket import hash_bucket, range_bucket
 from encore.functions.parse import (parse_daily, parse_daily_lines, parse_ratings,
                                     quarantine, to_als_rating)
-from encore.functions.score import diversity_ratio
+from encore.functions.score import diversity_ratio, rec_score
 from encore.functions.vector import rounded_similarity
 from encore.operators import aggregates as agg
 from encore.operators import filters as flt
@@ -172,8 +172,7 @@ def q_rec_score(spark, sf_dir):
     w = weigh_events(td.daily(spark, sf_dir))
     return (w.join(sim, "track_id")
             .select("event_id", "user_id", "similar_track_id",
-                    (F.col("similarity").cast("decimal(8,6)") * F.col("weight"))
-                    .cast("double").alias("score")))
+                    rec_score(F.col("similarity"), F.col("weight")).alias("score")))
 
 
 @query("event_candidates")

@@ -1,9 +1,11 @@
 """Event weight, rec score and diversity expressions.
 
-Weights and rec scores are exact decimals: the product of a 6-decimal
-similarity and a 2-decimal play value has 8 decimals, and rounding that in
-binary floating point would depend on the engine. Results leave as DOUBLE at
-the edge.
+Weights are exact decimals (they are summed into ratings, and a decimal sum
+does not depend on the order rows arrive in). They are kept at precision 18
+so Spark computes them on longs, not on big decimals. A rec score is one
+IEEE multiply of the exactly converted similarity and weight: max and top-N
+on it are order independent, and the same two operations give the same bits
+in any engine.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ REASON_WEIGHTS = {
     "radio": 3,
 }
 
-WEIGHT_TYPE = "decimal(18,6)"
+PLAYED_TYPE = "decimal(15,4)"
+REASON_WEIGHT_TYPE = "decimal(2,0)"
 SIMILARITY_TYPE = "decimal(8,6)"
 
 
@@ -33,13 +36,13 @@ def reason_weight(reason: Column) -> Column:
 
 
 def event_weight(reason: Column, ms_played: Column) -> Column:
-    """Reason weight x ms played, exact decimal."""
-    return reason_weight(reason).cast("decimal(4,0)") * ms_played.cast(WEIGHT_TYPE)
+    """Reason weight x ms played, exact DECIMAL(18,4)."""
+    return reason_weight(reason).cast(REASON_WEIGHT_TYPE) * ms_played.cast(PLAYED_TYPE)
 
 
 def rec_score(similarity: Column, weight: Column) -> Column:
-    """Similarity (6 decimals) x event weight, exact decimal."""
-    return similarity.cast(SIMILARITY_TYPE) * weight
+    """Similarity (6 decimals) x event weight as DOUBLE."""
+    return similarity.cast(SIMILARITY_TYPE).cast("double") * weight.cast("double")
 
 
 def diversity_ratio(user_id: Column, score: Column, literal: bool = False) -> Column:

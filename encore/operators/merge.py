@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RATING_SUM_TYPE = "decimal(38,6)"
-SCORE_TYPE = "decimal(38,12)"
+SCORE_TYPE = "double"
 
 
 def merge_ratings(acc: DataFrame, daily_scores: DataFrame,

@@ -34,8 +34,9 @@ def weigh_events(events: DataFrame, mode: str = "drop") -> DataFrame:
 
 def user_track_weights(weighted: DataFrame) -> DataFrame:
     """(user, track) -> largest and smallest event weight (partial aggregation)."""
-    return weighted.groupBy("user_id", "track_id").agg(F.max("weight").alias("max_w"),
-                                                       F.min("weight").alias("min_w"))
+    w = F.col("weight").cast("double")
+    return weighted.groupBy("user_id", "track_id").agg(F.max(w).alias("max_w"),
+                                                       F.min(w).alias("min_w"))
 
 
 def event_candidates(weighted: DataFrame, similar: DataFrame,
@@ -64,12 +65,12 @@ def diversity_reweight(recs: DataFrame, labels: DataFrame,
 
     The reference names this step without defining it; the definition is ours.
     ``recs`` is already cut to a bounded number per user, so the window groups
-    are small. Output score is DOUBLE; ``base_score`` keeps the input score.
+    are small. ``base_score`` keeps the input score.
     """
     with_label = attach_labels(recs, labels, labels_rows_bound)
     w = Window.partitionBy("user_id", "label").orderBy(F.col("score").desc(),
                                                        F.col("track_id").asc())
     return (with_label.withColumn("label_rank", F.row_number().over(w))
             .select("user_id", "track_id", "label", "label_rank",
-                    F.col("score").cast("double").alias("base_score"),
-                    (F.col("score").cast("double") / F.col("label_rank")).alias("score")))
+                    F.col("score").alias("base_score"),
+                    (F.col("score") / F.col("label_rank")).alias("score")))

@@ -24,8 +24,8 @@ PLAYS = """plays AS (
   FROM events)"""
 
 WEIGHT_EXPR = """CAST(CASE reason_start WHEN 'query' THEN 10 WHEN 'rec' THEN 5
-                            WHEN 'browsing' THEN 5 WHEN 'radio' THEN 3 END AS DECIMAL(4,0))
-       * CAST(ms_played AS DECIMAL(18,6))"""
+                            WHEN 'browsing' THEN 5 WHEN 'radio' THEN 3 END AS DECIMAL(2,0))
+       * CAST(ms_played AS DECIMAL(15,4))"""
 
 
 def weighted(name: str, source: str) -> str:
@@ -76,7 +76,8 @@ OLD_DISMISSALS = f"""old_dismissals AS (
 
 def candidates(name: str, weighted_src: str) -> str:
     return f"""{name} AS (
-  SELECT w.user_id, s.similar_track_id AS track_id, max(s.similarity * w.weight) AS score
+  SELECT w.user_id, s.similar_track_id AS track_id,
+         max(CAST(s.similarity AS DOUBLE) * CAST(w.weight AS DOUBLE)) AS score
   FROM {weighted_src} w JOIN sim_top s ON w.track_id = s.track_id
   GROUP BY w.user_id, s.similar_track_id)"""
 
@@ -221,7 +222,8 @@ FROM sim_top s JOIN vec a ON a.track_id = s.track_id JOIN vec b ON b.track_id =
   s.similar_track_id, CAST(s.similarity AS DOUBLE) AS similarity
 FROM plays p JOIN sim_top s ON p.track_id = s.track_id""",
     "rec_score": with_ctes(PLAYS, DAILY, SIMILAR, weighted("w", "daily")) + """SELECT w.event_id,
-  w.user_id, s.similar_track_id, CAST(s.similarity * w.weight AS DOUBLE) AS score
+  w.user_id, s.similar_track_id,
+  CAST(s.similarity AS DOUBLE) * CAST(w.weight AS DOUBLE) AS score
 FROM w JOIN sim_top s ON w.track_id = s.track_id""",
     "event_candidates": with_ctes(PLAYS, DAILY, SIMILAR, weighted("w_today", "daily"),
                                   candidates("cand_today", "w_today"))

@@ -52,7 +52,7 @@ def build_index(vectors: DataFrame, k: int = DEFAULT_K,
 
 def candidate_recs(events: DataFrame, index: SimilarIndex, dismissals: DataFrame,
                    n: int = DEFAULT_N, ascending: bool = False) -> DataFrame:
-    """P6 -> J4 -> F5 -> P9 -> W1: (user_id, rank, track_id, score DECIMAL)."""
+    """P6 -> J4 -> F5 -> P9 -> W1: (user_id, rank, track_id, score)."""
     weighted = weigh_events(events)
     cands = event_candidates(weighted, index.table, index.rows_bound)
     kept = filter_dismissed(cands, dismissals)
