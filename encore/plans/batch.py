@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from encore.operators.filters import filter_dismissed
 from encore.operators.merge import merge_prev_recs
 from encore.operators.recommend import diversity_reweight, event_candidates, weigh_events
-from encore.operators.similar import similar_tracks
+from encore.operators.similar import similar_tracks, similar_tracks_lsh
 from encore.operators.topn import top_n_per_key, user_top_n
 from encore.sinks.files import materialize
 from encore.sources import testdata
@@ -39,14 +39,25 @@ class SimilarIndex:
         return self.k * self.n_vectors
 
 
-def build_index(vectors: DataFrame, k: int = DEFAULT_K,
-                n_vectors: int | None = None) -> SimilarIndex:
+# Exact scoring is quadratic in the catalogue: up to this many vectors it is
+# a few hundred block pairs per million tracks; beyond it LSH (J8) is used.
+EXACT_INDEX_MAX = 2_000_000
+
+
+def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None = None,
+                exact_max: int = EXACT_INDEX_MAX) -> SimilarIndex:
     """J4 once per run, written to the shared checkpoint folder (used by both
-    the previous and today's lists, and by every micro-batch of a stream)."""
+    the previous and today's lists, and by every micro-batch of a stream).
+
+    Catalogues larger than ``exact_max`` vectors use the LSH form (J8).
+    """
     if n_vectors is None:
         n_vectors = vectors.count()
-    table = materialize(vectors.sparkSession, similar_tracks(vectors, k=k, n_vectors=n_vectors),
-                        "similar_tracks")
+    if n_vectors <= exact_max:
+        sim = similar_tracks(vectors, k=k, n_vectors=n_vectors)
+    else:
+        sim = similar_tracks_lsh(vectors, k=k, n_vectors=n_vectors)
+    table = materialize(vectors.sparkSession, sim, "similar_tracks")
     return SimilarIndex(table, vectors.select("track_id", "label"), n_vectors, k)
 
 

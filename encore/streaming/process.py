@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame
 def batch_dir_writer(out_dir: str, transform: Callable[[DataFrame, int], DataFrame]):
     """foreachBatch function: skip empty batches, transform, write ``batch_id=<id>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # the batch is read by the emptiness check and several times by the
+        # transform: cache it once (spills to disk), release it after the write
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch.isEmpty():
+                return
             (transform(batch, batch_id).write.mode("overwrite")
              .parquet(f"{out_dir}/batch_id={batch_id}"))
         finally:
@@ -34,7 +36,8 @@ def run_stream(stream: DataFrame, foreach_batch, checkpoint: str,
     """Start with a checkpoint and wait.
 
     ``available_now=True`` processes what is there and stops (tests, backfills);
-    otherwise a processing-time trigger runs until ``timeout`` (None = forever).
+    otherwise a processing-time trigger runs until ``timeout`` seconds have
+    passed (then the query is stopped) or forever when ``timeout`` is None.
     """
     writer = (stream.writeStream.foreachBatch(foreach_batch)
               .option("checkpointLocation", checkpoint))
@@ -43,8 +46,10 @@ def run_stream(stream: DataFrame, foreach_batch, checkpoint: str,
     query = writer.start()
     if available_now:
         query.awaitTermination()
-    else:
-        query.awaitTermination(timeout)
+    elif timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
     if query.exception() is not None:
         raise query.exception()
     return query

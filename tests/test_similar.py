@@ -38,3 +38,12 @@ def test_lsh_recall(spark):
     assert recall >= 0.8
     # every approximate pair carries its true similarity, so it can't beat exact
     assert approx.count() <= exact.count()
+
+
+def test_index_switches_to_lsh_for_large_catalogues(spark):
+    from encore.plans.batch import build_index
+    vec = td.vectors(spark, SF_SMALL)
+    exact = build_index(vec, k=10)
+    approx = build_index(vec, k=10, exact_max=10)
+    assert exact.table.count() == approx.table.count() == 10 * exact.n_vectors
+    assert recall_at_k(approx.table, exact.table).collect()[0].recall > 0.9

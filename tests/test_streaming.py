@@ -52,3 +52,18 @@ def test_empty_batch_is_skipped_and_replay_overwrites(spark):
     write(spark.createDataFrame([(1,), (2,)], "x long"), 1)
     write(spark.createDataFrame([(3,)], "x long"), 1)  # replay of batch 1
     assert sorted(r.x for r in spark.read.parquet(out).collect()) == [3]
+
+
+def test_processing_time_trigger_runs_and_stops(spark):
+    from encore.functions.parse import parse_daily
+    from encore.sources import testdata as td
+    from encore.streaming import source
+    from tests.conftest import SF_SMALL
+    schema = td.table(spark, SF_SMALL, "events").schema
+    lines = source.event_lines(source.file_events(spark, f"{SF_SMALL}/event[s].parquet", schema))
+    out = scratch_path(spark, "ptime")
+    q = process.run_stream(lines, process.batch_dir_writer(out, lambda df, _id: parse_daily(df)),
+                           scratch_path(spark, "ptime_ckpt"), available_now=False,
+                           processing_time="1 second", timeout=20)
+    assert not q.isActive
+    assert spark.read.parquet(out).count() == td.table(spark, SF_SMALL, "events").count()
