@@ -36,6 +36,7 @@ def build_session(master: str = "local[8]", app_name: str = "encore",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -56,3 +57,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused directory under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/encore/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``encore`` importable by the Python workers (what ``--py-files`` does).
+
+    Pandas stages run functions of this package in worker processes; on a
+    cluster (or from any working directory) those workers only see modules
+    shipped with the application. The package is zipped once per
+    application and added with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    import encore
+    pkg_dir = os.path.dirname(os.path.abspath(encore.__file__))
+    out_dir = tempfile.mkdtemp(prefix="encore-pyfiles-")
+    archive = os.path.join(out_dir, "encore.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -26,13 +26,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, pd.Timestamp):
@@ -43,7 +46,7 @@ def _norm(v):
     except (TypeError, ValueError):
         pass
     if type(v).__name__ == "Decimal":
-        return round(float(v), 9)
+        return float(v) if STRICT else round(float(v), 9)
     return v
 
 
@@ -90,6 +93,9 @@ def compare(spark, sf_dir: str, keys: list[str] | None = None) -> dict[str, dict
 if __name__ == "__main__":
     sys.path.insert(0, ".")
     from encore.session import build_session
+    if "--strict" in sys.argv:
+        sys.argv.remove("--strict")
+        STRICT = True
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     compare(spark, sf, sys.argv[2:] or None)

@@ -15,14 +15,24 @@ def con():
     return duck(SF_SMALL)
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "TimestampNTZType": "TIMESTAMP",
+                 "BooleanType": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    got = QUERIES[key](spark, SF_SMALL).toPandas()
+    df = QUERIES[key](spark, SF_SMALL)
+    got = df.toPandas()
     if key not in ORACLE:
         assert len(got) > 0
         return
     want = con.execute(ORACLE[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
+    spark_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType))
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
+    assert spark_types == duck_types
     assert len(got) == len(want)
     assert rows(got) == rows(want)
 
