@@ -27,7 +27,7 @@ _QUERY_CHUNK = 512
 _NO_SCORE = np.iinfo(np.int64).min
 
 _PARTIAL_SCHEMA = ("track_id long, similar_track_id long, sim_micro long, "
-                   "similar_label int")
+                   "similar_label int, rank int")
 
 
 def _round_micro(sim: np.ndarray) -> np.ndarray:
@@ -44,7 +44,7 @@ def _block_top_k(k: int, include_self: bool):
         cands = pdf[pdf["side"] == 1].sort_values("track_id")
         if queries.empty or cands.empty:
             return pd.DataFrame({"track_id": [], "similar_track_id": [],
-                                 "sim_micro": [], "similar_label": []})
+                                 "sim_micro": [], "similar_label": [], "rank": []})
         c_ids = cands["track_id"].to_numpy(np.int64)
         c_lab = cands["label"].to_numpy()
         cmat = np.stack(cands["features"].to_numpy()).astype(np.float64)
@@ -73,14 +73,16 @@ def _block_top_k(k: int, include_self: bool):
             order = np.argsort(-top, axis=1, kind="stable")
             idx = np.take_along_axis(idx, order, axis=1)
             rows = np.repeat(np.arange(len(q_ids)), kk)
+            ranks = np.tile(np.arange(1, kk + 1, dtype=np.int32), len(q_ids))
             cols = idx.ravel()
             keep = key[rows, cols] != _NO_SCORE
-            rows, cols = rows[keep], cols[keep]
+            rows, cols, ranks = rows[keep], cols[keep], ranks[keep]
             out.append(pd.DataFrame({
                 "track_id": q_ids[rows],
                 "similar_track_id": c_ids[cols],
                 "sim_micro": micro[rows, cols],
                 "similar_label": c_lab[cols],
+                "rank": ranks,
             }))
         return pd.concat(out, ignore_index=True)
     return score_block
@@ -108,10 +110,13 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
     partial = (as_query.unionByName(as_cand)
                .groupBy("qb", "cb")
                .applyInPandas(_block_top_k(k, include_self), _PARTIAL_SCHEMA))
-    w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
-                                               F.col("similar_track_id").asc())
-    return (partial.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k)
+    if nb > 1:
+        # each track has nb partial lists (one per candidate block): merge them
+        w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
+                                                   F.col("similar_track_id").asc())
+        partial = (partial.withColumn("rank", F.row_number().over(w))
+                   .filter(F.col("rank") <= k))
+    return (partial
             .select("track_id", "rank", "similar_track_id",
                     (F.col("sim_micro").cast("decimal(14,0)") / F.lit(1_000_000))
                     .cast(SIMILARITY_TYPE).alias("similarity"),

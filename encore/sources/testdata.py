@@ -101,14 +101,18 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dismissals_from_events(events: DataFrame, before: str | None = None) -> DataFrame:
-    ev = events.filter(F.col("event_type") == F.lit(DISMISS_EVENT))
-    if before is not None:
-        ev = ev.filter(F.col("ts") < _ts(before))
-    return (ev.select("user_id",
+    """Distinct dismissed (user, track) pairs; with ``before``, those first
+    dismissed before that time. Both forms share one aggregate (the filter is
+    on its result), so a plan using both scans the events once."""
+    firsts = (events.filter(F.col("event_type") == F.lit(DISMISS_EVENT))
+              .select("user_id",
                       F.get_json_object("props", "$.k").try_cast("int").cast("bigint")
-                      .alias("track_id"))
-            .filter(F.col("track_id").isNotNull())
-            .distinct())
+                      .alias("track_id"), "ts")
+              .filter(F.col("track_id").isNotNull())
+              .groupBy("user_id", "track_id").agg(F.min("ts").alias("first_ts")))
+    if before is not None:
+        firsts = firsts.filter(F.col("first_ts") < _ts(before))
+    return firsts.select("user_id", "track_id")
 
 
 def dismissals(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
