@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.score import SIMILARITY_TYPE
+from encore.operators.joins import broadcast_if_bounded
 
 DEFAULT_BLOCK_ROWS = 16384
 _QUERY_CHUNK = 512
@@ -169,7 +170,9 @@ def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
     sizes = (codes.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
              .withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("size") / block_rows))
                          .cast("int")))
-    placed = (codes.join(sizes, ["band", "bucket"]).join(vec, "track_id")
+    # one row per (band, bucket): at most n_bands * 2^bits rows
+    placed = (codes.join(broadcast_if_bounded(sizes, n_bands * 2 ** bits), ["band", "bucket"])
+              .join(vec, "track_id")
               .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.col("nb")).cast("int")))
     blocks = F.sequence(F.lit(0), F.col("nb") - 1)
     as_query = placed.select("band", "bucket", F.col("blk").alias("qb"),

@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from encore.operators.filters import filter_dismissed
 from encore.operators.merge import merge_prev_recs

@@ -13,9 +13,17 @@ from encore.functions.parse import NULL_TOKEN
 from encore.functions.time import epoch_seconds
 
 
-def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per line, column ``value``; ``path`` may be a glob."""
-    return spark.read.text(path)
+def scan_lines(spark: SparkSession, path: str | list[str],
+               ignore_missing: bool = False) -> DataFrame:
+    """One row per line, column ``value``; ``path`` may be a glob.
+
+    ``ignore_missing=True`` skips files that vanish between listing and
+    reading (S4: a day's file that is not there yet is simply skipped).
+    """
+    reader = spark.read
+    if ignore_missing:
+        reader = reader.option("ignoreMissingFiles", "true")
+    return reader.text(path)
 
 
 def daily_line(df: DataFrame) -> Column:
