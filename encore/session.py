@@ -23,6 +23,26 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings that keep every task's data near ``target_partition_bytes``.
+
+    Shuffle partitions start at max(2 x cores, input / target) so the largest
+    stage (the event fan-out, about k times the pair count) fits executor
+    memory without heavy spill; AQE then coalesces small ones and splits
+    skewed ones. Scans split at the same target size.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(2 * target_partition_bytes),
+        "spark.default.parallelism": str(2 * total_cores),
+    }
+
+
 def build_session(master: str = "local[8]", app_name: str = "encore",
                   shuffle_partitions: int | None = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
