@@ -23,18 +23,21 @@ DEFAULT_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int,
-               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
-    """Settings that keep every task's data near ``target_partition_bytes``.
-
-    Shuffle partitions start at max(2 x cores, input / target) so the largest
-    stage (the event fan-out, about k times the pair count) fits executor
-    memory without heavy spill; AQE then coalesces small ones and splits
-    skewed ones. Scans split at the same target size.
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 ** 2,
+               max_partitions: int = 50_000) -> dict[str, str]:
+    """Settings that keep each task's data near ``target_partition_bytes``.
+
+    ``shuffle_bytes`` is the size of the largest shuffle: after column
+    pruning and partial aggregation that is the (user, track) pairs times the
+    similar-track fan-out, far less than the raw events. Shuffle partitions
+    are max(2 x cores, shuffle_bytes / target), capped at ``max_partitions``
+    (map x reduce block counts grow quadratically beyond it; AQE splits any
+    partition that still grows too large). Scans split at the same target.
     """
-    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    wanted = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.shuffle.partitions": str(min(max_partitions, wanted)),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
