@@ -47,3 +47,18 @@ def test_index_switches_to_lsh_for_large_catalogues(spark):
     approx = build_index(vec, k=10, exact_max=10)
     assert exact.table.count() == approx.table.count() == 10 * exact.n_vectors
     assert recall_at_k(approx.table, exact.table).collect()[0].recall > 0.9
+
+
+def test_rounding_matches_duckdb():
+    import duckdb
+
+    from encore.operators.similar import _round_micro
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([rng.uniform(-1, 1, 2000), np.array([0.0000005, -0.0000005,
+                                                               0.1234565, 0.9999995, -0.25])])
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v(x DOUBLE)")
+    con.executemany("INSERT INTO v VALUES (?)", [(float(x),) for x in vals])
+    duck = np.array([r[0] for r in con.execute("SELECT round(x, 6) FROM v").fetchall()])
+    ours = _round_micro(vals) / 1e6
+    np.testing.assert_array_equal(ours, duck)
