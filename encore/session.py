@@ -63,9 +63,18 @@ def build_session(master: str = "local[8]", app_name: str = "encore",
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, read the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = _LOCAL_CKPT.setdefault("connect", tempfile.mkdtemp(prefix="encore-ckpt-"))
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -85,29 +94,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``encore`` importable by the Python workers (what ``--py-files`` does).
-
-    Pandas stages run functions of this package in worker processes; on a
-    cluster (or from any working directory) those workers only see modules
-    shipped with the application. The package is zipped once per
-    application and added with ``addPyFile``.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
+def _zip_package() -> str:
     import os
     import zipfile
 
     import encore
     pkg_dir = os.path.dirname(os.path.abspath(encore.__file__))
-    out_dir = tempfile.mkdtemp(prefix="encore-pyfiles-")
-    archive = os.path.join(out_dir, "encore.zip")
+    archive = os.path.join(tempfile.mkdtemp(prefix="encore-pyfiles-"), "encore.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(pkg_dir):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(root, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    return archive
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``encore`` importable by the Python workers (what ``--py-files`` does).
+
+    Pandas stages run functions of this package in worker processes; on a
+    cluster (or from any working directory) those workers only see modules
+    shipped with the application. The package is zipped once per
+    application and added with ``addPyFile`` (``addArtifacts`` on Spark
+    Connect).
+    """
+    import warnings
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # Spark Connect
+        sc, key = None, f"connect-{spark.session_id}"
+    if key in _SHIPPED:
+        return
+    try:
+        archive = _zip_package()
+        if sc is not None:
+            sc.addPyFile(archive)
+        else:
+            spark.addArtifacts(archive, pyfile=True)
+        _SHIPPED.add(key)
+    except Exception as exc:  # workers may still import it from the working directory
+        warnings.warn(f"could not ship the encore package to the workers: {exc}")
