@@ -1,11 +1,12 @@
 """Similar tracks by cosine similarity.
 
 Exact top-k (J4) without a cross join: vectors are hashed into ``nb`` blocks;
-every (query block, candidate block) pair becomes one group holding the two
-blocks, so a group never exceeds ``2 * block_rows`` vectors whatever the data.
-Inside the group numpy scores the block pair and keeps only the k best
-candidates per query vector; a final top-k per track merges the ``nb``
-partial lists. Pairs are never materialised as rows.
+every unordered pair of blocks becomes one group holding the two blocks, so a
+group never exceeds ``2 * block_rows`` vectors whatever the data, and each
+vector is shuffled ``nb`` times. Inside the group numpy scores the pair in
+both directions and keeps only the k best candidates per vector; a final
+top-k per track merges the ``nb`` partial lists. Pairs are never
+materialised as rows.
 
 Similarities are rounded to 6 decimals (half away from zero) and ranked on
 the rounded value, ties by candidate id.
@@ -39,54 +40,88 @@ def _round_micro(sim: np.ndarray) -> np.ndarray:
     return (whole + np.sign(frac) * (np.abs(frac) >= 0.5)).astype(np.int64)
 
 
-def _block_top_k(k: int, include_self: bool):
-    def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        queries = pdf[pdf["side"] == 0]
-        cands = pdf[pdf["side"] == 1].sort_values("track_id")
-        if queries.empty or cands.empty:
-            return pd.DataFrame({"track_id": [], "similar_track_id": [],
-                                 "sim_micro": [], "similar_label": [], "rank": []})
-        c_ids = cands["track_id"].to_numpy(np.int64)
-        c_lab = cands["label"].to_numpy()
-        cmat = np.stack(cands["features"].to_numpy()).astype(np.float64)
-        c_norm = np.linalg.norm(cmat, axis=1)
-        mc = len(c_ids)
-        kk = min(k, mc)
-        # larger key = better: similarity first, then the smaller candidate id
-        tie = (mc - 1 - np.arange(mc, dtype=np.int64))
-        out = []
-        q_ids_all = queries["track_id"].to_numpy(np.int64)
-        q_feat_all = queries["features"].to_numpy()
-        for start in range(0, len(q_ids_all), _QUERY_CHUNK):
-            q_ids = q_ids_all[start:start + _QUERY_CHUNK]
-            qmat = np.stack(q_feat_all[start:start + _QUERY_CHUNK]).astype(np.float64)
-            q_norm = np.linalg.norm(qmat, axis=1)
-            den = np.outer(q_norm, c_norm)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = (qmat @ cmat.T) / den
-            valid = np.isfinite(sim) & (den > 0)
-            if not include_self:
-                valid &= q_ids[:, None] != c_ids[None, :]
-            micro = np.where(valid, _round_micro(np.where(valid, sim, 0.0)), 0)
-            key = np.where(valid, micro * mc + tie[None, :], _NO_SCORE)
-            idx = np.argpartition(key, mc - kk, axis=1)[:, mc - kk:]
-            top = np.take_along_axis(key, idx, axis=1)
-            order = np.argsort(-top, axis=1, kind="stable")
-            idx = np.take_along_axis(idx, order, axis=1)
-            rows = np.repeat(np.arange(len(q_ids)), kk)
-            ranks = np.tile(np.arange(1, kk + 1, dtype=np.int32), len(q_ids))
-            cols = idx.ravel()
-            keep = key[rows, cols] != _NO_SCORE
-            rows, cols, ranks = rows[keep], cols[keep], ranks[keep]
-            out.append(pd.DataFrame({
-                "track_id": q_ids[rows],
-                "similar_track_id": c_ids[cols],
-                "sim_micro": micro[rows, cols],
-                "similar_label": c_lab[cols],
-                "rank": ranks,
-            }))
-        return pd.concat(out, ignore_index=True)
-    return score_block
+def _empty_partial() -> pd.DataFrame:
+    return pd.DataFrame({"track_id": pd.Series([], dtype="int64"),
+                         "similar_track_id": pd.Series([], dtype="int64"),
+                         "sim_micro": pd.Series([], dtype="int64"),
+                         "similar_label": pd.Series([], dtype="int32"),
+                         "rank": pd.Series([], dtype="int32")})
+
+
+def _score(queries: pd.DataFrame, cands: pd.DataFrame, k: int,
+           include_self: bool) -> list[pd.DataFrame]:
+    """The k best candidates of every query row (one direction of a block pair)."""
+    cands = cands.sort_values("track_id")
+    c_ids = cands["track_id"].to_numpy(np.int64)
+    c_lab = cands["label"].to_numpy()
+    cmat = np.stack(cands["features"].to_numpy()).astype(np.float64)
+    c_norm = np.linalg.norm(cmat, axis=1)
+    mc = len(c_ids)
+    kk = min(k, mc)
+    # larger key = better: similarity first, then the smaller candidate id
+    tie = (mc - 1 - np.arange(mc, dtype=np.int64))
+    out = []
+    q_ids_all = queries["track_id"].to_numpy(np.int64)
+    q_feat_all = queries["features"].to_numpy()
+    for start in range(0, len(q_ids_all), _QUERY_CHUNK):
+        q_ids = q_ids_all[start:start + _QUERY_CHUNK]
+        qmat = np.stack(q_feat_all[start:start + _QUERY_CHUNK]).astype(np.float64)
+        q_norm = np.linalg.norm(qmat, axis=1)
+        den = np.outer(q_norm, c_norm)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sim = (qmat @ cmat.T) / den
+        valid = np.isfinite(sim) & (den > 0)
+        if not include_self:
+            valid &= q_ids[:, None] != c_ids[None, :]
+        micro = np.where(valid, _round_micro(np.where(valid, sim, 0.0)), 0)
+        key = np.where(valid, micro * mc + tie[None, :], _NO_SCORE)
+        idx = np.argpartition(key, mc - kk, axis=1)[:, mc - kk:]
+        top = np.take_along_axis(key, idx, axis=1)
+        order = np.argsort(-top, axis=1, kind="stable")
+        idx = np.take_along_axis(idx, order, axis=1)
+        rows = np.repeat(np.arange(len(q_ids)), kk)
+        ranks = np.tile(np.arange(1, kk + 1, dtype=np.int32), len(q_ids))
+        cols = idx.ravel()
+        keep = key[rows, cols] != _NO_SCORE
+        rows, cols, ranks = rows[keep], cols[keep], ranks[keep]
+        out.append(pd.DataFrame({
+            "track_id": q_ids[rows],
+            "similar_track_id": c_ids[cols],
+            "sim_micro": micro[rows, cols],
+            "similar_label": c_lab[cols],
+            "rank": ranks,
+        }))
+    return out
+
+
+def _pair_top_k(k: int, include_self: bool):
+    """Score one unordered block pair in both directions (a block with itself once)."""
+    def score_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf[pdf["side"] == 0]
+        second = pdf[pdf["side"] == 1]
+        if first.empty:
+            return _empty_partial()
+        if second.empty:
+            parts = _score(first, first, k, include_self)
+        else:
+            parts = (_score(first, second, k, include_self)
+                     + _score(second, first, k, include_self))
+        return pd.concat(parts, ignore_index=True) if parts else _empty_partial()
+    return score_pair
+
+
+def _pair_layout(placed: DataFrame, nb, keys: list[str]) -> DataFrame:
+    """Send each vector of block b to the unordered pairs (min(b, x), max(b, x)).
+
+    Every vector is copied nb times (not 2 nb), and there are nb (nb + 1) / 2
+    groups of at most two blocks each.
+    """
+    x = placed.select(*keys, "blk", F.explode(F.sequence(F.lit(0), nb - 1)).alias("x"),
+                      "track_id", "features", "label")
+    lo, hi = F.least("blk", "x"), F.greatest("blk", "x")
+    return x.select(*keys, lo.alias("lo"), hi.alias("hi"),
+                    F.when(F.col("blk") == lo, 0).otherwise(1).alias("side"),
+                    "track_id", "features", "label")
 
 
 def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None,
@@ -103,16 +138,11 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
     base = (vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
                            "label")
             .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.lit(nb)).cast("int")))
-    all_blocks = F.sequence(F.lit(0), F.lit(nb - 1))
-    as_query = base.select(F.col("blk").alias("qb"), F.explode(all_blocks).alias("cb"),
-                           F.lit(0).alias("side"), "track_id", "features", "label")
-    as_cand = base.select(F.explode(all_blocks).alias("qb"), F.col("blk").alias("cb"),
-                          F.lit(1).alias("side"), "track_id", "features", "label")
-    partial = (as_query.unionByName(as_cand)
-               .groupBy("qb", "cb")
-               .applyInPandas(_block_top_k(k, include_self), _PARTIAL_SCHEMA))
+    partial = (_pair_layout(base, F.lit(nb), [])
+               .groupBy("lo", "hi")
+               .applyInPandas(_pair_top_k(k, include_self), _PARTIAL_SCHEMA))
     if nb > 1:
-        # each track has nb partial lists (one per candidate block): merge them
+        # each track has nb partial lists (one per block it was scored against)
         w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
                                                    F.col("similar_track_id").asc())
         partial = (partial.withColumn("rank", F.row_number().over(w))
@@ -174,16 +204,9 @@ def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
     placed = (codes.join(broadcast_if_bounded(sizes, n_bands * 2 ** bits), ["band", "bucket"])
               .join(vec, "track_id")
               .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.col("nb")).cast("int")))
-    blocks = F.sequence(F.lit(0), F.col("nb") - 1)
-    as_query = placed.select("band", "bucket", F.col("blk").alias("qb"),
-                             F.explode(blocks).alias("cb"), F.lit(0).alias("side"),
-                             "track_id", "features", "label")
-    as_cand = placed.select("band", "bucket", F.explode(blocks).alias("qb"),
-                            F.col("blk").alias("cb"), F.lit(1).alias("side"),
-                            "track_id", "features", "label")
-    partial = (as_query.unionByName(as_cand)
-               .groupBy("band", "bucket", "qb", "cb")
-               .applyInPandas(_block_top_k(k, False), _PARTIAL_SCHEMA))
+    partial = (_pair_layout(placed, F.col("nb"), ["band", "bucket"])
+               .groupBy("band", "bucket", "lo", "hi")
+               .applyInPandas(_pair_top_k(k, False), _PARTIAL_SCHEMA))
     best = (partial.groupBy("track_id", "similar_track_id")
             .agg(F.max("sim_micro").alias("sim_micro"), F.first("similar_label").alias(
                 "similar_label")))

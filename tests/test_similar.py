@@ -20,7 +20,7 @@ def brute_force(pdf, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [4096, 64])
+@pytest.mark.parametrize("block_rows", [4096, 64, 100])
 def test_blocked_exact_matches_brute_force(spark, block_rows):
     vec = td.vectors(spark, SF_SMALL)
     got = similar_tracks(vec, k=10, block_rows=block_rows).toPandas()
