@@ -36,8 +36,12 @@ def reason_weight(reason: Column) -> Column:
 
 
 def event_weight(reason: Column, ms_played: Column) -> Column:
-    """Reason weight x ms played, exact DECIMAL(18,4)."""
-    return reason_weight(reason).cast(REASON_WEIGHT_TYPE) * ms_played.cast(PLAYED_TYPE)
+    """Reason weight x ms played, exact DECIMAL(18,4).
+
+    A play value too large for the type gives NULL (the row is dropped like an
+    unknown reason) instead of failing the job.
+    """
+    return reason_weight(reason).cast(REASON_WEIGHT_TYPE) * ms_played.try_cast(PLAYED_TYPE)
 
 
 def rec_score(similarity: Column, weight: Column) -> Column:

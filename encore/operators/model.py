@@ -29,7 +29,10 @@ def train_implicit_als(ratings: DataFrame, rank: int = ALS_RANK,
     that many iterations.
     """
     if blocks is None:
-        blocks = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
+        try:
+            blocks = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
+        except Exception:  # no driver-side context (Spark Connect)
+            blocks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions", "10"))
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user_id", itemCol="track_id", ratingCol="rating",
               numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,

@@ -137,6 +137,7 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
     nb = max(1, math.ceil(n_vectors / block_rows))
     base = (vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
                            "label")
+            .filter(F.col("features").isNotNull() & (F.size("features") > 0))
             .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.lit(nb)).cast("int")))
     partial = (_pair_layout(base, F.lit(nb), [])
                .groupBy("lo", "hi")
@@ -193,8 +194,9 @@ def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
         bits = max(1, math.ceil(math.log2(max(2.0, n_vectors / bucket_target))))
     if dim is None:
         dim = len(vectors.select("features").first()[0])
-    vec = vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
-                         "label")
+    vec = (vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
+                          "label")
+           .filter(F.col("features").isNotNull() & (F.size("features") > 0)))
     codes = vec.select("track_id", "features").mapInPandas(
         _hyperplane_codes(dim, n_bands, bits, seed), "track_id long, band int, bucket long")
     sizes = (codes.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
