@@ -16,13 +16,24 @@ from encore.sources.text import to_daily_lines
 
 
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topics: str | list[str],
-                starting_offsets: str = "latest", **options: str) -> DataFrame:
-    """One Kafka source for all partitions of the topic(s); ``value`` as STRING."""
+                starting_offsets: str = "latest",
+                max_offsets_per_trigger: int | None = None,
+                min_partitions: int | None = None, **options: str) -> DataFrame:
+    """One Kafka source for all partitions of the topic(s); ``value`` as STRING.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch after a backlog (a restart
+    after downtime reads in steps instead of one huge batch);
+    ``min_partitions`` splits large topic partitions over more tasks.
+    """
     topic_list = topics if isinstance(topics, str) else ",".join(topics)
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic_list)
               .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load().select(F.col("value").cast("string").alias("value"))
