@@ -529,3 +529,24 @@ def q_als_fold_in(spark, sf_dir):
         F.col("user_id").cast("int").alias("user_id"), "track_id", "rating")
     vectors = fold_in_items(events, users, gram, rank)
     return training.item_factor_summary(vectors)
+
+
+@query("stream_fold_in")
+def q_stream_fold_in(spark, sf_dir):
+    """M4 in the stream: each batch re-solves the vectors of the tracks it played,
+    with user factors from an ALS on the accumulated ratings."""
+    import numpy as np
+
+    from encore.functions.parse import to_als_rating as _als_ids
+    from encore.operators.model import train_implicit_als, user_factors
+    rank = 8
+    ratings = materialize(spark, _als_ids(td.acc(spark, sf_dir)), "acc_ratings")
+    users = materialize(spark, user_factors(train_implicit_als(ratings, rank=rank,
+                                                               iterations=5)), "acc_users")
+    gram = np.zeros((rank, rank))
+    for row in agg.gram_matrix(users, dim=rank).collect():  # rank x rank values
+        gram[row["i"], row["j"]] = row["value"]
+    lines = source.event_lines(_event_stream(spark, sf_dir))
+    out = _run_lines_stream(spark, lines, recommender.fold_in_transform(users, gram, rank),
+                            "stream_fold_in")
+    return training.item_factor_summary(spark.read.parquet(out))

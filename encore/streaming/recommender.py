@@ -39,3 +39,23 @@ def top_n_transform(index: SimilarIndex, dismissals: DataFrame, n: int = 30):
         return out.select("user_id", "rank", "track_id", F.col("score").cast("double"),
                           F.lit(batch_id).alias("batch_id"))
     return transform
+
+
+def fold_in_transform(users: DataFrame, gram, rank: int):
+    """M4 per batch: refresh the vectors of the batch's tracks from its events.
+
+    The batch's plays are weighed (P8) and summed per (user, track) into an
+    implicit rating; item vectors are re-solved against the fixed user
+    factors ``users`` with the broadcast ``gram`` = Y^T Y (rank x rank).
+    """
+    from encore.operators.model import fold_in_items
+    from encore.operators.recommend import weigh_events
+
+    def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
+        events = weigh_events(parse_daily(batch_lines))
+        ratings = (events.groupBy("user_id", "track_id")
+                   .agg(F.sum("weight").cast("double").alias("rating"))
+                   .select(F.col("user_id").cast("int").alias("user_id"), "track_id", "rating"))
+        vectors = fold_in_items(ratings, users, gram, rank)
+        return vectors.withColumn("batch_id", F.lit(batch_id))
+    return transform

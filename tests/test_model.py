@@ -46,3 +46,34 @@ def test_als_factors_are_finite_and_one_per_track(spark):
     a = np.stack(f.sort_values("track_id").features)
     b = np.stack(again.sort_values("track_id").features)
     np.testing.assert_allclose(a, b, atol=1e-4)
+
+
+def test_stream_fold_in_equals_batch_fold_in(spark):
+    from pyspark.sql import functions as F
+
+    from encore.functions.parse import to_als_rating
+    from encore.operators.model import user_factors
+    from encore.operators.recommend import weigh_events
+    from encore.session import scratch_path
+    from encore.sources import testdata as td
+    from encore.streaming import process, recommender, source
+    rank = 4
+    ratings = to_als_rating(td.acc(spark, SF_SMALL)).cache()
+    users = user_factors(train_implicit_als(ratings, rank=rank, iterations=3, blocks=2)).cache()
+    gram = np.zeros((rank, rank))
+    for r in gram_matrix(users, dim=rank).collect():
+        gram[r.i, r.j] = r.value
+    schema = td.table(spark, SF_SMALL, "events").schema
+    lines = source.event_lines(source.file_events(spark, f"{SF_SMALL}/event[s].parquet", schema))
+    out = scratch_path(spark, "fold_stream")
+    process.run_stream(lines, process.batch_dir_writer(
+        out, recommender.fold_in_transform(users, gram, rank)), scratch_path(spark, "fold_ckpt"))
+    streamed = {r.track_id: np.array(r.features) for r in spark.read.parquet(out).collect()}
+    batch_ratings = (weigh_events(td.plays(spark, SF_SMALL)).groupBy("user_id", "track_id")
+                     .agg(F.sum("weight").cast("double").alias("rating"))
+                     .select(F.col("user_id").cast("int").alias("user_id"), "track_id", "rating"))
+    batch = {r.track_id: np.array(r.features)
+             for r in fold_in_items(batch_ratings, users, gram, rank).collect()}
+    assert set(streamed) == set(batch) and len(batch) > 0
+    for t in batch:
+        np.testing.assert_allclose(streamed[t], batch[t], rtol=1e-9, atol=1e-12)
