@@ -16,20 +16,27 @@ from encore.sources import testdata
 MIN_USER_RATINGS = 10
 
 
-def training_ratings(acc: DataFrame, daily_scores: DataFrame, as_of: str,
-                     min_listens: int = MIN_TRACK_LISTENS, months: int = ACTIVE_MONTHS,
-                     min_user_ratings: int = MIN_USER_RATINGS, mode: str = "any") -> DataFrame:
-    """Filter accumulated ratings, merge the day's scores, filter again, cast for ALS.
+def merged_active_ratings(acc: DataFrame, daily_scores: DataFrame, as_of: str,
+                          min_listens: int = MIN_TRACK_LISTENS, months: int = ACTIVE_MONTHS,
+                          min_user_ratings: int = MIN_USER_RATINGS,
+                          mode: str = "any") -> DataFrame:
+    """F1 -> F2 -> F3 -> J1 -> F2: the new accumulated ratings (user, track, ts, rating).
 
     ``daily_scores``: (user_id, track_id, ts, score).
-    Returns (user_id INT, track_id INT, rating DOUBLE).
     """
     recent = filter_recent(acc, as_of)
     tracks = filter_active_tracks(recent, as_of, min_listens, months, mode)
     users = filter_active_users(tracks, min_user_ratings)
     merged = merge_ratings(users, daily_scores)
-    active = filter_active_tracks(merged, as_of, min_listens, months, mode)
-    return to_als_rating(active)
+    return filter_active_tracks(merged, as_of, min_listens, months, mode)
+
+
+def training_ratings(acc: DataFrame, daily_scores: DataFrame, as_of: str,
+                     min_listens: int = MIN_TRACK_LISTENS, months: int = ACTIVE_MONTHS,
+                     min_user_ratings: int = MIN_USER_RATINGS, mode: str = "any") -> DataFrame:
+    """``merged_active_ratings`` cast for ALS (P5): (user_id INT, track_id INT, rating)."""
+    return to_als_rating(merged_active_ratings(acc, daily_scores, as_of, min_listens, months,
+                                               min_user_ratings, mode))
 
 
 def history_training_ratings(spark: SparkSession, sf_dir: str, mode: str = "any") -> DataFrame:
