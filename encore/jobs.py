@@ -19,19 +19,24 @@ Every output goes to a new directory; inputs are never overwritten.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from encore.functions.parse import parse_daily, parse_ratings, to_als_rating
-from encore.operators.model import item_factors, train_implicit_als
-from encore.operators.recommend import weigh_events
-from encore.plans.batch import DEFAULT_K, DEFAULT_N, build_index, recommend
-from encore.plans.training import merged_active_ratings
-from encore.sinks.files import materialize, write_rating_lines, write_table, write_user_recs
-from encore.sources.text import scan_lines
-from encore.streaming import process, recommender, source
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from encore.functions.parse import parse_daily, parse_ratings, to_als_rating  # noqa: E402
+from encore.operators.model import item_factors, train_implicit_als  # noqa: E402
+from encore.operators.recommend import weigh_events  # noqa: E402
+from encore.plans.batch import DEFAULT_K, DEFAULT_N, build_index, recommend  # noqa: E402
+from encore.plans.training import merged_active_ratings  # noqa: E402
+from encore.sinks.files import materialize, write_rating_lines, write_table, write_user_recs  # noqa: E402
+from encore.sources.text import scan_lines  # noqa: E402
+from encore.session import ship_package  # noqa: E402
+from encore.streaming import process, recommender, source  # noqa: E402
 
 EMPTY_PAIRS = "user_id bigint, track_id bigint"
 
@@ -122,6 +127,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
+    ship_package(spark)
     if args.job == "batch":
         run_batch(spark, args.daily, args.vectors, args.out, args.dismissals, args.previous,
                   args.n)
