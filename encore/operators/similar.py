@@ -110,6 +110,20 @@ def _pair_top_k(k: int, include_self: bool):
     return score_pair
 
 
+def one_vector_per_track(vectors: DataFrame) -> DataFrame:
+    """(track_id, features ARRAY<DOUBLE>, label), one row per track.
+
+    Copies of a track collapse map-side (partial aggregation), so a track
+    repeated in a third of the rows cannot inflate a block; the kept vector
+    is the largest (features, label), which is deterministic.
+    """
+    clean = (vectors.select("track_id",
+                            F.col("features").cast("array<double>").alias("features"), "label")
+             .filter(F.col("features").isNotNull() & (F.size("features") > 0)))
+    return (clean.groupBy("track_id").agg(F.max(F.struct("features", "label")).alias("v"))
+            .select("track_id", "v.features", "v.label"))
+
+
 def _pair_layout(placed: DataFrame, nb, keys: list[str]) -> DataFrame:
     """Send each vector of block b to the unordered pairs (min(b, x), max(b, x)).
 
@@ -135,9 +149,7 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
     if n_vectors is None:
         n_vectors = vectors.count()
     nb = max(1, math.ceil(n_vectors / block_rows))
-    base = (vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
-                           "label")
-            .filter(F.col("features").isNotNull() & (F.size("features") > 0))
+    base = (one_vector_per_track(vectors)
             .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.lit(nb)).cast("int")))
     partial = (_pair_layout(base, F.lit(nb), [])
                .groupBy("lo", "hi")
@@ -194,9 +206,7 @@ def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
         bits = max(1, math.ceil(math.log2(max(2.0, n_vectors / bucket_target))))
     if dim is None:
         dim = len(vectors.select("features").first()[0])
-    vec = (vectors.select("track_id", F.col("features").cast("array<double>").alias("features"),
-                          "label")
-           .filter(F.col("features").isNotNull() & (F.size("features") > 0)))
+    vec = one_vector_per_track(vectors)
     codes = vec.select("track_id", "features").mapInPandas(
         _hyperplane_codes(dim, n_bands, bits, seed), "track_id long, band int, bucket long")
     sizes = (codes.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))

@@ -62,3 +62,16 @@ def test_rounding_matches_duckdb():
     duck = np.array([r[0] for r in con.execute("SELECT round(x, 6) FROM v").fetchall()])
     ours = _round_micro(vals) / 1e6
     np.testing.assert_array_equal(ours, duck)
+
+
+def test_copies_of_a_track_collapse(spark):
+    from pyspark.sql import functions as F
+    vec = td.vectors(spark, SF_SMALL)
+    n = vec.count()
+    hot = (vec.filter("track_id = 7")
+           .withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(n // 2)))).drop("c"))
+    copies = vec.unionByName(hot)  # track 7 now holds a third of the rows
+    assert copies.filter("track_id = 7").count() * 3 >= copies.count()
+    a = similar_tracks(vec, k=10).toPandas().sort_values(["track_id", "rank"])
+    b = similar_tracks(copies, k=10).toPandas().sort_values(["track_id", "rank"])
+    assert a.reset_index(drop=True).equals(b.reset_index(drop=True))
