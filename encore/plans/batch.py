@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from encore.operators.filters import filter_dismissed
 from encore.operators.merge import merge_prev_recs
 from encore.operators.recommend import diversity_reweight, event_candidates, weigh_events
-from encore.operators.similar import similar_tracks, similar_tracks_lsh
+from encore.operators.similar import one_vector_per_track, similar_tracks, similar_tracks_lsh
 from encore.operators.topn import top_n_per_key, user_top_n
 from encore.sinks.files import materialize
 from encore.sources import testdata
@@ -57,7 +57,8 @@ def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None =
     else:
         sim = similar_tracks_lsh(vectors, k=k, n_vectors=n_vectors)
     table = materialize(vectors.sparkSession, sim, "similar_tracks")
-    return SimilarIndex(table, vectors.select("track_id", "label"), n_vectors, k)
+    labels = one_vector_per_track(vectors).select("track_id", "label")
+    return SimilarIndex(table, labels, n_vectors, k)
 
 
 def candidate_recs(events: DataFrame, index: SimilarIndex, dismissals: DataFrame,
