@@ -94,6 +94,70 @@ def _score(queries: pd.DataFrame, cands: pd.DataFrame, k: int,
     return out
 
 
+def _score_both(first: pd.DataFrame, second: pd.DataFrame, k: int) -> list[pd.DataFrame]:
+    """Two disjoint blocks scored against each other with one similarity matrix.
+
+    Each chunk of ``first`` rows gives the row-wise top-k (first -> second)
+    and updates a running column-wise top-k (second -> first), so every pair
+    is scored once.
+    """
+    first = first.sort_values("track_id")
+    second = second.sort_values("track_id")
+    a_ids = first["track_id"].to_numpy(np.int64)
+    b_ids = second["track_id"].to_numpy(np.int64)
+    a_lab, b_lab = first["label"].to_numpy(), second["label"].to_numpy()
+    amat = np.stack(first["features"].to_numpy()).astype(np.float64)
+    bmat = np.stack(second["features"].to_numpy()).astype(np.float64)
+    a_norm, b_norm = np.linalg.norm(amat, axis=1), np.linalg.norm(bmat, axis=1)
+    ma, mb = len(a_ids), len(b_ids)
+    ka, kb = min(k, mb), min(k, ma)   # list lengths for first rows / second rows
+    tie_b = mb - 1 - np.arange(mb, dtype=np.int64)
+    tie_a = ma - 1 - np.arange(ma, dtype=np.int64)
+    best_key = np.full((0, mb), _NO_SCORE, dtype=np.int64)
+    best_pos = np.zeros((0, mb), dtype=np.int64)
+    out = []
+    for start in range(0, ma, _QUERY_CHUNK):
+        rows_a = np.arange(start, min(start + _QUERY_CHUNK, ma))
+        den = np.outer(a_norm[rows_a], b_norm)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sim = (amat[rows_a] @ bmat.T) / den
+        valid = np.isfinite(sim) & (den > 0)
+        micro = np.where(valid, _round_micro(np.where(valid, sim, 0.0)), 0)
+        # first -> second: row-wise
+        key = np.where(valid, micro * mb + tie_b[None, :], _NO_SCORE)
+        idx = np.argpartition(key, mb - ka, axis=1)[:, mb - ka:]
+        top = np.take_along_axis(key, idx, axis=1)
+        idx = np.take_along_axis(idx, np.argsort(-top, axis=1, kind="stable"), axis=1)
+        r = np.repeat(np.arange(len(rows_a)), ka)
+        c = idx.ravel()
+        ranks = np.tile(np.arange(1, ka + 1, dtype=np.int32), len(rows_a))
+        keep = key[r, c] != _NO_SCORE
+        r, c, ranks = r[keep], c[keep], ranks[keep]
+        out.append(pd.DataFrame({"track_id": a_ids[rows_a[r]], "similar_track_id": b_ids[c],
+                                 "sim_micro": micro[r, c], "similar_label": b_lab[c],
+                                 "rank": ranks}))
+        # second -> first: column-wise, merged into the running best
+        key2 = np.where(valid, micro * ma + tie_a[rows_a][:, None], _NO_SCORE)
+        cand_key = np.concatenate([best_key, key2], axis=0)
+        cand_pos = np.concatenate([best_pos, np.broadcast_to(rows_a[:, None], key2.shape)], axis=0)
+        keep_n = min(kb, cand_key.shape[0])
+        sel = np.argpartition(cand_key, cand_key.shape[0] - keep_n, axis=0)[-keep_n:, :]
+        best_key = np.take_along_axis(cand_key, sel, axis=0)
+        best_pos = np.take_along_axis(cand_pos, sel, axis=0)
+    order = np.argsort(-best_key, axis=0, kind="stable")
+    best_key = np.take_along_axis(best_key, order, axis=0)
+    best_pos = np.take_along_axis(best_pos, order, axis=0)
+    ranks = np.repeat(np.arange(1, best_key.shape[0] + 1, dtype=np.int32), mb)
+    cols = np.tile(np.arange(mb), best_key.shape[0])
+    keys, pos = best_key.ravel(), best_pos.ravel()
+    keep = keys != _NO_SCORE
+    keys, pos, cols, ranks = keys[keep], pos[keep], cols[keep], ranks[keep]
+    out.append(pd.DataFrame({"track_id": b_ids[cols], "similar_track_id": a_ids[pos],
+                             "sim_micro": np.floor_divide(keys, ma), "similar_label": a_lab[pos],
+                             "rank": ranks}))
+    return out
+
+
 def _pair_top_k(k: int, include_self: bool):
     """Score one unordered block pair in both directions (a block with itself once)."""
     def score_pair(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -103,9 +167,8 @@ def _pair_top_k(k: int, include_self: bool):
             return _empty_partial()
         if second.empty:
             parts = _score(first, first, k, include_self)
-        else:
-            parts = (_score(first, second, k, include_self)
-                     + _score(second, first, k, include_self))
+        else:  # disjoint blocks: no self pairs
+            parts = _score_both(first, second, k)
         return pd.concat(parts, ignore_index=True) if parts else _empty_partial()
     return score_pair
 

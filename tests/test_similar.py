@@ -75,3 +75,24 @@ def test_copies_of_a_track_collapse(spark):
     a = similar_tracks(vec, k=10).toPandas().sort_values(["track_id", "rank"])
     b = similar_tracks(copies, k=10).toPandas().sort_values(["track_id", "rank"])
     assert a.reset_index(drop=True).equals(b.reset_index(drop=True))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_score_both_equals_two_directions(seed, monkeypatch):
+    import pandas as pd
+
+    import encore.operators.similar as sim
+    monkeypatch.setattr(sim, "_QUERY_CHUNK", 7)  # many chunks: exercises the running merge
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(6, 4))
+    # few distinct directions, so many exact ties between candidates
+    feats = base[rng.integers(0, 6, 60)] * rng.uniform(0.5, 2.0, (60, 1))
+    ids = rng.permutation(1000)[:60]
+    df = pd.DataFrame({"track_id": ids, "features": list(feats), "label": ids % 5})
+    a, b = df.iloc[:25], df.iloc[25:]
+    both = pd.concat(sim._score_both(a, b, 10), ignore_index=True)
+    one = pd.concat(sim._score(a, b, 10, True) + sim._score(b, a, 10, True), ignore_index=True)
+    key = ["track_id", "rank"]
+    both = both.sort_values(key).reset_index(drop=True)
+    one = one.sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(both, one, check_dtype=False)
