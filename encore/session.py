@@ -95,6 +95,11 @@ _SHIPPED: set[str] = set()
 
 
 def _zip_package() -> str:
+    """Zip the package's source on the driver.
+
+    This is code, not data: Spark's file server hands it to every executor
+    (as ``--py-files`` would), so it may live in a driver-local folder.
+    """
     import os
     import zipfile
 
