@@ -64,6 +64,6 @@ def test_processing_time_trigger_runs_and_stops(spark):
     out = scratch_path(spark, "ptime")
     q = process.run_stream(lines, process.batch_dir_writer(out, lambda df, _id: parse_daily(df)),
                            scratch_path(spark, "ptime_ckpt"), available_now=False,
-                           processing_time="1 second", timeout=20)
+                           processing_time="1 second", timeout=45)
     assert not q.isActive
     assert spark.read.parquet(out).count() == td.table(spark, SF_SMALL, "events").count()
