@@ -1,7 +1,8 @@
 """The three applications as Spark jobs over the line formats.
 
-* ``batch``: daily event lines + track vectors (+ dismissals, previous recs)
-  -> each user's final recommendations (K1).
+* ``index``: track vectors -> the similar-tracks table (K6), built once.
+* ``batch``: daily event lines + track vectors (+ index, dismissals,
+  previous recs) -> each user's final recommendations (K1).
 * ``train``: accumulated rating lines + daily event lines -> the new
   accumulated rating lines (K4) and the ALS item factors (K3).
 * ``stream``: daily event lines from Kafka (or a directory of text files)
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from encore.functions.parse import parse_daily, parse_ratings, to_als_rating  # noqa: E402
 from encore.operators.model import item_factors, train_implicit_als  # noqa: E402
 from encore.operators.recommend import weigh_events  # noqa: E402
-from encore.plans.batch import DEFAULT_K, DEFAULT_N, build_index, recommend  # noqa: E402
+from encore.plans.batch import (DEFAULT_K, DEFAULT_N, build_index, load_index,  # noqa: E402
+                                recommend)
 from encore.plans.training import merged_active_ratings  # noqa: E402
 from encore.sinks.files import materialize, write_rating_lines, write_table, write_user_recs  # noqa: E402
 from encore.sources.text import scan_lines  # noqa: E402
@@ -47,14 +49,25 @@ def _pairs_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
     return spark.createDataFrame([], EMPTY_PAIRS)
 
 
+def _index(spark: SparkSession, vectors: str, index: str | None, k: int):
+    vec = spark.read.parquet(vectors)
+    return load_index(spark, index, vec) if index else build_index(vec, k)
+
+
+def run_index(spark: SparkSession, vectors: str, out: str, k: int = DEFAULT_K) -> str:
+    """K6: the similar-tracks table, written once and reused by batch and stream."""
+    built = build_index(spark.read.parquet(vectors), k)
+    return write_table(built.table, out)
+
+
 def run_batch(spark: SparkSession, daily: str, vectors: str, out: str,
               dismissals: str | None = None, previous: str | None = None,
-              n: int = DEFAULT_N, k: int = DEFAULT_K) -> str:
+              n: int = DEFAULT_N, k: int = DEFAULT_K, index: str | None = None) -> str:
     """Batch recommender. ``vectors``: parquet (track_id, features, label);
     ``dismissals``: parquet (user_id, track_id); ``previous``: parquet
-    (user_id, track_id, score)."""
+    (user_id, track_id, score); ``index``: a table from ``run_index``."""
     events = parse_daily(scan_lines(spark, daily))
-    index = build_index(spark.read.parquet(vectors), k)
+    index = _index(spark, vectors, index, k)
     prev = spark.read.parquet(previous) if previous else None
     recs = recommend(events, index, _pairs_or_empty(spark, dismissals), prev, n)
     return write_user_recs(recs, out, n)
@@ -79,9 +92,9 @@ def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
                lines: DataFrame, dismissals: str | None = None,
                previous: str | None = None, n: int = DEFAULT_N, k: int = DEFAULT_K,
                available_now: bool = False, processing_time: str = "10 seconds",
-               timeout: float | None = None):
+               timeout: float | None = None, index: str | None = None):
     """Streaming recommender on a stream of daily-event lines (column ``value``)."""
-    index = build_index(spark.read.parquet(vectors), k)
+    index = _index(spark, vectors, index, k)
     prev = spark.read.parquet(previous) if previous else None
     transform = recommender.recommend_transform(index, _pairs_or_empty(spark, dismissals),
                                                 prev, n)
@@ -105,6 +118,11 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--dismissals")
     b.add_argument("--previous")
     b.add_argument("--n", type=int, default=DEFAULT_N)
+    b.add_argument("--index")
+    x = sub.add_parser("index")
+    x.add_argument("--vectors", required=True)
+    x.add_argument("--out", required=True)
+    x.add_argument("--k", type=int, default=DEFAULT_K)
     t = sub.add_parser("train")
     t.add_argument("--accumulated", required=True)
     t.add_argument("--daily", required=True)
@@ -124,13 +142,16 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--previous")
     s.add_argument("--n", type=int, default=30)
     s.add_argument("--trigger", default="10 seconds")
+    s.add_argument("--index")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
     ship_package(spark)
     if args.job == "batch":
         run_batch(spark, args.daily, args.vectors, args.out, args.dismissals, args.previous,
-                  args.n)
+                  args.n, index=args.index)
+    elif args.job == "index":
+        run_index(spark, args.vectors, args.out, args.k)
     elif args.job == "train":
         run_train(spark, args.accumulated, args.daily, args.out, args.as_of, args.rank,
                   args.iterations, args.blocks)
@@ -140,7 +161,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             lines = source.kafka_lines(spark, args.kafka_servers, args.topic)
         run_stream(spark, args.vectors, args.out, args.checkpoint, lines, args.dismissals,
-                   args.previous, args.n, processing_time=args.trigger)
+                   args.previous, args.n, processing_time=args.trigger, index=args.index)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.operators.filters import filter_dismissed
 from encore.operators.merge import merge_prev_recs
@@ -61,6 +62,14 @@ def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None =
     return SimilarIndex(table, labels, n_vectors, k)
 
 
+def load_index(spark: SparkSession, index_path: str, vectors: DataFrame) -> SimilarIndex:
+    """A similar-tracks table written earlier (K6), with the bounds from its vectors."""
+    table = spark.read.parquet(index_path)
+    k = table.agg(F.max("rank").alias("k")).first()["k"] or DEFAULT_K  # one number
+    labels = one_vector_per_track(vectors).select("track_id", "label")
+    return SimilarIndex(table, labels, vectors.count(), int(k))
+
+
 def candidate_recs(events: DataFrame, index: SimilarIndex, dismissals: DataFrame,
                    n: int = DEFAULT_N, ascending: bool = False) -> DataFrame:
     """P6 -> J4 -> F5 -> P9 -> W1: (user_id, rank, track_id, score)."""

@@ -66,3 +66,13 @@ def test_train_job(spark):
     # the new accumulated lines parse back without loss
     assert parse_ratings(scan_lines(spark, out["accumulated"])).count() == \
         scan_lines(spark, out["accumulated"]).count()
+
+
+def test_prebuilt_index_gives_the_same_recs(spark, inputs):
+    index = jobs.run_index(spark, inputs["vectors"], scratch_path(spark, "j_index"))
+    a = jobs.run_batch(spark, inputs["daily"], inputs["vectors"], scratch_path(spark, "j_a"),
+                       inputs["dismissals"], inputs["previous"])
+    b = jobs.run_batch(spark, inputs["daily"], inputs["vectors"], scratch_path(spark, "j_b"),
+                       inputs["dismissals"], inputs["previous"], index=index)
+    ra, rb = read_user_recs(spark, a).toPandas(), read_user_recs(spark, b).toPandas()
+    assert len(ra) > 0 and rows(ra) == rows(rb)
