@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 MARK = "▁"
 TABLE_CHUNKS = 200_000
@@ -100,9 +100,10 @@ def _applied(docs: DataFrame, row: list[str], model: str, whole: bool) -> DataFr
     if not chunks_are_closed(model):
         raise ValueError("pieces of this model cross white-space markers; chunks can't be segmented alone")
     kept = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"))
-    ids = "array<int>" if whole else "string"
-    return kept.mapInArrow(partial(_run, model=model, whole=whole),
-                           f"row {kept.schema['row'].dataType.simpleString()}, n_tokens long, ids {ids}, decoded string")
+    ids = T.ArrayType(T.IntegerType()) if whole else T.StringType()
+    schema = T.StructType([kept.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", ids),
+                           T.StructField("decoded", T.StringType())])
+    return kept.mapInArrow(partial(_run, model=model, whole=whole), schema)
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:

@@ -100,13 +100,14 @@ def common_prefixes(buf: np.ndarray, order: np.ndarray, first: np.ndarray, windo
 
     Slices are walked side by side: step j handles the j-th place of each
     slice, and each carries its prefix, less one, to its next place. It can
-    only where the neighbour's next place is in ``order`` too.
+    only where the neighbour's next place stands before its own in ``order``:
+    places that agree in all ``width`` bytes are in no order beyond them.
     """
     words = _words(buf)
     before = np.full(len(buf), -1, np.int64)
     before[order[1:]] = order[:-1]
-    listed = np.zeros(len(buf) + 1, bool)
-    listed[order] = True
+    index = np.full(len(buf) + 1, len(buf))
+    index[order] = np.arange(len(order))
     out = np.zeros(len(buf), np.int64)
     lanes = np.argsort(-windows, kind="stable")
     first, windows = first[lanes], windows[lanes]
@@ -124,7 +125,7 @@ def common_prefixes(buf: np.ndarray, order: np.ndarray, first: np.ndarray, windo
             got[open_] = np.minimum(got[open_] + equal, width)
             open_ = open_[(equal == 8) & (got[open_] < width)]
         out[place] = got
-        have[:n] = np.where(listed[other + 1], got, 0)
+        have[:n] = np.where(index[other + 1] < index[place + 1], got, 0)
     return out[order]
 
 

@@ -23,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
 from .tables import keyed_texts, text_bytes
@@ -119,8 +119,8 @@ def without_words(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated words cut from ``text`` and ``n_chars`` counted anew."""
-    schema = "_text string, row struct<" + ",".join(
-        f"`{f.name}`:{f.dataType.simpleString()}" for f in docs.schema.fields) + ">"
+    packed = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    schema = T.StructType([T.StructField("_text", T.StringType()), packed.schema["row"]])
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +132,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("row")], ["_text", "row"])
 
-    packed = docs.select("doc_id", "text", F.struct("*").alias("row"))
     out = repeated_words(packed).select(F.col("text").cast("binary").alias("bytes"), "spans", "row").mapInArrow(
         per_batch, schema)
     return out.select(*[F.col("_text").alias("text") if c == "text"

@@ -96,28 +96,21 @@ def _word_pieces(buf: np.ndarray, offsets: np.ndarray, width: int):
             yield i, j, part, starts, ends, rows, 0
             continue
         at, base = lo, 0
-        while at < hi:
-            stop = min(hi, at + b.CHUNK_BYTES)
-            while stop < hi and not b._SPACE[buf[stop]]:
-                stop += 1
-            part = buf[at:stop]
-            starts, ends = b.words_of(part)
+        while True:
+            stop = at
+            while True:  # until the piece holds a window or the text ends
+                stop = min(hi, stop + b.CHUNK_BYTES)
+                while stop < hi and not b._SPACE[buf[stop]]:
+                    stop += 1
+                part = buf[at:stop]
+                starts, ends = b.words_of(part)
+                if len(starts) >= width or stop >= hi:
+                    break
             yield i, j, part, starts, ends, np.array([0, len(part)]), base
             if stop >= hi:
                 break
-            if len(starts) >= width:  # the next piece starts with the last width - 1 words
-                base += len(starts) - width + 1
-                step = int(starts[len(starts) - width + 1]) if width > 1 else len(part)
-                at += step
-            else:  # a few giant words: go on from the same place with more bytes
-                more = min(hi, stop + 4 * b.CHUNK_BYTES)
-                while more < hi and not b._SPACE[buf[more]]:
-                    more += 1
-                part = buf[at:more]
-                starts, ends = b.words_of(part)
-                yield i, j, part, starts, ends, np.array([0, len(part)]), base
-                base += max(0, len(starts) - width + 1)
-                at = at + int(starts[len(starts) - width + 1]) if len(starts) >= width and more < hi else hi
+            base += len(starts) - width + 1
+            at += int(np.append(starts, len(part))[len(starts) - width + 1])  # the last width - 1 words come again
 
 
 def word_chunks(batch: pa.RecordBatch, width: int, short: int, lower: bool = False) -> Iterator[Chunk]:

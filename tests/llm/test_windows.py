@@ -121,6 +121,26 @@ def test_suffix_array_and_kasai():
         assert m == n
 
 
+def test_places_that_agree_in_full_carry_nothing_wrong():
+    rnd = np.random.default_rng(5)
+    unit = rnd.integers(97, 123, 300, dtype=np.uint8).tobytes()
+    parts = [unit[:rnd.integers(60, 300)] + bytes(rnd.integers(97, 100, 80, dtype=np.uint8)) + unit[rnd.integers(0, 200):]
+             for _ in range(40)]
+    buf = np.frombuffer(b"".join(parts), np.uint8)
+    size = np.array([len(x) for x in parts])
+    place = np.cumsum(size) - size
+    got = suffixarray.repeated_places(buf, place, size, np.full(len(size), 7), 50)
+    seen = defaultdict(list)
+    for p, n in zip(place, size):
+        for s in range(p, p + n - 49):
+            seen[buf[s:s + 50].tobytes()].append(s)
+    want = np.zeros(len(buf), bool)
+    for v in seen.values():
+        if len(v) > 1:
+            want[v] = True
+    assert (got == want).all() and want.any() and not want.all()
+
+
 def test_long_texts_are_cut_into_overlapping_pieces(spark, monkeypatch):
     monkeypatch.setattr(b, "CHUNK_BYTES", 300)
     import pyarrow as pa
