@@ -71,6 +71,18 @@ def byte_spans(buf: np.ndarray) -> Spans:
     return Spans(_CODE[buf])
 
 
+def slice_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each slice, for slices in order of place, in pieces that bound working memory."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, "right")))
+        lo = starts[i]
+        out[i:j] = byte_spans(buf[lo:ends[j - 1]])(starts[i:j] - lo, ends[i:j] - lo)
+        i = j
+    return out
+
+
 def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A binary Arrow array as (buffer, offsets), without a copy."""
     if isinstance(column, pa.ChunkedArray):

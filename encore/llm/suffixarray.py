@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import keyed_texts, text_bytes
+from .tables import ids_repeat, keyed_texts, text_bytes
 from .windows import HOT_RECORDS, byte_chunks, planned, repeats, united, with_spans
 
 WIDTH, SHORT = 200, 32
@@ -202,7 +202,7 @@ def repeated_windows(fields: dict, place: np.ndarray, buf: np.ndarray, width: in
     if not len(size):
         return (np.zeros(0, np.int64),) * 4
     # Equal slices: only the first goes on; all are marked if they stand at two places.
-    hashes = b.byte_spans(buf)(place, place + size)
+    hashes = b.slice_hashes(buf, place, place + size)
     order = np.lexsort((fields["start"], fields["th"], fields["doc_id"], size, hashes, fields["seed"]))
     fields, place = rows(order, fields, place)
     size, hashes = size[order], hashes[order]
@@ -238,12 +238,13 @@ def repeated_windows(fields: dict, place: np.ndarray, buf: np.ndarray, width: in
 def repeated_bytes(docs: DataFrame, width: int = WIDTH, short: int = SHORT,
                    hot_records: int = HOT_RECORDS) -> DataFrame:
     """The rows of ``docs`` with ``spans`` (of bytes to remove)."""
-    texts = keyed_texts(docs)
+    told_apart = ids_repeat(docs)
+    texts = keyed_texts(docs, told_apart)
     chunks = partial(byte_chunks, width=width, short=short)
     run = (width - short + 2) / 2
-    plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, run, hot_records)
+    plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, run, True, hot_records)
     spans = repeats(texts, plan, partial(repeated_windows, width=width), keep_first=False)
-    return with_spans(docs, spans)
+    return with_spans(docs, spans, told_apart)
 
 
 def digests(docs: DataFrame) -> DataFrame:

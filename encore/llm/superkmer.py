@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
-from .tables import keyed_texts, text_bytes
+from .tables import ids_repeat, keyed_texts, text_bytes
 from .windows import HOT_RECORDS, planned, repeats, united, with_spans, word_chunks
 
 WIDTH, SHORT = 20, 3
@@ -37,7 +37,7 @@ def later_windows(fields: dict, place: np.ndarray, buf: np.ndarray, width: int =
     ends = np.flatnonzero(buf == 0x20)
     starts = np.concatenate(([0], ends[:-1] + 1))
     at = np.append(starts, len(buf))
-    spans = b.Spans(b.byte_spans(buf)(starts, ends))
+    spans = b.Spans(b.slice_hashes(buf, starts, ends))
     n = fields["windows"].astype(np.int64)
     first = np.searchsorted(starts, place)
     window = b.gathered(np.arange(len(starts)), first, n)
@@ -74,12 +74,13 @@ def _confirmed(buf, at, window, lead, width):
 def repeated_words(docs: DataFrame, width: int = WIDTH, short: int = SHORT,
                    hot_records: int = HOT_RECORDS) -> DataFrame:
     """``doc_id``, ``text`` and ``spans`` (of words to remove) for each row of ``docs``."""
-    texts = keyed_texts(docs)
+    told_apart = ids_repeat(docs)
+    texts = keyed_texts(docs, told_apart)
     chunks = partial(word_chunks, width=width, short=short)
     run = (width - short + 2) / 2  # windows of a record on average
-    plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, 6 * run, hot_records)
+    plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, 6 * run, False, hot_records)
     spans = repeats(texts, plan, partial(later_windows, width=width), keep_first=True)
-    return with_spans(docs, spans)
+    return with_spans(docs, spans, told_apart)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,17 @@ def opaque(col: Column) -> Column:
     return F.bitwise_not(F.bitwise_not(col.cast("long")))
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether any doc_id stands in several rows (then ``th`` is needed to tell them apart)."""
+    return not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
+def text_key(told_apart: bool = True) -> Column:
+    """A hash of the text, or 0 where doc_ids alone tell rows apart."""
+    return F.hash(F.coalesce(F.col("text"), F.lit(""))) if told_apart else F.lit(0)
+
+
+def keyed_texts(docs: DataFrame, told_apart: bool = True) -> DataFrame:
     """(doc_id, th, text as UTF-8 bytes): ``th`` tells apart rows that share a doc_id.
 
     A null doc_id becomes ``NULL_ID``, a null text the empty text. Rows that
@@ -44,7 +54,7 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-                       F.hash(text).alias("th"), text.cast("binary").alias("text"))
+                       text_key(told_apart).alias("th"), text.cast("binary").alias("text"))
 
 
 def text_bytes(docs: DataFrame) -> int:

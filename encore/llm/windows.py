@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import opaque
+from .tables import NULL_ID, opaque, stored, text_key
 
 #: Raw bytes of records that one bucket should hold.
 BUCKET_BYTES = 4 << 20
@@ -142,6 +142,7 @@ class Plan:
     slot_bits: int
     hot: bytes  # one bit for each slot of seeds; empty: none is hot
     width: int  # units of a window
+    seeded: bool  # whether records carry part of their seed
 
     def slots(self, seeds: np.ndarray) -> np.ndarray:
         return (b.mix(seeds) & np.uint64((1 << self.slot_bits) - 1)).astype(np.int64)
@@ -154,7 +155,7 @@ class Plan:
 
 
 def planned(texts: DataFrame, total_bytes: int, chunks: Callable, width: int, swell: float, record_bytes: float,
-            hot_records: int = HOT_RECORDS) -> Plan:
+            seeded: bool, hot_records: int = HOT_RECORDS) -> Plan:
     """Choose buckets by the data's size, then count seeds by slot to find the hot ones.
 
     ``swell`` is the size of all records against the texts, ``record_bytes``
@@ -164,7 +165,7 @@ def planned(texts: DataFrame, total_bytes: int, chunks: Callable, width: int, sw
     """
     records = total_bytes / record_bytes
     bits = int(np.clip(np.ceil(np.log2(records / 1000 + 1)), 14, 27))
-    plan = Plan(chunks, max(1, int(total_bytes * swell / BUCKET_BYTES)), bits, b"", width)
+    plan = Plan(chunks, max(1, int(total_bytes * swell / BUCKET_BYTES)), bits, b"", width, seeded)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << plan.slot_bits, np.int64) if plan.slot_bits < 20 else None
@@ -187,7 +188,7 @@ def planned(texts: DataFrame, total_bytes: int, chunks: Callable, width: int, sw
         return plan
     bitmap = np.zeros(1 << bits, bool)
     bitmap[hot] = True
-    return Plan(chunks, plan.buckets, bits, np.packbits(bitmap, bitorder="little").tobytes(), width)
+    return Plan(chunks, plan.buckets, bits, np.packbits(bitmap, bitorder="little").tobytes(), width, seeded)
 
 
 _FIELDS = (("doc_id", np.int64), ("th", np.int32), ("start", np.int64), ("windows", np.int32),
@@ -246,7 +247,7 @@ def records(texts: DataFrame, plan: Plan) -> DataFrame:
                 sizes = chunk.at[last + chunk.width] - lo
                 text = b.gathered(chunk.buf, lo, sizes)
                 fields = {"doc_id": doc_id, "th": th, "start": start, "windows": last - first + 1,
-                          "size": sizes, "seed": mixed & np.uint64(0xFFFFFFFF)}
+                          "size": sizes, "seed": mixed & np.uint64(0xFFFFFFFF if plan.seeded else 0)}
                 ends = np.cumsum(sizes)
                 names, cuts = np.unique(bucket, return_index=True)
                 for name, x, y in zip(names.tolist(), cuts, np.append(cuts, len(bucket))[1:], strict=True):
@@ -261,38 +262,74 @@ def records(texts: DataFrame, plan: Plan) -> DataFrame:
     return texts.mapInArrow(pack, "bucket int, blob binary")
 
 
-def hot_windows(texts: DataFrame, plan: Plan) -> DataFrame:
-    """(d1, d2, doc_id, th, start): a 128-bit digest for each window with a hot seed."""
+_HOT = "d1 long, d2 long, doc_id long, th int, start long, spans binary"
+#: Hot windows that a map task gathers before it unites equal ones.
+HOT_FLUSH = 400_000
+
+
+def _united(rows: list[tuple], keep_first: bool, width: int) -> Iterator[pa.RecordBatch]:
+    """Of equal windows the first, and at once the spans that its equals in this task settle."""
+    d1, d2, doc_id, th, start = (np.concatenate(c) for c in zip(*rows, strict=True))
+    order = np.lexsort((start, th, doc_id, d2, d1))
+    d1, d2, doc_id, th, start = (x[order] for x in (d1, d2, doc_id, th, start))
+    new = np.concatenate(([True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
+    first = np.flatnonzero(new)
+    lead = first[np.cumsum(new) - 1]
+    other = (doc_id != doc_id[lead]) | (th != th[lead]) | (start != start[lead])
+    several = np.zeros(len(d1), bool)
+    several[lead[other]] = True
+    settled = other if keep_first else several[lead]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(d1[first]), pa.array(d2[first]), pa.array(doc_id[first]), pa.array(th[first].astype(np.int32)),
+         pa.array(start[first]), pa.nulls(len(first), pa.binary())],
+        ["d1", "d2", "doc_id", "th", "start", "spans"])
+    spans = span_rows(doc_id[settled], th[settled], start[settled], start[settled] + width)
+    none = pa.nulls(spans.num_rows, pa.int64())
+    yield pa.RecordBatch.from_arrays(
+        [none, none, spans.column(0), spans.column(1), none, spans.column(2)],
+        ["d1", "d2", "doc_id", "th", "start", "spans"])
+
+
+def hot_windows(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
+    """A 128-bit digest for each distinct window with a hot seed of each task, and settled spans."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             for chunk in plan.chunks(batch):
                 first, last, seed = chunk.runs()
                 hot = plan.is_hot(seed)
+                if not hot.any():
+                    continue
                 n = last[hot] - first[hot] + 1
                 unit = b.gathered(np.arange(len(chunk.at)), first[hot], n)
                 middle = unit + chunk.width // 2
                 d1 = chunk.spans(unit, unit + chunk.width)
                 d2 = b.mix(chunk.spans(unit, middle) ^ b.mix(chunk.spans(middle, unit + chunk.width)))
-                doc_id, th, start = chunk.place(unit)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(doc_id),
-                     pa.array(th.astype(np.int32)), pa.array(start)], ["d1", "d2", "doc_id", "th", "start"])
+                rows.append((d1.view(np.int64), d2.view(np.int64), *chunk.place(unit)))
+                size += len(unit)
+                if size >= HOT_FLUSH:
+                    yield from _united(rows, keep_first, plan.width)
+                    rows, size = [], 0
+        if rows:
+            yield from _united(rows, keep_first, plan.width)
 
-    return texts.mapInArrow(digests, "d1 long, d2 long, doc_id long, th int, start long")
+    return texts.mapInArrow(digests, _HOT)
 
 
 def hot_repeats(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
     """Spans of hot windows that occur at several places (``keep_first``: at an earlier one).
 
-    Counts and firsts combine before the shuffle; the join back splits hot
+    Each task unites its equal windows; what is left is counted by digest
+    (combining before the shuffle) and joined back. The join splits hot
     digests by AQE, as both of its sides are plain shuffles.
     """
-    rows = hot_windows(texts, plan)
+    found = stored(hot_windows(texts, plan, keep_first), "hot-windows")
+    rows = found.filter("spans is null").drop("spans")
     at = F.struct("doc_id", "th", "start")
-    found = (rows.groupBy("d1", "d2").agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-             .filter("lo != hi").select(opaque(F.col("d1")).alias("k1"), opaque(F.col("d2")).alias("k2"), "lo"))
-    met = rows.join(found, (opaque(rows.d1) == found.k1) & (opaque(rows.d2) == found.k2))
+    equal = rows.groupBy("d1", "d2").agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    equal = equal.filter("lo != hi").select(opaque(F.col("d1")).alias("k1"), opaque(F.col("d2")).alias("k2"), "lo")
+    met = rows.join(equal, (opaque(rows.d1) == equal.k1) & (opaque(rows.d2) == equal.k2))
     if keep_first:
         met = met.filter(at != F.col("lo"))
     width = F.lit(plan.width).cast("long")
@@ -302,7 +339,8 @@ def hot_repeats(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
             start, end, th, ids = (batch.column(c).to_numpy() for c in ("start", "end", "th", "doc_id"))
             yield span_rows(ids, th, start, end)
 
-    return met.select("doc_id", "th", "start", (F.col("start") + width).alias("end")).mapInArrow(pairs, SPANS)
+    across = met.select("doc_id", "th", "start", (F.col("start") + width).alias("end")).mapInArrow(pairs, SPANS)
+    return across.unionAll(found.filter("spans is not null").select("doc_id", "th", "spans"))
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,13 +380,12 @@ def repeats(docs_texts: DataFrame, plan: Plan, decide: Callable[[dict, np.ndarra
     return out.unionAll(hot_repeats(docs_texts, plan, keep_first)) if plan.hot else out
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def with_spans(docs: DataFrame, spans: DataFrame, told_apart: bool) -> DataFrame:
     """The rows of ``docs`` with ``spans``: an array of blobs, null where nothing is marked."""
     mine = spans.groupBy(opaque(F.col("doc_id")).alias("_id"), F.col("th").alias("_th")).agg(
         F.collect_list("spans").alias("spans"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63)))
-    th = F.hash(F.coalesce(F.col("text"), F.lit("")))
-    return docs.join(mine, (key == mine["_id"]) & (th == mine["_th"]), "left").drop("_id", "_th")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    return docs.join(mine, (key == mine["_id"]) & (text_key(told_apart) == mine["_th"]), "left").drop("_id", "_th")
 
 
 def united(blobs) -> tuple[np.ndarray, np.ndarray]:

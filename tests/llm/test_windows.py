@@ -58,7 +58,7 @@ def hot(request, monkeypatch):
     real = windows.planned
     for module in (suffixarray, superkmer):
         monkeypatch.setattr(module, "planned",
-                            lambda *a, **k: real(*a[:6], request.param, **k))
+                            lambda *a, **k: real(*a[:7], request.param, **k))
     if request.param == 3:
         monkeypatch.setattr(np, "clip", lambda x, lo, hi, f=np.clip: f(x, lo, hi))
     return request.param
