@@ -8,7 +8,8 @@ lines of a text and averages the lines' marginals, weighted by their length.
 
 Fitting uses a documented sample: ``SAMPLE`` labelled documents, as many bad
 as good where there are enough, chosen by the hash of doc_id, and of each the
-first ``FIT_LINES`` lines. Scoring reads whole texts of all documents.
+first ``FIT_LINES`` lines. Chains are weighted so that good and bad count as
+among all learning labels. Scoring reads whole texts of all documents.
 
 Defined cases: a text without lines (null, empty, white space) scores the
 prior of learning labels; with nothing to learn from every score is 1; rows that
@@ -45,8 +46,9 @@ def _kinds() -> np.ndarray:
 
 
 _KIND = _kinds()
-#: Own features of a line: kinds, doubled signs, words, word length, line length, repeats; then both neighbours', and 1.
-OWN = _KINDS + 5
+#: Own features of a line: kinds, doubled signs, words, word length, line length, whether the line repeats, share of
+#: words like the one before, share of words that stand in the line already; then both neighbours' ones, and 1.
+OWN = _KINDS + 7
 FEATURES = 3 * OWN + 2
 
 
@@ -73,16 +75,26 @@ def line_features(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[
     opens[1:] &= ~text[:-1] | first[1:-1]
     words = np.bincount(line[opens], minlength=len(starts))
     spans = b.byte_spans(buf)
+    word, stop = b.words_of(buf)
+    home, value = line[word], spans(word, stop)
+    like = np.zeros(len(word), bool)
+    like[1:] = (value[1:] == value[:-1]) & (home[1:] == home[:-1])
+    order = np.lexsort((value, home))
+    old = np.zeros(len(word), bool)
+    old[order[1:]] = (value[order[1:]] == value[order[:-1]]) & (home[order[1:]] == home[order[:-1]])
+    alike, olds = np.bincount(home[like], minlength=len(starts)), np.bincount(home[old], minlength=len(starts))
     hashes = spans(starts + (buf[starts] == 10), np.append(starts[1:], len(buf)))
     keep = size > 0
     owner = np.searchsorted(begin, starts, "right") - 1
-    counts, size, doubles, words, hashes, owner = (x[keep] for x in (counts, size, doubles, words, hashes, owner))
+    counts, size, doubles, words, alike, olds, hashes, owner = (
+        x[keep] for x in (counts, size, doubles, words, alike, olds, hashes, owner))
     order = np.lexsort((hashes, owner))
     again = np.zeros(len(order), bool)
     again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
     n = np.maximum(size, 1)
     own = np.column_stack([np.sqrt(counts / n[:, None].astype(float)), np.sqrt(doubles / n), np.sqrt(words / n),
-                           np.minimum(n / np.maximum(words, 1), 30) / 10, np.log1p(n) / 5, again])
+                           np.minimum(n / np.maximum(words, 1), 30) / 10, np.log1p(n) / 5, again,
+                           alike / np.maximum(words, 1), olds / np.maximum(words, 1)])
     own[:, 3] = counts[:, 3] / n
     before, after = np.zeros_like(own), np.zeros_like(own)
     same = owner[1:] == owner[:-1]
@@ -114,8 +126,8 @@ def _padded(x: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, order
 
 
-def forward_backward(state: np.ndarray, lines: np.ndarray, turn: np.ndarray):
-    """Marginals of 'good' for every line, expected transitions, and log-partition by text.
+def forward_backward(state: np.ndarray, lines: np.ndarray, turn: np.ndarray, mass: np.ndarray | None = None):
+    """Marginals of 'good' for every line, expected transitions (texts weighted by ``mass``), and log-partitions.
 
     ``state`` is the log-odds of good by line (bad scores 0); ``turn[a, b]``
     scores the step from label a to b. Texts run side by side, sorted by
@@ -144,12 +156,13 @@ def forward_backward(state: np.ndarray, lines: np.ndarray, turn: np.ndarray):
         total[some] = np.logaddexp(alpha[0, some, 0] + beta[0, some, 0], alpha[0, some, 1] + beta[0, some, 1])
     good = np.exp(alpha[:, :, 1] + beta[:, :, 1] - total)
     moves = np.zeros((2, 2))
+    mass = np.ones(texts) if mass is None else mass[order]
     for t in range(1, steps):
         w = width[t]
         for of in (0, 1):
             for to in (0, 1):
-                moves[of, to] += np.exp(alpha[t - 1, :w, of] + turn[of, to] + to * s[t, :w] + beta[t, :w, to]
-                                        - total[:w]).sum()
+                moves[of, to] += mass[:w] @ np.exp(alpha[t - 1, :w, of] + turn[of, to] + to * s[t, :w]
+                                                   + beta[t, :w, to] - total[:w])
     start = (np.cumsum(lines) - lines)[order]
     at = np.arange(steps)[:, None]
     inside = at < n[None, :]
@@ -158,18 +171,23 @@ def forward_backward(state: np.ndarray, lines: np.ndarray, turn: np.ndarray):
     return out, moves, total
 
 
-def fit(x: np.ndarray, lines: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of line features and of label steps, by Adam on the conditional likelihood of whole chains."""
+def fit(x: np.ndarray, lines: np.ndarray, label: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of line features and of label steps, by Adam on the conditional likelihood of whole chains.
+
+    A chain counts ``mass`` over its number of lines, so long texts don't outweigh the others.
+    """
     weight, turn = np.zeros(x.shape[1]), np.zeros((2, 2))
     y = np.repeat(label, lines).astype(float)
+    mass = mass / np.maximum(lines, 1)
+    by_line = np.repeat(mass, lines)
     steps = np.zeros((2, 2))
     for k in (0, 1):
-        steps[k, k] = np.maximum(lines[label == k] - 1, 0).sum()
-    total = max(len(y), 1)
+        steps[k, k] = (mass * np.maximum(lines - 1, 0))[label == k].sum()
+    total = max(by_line.sum(), 1e-9)
     mean, square = np.zeros(len(weight) + 4), np.zeros(len(weight) + 4)
     for k in range(1, ROUNDS + 1):
-        good, moves, _ = forward_backward(x @ weight, lines, turn)
-        slope = np.concatenate((x.T @ (y - good), (steps - moves).ravel())) / total
+        good, moves, _ = forward_backward(x @ weight, lines, turn, mass)
+        slope = np.concatenate((x.T @ (by_line * (y - good)), (steps - moves).ravel())) / total
         slope -= DECAY * np.concatenate((weight, turn.ravel()))
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope ** 2
@@ -214,7 +232,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
         lines, label = table.column("lines").to_numpy(), table.column("label").to_numpy()
         starts = np.cumsum(lines) - lines
         x = np.concatenate([x[starts[i]:starts[i] + lines[i]] for i in order])
-        weight, turn = fit(x.astype(float), lines[order].astype(np.int64), label[order])
+        lines, label = lines[order].astype(np.int64), label[order]
+        share = max(label.mean(), 1e-9)  # of good ones in the sample, against the prior
+        mass = np.where(label == 1, prior / share, (1 - prior) / max(1 - share, 1e-9))
+        weight, turn = fit(x.astype(float), lines, label, mass)
         return pa.table({"weights": pa.array([np.concatenate((weight, turn.ravel())).tolist()])})
 
     got = rows.withColumn("all", F.lit("all")).groupBy("all").applyInArrow(train, "weights array<double>").collect()

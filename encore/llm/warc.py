@@ -265,7 +265,7 @@ class WarcReader(DataSourceReader):
                     if not feed:
                         return
                 head += unpack.decompress(feed, 2048)
-                feed = unpack.unconsumed_tail
+                feed = b"" if unpack.eof else unpack.unconsumed_tail
             text, _, block = head.partition(b"\r\n\r\n")
             row = self._row(text)
             wanted = self.accepts(row)
@@ -280,7 +280,7 @@ class WarcReader(DataSourceReader):
                         if not left:
                             break
                     got = unpack.decompress(left, 1 << 20)
-                    left = unpack.unconsumed_tail
+                    left = b"" if unpack.eof else unpack.unconsumed_tail
                     if need:
                         parts.append(got)
                 if length is None:
