@@ -13,9 +13,10 @@ threshold. These are confirmed on full sets, exactly.
 No list is expanded into all its pairs. First each member of a list is held
 against the list's smallest class; confirmed links are contracted to
 components. Only where a list still holds several components, its members
-are compared in blocks of ``BLOCK``, across components alone; whatever is
-retained there is confirmed and linked too. So each pair that meets under a
-prefix is either confirmed, refuted or already connected.
+are compared in blocks, across components alone, each pair in one list; a
+block retains pairs by their signatures, confirms them on full sets and
+returns links that connect its members, no more. So each pair that meets
+under a prefix is either confirmed, refuted or already connected.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle are one shingle; a null doc_id is
@@ -26,7 +27,6 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 from math import comb
 
 import numpy as np
@@ -40,7 +40,8 @@ from .windows import word_chunks
 
 SHINGLE, PERCENT = 5, 85
 COORDINATES, MISS = 40, 1e-7
-BLOCK = 256
+#: Members of a block, and shingles of its members' sets on average.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 _FACTORS = b.mix(np.arange(1000, 1000 + COORDINATES, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -166,38 +167,62 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "th", "text", "text_a").mapInArrow(check, "a long, b long")
 
 
-def across_components(posted: DataFrame, firsts: DataFrame, roots: DataFrame, classes: DataFrame, matches: int,
-                      percent: int) -> DataFrame:
-    """Pairs (a, b) of one list, in different components, that agree in enough coordinates.
+def _compared(table: pa.Table, matches: int, percent: int) -> pa.Table:
+    """Links that connect the members of two blocks of one list (or of one block), a spanning set of them.
 
-    A list's first member has been held against all others already.
+    A pair is looked at in the list of its first common posting only, if it is
+    not connected yet and its signatures agree in enough coordinates.
+    """
+    token, lo, hi = (table.column(c)[0].as_py() for c in ("token", "lo", "hi"))
+    node, root, mine = (table.column(c).to_numpy() for c in ("node", "root", "mine"))
+    root = root.copy()
+    sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(-1, COORDINATES)
+    lists = np.full((len(node), COORDINATES), np.iinfo(np.int64).max)
+    for i, own in enumerate(table.column("tokens").to_pylist()):
+        lists[i, :len(own)] = own
+    texts = pa.table({"doc_id": table.column("node"), "th": table.column("mine"), "text": table.column("text")})
+    sets = [own for batch in texts.combine_chunks().to_batches() for _, _, own in shingle_sets(batch)]
+    n = np.array([len(own) for own in sets])
+    right = np.flatnonzero(mine == hi)
+    a, c = [], []
+    for i in np.flatnonzero(mine == lo):
+        j = right[right > i] if lo == hi else right
+        j = j[(root[j] != root[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        j = j[(sig[j] == sig[i]).sum(1) >= matches]
+        both = (lists[j][:, :, None] == lists[i][None, None, :]).any(2)
+        j = j[np.where(both, lists[j], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max) == token]
+        for k in j:
+            if root[k] != root[i]:
+                shared = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                if 100 * shared >= percent * (n[i] + n[k] - shared):
+                    a.append(node[i])
+                    c.append(node[k])
+                    root[root == root[k]] = root[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
+
+
+def across_components(posted: DataFrame, firsts: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame,
+                      matches: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between members of one list that are in different components.
+
+    A list's first member has been held against all others already. Blocks
+    are cut by members and by the size of their sets.
     """
     labelled = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rest = labelled.join(firsts, opaque(F.col("token")) == F.col("_token")).filter("node != first").drop("_token", "first")
-    mixed = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"))
-    mixed = mixed.filter("lo != hi").select(opaque(F.col("token")).alias("_token"),
-                                            F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rest = rest.join(mixed, opaque(F.col("token")) == F.col("_token")).drop("_token")
     rest = rest.join(classes.select("node", "n", "sig"), "node")
+    mixed = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"),
+                                      F.sum("n").alias("size")).filter("lo != hi")
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int")
+    mixed = mixed.select(opaque(F.col("token")).alias("_token"), blocks.alias("blocks"))
+    rest = rest.join(mixed, opaque(F.col("token")) == F.col("_token")).drop("_token")
+    lists = posted.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # a prefix: COORDINATES at most
+    rest = rest.join(lists, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rest = rest.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, root, n, mine, lo, hi = (table.column(c).to_numpy() for c in ("node", "root", "n", "mine", "lo", "hi"))
-        sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(-1, COORDINATES)
-        left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-        a, c = [], []
-        for i in left:
-            j = right[(root[right] != root[i]) & ((node[right] > node[i]) if lo[0] == hi[0] else True)
-                      & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-            j = j[(sig[j] == sig[i]).sum(1) >= matches]
-            a += [min(node[i], node[k]) for k in j]
-            c += [max(node[i], node[k]) for k in j]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
-
-    return rest.select("token", "lo", "hi", "mine", "node", "root", "n", "sig").groupBy("token", "lo", "hi").applyInArrow(
-        compare, "a long, b long").distinct()
+    return rest.select("token", "lo", "hi", "mine", "node", "root", "sig", "tokens", "text").groupBy(
+        "token", "lo", "hi").applyInArrow(lambda table: _compared(table, matches, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -220,13 +245,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Texts of the classes that may be similar to any: what is left of the corpus for the exact check.
     in_lists = posted.join(firsts, opaque(F.col("token")) == F.col("_token")).select("node").distinct()
     texts = keyed_texts(docs)
-    texts = texts.join(in_lists, texts.doc_id == in_lists.node, "left_semi").dropDuplicates(["doc_id", "th"])
+    texts = texts.join(in_lists, texts.doc_id == in_lists.node, "left_semi")
     texts = stored(texts, "candidates")
     links = stored(confirmed(stars, texts, percent), "confirmed")
     roots = components(links)
-    more = stored(across_components(posted, firsts, roots, classes, matches, percent), "across")
+    more = stored(across_components(posted, firsts, roots, classes, texts, matches, percent), "across")
     if not more.isEmpty():
-        more = stored(confirmed(more, texts, percent), "confirmed")
         roots = components(links.unionAll(more))
     ids = classes.join(roots, "node", "left").select(
         F.concat_ws("/", "k1", "k2").alias("_key"), F.coalesce("root", "node").alias("root"))
