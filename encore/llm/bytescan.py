@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one chunk holds (working arrays take about 60 times that).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = 22
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -46,7 +46,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64, for 0..n-1 at least."""
-    size = 1 << max(21, int(n).bit_length())
+    size = 1 << max(20, int(n).bit_length())
     return _powers(size)
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import NULL_ID, keyed_texts, opaque
+from .tables import NULL_ID, keyed_texts, opaque, tidy
 from .windows import word_chunks
 
 WINDOW, MISMATCHES = 13, 2
@@ -99,7 +99,7 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
             yield _rows(rows)
 
     items = keyed_texts(benchmark.select(F.col("item_id").alias("doc_id"), "text"))
-    return items.mapInArrow(seeds, _ROW).select(
+    return items.mapInArrow(tidy(seeds), _ROW).select(
         F.col("doc_id").alias("item_id"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"),
         F.col("around").alias("item_around"))
 
@@ -128,7 +128,7 @@ def bloom(seeds: DataFrame) -> tuple[int, bytes, list[int]]:
                          "filled": pa.array([np.packbits(filled, bitorder="little").tobytes()], pa.binary())})
 
     out = np.zeros(1 << bits - 3, np.uint8)
-    pieces = (seeds.select("item_hash").mapInArrow(slots, "piece long, bit long").distinct()
+    pieces = (seeds.select("item_hash").mapInArrow(tidy(slots), "piece long, bit long").distinct()
               .groupBy("piece").applyInArrow(piece, "piece long, filled binary"))
     for at, filled in pieces.collect():  # 512 pieces of 32 KB at most
         out[at << 15:(at + 1) << 15] = np.frombuffer(filled, np.uint8)
@@ -164,7 +164,7 @@ def hits(docs: DataFrame, bits: int, filled: bytes, lengths: list[int]) -> DataF
                         rows.append((int(chunk.doc_id[row]), int(chunk.base[row]) + i - lo, hashes[i], near))
                 yield _rows(rows)
 
-    return keyed_texts(docs).mapInArrow(found, _ROW)
+    return keyed_texts(docs).mapInArrow(tidy(found), _ROW)
 
 
 def verified(mine: bytes, theirs: bytes) -> tuple[int, int, int] | None:
@@ -210,7 +210,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 [batch.column("doc_id").take(kept), batch.column("item_id").take(kept), pa.array(first, pa.int64()),
                  pa.array(end, pa.int64())], ["doc_id", "item_id", "first_word", "end_word"])
 
-    rows = met.mapInArrow(check, "doc_id long, item_id long, first_word long, end_word long")
+    rows = met.mapInArrow(tidy(check), "doc_id long, item_id long, first_word long, end_word long")
     return rows.groupBy("doc_id", "item_id").agg(
         F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.count("*").alias("n_hits"))
 

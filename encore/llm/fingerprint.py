@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .bytescan import mix
-from .tables import NULL_ID, stored, text_bytes
+from .tables import NULL_ID, stored, text_bytes, tidy
 
 BUCKETS = 128
 #: Distances between the first byte of a triplet and its others, within five bytes.
@@ -148,7 +148,7 @@ def compared(docs: DataFrame) -> DataFrame:
         if before is not None:
             yield _batch([(before[0], None, None, before[2], None, None, None, part, 1, before[1])])
 
-    out = stored(dealt.select("doc_id", "text").mapInArrow(pairs, _OUT), "fingerprints")
+    out = stored(dealt.select("doc_id", "text").mapInArrow(tidy(pairs), _OUT), "fingerprints")
     edges = out.filter("edge is not null")
     # The order of tasks: one number for each, which is all that this window sorts.
     tasks = edges.filter("edge = 0").select("part")
@@ -166,7 +166,7 @@ def compared(docs: DataFrame) -> DataFrame:
                     for r in batch.to_pylist()]
             yield _batch(rows)
 
-    closed = met.mapInArrow(close, _OUT)
+    closed = met.mapInArrow(tidy(close), _OUT)
     return out.filter("edge is null").unionAll(closed).select(
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
         "edited_fingerprint", "near_edited", "near_next")

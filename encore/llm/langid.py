@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .tables import tidy
+
 BUCKETS, MOST_LANGUAGES, SMOOTHING = 1 << 14, 256, 0.5
 UNKNOWN = "und"
 _FACTORS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -67,7 +69,7 @@ def counted(docs: DataFrame) -> DataFrame:
                 [pa.array([lang] * len(some), pa.string()), pa.array(bucket), pa.array(n[some])], ["lang", "bucket", "n"])
 
     rows = docs.filter("lang is not null and text is not null").select("lang", "text")
-    return rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def fitted(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -101,8 +103,7 @@ def predicted(docs: DataFrame, langs: list[str], prior: np.ndarray, logs: np.nda
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        score, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(score), "doc_id long, lang_pred string, score double")
 
 
 def identified(docs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytescan as b
 from .components import components
-from .tables import NULL_ID, keyed_texts, opaque, stored
+from .tables import NULL_ID, keyed_texts, opaque, stored, tidy
 from .windows import word_chunks
 
 SHINGLE, PERCENT = 5, 85
@@ -107,7 +107,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()),
                  pa.array(two, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "n", "k1", "k2", "sig"])
 
-    return keyed_texts(docs).mapInArrow(signed, "doc_id long, n long, k1 long, k2 long, sig array<int>")
+    return keyed_texts(docs).mapInArrow(tidy(signed), "doc_id long, n long, k1 long, k2 long, sig array<int>")
 
 
 def similar_size(n: Column, m: Column, percent: int) -> Column:
@@ -164,7 +164,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     other = texts.select(F.col("doc_id").alias("_b"), "th", "text")
     first = texts.select(F.col("doc_id").alias("_a"), F.col("text").alias("text_a"))
     met = pairs.join(other, F.col("b") == F.col("_b")).join(first, F.col("a") == F.col("_a"))
-    return met.select("a", "b", "th", "text", "text_a").mapInArrow(check, "a long, b long")
+    return met.select("a", "b", "th", "text", "text_a").mapInArrow(tidy(check), "a long, b long")
 
 
 def _compared(table: pa.Table, matches: int, percent: int) -> pa.Table:

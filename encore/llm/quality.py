@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
 from .langid import held_out
+from .tables import tidy
 
 SAMPLE, FIT_LINES = 3000, 48
 ROUNDS, RATE, DECAY = 120, 0.1, 1e-3
@@ -219,7 +220,7 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[D
                     [pa.array(label[i:j], pa.int32()), pa.array(some, pa.int32()), pa.array(blobs, pa.binary())],
                     ["label", "lines", "features"])
 
-    return rows.mapInArrow(features, "label int, lines int, features binary"), (good / n if n else 1.0)
+    return rows.mapInArrow(tidy(features), "label int, lines int, features binary"), (good / n if n else 1.0)
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
@@ -266,7 +267,7 @@ def _applied(docs: DataFrame, labels: DataFrame, row: list[str]) -> DataFrame:
 
     kept = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"))
-    return kept.mapInArrow(run, T.StructType([kept.schema["row"], T.StructField("score", T.DoubleType())]))
+    return kept.mapInArrow(tidy(run), T.StructType([kept.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -23,8 +23,10 @@ from functools import lru_cache, partial
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .tables import tidy
+
 MARK = "▁"
-TABLE_CHUNKS = 200_000
+TABLE_CHUNKS = 60_000
 #: Only chunks up to this length are held in the table; longer ones hardly recur.
 TABLE_CHARS = 64
 _CHUNK = re.compile(" +[^ ]*")
@@ -103,7 +105,7 @@ def _applied(docs: DataFrame, row: list[str], model: str, whole: bool) -> DataFr
     ids = T.ArrayType(T.IntegerType()) if whole else T.StringType()
     schema = T.StructType([kept.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", ids),
                            T.StructField("decoded", T.StringType())])
-    return kept.mapInArrow(partial(_run, model=model, whole=whole), schema)
+    return kept.mapInArrow(tidy(partial(_run, model=model, whole=whole)), schema)
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:

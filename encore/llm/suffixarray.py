@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import ids_repeat, keyed_texts, text_bytes
+from .tables import ids_repeat, keyed_texts, text_bytes, tidy
 from .windows import HOT_RECORDS, byte_chunks, planned, repeats, united, with_spans
 
 WIDTH, SHORT = 200, 32
@@ -270,5 +270,4 @@ def digests(docs: DataFrame) -> DataFrame:
                  pa.array(shas, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     marked = repeated_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return marked.select("doc_id", F.col("text").cast("binary").alias("bytes"), "spans").mapInArrow(
-        per_batch, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked.select("doc_id", F.col("text").cast("binary").alias("bytes"), "spans").mapInArrow(tidy(per_batch), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
-from .tables import ids_repeat, keyed_texts, text_bytes
+from .tables import ids_repeat, keyed_texts, text_bytes, tidy
 from .windows import HOT_RECORDS, planned, repeats, united, with_spans, word_chunks
 
 WIDTH, SHORT = 20, 3
@@ -102,8 +102,7 @@ def digests(docs: DataFrame) -> DataFrame:
                  pa.array(shas, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     marked = repeated_words(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return marked.select("doc_id", F.col("text").cast("binary").alias("bytes"), "spans").mapInArrow(
-        per_batch, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return marked.select("doc_id", F.col("text").cast("binary").alias("bytes"), "spans").mapInArrow(tidy(per_batch), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_words(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
@@ -133,8 +132,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("row")], ["_text", "row"])
 
-    out = repeated_words(packed).select(F.col("text").cast("binary").alias("bytes"), "spans", "row").mapInArrow(
-        per_batch, schema)
+    out = repeated_words(packed).select(F.col("text").cast("binary").alias("bytes"), "spans", "row").mapInArrow(tidy(per_batch), schema)
     return out.select(*[F.col("_text").alias("text") if c == "text"
                         else F.length("_text").cast("long").alias("n_chars") if c == "n_chars"
                         else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from encore.session import scratch_path, ship_package
@@ -10,8 +14,34 @@ from encore.session import scratch_path, ship_package
 NULL_ID = -(2 ** 63)
 
 
+#: Rows of an Arrow batch: whole texts are long, so fewer than Spark's default.
+BATCH_ROWS = 1000
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers are kept from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(work: Callable) -> Callable:
+    """``work`` on Arrow batches, followed by ``release`` when a task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -22,12 +22,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import NULL_ID, opaque, stored, text_key
+from .tables import NULL_ID, opaque, release, stored, text_key, tidy
 
 #: Raw bytes of records that one bucket should hold.
 BUCKET_BYTES = 4 << 20
 #: Raw bytes of records that a map task gathers before it packs them.
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 24 << 20
 #: Records of one slot of seeds from which it counts as hot (or 16 times the mean).
 HOT_RECORDS = 16_384
 SPANS = "doc_id long, th int, spans binary"
@@ -181,7 +181,7 @@ def planned(texts: DataFrame, total_bytes: int, chunks: Callable, width: int, sw
             got = np.flatnonzero(seen)
             yield pa.RecordBatch.from_arrays([pa.array(got.astype(np.int32)), pa.array(seen[got])], ["slot", "n"])
 
-    counts = texts.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(tidy(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     least = max(hot_records, int(16 * records / (1 << bits)))
     hot = [r[0] for r in counts.filter(F.col("n") > least).select("slot").collect()]
     if not hot:
@@ -259,7 +259,7 @@ def records(texts: DataFrame, plan: Plan) -> DataFrame:
                     size = 0
         yield from flush()
 
-    return texts.mapInArrow(pack, "bucket int, blob binary")
+    return texts.mapInArrow(tidy(pack), "bucket int, blob binary")
 
 
 _HOT = "d1 long, d2 long, doc_id long, th int, start long, spans binary"
@@ -314,7 +314,7 @@ def hot_windows(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
         if rows:
             yield from _united(rows, keep_first, plan.width)
 
-    return texts.mapInArrow(digests, _HOT)
+    return texts.mapInArrow(tidy(digests), _HOT)
 
 
 def hot_repeats(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
@@ -339,7 +339,7 @@ def hot_repeats(texts: DataFrame, plan: Plan, keep_first: bool) -> DataFrame:
             start, end, th, ids = (batch.column(c).to_numpy() for c in ("start", "end", "th", "doc_id"))
             yield span_rows(ids, th, start, end)
 
-    across = met.select("doc_id", "th", "start", (F.col("start") + width).alias("end")).mapInArrow(pairs, SPANS)
+    across = met.select("doc_id", "th", "start", (F.col("start") + width).alias("end")).mapInArrow(tidy(pairs), SPANS)
     return across.unionAll(found.filter("spans is not null").select("doc_id", "th", "spans"))
 
 
@@ -374,7 +374,9 @@ def repeats(docs_texts: DataFrame, plan: Plan, decide: Callable[[dict, np.ndarra
     """(doc_id, th, spans): what ``decide`` marks in each bucket, and the hot windows' part."""
 
     def bucket(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([span_rows(*decide(*unpacked(table.column("blob"))))])
+        out = pa.Table.from_batches([span_rows(*decide(*unpacked(table.column("blob"))))])
+        release()
+        return out
 
     out = records(docs_texts, plan).groupBy("bucket").applyInArrow(bucket, SPANS)
     return out.unionAll(hot_repeats(docs_texts, plan, keep_first)) if plan.hot else out
