@@ -31,6 +31,11 @@ def _first_error(checks: list[tuple[Column, str]]) -> Column:
     return expr.otherwise(F.lit(None).cast("string"))
 
 
+def _not_finite(number: Column) -> Column:
+    """NULL, NaN or infinite: none is a play time or a rating."""
+    return number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
+
+
 def parse_daily_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Every line with typed daily-event columns and ``parse_error`` (NULL if good)."""
     parts = split_line(F.col(value))
@@ -50,7 +55,7 @@ def parse_daily_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             (F.col("user_id").isNull(), "bad user_id"),
             (F.col("track_id").isNull(), "bad track_id"),
             (F.col("ts").isNull(), "bad timestamp"),
-            (F.col("ms_played").isNull(), "bad ms_played"),
+            (_not_finite(F.col("ms_played")), "bad ms_played"),
         ]))
     return out.withColumn("parse_error", error).drop("_n")
 
@@ -72,7 +77,7 @@ def parse_rating_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             (F.col("user_id").isNull(), "bad user_id"),
             (F.col("track_id").isNull(), "bad track_id"),
             (F.col("ts").isNull(), "bad timestamp"),
-            (F.col("rating").isNull(), "bad rating"),
+            (_not_finite(F.col("rating")), "bad rating"),
         ]))
     return out.withColumn("parse_error", error).drop("_n")
 

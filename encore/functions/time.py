@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Epoch seconds of the first moment of year 1 and the last second of year 9999.
+EPOCH_RANGE = (-62135596800, 253402300799)
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -20,8 +24,8 @@ def epoch_seconds(ts: Column) -> Column:
 
 
 def from_epoch_seconds(seconds: Column) -> Column:
-    """TIMESTAMP_NTZ from epoch seconds."""
-    return F.timestamp_add("SECOND", seconds, _epoch())
+    """TIMESTAMP_NTZ from epoch seconds; NULL outside the years 1 to 9999, never an overflow."""
+    return F.when(seconds.between(*EPOCH_RANGE), F.timestamp_add("SECOND", seconds, _epoch()))
 
 
 def ntz_to_instant(ts: Column) -> Column:

@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+import math
+import re
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.time import from_epoch_seconds
+from encore.functions.time import EPOCH_RANGE, from_epoch_seconds
+
+
+def _whole(text) -> int | None:
+    """The 64-bit integer that a field states exactly, as SQL's cast reads it."""
+    if not isinstance(text, str) or not re.fullmatch(r"\s*[+-]?\d+\s*", text, re.ASCII):
+        return None
+    value = int(text)
+    return value if -(2 ** 63) <= value < 2 ** 63 else None
+
+
+def _finite(text) -> float | None:
+    try:
+        value = float(text) if isinstance(text, str) and "_" not in text else math.nan
+    except ValueError:
+        return None
+    return value if math.isfinite(value) else None
 
 
 def _parse_batches(batches):
     """Parse each Arrow batch as it arrives; nothing is buffered across batches."""
     for pdf in batches:
-        parts = pdf["value"].astype(object).str.split(",", expand=True, regex=False)
+        parts = pdf["value"].astype(object).str.split(",", expand=True, regex=False).astype(object)
         parts = parts.reindex(columns=range(max(7, parts.shape[1])))
         good = parts[6].isna() & parts[5].notna()
-        num = {i: pd.to_numeric(parts[i], errors="coerce") for i in range(4)}
-        for i in range(4):
-            good &= num[i].notna()
-        for i in range(3):  # ids and seconds must be whole numbers
-            good &= num[i].where(num[i].notna(), 0) % 1 == 0
+        whole = {i: pd.Series([_whole(x) for x in parts[i]], parts.index, dtype=object) for i in range(3)}
+        played = pd.Series([_finite(x) for x in parts[3]], parts.index, dtype=object)
+        for field in (*whole.values(), played):
+            good &= field.notna()
+        good &= np.array([s is not None and EPOCH_RANGE[0] <= s <= EPOCH_RANGE[1] for s in whole[2]], bool)
+        num = {i: whole[i][good].tolist() for i in whole}
         end = parts[5][good].astype(object)
         yield pd.DataFrame({
-            "user_id": num[0][good].to_numpy(dtype="int64"),
-            "track_id": num[1][good].to_numpy(dtype="int64"),
-            "epoch": num[2][good].to_numpy(dtype="int64"),
-            "ms_played": num[3][good].to_numpy(dtype="float64"),
+            "user_id": np.array(num[0], "int64"),
+            "track_id": np.array(num[1], "int64"),
+            "epoch": np.array(num[2], "int64"),
+            "ms_played": played[good].to_numpy(dtype="float64"),
             "reason_start": parts[4][good].astype(object).to_numpy(),
             "reason_end": end.where(end != "null", None).to_numpy(),
         })

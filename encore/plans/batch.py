@@ -39,24 +39,19 @@ class SimilarIndex:
         return self.k * self.n_vectors
 
 
-# Exact scoring is quadratic in the catalogue: up to this many vectors it is
-# a few hundred block pairs per million tracks; beyond it LSH (J8) is used.
-EXACT_INDEX_MAX = 2_000_000
-
-
 def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None = None,
-                exact_max: int = EXACT_INDEX_MAX) -> SimilarIndex:
+                mode: str = "exact") -> SimilarIndex:
     """J4 once per run, written to the shared checkpoint folder (used by both
     the previous and today's lists, and by every micro-batch of a stream).
 
-    Catalogues larger than ``exact_max`` vectors use the LSH form (J8).
+    ``mode`` is the caller's choice at every size: "exact" (J4) or "lsh" (J8, approximate).
     """
+    if mode not in ("exact", "lsh"):
+        raise ValueError(f"mode must be 'exact' or 'lsh', not {mode!r}")
     if n_vectors is None:
         n_vectors = vectors.count()
-    if n_vectors <= exact_max:
-        sim = similar_tracks(vectors, k=k, n_vectors=n_vectors)
-    else:
-        sim = similar_tracks_lsh(vectors, k=k, n_vectors=n_vectors)
+    build = similar_tracks if mode == "exact" else similar_tracks_lsh
+    sim = build(vectors, k=k, n_vectors=n_vectors)
     table = materialize(vectors.sparkSession, sim, "similar_tracks")
     labels = one_vector_per_track(vectors).select("track_id", "label")
     return SimilarIndex(table, labels, n_vectors, k)

@@ -7,6 +7,7 @@ when that is unset (local tests) do we create one of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -63,7 +64,11 @@ def build_session(master: str = "local[8]", app_name: str = "encore",
     return spark
 
 
-_LOCAL_CKPT: dict[str, str] = {}
+def local_checkpoint_dir(master: str) -> str:
+    """A machine-local folder, for a ``local`` or ``local[...]`` master only."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return tempfile.mkdtemp(prefix="encore-ckpt-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -73,14 +78,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # Spark Connect: no driver-side context, read the setting
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = _LOCAL_CKPT.setdefault("connect", tempfile.mkdtemp(prefix="encore-ckpt-"))
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="encore-ckpt-")
+        configured = local_checkpoint_dir(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

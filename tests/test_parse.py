@@ -55,3 +55,27 @@ def test_pandas_parser_matches(spark):
     a = sorted(tuple(r) for r in parse_daily(lines(spark, vals)).collect())
     b = sorted(tuple(r) for r in parse_daily_in_pandas(lines(spark, vals)).collect())
     assert a == b
+
+
+def test_hostile_fields_are_quarantined_alike_by_both_parsers(spark):
+    from encore.functions.parse import parse_daily, parse_ratings
+    from encore.operators.partitions import parse_daily_in_pandas
+    fields = ["9007199254740993", "1e3", "1.0", " 7 ", "+8", "-9", "9223372036854775808", "", "x", "99999999999999999"]
+    lines = [f"{f},2,1000,3.5,a,b" for f in fields] + [f"1,{f},1000,3.5,a,b" for f in fields]
+    lines += [f"1,2,{f},3.5,a,b" for f in fields]
+    lines += [f"1,2,1000,{p},a,b" for p in ("NaN", "Infinity", "-Infinity", "1e3", "", "x", " 4.5")]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    want = sorted(map(str, parse_daily(frame).collect()))
+    assert want and sorted(map(str, parse_daily_in_pandas(frame).collect())) == want
+    ratings = spark.createDataFrame([(f"1,2,1000,{r}",) for r in ("NaN", "Infinity", "0.0000004")], "value string")
+    assert [r.rating for r in parse_ratings(ratings).collect()] == [0.0000004]
+
+
+def test_only_local_masters_get_a_local_checkpoint_folder():
+    import pytest
+
+    from encore.session import local_checkpoint_dir
+    assert local_checkpoint_dir("local[4]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            local_checkpoint_dir(master)

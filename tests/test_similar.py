@@ -40,11 +40,11 @@ def test_lsh_recall(spark):
     assert approx.count() <= exact.count()
 
 
-def test_index_switches_to_lsh_for_large_catalogues(spark):
+def test_lsh_index_is_the_callers_choice(spark):
     from encore.plans.batch import build_index
     vec = td.vectors(spark, SF_SMALL)
     exact = build_index(vec, k=10)
-    approx = build_index(vec, k=10, exact_max=10)
+    approx = build_index(vec, k=10, mode="lsh")
     assert exact.table.count() == approx.table.count() == 10 * exact.n_vectors
     assert recall_at_k(approx.table, exact.table).collect()[0].recall > 0.9
 
