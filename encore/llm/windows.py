@@ -195,11 +195,25 @@ _FIELDS = (("doc_id", np.int64), ("th", np.int32), ("start", np.int64), ("window
            ("size", np.int32), ("seed", np.uint32))
 
 
+#: Part of a seed that a record carries: a bucket has some ten thousand records,
+#: so one in a thousand shares it by chance and is looked at for nothing.
+_SEED = 0xFFFFFF
+
+
 def _packed(parts: list[tuple[dict, np.ndarray]]) -> bytes:
-    fields = [np.concatenate([p[0][name] for p in parts]).astype(kind) for name, kind in _FIELDS]
-    head = np.array([len(fields[0])], np.int64)
-    return zstandard.ZstdCompressor(level=3).compress(
-        b"".join([head.tobytes(), *(f.tobytes() for f in fields), *(p[1].tobytes() for p in parts)]))
+    """Records as two zstd frames, fields and text, after the length of the first.
+
+    Documents go as steps, sizes less the windows (constant where units are
+    bytes), and each field byte by byte: all first bytes, all second ones, ...
+    """
+    fields = {name: np.concatenate([p[0][name] for p in parts]).astype(kind) for name, kind in _FIELDS}
+    fields["doc_id"] = np.diff(fields["doc_id"], prepend=np.int64(0))
+    fields["size"] = fields["size"] - fields["windows"]
+    n = len(fields["size"])
+    planes = [f.view(np.uint8).reshape(n, -1).T.tobytes() for f in fields.values()]
+    pack = zstandard.ZstdCompressor(level=3)
+    head = pack.compress(b"".join([n.to_bytes(8, "little"), *planes]))
+    return b"".join([len(head).to_bytes(8, "little"), head, pack.compress(b"".join(p[1].tobytes() for p in parts))])
 
 
 def unpacked(blobs: pa.ChunkedArray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
@@ -208,12 +222,17 @@ def unpacked(blobs: pa.ChunkedArray) -> tuple[dict[str, np.ndarray], np.ndarray,
     texts = []
     unpack = zstandard.ZstdDecompressor()
     for blob in blobs:
-        raw = unpack.decompress(blob.as_py())
-        n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
+        raw = blob.as_py()
+        cut = 8 + int.from_bytes(raw[:8], "little")
+        head = unpack.decompress(raw[8:cut])
+        n, at = int.from_bytes(head[:8], "little"), 8
         for name, kind in _FIELDS:
-            fields[name].append(np.frombuffer(raw, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        texts.append(np.frombuffer(raw, np.uint8, offset=at))
+            planes = np.frombuffer(head, np.uint8, n * np.dtype(kind).itemsize, at)
+            at += len(planes)
+            fields[name].append(np.ascontiguousarray(planes.reshape(-1, n).T).view(kind).ravel())
+        fields["doc_id"][-1] = np.cumsum(fields["doc_id"][-1])
+        fields["size"][-1] = fields["size"][-1] + fields["windows"][-1]
+        texts.append(np.frombuffer(unpack.decompress(raw[cut:]), np.uint8))
     out = {k: np.concatenate(v) for k, v in fields.items()}
     size = out["size"].astype(np.int64)
     return out, np.cumsum(size) - size, np.concatenate(texts)
@@ -247,7 +266,7 @@ def records(texts: DataFrame, plan: Plan) -> DataFrame:
                 sizes = chunk.at[last + chunk.width] - lo
                 text = b.gathered(chunk.buf, lo, sizes)
                 fields = {"doc_id": doc_id, "th": th, "start": start, "windows": last - first + 1,
-                          "size": sizes, "seed": mixed & np.uint64(0xFFFFFFFF if plan.seeded else 0)}
+                          "size": sizes, "seed": mixed & np.uint64(_SEED if plan.seeded else 0)}
                 ends = np.cumsum(sizes)
                 names, cuts = np.unique(bucket, return_index=True)
                 for name, x, y in zip(names.tolist(), cuts, np.append(cuts, len(bucket))[1:], strict=True):
