@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Fixed values from the reference's sizing: 60,000,000 users in 10 ranges of
 # 6,000,000, and the older hash placement 1 + user id % 4.
 RANGE_WIDTH = 6_000_000
-RANGE_COUNT = 10
 HASH_BUCKETS = 4
 
 

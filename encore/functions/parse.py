@@ -42,12 +42,12 @@ def parse_daily_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     out = lines.select(
         F.col(value).alias("line"),
         F.size(parts).alias("_n"),
-        parts.getItem(0).try_cast("bigint").alias("user_id"),
-        parts.getItem(1).try_cast("bigint").alias("track_id"),
-        from_epoch_seconds(parts.getItem(2).try_cast("bigint")).alias("ts"),
-        parts.getItem(3).try_cast("double").alias("ms_played"),
-        parts.getItem(4).alias("reason_start"),
-        F.nullif(parts.getItem(5), F.lit(NULL_TOKEN)).alias("reason_end"),
+        F.get(parts, F.lit(0)).try_cast("bigint").alias("user_id"),
+        F.get(parts, F.lit(1)).try_cast("bigint").alias("track_id"),
+        from_epoch_seconds(F.get(parts, F.lit(2)).try_cast("bigint")).alias("ts"),
+        F.get(parts, F.lit(3)).try_cast("double").alias("ms_played"),
+        F.get(parts, F.lit(4)).alias("reason_start"),
+        F.nullif(F.get(parts, F.lit(5)), F.lit(NULL_TOKEN)).alias("reason_end"),
     )
     error = F.when(F.col("_n") != 6, F.concat(F.lit("expected 6 fields, found "),
                                               F.col("_n").cast("string"))).otherwise(
@@ -66,10 +66,10 @@ def parse_rating_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     out = lines.select(
         F.col(value).alias("line"),
         F.size(parts).alias("_n"),
-        parts.getItem(0).try_cast("bigint").alias("user_id"),
-        parts.getItem(1).try_cast("bigint").alias("track_id"),
-        from_epoch_seconds(parts.getItem(2).try_cast("bigint")).alias("ts"),
-        parts.getItem(3).try_cast("double").alias("rating"),
+        F.get(parts, F.lit(0)).try_cast("bigint").alias("user_id"),
+        F.get(parts, F.lit(1)).try_cast("bigint").alias("track_id"),
+        from_epoch_seconds(F.get(parts, F.lit(2)).try_cast("bigint")).alias("ts"),
+        F.get(parts, F.lit(3)).try_cast("double").alias("rating"),
     )
     error = F.when(F.col("_n") != 4, F.concat(F.lit("expected 4 fields, found "),
                                               F.col("_n").cast("string"))).otherwise(
@@ -111,12 +111,25 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
-def to_als_rating(ratings: DataFrame, rating: str = "rating") -> DataFrame:
-    """P5 + F4: (user, track) as INT in range, non-null, with the rating."""
-    in_range = lambda c: F.col(c).between(INT_MIN, INT_MAX)
-    return (ratings
-            .filter(F.col("user_id").isNotNull() & F.col("track_id").isNotNull()
-                    & in_range("user_id") & in_range("track_id") & F.col(rating).isNotNull())
-            .select(F.col("user_id").cast("int").alias("user_id"),
-                    F.col("track_id").cast("int").alias("track_id"),
-                    F.col(rating).cast("double").alias("rating")))
+def _als_id(name: str) -> Column:
+    outside = F.concat(F.lit(f"{name} outside INT: "), F.col(name).cast("string"))
+    return (F.when(F.col(name).between(INT_MIN, INT_MAX), F.col(name).cast("int"))
+            .otherwise(F.raise_error(outside).cast("int")).alias(name))
+
+
+def to_als_rating(ratings: DataFrame, rating: str = "rating",
+                  out_of_range: str = "fail") -> DataFrame:
+    """P5 + F4: (user, track) as INT, non-null, with the rating.
+
+    ALS takes INT ids only. An id outside that range fails the job;
+    ``out_of_range='drop'`` leaves such rows out at the caller's own wish.
+    """
+    known = ratings.filter(F.col("user_id").isNotNull() & F.col("track_id").isNotNull()
+                           & F.col(rating).isNotNull())
+    if out_of_range == "drop":
+        known = known.filter(F.col("user_id").between(INT_MIN, INT_MAX)
+                             & F.col("track_id").between(INT_MIN, INT_MAX))
+    elif out_of_range != "fail":
+        raise ValueError(f"out_of_range must be 'fail' or 'drop', not {out_of_range!r}")
+    return known.select(_als_id("user_id"), _als_id("track_id"),
+                        F.col(rating).cast("double").alias("rating"))

@@ -14,7 +14,11 @@ Run with spark-submit, e.g.
         --daily 'hdfs:///events/daily_*.txt' --vectors hdfs:///vectors \\
         --out hdfs:///recs/2024-01-25
 
-Every output goes to a new directory; inputs are never overwritten.
+Every output goes to a new directory; inputs are never overwritten. Lines
+that a job can't use are written beside its output with the reason, and counted.
+The jobs feed each other: ``index``, ``batch`` and ``stream`` take the trainer's
+item factors as vectors, ``batch`` and ``stream`` an earlier batch output as
+previous recs.
 """
 
 from __future__ import annotations
@@ -29,13 +33,16 @@ if __package__ in (None, ""):  # run as a script: make the package importable
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from encore.functions.parse import parse_daily, parse_ratings, to_als_rating  # noqa: E402
+from encore.functions.parse import (DAILY_FIELDS, RATING_FIELDS, parse_daily_lines,  # noqa: E402
+                                    parse_rating_lines, quarantine, to_als_rating)
+from encore.operators.filters import filter_recent  # noqa: E402
 from encore.operators.model import item_factors, train_implicit_als  # noqa: E402
-from encore.operators.recommend import weigh_events  # noqa: E402
+from encore.operators.recommend import refused_events, weigh_events  # noqa: E402
 from encore.plans.batch import (DEFAULT_K, DEFAULT_N, build_index, load_index,  # noqa: E402
                                 recommend)
 from encore.plans.training import merged_active_ratings  # noqa: E402
-from encore.sinks.files import materialize, write_rating_lines, write_table, write_user_recs  # noqa: E402
+from encore.sinks.files import (materialize, read_previous_recs, write_rating_lines,  # noqa: E402
+                                write_table, write_user_recs)
 from encore.sources.text import scan_lines  # noqa: E402
 from encore.session import ship_package  # noqa: E402
 from encore.streaming import process, recommender, source  # noqa: E402
@@ -54,6 +61,16 @@ def _index(spark: SparkSession, vectors: str, index: str | None, k: int):
     return load_index(spark, index, vec) if index else build_index(vec, k)
 
 
+def _write_refused(spark: SparkSession, refused: DataFrame, path: str) -> None:
+    """(line, parse_error) under ``<path>/lines`` and their number by reason under ``<path>/counts``."""
+    lines = spark.read.parquet(write_table(refused, f"{path}/lines"))
+    write_table(lines.groupBy("parse_error").agg(F.count(F.lit(1)).alias("n")), f"{path}/counts")
+
+
+def _good(parsed: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    return parsed.filter(F.col("parse_error").isNull()).select(*fields)
+
+
 def run_index(spark: SparkSession, vectors: str, out: str, k: int = DEFAULT_K) -> str:
     """K6: the similar-tracks table, written once and reused by batch and stream."""
     built = build_index(spark.read.parquet(vectors), k)
@@ -63,22 +80,31 @@ def run_index(spark: SparkSession, vectors: str, out: str, k: int = DEFAULT_K) -
 def run_batch(spark: SparkSession, daily: str, vectors: str, out: str,
               dismissals: str | None = None, previous: str | None = None,
               n: int = DEFAULT_N, k: int = DEFAULT_K, index: str | None = None) -> str:
-    """Batch recommender. ``vectors``: parquet (track_id, features, label);
+    """Batch recommender. ``vectors``: parquet (track_id, features, optional label);
     ``dismissals``: parquet (user_id, track_id); ``previous``: parquet
-    (user_id, track_id, score); ``index``: a table from ``run_index``."""
-    events = parse_daily(scan_lines(spark, daily))
+    (user_id, track_id, score) or an earlier output of this job; ``index``: a
+    table from ``run_index``. Refused lines go to ``<out>_refused``."""
+    parsed = parse_daily_lines(scan_lines(spark, daily))
+    _write_refused(spark, refused_events(parsed), f"{out}_refused")
     index = _index(spark, vectors, index, k)
-    prev = spark.read.parquet(previous) if previous else None
-    recs = recommend(events, index, _pairs_or_empty(spark, dismissals), prev, n)
+    prev = read_previous_recs(spark, previous) if previous else None
+    recs = recommend(_good(parsed, DAILY_FIELDS), index, _pairs_or_empty(spark, dismissals),
+                     prev, n)
     return write_user_recs(recs, out, n)
 
 
 def run_train(spark: SparkSession, accumulated: str, daily: str, out: str, as_of: str,
               rank: int = 40, iterations: int = 15, blocks: int | None = None,
               alpha: float = 40.0, reg: float = 0.01) -> dict[str, str]:
-    """Model trainer: writes ``<out>/accumulated`` (lines) and ``<out>/item_factors``."""
-    acc = parse_ratings(scan_lines(spark, accumulated))
-    day = (weigh_events(parse_daily(scan_lines(spark, daily, ignore_missing=True)))
+    """Model trainer: writes ``<out>/accumulated`` (lines) and ``<out>/item_factors``,
+    and refused lines under ``<out>/refused_ratings`` and ``<out>/refused_daily``.
+    A daily path that is not there is skipped (S4)."""
+    ratings = parse_rating_lines(scan_lines(spark, accumulated))
+    _write_refused(spark, quarantine(ratings), f"{out}/refused_ratings")
+    acc = materialize(spark, filter_recent(_good(ratings, RATING_FIELDS), as_of), "recent_ratings")
+    events = parse_daily_lines(scan_lines(spark, daily, ignore_missing=True))
+    _write_refused(spark, refused_events(events), f"{out}/refused_daily")
+    day = (weigh_events(_good(events, DAILY_FIELDS))
            .select("user_id", "track_id", "ts", F.col("weight").alias("score")))
     merged = materialize(spark, merged_active_ratings(acc, day, as_of), "merged_ratings")
     lines = write_rating_lines(merged, f"{out}/accumulated")
@@ -93,11 +119,18 @@ def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
                previous: str | None = None, n: int = DEFAULT_N, k: int = DEFAULT_K,
                available_now: bool = False, processing_time: str = "10 seconds",
                timeout: float | None = None, index: str | None = None):
-    """Streaming recommender on a stream of daily-event lines (column ``value``)."""
+    """Streaming recommender on a stream of daily-event lines (column ``value``).
+    Refused lines go to ``<out>_refused/batch_id=<id>``."""
     index = _index(spark, vectors, index, k)
-    prev = spark.read.parquet(previous) if previous else None
-    transform = recommender.recommend_transform(index, _pairs_or_empty(spark, dismissals),
-                                                prev, n)
+    prev = read_previous_recs(spark, previous) if previous else None
+    recommended = recommender.recommend_transform(index, _pairs_or_empty(spark, dismissals),
+                                                  prev, n)
+
+    def transform(batch: DataFrame, batch_id: int) -> DataFrame:
+        (refused_events(parse_daily_lines(batch)).write.mode("overwrite")
+         .parquet(f"{out}_refused/batch_id={batch_id}"))
+        return recommended(batch, batch_id)
+
     return process.run_stream(lines, process.batch_dir_writer(out, transform), checkpoint,
                               available_now=available_now, processing_time=processing_time,
                               timeout=timeout)
@@ -118,6 +151,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--dismissals")
     b.add_argument("--previous")
     b.add_argument("--n", type=int, default=DEFAULT_N)
+    b.add_argument("--k", type=int, default=DEFAULT_K)
     b.add_argument("--index")
     x = sub.add_parser("index")
     x.add_argument("--vectors", required=True)
@@ -140,7 +174,10 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--lines-dir", help="read new text files here instead of Kafka")
     s.add_argument("--dismissals")
     s.add_argument("--previous")
-    s.add_argument("--n", type=int, default=30)
+    s.add_argument("--n", type=int, default=DEFAULT_N)
+    s.add_argument("--k", type=int, default=DEFAULT_K)
+    s.add_argument("--max-offsets", type=int, help="Kafka messages of one micro-batch at most")
+    s.add_argument("--min-partitions", type=int, help="split large topic partitions")
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--index")
     args = parser.parse_args(argv)
@@ -149,7 +186,7 @@ def main(argv: list[str] | None = None) -> None:
     ship_package(spark)
     if args.job == "batch":
         run_batch(spark, args.daily, args.vectors, args.out, args.dismissals, args.previous,
-                  args.n, index=args.index)
+                  args.n, args.k, index=args.index)
     elif args.job == "index":
         run_index(spark, args.vectors, args.out, args.k)
     elif args.job == "train":
@@ -159,9 +196,12 @@ def main(argv: list[str] | None = None) -> None:
         if args.lines_dir:
             lines = text_line_stream(spark, args.lines_dir)
         else:
-            lines = source.kafka_lines(spark, args.kafka_servers, args.topic)
+            lines = source.kafka_lines(spark, args.kafka_servers, args.topic,
+                                       max_offsets_per_trigger=args.max_offsets,
+                                       min_partitions=args.min_partitions)
         run_stream(spark, args.vectors, args.out, args.checkpoint, lines, args.dismissals,
-                   args.previous, args.n, processing_time=args.trigger, index=args.index)
+                   args.previous, args.n, args.k, processing_time=args.trigger,
+                   index=args.index)
 
 
 if __name__ == "__main__":

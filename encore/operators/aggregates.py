@@ -38,13 +38,15 @@ def events_by_track(events: DataFrame, weight: str = "weight") -> DataFrame:
         F.max("ts").alias("last_ts"))
 
 
-def recs_by_user(recs: DataFrame, n: int) -> DataFrame:
-    """A2: each user's recs as one sorted array; ``recs`` must already be cut
-    to ``n`` per user (the list is bounded by ``n``)."""
-    return (recs.groupBy("user_id")
-            .agg(F.sort_array(F.collect_list(F.struct(
-                F.col("rank"), F.col("track_id"), F.col("score")))).alias("recs"))
-            .withColumn("recs", F.slice("recs", 1, n)))
+def recs_by_user(recs: DataFrame, n: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """A2: each user's recs of rank 1 to ``n`` as one sorted array.
+
+    The cut is made before the lists are built, so a list holds ``n`` recs at
+    most whatever comes in. ``also`` names further columns of a rec.
+    """
+    return (recs.filter(F.col("rank") <= n).groupBy("user_id")
+            .agg(F.sort_array(F.collect_list(F.struct("rank", "track_id", "score", *also)))
+                 .alias("recs")))
 
 
 def _partial_gram(dim: int):

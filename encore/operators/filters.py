@@ -1,8 +1,9 @@
 """Filters and predicates (F1-F8).
 
 Activity filters aggregate first (partial aggregation absorbs hot keys) and
-then semi-join the small per-key table back; adaptive execution broadcasts it
-when its measured size allows and splits skewed partitions otherwise.
+then semi-join the small per-key table back over a fresh exchange of its key:
+adaptive execution broadcasts it when its measured size allows and splits
+skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.aggregates import track_activity, user_activity
+from encore.operators.joins import reshuffled
 
 # Fixed values from the reference's comments: keep three years of ratings;
 # a track needs 10 listens and activity within 6 months.
@@ -44,6 +46,11 @@ def _activity_condition(listens: Column, last: Column, cutoff: Column,
     raise ValueError(f"mode must be 'any' or 'all', not {mode!r}")
 
 
+def _with_key_in(ratings: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    wanted = kept.select(reshuffled(key).alias("_kept"))
+    return ratings.join(wanted, F.col(key) == F.col("_kept"), "left_semi")
+
+
 def filter_active_tracks(ratings: DataFrame, as_of: str,
                          min_listens: int = MIN_TRACK_LISTENS,
                          months: int = ACTIVE_MONTHS, mode: str = "any") -> DataFrame:
@@ -51,7 +58,7 @@ def filter_active_tracks(ratings: DataFrame, as_of: str,
     stats = track_activity(ratings)
     keep = stats.filter(_activity_condition(F.col("listens"), F.col("last_active"),
                                             months_before(as_of, months), min_listens, mode))
-    return ratings.join(keep.select("track_id"), "track_id", "left_semi")
+    return _with_key_in(ratings, keep, "track_id")
 
 
 def filter_active_users(ratings: DataFrame, min_ratings: int = 10,
@@ -61,7 +68,7 @@ def filter_active_users(ratings: DataFrame, min_ratings: int = 10,
     cond = F.col("listens") >= min_ratings
     if as_of is not None and months is not None:
         cond = cond & (F.col("last_active") >= months_before(as_of, months))
-    return ratings.join(stats.filter(cond).select("user_id"), "user_id", "left_semi")
+    return _with_key_in(ratings, stats.filter(cond), "user_id")
 
 
 def filter_dismissed(candidates: DataFrame, dismissals: DataFrame,

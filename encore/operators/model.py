@@ -8,12 +8,18 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.joins import reshuffled
+
 # Fixed values of the reference's training configuration.
 ALS_RANK = 40
 ALS_ITERATIONS = 15
 ALS_LAMBDA = 0.01
 ALS_ALPHA = 40.0
-ALS_BLOCKS = 2000
+
+#: (user, track) pairs of one track that one task folds; a track with more is dealt over several.
+FOLD_PAIRS = 100_000
+#: Tracks whose equations are handed on together.
+_FOLD_ROWS = 256
 
 
 def train_implicit_als(ratings: DataFrame, rank: int = ALS_RANK,
@@ -50,65 +56,104 @@ def user_factors(model: ALSModel) -> DataFrame:
     return model.userFactors.select(F.col("id").alias("user_id"), "features")
 
 
-def _partial_normal_equations(rank: int, alpha: float):
-    """Per batch and track: [sum (c-1) x x^T (rank*rank), sum c p x (rank), n positives]."""
-    def run(batches):
+def _summed_runs(rows):
+    """(track, array) rows that come in runs of one track -> each track with the sum of its arrays."""
+    track, total = None, None
+    for t, part in rows:
+        if t == track:
+            total = total + part
+            continue
+        if track is not None:
+            yield track, total
+        track, total = t, part
+    if track is not None:
+        yield track, total
+
+
+def _frames(rows, name: str):
+    ids, values = [], []
+    for t, v in rows:
+        ids.append(t)
+        values.append(v)
+        if len(ids) == _FOLD_ROWS:
+            yield pd.DataFrame({"track_id": np.array(ids, np.int64), name: values})
+            ids, values = [], []
+    if ids:
+        yield pd.DataFrame({"track_id": np.array(ids, np.int64), name: values})
+
+
+def _normal_equations(alpha: float):
+    """Rows sorted by track -> per track [sum (c-1) x x^T (rank*rank), sum c p x (rank), n positives]."""
+    def parts(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
+            ids = pdf["track_id"].to_numpy(np.int64)
             x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
             r = pdf["rating"].to_numpy(np.float64)
-            c = 1.0 + alpha * np.abs(r)
-            p = (r > 0).astype(np.float64)
-            codes, uniques = pd.factorize(pdf["track_id"])
-            parts = np.zeros((len(uniques), rank * rank + rank + 1))
-            outer = ((c - 1.0)[:, None, None] * x[:, :, None] * x[:, None, :]).reshape(len(r), -1)
-            np.add.at(parts[:, :rank * rank], codes, outer)
-            np.add.at(parts[:, rank * rank:rank * rank + rank], codes, (c * p)[:, None] * x)
-            np.add.at(parts[:, -1], codes, p)
-            yield pd.DataFrame({"track_id": np.asarray(uniques, dtype=np.int64),
-                                "v": list(parts)})
+            c, p = 1.0 + alpha * np.abs(r), (r > 0).astype(np.float64)
+            cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(ids)]):
+                own = x[lo:hi]
+                outer = (own * (c[lo:hi] - 1.0)[:, None]).T @ own
+                yield int(ids[lo]), np.concatenate(
+                    [outer.ravel(), (c[lo:hi] * p[lo:hi]) @ own, [p[lo:hi].sum()]])
+
+    def run(batches):
+        yield from _frames(_summed_runs(parts(batches)), "v")
     return run
 
 
 def _solve(rank: int, reg: float, gram: np.ndarray):
-    def run(batches):
+    """Parts sorted by track -> each track's new vector."""
+    def parts(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            out = []
-            for v in pdf["v"]:
-                v = np.asarray(v)
-                a = v[:rank * rank].reshape(rank, rank)
-                b = v[rank * rank:rank * rank + rank]
-                n = v[-1]
-                lhs = gram + a + reg * max(n, 1.0) * np.eye(rank)
-                out.append(np.linalg.solve(lhs, b))
-            yield pd.DataFrame({"track_id": pdf["track_id"], "features": out})
+            for t, v in zip(pdf["track_id"], pdf["v"]):
+                yield int(t), np.asarray(v, np.float64)
+
+    def solved(batches):
+        for t, v in _summed_runs(parts(batches)):
+            lhs = v[:rank * rank].reshape(rank, rank) + gram + reg * max(v[-1], 1.0) * np.eye(rank)
+            yield t, np.linalg.solve(lhs, v[rank * rank:-1])
+
+    def run(batches):
+        yield from _frames(solved(batches), "features")
     return run
 
 
+def events_without_factor(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Events that a fold-in can't use, as their user has no vector."""
+    return events.join(users.select("user_id"), "user_id", "left_anti")
+
+
 def fold_in_items(events: DataFrame, users: DataFrame, gram: np.ndarray,
-                  rank: int, reg: float = ALS_LAMBDA, alpha: float = ALS_ALPHA) -> DataFrame:
+                  rank: int, reg: float = ALS_LAMBDA, alpha: float = ALS_ALPHA,
+                  pairs_per_task: int = FOLD_PAIRS) -> DataFrame:
     """M4: new item vectors from the batch's events with user factors fixed.
 
     One implicit-ALS half step per track (Hu, Koren, Volinsky 2008):
     (Y^T Y + Y^T (C - I) Y + lambda n I) x = Y^T C p, where Y are the user
-    factors, C = 1 + alpha r and n the number of positive events (Spark's
+    factors, C = 1 + alpha r and n the number of positive pairs (Spark's
     scaling of lambda). ``gram`` is Y^T Y (rank x rank, from ``gram_matrix``).
+    Ratings of the same (user, track) are summed first. Users without a vector
+    tell nothing about a track; ``events_without_factor`` lists their events.
 
-    Events are folded into per-batch partial sums per track on the map side;
-    the shuffle carries rank^2 + rank + 1 numbers per track and map batch,
-    never a track's events, so a hot track costs no more than any other.
+    The pairs' user vectors are shuffled once by (track, part) and folded in
+    sorted order, one track's equations in memory at a time. Only a track with
+    more than ``pairs_per_task`` pairs has several parts, which are added up
+    in a last shuffle of one row per track and part.
     """
-    joined = (events.select("user_id", "track_id", "rating")
-              .join(users.select("user_id", F.col("features").cast("array<double>")
-                                 .alias("features")), "user_id"))
-    partial = joined.mapInPandas(_partial_normal_equations(rank, alpha),
-                                 "track_id long, v array<double>")
-    summed = (partial.select("track_id", F.posexplode("v").alias("i", "x"))
-              .groupBy("track_id", "i").agg(F.sum("x").alias("x"))
-              .groupBy("track_id")
-              .agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
-              .select("track_id", F.col("v.x").alias("v")))
-    return summed.mapInPandas(_solve(rank, reg, gram), "track_id long, features array<double>")
+    pairs = events.groupBy("user_id", "track_id").agg(F.sum("rating").cast("double").alias("rating"))
+    hot = (pairs.groupBy("track_id").agg(F.count(F.lit(1)).alias("n"))
+           .filter(F.col("n") > pairs_per_task)
+           .select(reshuffled("track_id").alias("_hot"),
+                   F.ceil(F.col("n") / pairs_per_task).alias("parts")))
+    vectors = users.select("user_id", F.col("features").cast("array<double>").alias("features"))
+    part = F.pmod(F.xxhash64("user_id"), F.coalesce("parts", F.lit(1)))
+    dealt = (pairs.join(vectors, "user_id")
+             .join(hot, F.col("track_id") == F.col("_hot"), "left").withColumn("part", part)
+             .repartition("track_id", "part").sortWithinPartitions("track_id", "user_id"))
+    parts = dealt.select("track_id", "rating", "features").mapInPandas(
+        _normal_equations(alpha), "track_id long, v array<double>")
+    return (parts.repartition("track_id").sortWithinPartitions("track_id")
+            .mapInPandas(_solve(rank, reg, gram), "track_id long, features array<double>"))

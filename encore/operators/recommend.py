@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.functions.score import event_weight, rec_score
+from encore.functions.score import event_weight, reason_weight, rec_score
 from encore.operators.joins import broadcast_if_bounded
 
 
@@ -32,6 +32,15 @@ def weigh_events(events: DataFrame, mode: str = "drop") -> DataFrame:
     return out.filter(F.col("weight").isNotNull())
 
 
+def refused_events(parsed: DataFrame) -> DataFrame:
+    """(line, parse_error) of the lines that get no weight, from ``parse_daily_lines``."""
+    why = (F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
+           .when(reason_weight(F.col("reason_start")).isNull(), F.lit("unknown reason"))
+           .when(event_weight(F.col("reason_start"), F.col("ms_played")).isNull(),
+                 F.lit("ms_played too large for a weight")))
+    return parsed.select("line", why.alias("parse_error")).filter(F.col("parse_error").isNotNull())
+
+
 def user_track_weights(weighted: DataFrame) -> DataFrame:
     """(user, track) -> largest and smallest event weight (partial aggregation)."""
     w = F.col("weight").cast("double")

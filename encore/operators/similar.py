@@ -178,10 +178,13 @@ def one_vector_per_track(vectors: DataFrame) -> DataFrame:
 
     Copies of a track collapse map-side (partial aggregation), so a track
     repeated in a third of the rows cannot inflate a block; the kept vector
-    is the largest (features, label), which is deterministic.
+    is the largest (features, label), which is deterministic. Trained item
+    factors carry no label; theirs is NULL.
     """
-    clean = (vectors.select("track_id",
-                            F.col("features").cast("array<double>").alias("features"), "label")
+    label = F.col("label") if "label" in vectors.columns else F.lit(None).cast("int")
+    clean = (vectors.select(F.col("track_id").cast("bigint").alias("track_id"),
+                            F.col("features").cast("array<double>").alias("features"),
+                            label.alias("label"))
              .filter(F.col("features").isNotNull() & (F.size("features") > 0)))
     return (clean.groupBy("track_id").agg(F.max(F.struct("features", "label")).alias("v"))
             .select("track_id", "v.features", "v.label"))

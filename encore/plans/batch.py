@@ -32,11 +32,13 @@ class SimilarIndex:
     table: DataFrame
     labels: DataFrame
     n_vectors: int
-    k: int
+    rows_bound: int
 
-    @property
-    def rows_bound(self) -> int:
-        return self.k * self.n_vectors
+
+def _labels(vectors: DataFrame) -> DataFrame:
+    """Each track's label, written once: lists and micro-batches read two columns, no vectors."""
+    return materialize(vectors.sparkSession,
+                       one_vector_per_track(vectors).select("track_id", "label"), "labels")
 
 
 def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None = None,
@@ -53,16 +55,13 @@ def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None =
     build = similar_tracks if mode == "exact" else similar_tracks_lsh
     sim = build(vectors, k=k, n_vectors=n_vectors)
     table = materialize(vectors.sparkSession, sim, "similar_tracks")
-    labels = one_vector_per_track(vectors).select("track_id", "label")
-    return SimilarIndex(table, labels, n_vectors, k)
+    return SimilarIndex(table, _labels(vectors), n_vectors, k * n_vectors)
 
 
 def load_index(spark: SparkSession, index_path: str, vectors: DataFrame) -> SimilarIndex:
-    """A similar-tracks table written earlier (K6), with the bounds from its vectors."""
-    table = spark.read.parquet(index_path)
-    k = table.agg(F.max("rank").alias("k")).first()["k"] or DEFAULT_K  # one number
-    labels = one_vector_per_track(vectors).select("track_id", "label")
-    return SimilarIndex(table, labels, vectors.count(), int(k))
+    """A similar-tracks table written earlier (K6), with the row counts of the tables read."""
+    table, labels = spark.read.parquet(index_path), _labels(vectors)
+    return SimilarIndex(table, labels, labels.count(), table.count())  # both from footers
 
 
 def candidate_recs(events: DataFrame, index: SimilarIndex, dismissals: DataFrame,

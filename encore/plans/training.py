@@ -22,12 +22,14 @@ def merged_active_ratings(acc: DataFrame, daily_scores: DataFrame, as_of: str,
                           mode: str = "any") -> DataFrame:
     """F1 -> F2 -> F3 -> J1 -> F2: the new accumulated ratings (user, track, ts, rating).
 
-    ``daily_scores``: (user_id, track_id, ts, score).
+    ``daily_scores``: (user_id, track_id, ts, score). Every activity filter
+    reads its input twice, so the merged ratings are written before the last
+    one; ``acc`` should be a stored table too.
     """
     recent = filter_recent(acc, as_of)
     tracks = filter_active_tracks(recent, as_of, min_listens, months, mode)
     users = filter_active_users(tracks, min_user_ratings)
-    merged = merge_ratings(users, daily_scores)
+    merged = materialize(acc.sparkSession, merge_ratings(users, daily_scores), "merged_all")
     return filter_active_tracks(merged, as_of, min_listens, months, mode)
 
 

@@ -34,8 +34,13 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def write_user_recs(recs: DataFrame, path: str, n: int) -> str:
-    """K1: one row per user with the recs array (contents, not an object id)."""
-    return write_table(recs_by_user(recs, n), path)
+    """K1: one row per user with the recs array (contents, not an object id).
+
+    The score before the diversity step is kept where there is one: that is
+    what the next day merges with its own scores.
+    """
+    also = ("base_score",) if "base_score" in recs.columns else ()
+    return write_table(recs_by_user(recs, n, also), path)
 
 
 def read_user_recs(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +50,19 @@ def read_user_recs(spark: SparkSession, path: str) -> DataFrame:
             .select("user_id", "r.rank", "r.track_id", "r.score"))
 
 
+def read_previous_recs(spark: SparkSession, path: str) -> DataFrame:
+    """(user_id, track_id, score) of a flat table or of an earlier K1 output.
+
+    From K1 it takes the score before the diversity step, on the scale of
+    today's raw scores.
+    """
+    table = spark.read.parquet(path)
+    if "recs" in table.columns:
+        table = table.select("user_id", F.explode("recs").alias("r")).select("user_id", "r.*")
+    score = "base_score" if "base_score" in table.columns else "score"
+    return table.select("user_id", "track_id", F.col(score).alias("score"))
+
+
 def write_rating_lines(ratings: DataFrame, path: str) -> str:
     """K4: ``user,track,epoch_seconds,rating`` lines in a new directory."""
     return write_lines(to_rating_lines(ratings), path)

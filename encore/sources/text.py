@@ -6,6 +6,7 @@ partition only because it does not group by key, which we always do.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,32 +14,48 @@ from encore.functions.parse import NULL_TOKEN
 from encore.functions.time import epoch_seconds
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)  # lists the path; nothing is read
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def scan_lines(spark: SparkSession, path: str | list[str],
                ignore_missing: bool = False) -> DataFrame:
     """One row per line, column ``value``; ``path`` may be a glob.
 
-    ``ignore_missing=True`` skips files that vanish between listing and
-    reading (S4: a day's file that is not there yet is simply skipped).
+    ``ignore_missing=True`` (S4) skips paths and globs that match no file, and
+    files that vanish between listing and reading; with none left the result
+    is empty.
     """
-    reader = spark.read
-    if ignore_missing:
-        reader = reader.option("ignoreMissingFiles", "true")
-    return reader.text(path)
+    if not ignore_missing:
+        return spark.read.text(path)
+    found = [p for p in ([path] if isinstance(path, str) else path) if _is_there(spark, p)]
+    if not found:
+        return spark.createDataFrame([], "value string")
+    return spark.read.option("ignoreMissingFiles", "true").text(found)
+
+
+def _line(*fields: Column) -> Column:
+    """Fields joined by commas; a NULL is an empty field, never one field fewer."""
+    return F.concat_ws(",", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
 
 
 def daily_line(df: DataFrame) -> Column:
     """Format a daily event as ``user,track,epoch_seconds,ms_played,reason_start,reason_end``."""
-    return F.concat_ws(",", F.col("user_id").cast("string"), F.col("track_id").cast("string"),
-                       epoch_seconds(F.col("ts")).cast("string"),
-                       F.col("ms_played").cast("string"), F.col("reason_start"),
-                       F.coalesce(F.col("reason_end"), F.lit(NULL_TOKEN)))
+    return _line(F.col("user_id"), F.col("track_id"), epoch_seconds(F.col("ts")),
+                 F.col("ms_played"), F.col("reason_start"),
+                 F.coalesce(F.col("reason_end"), F.lit(NULL_TOKEN)))
 
 
 def rating_line(df: DataFrame) -> Column:
     """Format a rating as ``user,track,epoch_seconds,rating`` (rating with 6 decimals)."""
-    return F.concat_ws(",", F.col("user_id").cast("string"), F.col("track_id").cast("string"),
-                       epoch_seconds(F.col("ts")).cast("string"),
-                       F.col("rating").cast("decimal(38,6)").cast("string"))
+    return _line(F.col("user_id"), F.col("track_id"), epoch_seconds(F.col("ts")),
+                 F.col("rating").cast("decimal(38,6)"))
 
 
 def to_daily_lines(df: DataFrame) -> DataFrame:

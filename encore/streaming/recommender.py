@@ -53,9 +53,7 @@ def fold_in_transform(users: DataFrame, gram, rank: int):
 
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = weigh_events(parse_daily(batch_lines))
-        ratings = (events.groupBy("user_id", "track_id")
-                   .agg(F.sum("weight").cast("double").alias("rating"))
-                   .select(F.col("user_id").cast("int").alias("user_id"), "track_id", "rating"))
+        ratings = events.select("user_id", "track_id", F.col("weight").alias("rating"))
         vectors = fold_in_items(ratings, users, gram, rank)
         return vectors.withColumn("batch_id", F.lit(batch_id))
     return transform

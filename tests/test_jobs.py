@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from encore import jobs
 from encore.functions.parse import parse_ratings
+from encore.functions.score import REASON_WEIGHTS
 from encore.plans import batch
 from encore.session import scratch_path
-from encore.sinks.files import read_user_recs, write_table
+from encore.sinks.files import read_previous_recs, read_user_recs, write_table
 from encore.sources import testdata as td
 from encore.sources.text import scan_lines, to_daily_lines, to_rating_lines, write_lines
 from tests.conftest import SF_MID, SF_SMALL
@@ -76,3 +77,26 @@ def test_prebuilt_index_gives_the_same_recs(spark, inputs):
                        inputs["dismissals"], inputs["previous"], index=index)
     ra, rb = read_user_recs(spark, a).toPandas(), read_user_recs(spark, b).toPandas()
     assert len(ra) > 0 and rows(ra) == rows(rb)
+
+
+def test_jobs_feed_each_other(spark, inputs):
+    """Trainer -> index -> first day -> second day; a day that is not there yet; refused lines."""
+    acc = write_lines(to_rating_lines(td.acc(spark, SF_MID)), scratch_path(spark, "c_acc"))
+    daily = td.daily(spark, SF_MID)
+    bad = spark.createDataFrame([("no,event",), ("1,2,1445047130,1.0,telepathy,null",)], "value string")
+    day = write_lines(to_daily_lines(daily).unionByName(bad), scratch_path(spark, "c_day"))
+    model = jobs.run_train(spark, acc, [day, day + "-tomorrow"], scratch_path(spark, "c_train"),
+                           "2024-01-25", rank=4, iterations=2, blocks=2)
+    factors = model["item_factors"]
+    index = jobs.run_index(spark, factors, scratch_path(spark, "c_index"))
+    first = jobs.run_batch(spark, day, factors, scratch_path(spark, "c_first"), index=index)
+    counts = {r.parse_error: r.n for r in spark.read.parquet(first + "_refused/counts").collect()}
+    unknown = daily.filter(~F.col("reason_start").isin(*REASON_WEIGHTS)).count()
+    assert counts == {"expected 6 fields, found 2": 1, "unknown reason": unknown + 1}
+    second = jobs.run_batch(spark, day, factors, scratch_path(spark, "c_second"), index=index,
+                            previous=first)
+    a, b = read_user_recs(spark, first).toPandas(), read_user_recs(spark, second).toPandas()
+    # the same day again: the earlier list holds the same raw scores, so nothing changes
+    assert len(a) > 0 and rows(a) == rows(b)
+    raw = read_previous_recs(spark, first).toPandas()
+    assert len(raw) == len(a) and (raw.score >= 0).any()

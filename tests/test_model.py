@@ -4,7 +4,7 @@ import numpy as np
 
 from tests.conftest import SF_SMALL
 from encore.operators.aggregates import gram_matrix
-from encore.operators.model import fold_in_items, item_factors, train_implicit_als
+from encore.operators.model import events_without_factor, fold_in_items, item_factors, train_implicit_als
 from encore.plans.training import history_training_ratings
 
 
@@ -14,15 +14,19 @@ def test_fold_in_matches_numpy(spark):
     users = rng.normal(size=(6, rank))
     events = [(0, 10, 1.0), (1, 10, 2.0), (2, 10, 1.0), (3, 11, 4.0), (4, 11, 1.0),
               (5, 12, 1.0)]
+    repeated = [(0, 10, 0.25), (0, 10, 0.75)] + events[1:] + [(9, 10, 5.0)]  # user 9 has no vector
     udf_ = spark.createDataFrame([(i, users[i].tolist()) for i in range(6)],
                                  "user_id int, features array<double>")
-    edf = spark.createDataFrame(events, "user_id int, track_id long, rating double")
+    edf = spark.createDataFrame(repeated, "user_id int, track_id long, rating double")
     gram = np.zeros((rank, rank))
     for r in gram_matrix(udf_.repartition(3), dim=rank).collect():
         gram[r.i, r.j] = r.value
     np.testing.assert_allclose(gram, users.T @ users, atol=1e-9)
-    got = {r.track_id: np.array(r.features)
-           for r in fold_in_items(edf.repartition(2), udf_, gram, rank, reg, alpha).collect()}
+    assert [r.user_id for r in events_without_factor(edf, udf_).collect()] == [9]
+    got, dealt = ({r.track_id: np.array(r.features) for r in fold_in_items(
+        edf.repartition(2), udf_, gram, rank, reg, alpha, pairs_per_task=pairs).collect()}
+        for pairs in (100, 1))
+    assert sorted(got) == sorted(dealt) == [10, 11, 12]
     for track in (10, 11, 12):
         rows = [(u, r) for u, t, r in events if t == track]
         a = users.T @ users
@@ -33,6 +37,7 @@ def test_fold_in_matches_numpy(spark):
             b += c * users[u]
         a += reg * len(rows) * np.eye(rank)
         np.testing.assert_allclose(got[track], np.linalg.solve(a, b), rtol=1e-8)
+        np.testing.assert_allclose(dealt[track], got[track], rtol=1e-8)
 
 
 def test_als_factors_are_finite_and_one_per_track(spark):

@@ -2,9 +2,15 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from encore.functions.parse import (parse_daily, parse_daily_lines, parse_ratings,
                                     quarantine, to_als_rating)
 from encore.operators.partitions import parse_daily_in_pandas
+from encore.operators.recommend import refused_events
+from encore.session import scratch_path
+from encore.sources.text import scan_lines, to_rating_lines, write_lines
 
 
 def lines(spark, values):
@@ -44,10 +50,36 @@ def test_rating_line(spark):
     assert (row.user_id, row.track_id, row.rating) == (17, 42, 20311.0)
 
 
-def test_als_rating_drops_out_of_range(spark):
-    df = spark.createDataFrame([(1, 2, 3.0), (2 ** 40, 2, 1.0), (None, 2, 1.0)],
+def test_als_rating_never_loses_an_id_silently(spark):
+    df = spark.createDataFrame([(1, 2, 3.0), (3_000_000_000, 2, 1.0), (None, 2, 1.0)],
                                "user_id long, track_id long, rating double")
-    assert [tuple(r) for r in to_als_rating(df).collect()] == [(1, 2, 3.0)]
+    with pytest.raises(Exception, match="user_id outside INT: 3000000000"):
+        to_als_rating(df).collect()
+    kept = to_als_rating(df, out_of_range="drop").collect()
+    assert [tuple(r) for r in kept] == [(1, 2, 3.0)]
+
+
+def test_refused_events_say_why(spark):
+    vals = ["1,2,1445047130,5.0,rec,null", "1,2,1445047130,5.0,telepathy,null", "x,2,1,1.0,rec,null",
+            "1,2,1445047130,123456789012,rec,null", "1,2,1445047130,NaN,rec,null"]
+    got = {r.line: r.parse_error for r in refused_events(parse_daily_lines(lines(spark, vals))).collect()}
+    assert got == {vals[1]: "unknown reason", vals[2]: "bad user_id",
+                   vals[3]: "ms_played too large for a weight", vals[4]: "bad ms_played"}
+
+
+def test_a_null_is_an_empty_field(spark):
+    df = spark.createDataFrame([(1, 2, None, None)], "user_id long, track_id long, ts timestamp_ntz, rating double")
+    assert [r.value for r in to_rating_lines(df).collect()] == ["1,2,,"]
+
+
+def test_absent_paths_are_skipped(spark):
+    there = write_lines(lines(spark, ["a"]), scratch_path(spark, "lines"))
+    gone = there + "-tomorrow"
+    assert scan_lines(spark, gone, ignore_missing=True).count() == 0
+    assert scan_lines(spark, gone + "/*.txt", ignore_missing=True).count() == 0
+    assert [r.value for r in scan_lines(spark, [gone, there], ignore_missing=True).collect()] == ["a"]
+    with pytest.raises(AnalysisException):
+        scan_lines(spark, gone)
 
 
 def test_pandas_parser_matches(spark):
