@@ -499,7 +499,7 @@ def q_stream_recommendations(spark, sf_dir):
 @query("similar_tracks_lsh")
 def q_similar_tracks_lsh(spark, sf_dir):
     from encore.operators.similar import similar_tracks_lsh
-    sim = similar_tracks_lsh(td.vectors(spark, sf_dir), k=K, dim=64)
+    sim = similar_tracks_lsh(td.vectors(spark, sf_dir), k=K)
     return sim.select("track_id", "rank", "similar_track_id", _dbl("similarity"),
                       "similar_label")
 

@@ -2,7 +2,7 @@
 
 Exact top-k (J4) without a cross join: vectors are hashed into ``nb`` blocks;
 every unordered pair of blocks becomes one group holding the two blocks, so a
-group never exceeds ``2 * block_rows`` vectors whatever the data, and each
+group holds about ``2 * block_rows`` vectors whatever the data, and each
 vector is shuffled ``nb`` times. Inside the group numpy scores the pair in
 both directions and keeps only the k best candidates per vector; a final
 top-k per track merges the ``nb`` partial lists. Pairs are never
@@ -23,10 +23,17 @@ from pyspark.sql import functions as F
 
 from encore.functions.score import SIMILARITY_TYPE
 from encore.operators.joins import broadcast_if_bounded
+from encore.sinks.files import materialize
 
 DEFAULT_BLOCK_ROWS = 16384
+#: Tracks whose exact neighbours tell how many bands a recall takes.
+RECALL_SAMPLE = 256
+#: Shuffling one vector costs about as much as scoring so many pairs.
+_COPY_COST = 512
+_MAX_BITS = 24
+_SIGNS_AT_ONCE = 1 << 22
 _QUERY_CHUNK = 512
-_NO_SCORE = np.iinfo(np.int64).min
+_NO_SCORE = -np.iinfo(np.int64).max  # its negative, used to sort, is a number too
 
 _PARTIAL_SCHEMA = ("track_id long, similar_track_id long, sim_micro long, "
                    "similar_label int, rank int")
@@ -233,28 +240,100 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
                     "similar_label"))
 
 
+def _ranked(lists: DataFrame, k: int) -> DataFrame:
+    """Scored candidates -> each track's ``k`` best, in the columns of ``similar_tracks``."""
+    w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
+                                               F.col("similar_track_id").asc())
+    return (lists.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= k)
+            .select("track_id", "rank", "similar_track_id",
+                    (F.col("sim_micro").cast("decimal(14,0)") / F.lit(1_000_000))
+                    .cast(SIMILARITY_TYPE).alias("similarity"),
+                    "similar_label"))
+
+
+def nearest_of(queries: DataFrame, vectors: DataFrame, k: int = 10,
+               n_queries: int | None = None, n_vectors: int | None = None,
+               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Exact k most similar tracks of the query tracks alone, searched in all vectors.
+
+    Both sides are cut into blocks; a group holds one block of each. Each
+    vector is shuffled once per block of queries, each query once per block
+    of vectors. A track is no neighbour of itself, also where its two vectors
+    differ. Same columns as ``similar_tracks``.
+    """
+    n_queries = queries.count() if n_queries is None else n_queries
+    n_vectors = vectors.count() if n_vectors is None else n_vectors
+    q_blocks, v_blocks = (max(1, math.ceil(n / block_rows)) for n in (n_queries, n_vectors))
+
+    def placed(df, side, own, n_own, other, n_other):
+        return one_vector_per_track(df).select(
+            F.pmod(F.xxhash64("track_id"), F.lit(n_own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
+            F.lit(side).alias("side"), "track_id", "features", "label")
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked, found = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        if asked.empty or found.empty:
+            return _empty_partial()
+        return pd.concat(_score(asked, found, k, False), ignore_index=True)
+
+    both = (placed(queries, 0, "qb", q_blocks, "vb", v_blocks)
+            .unionByName(placed(vectors, 1, "vb", v_blocks, "qb", q_blocks)))
+    return _ranked(both.groupBy("qb", "vb").applyInPandas(score, _PARTIAL_SCHEMA), k)
+
+
 def _hyperplane_codes(dim: int, n_bands: int, bits: int, seed: int):
     planes = np.random.default_rng(seed).standard_normal((n_bands * bits, dim))
     weights = (1 << np.arange(bits)).astype(np.int64)
+    step = max(1, _SIGNS_AT_ONCE // len(planes))
 
     def run(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-            signs = (x @ planes.T >= 0).reshape(len(x), n_bands, bits)
-            codes = (signs * weights).sum(axis=2)
-            yield pd.DataFrame({
-                "track_id": np.repeat(pdf["track_id"].to_numpy(np.int64), n_bands),
-                "band": np.tile(np.arange(n_bands, dtype=np.int32), len(x)),
-                "bucket": codes.ravel().astype(np.int64),
-            })
+            for start in range(0, len(pdf), step):
+                rows = pdf.iloc[start:start + step]
+                x = np.stack(rows["features"].to_numpy()).astype(np.float64)
+                signs = (x @ planes.T >= 0).reshape(len(x), n_bands, bits)
+                yield pd.DataFrame({
+                    "track_id": np.repeat(rows["track_id"].to_numpy(np.int64), n_bands),
+                    "band": np.tile(np.arange(n_bands, dtype=np.int32), len(x)),
+                    "bucket": (signs @ weights).ravel().astype(np.int64),
+                })
     return run
 
 
-def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
-                       n_bands: int = 8, bits: int | None = None, seed: int = 7,
-                       bucket_target: int = 512, n_vectors: int | None = None,
+def bands_for_recall(similarities: np.ndarray, bits: int, target_recall: float) -> int:
+    """Fewest bands of ``bits`` sign bits in which pairs of these cosines meet, on
+    average, with probability ``target_recall``: two vectors at angle t share a
+    sign with probability 1 - t / pi."""
+    same = (1.0 - np.arccos(np.clip(similarities, -1.0, 1.0)) / np.pi) ** bits
+    reached = lambda n: np.mean(1.0 - (1.0 - same) ** n) >= target_recall
+    high = 1
+    while not reached(high):
+        high *= 2
+        if high > 1 << 20:
+            raise ValueError(f"no number of bands of {bits} bits finds {target_recall} of the lists")
+    low = high // 2
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if reached(middle) else (middle, high)
+    return high
+
+
+def _lsh_shape(similarities: np.ndarray, n_vectors: int, bits: int | None,
+               target_recall: float) -> tuple[int, int]:
+    """(bands, bits): the given ``bits``, or those with the least copies and scored pairs."""
+    shapes = []
+    for b in range(1, _MAX_BITS + 1) if bits is None else [bits]:
+        bands = bands_for_recall(similarities, b, target_recall)
+        shapes.append((bands * (_COPY_COST + n_vectors / 2 ** b), bands, b))
+        if bands * _COPY_COST > shapes[0][0]:
+            break  # more bits only take more bands
+    return min(shapes)[1:]
+
+
+def similar_tracks_lsh(vectors: DataFrame, k: int = 10, n_bands: int | None = None,
+                       bits: int | None = None, seed: int = 7, target_recall: float = 0.9,
                        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Approximate k most similar tracks with random-hyperplane LSH.
 
@@ -263,39 +342,50 @@ def similar_tracks_lsh(vectors: DataFrame, k: int = 10, dim: int | None = None,
     the same bounded block pairs as the exact form (a hot bucket is split into
     blocks, never expanded into pairs); the best score per pair over bands is
     kept and cut to ``k`` per track. Same output as ``similar_tracks``.
-    ``bits`` defaults to the number that leaves about ``bucket_target``
-    vectors per bucket.
+
+    Bands follow from the bits and ``target_recall``: the exact neighbours of
+    ``RECALL_SAMPLE`` tracks (by hash of the id) tell how alike neighbours
+    are. Bits left open are those that copy and score least. Tracks whose
+    buckets gave fewer than ``k`` candidates are searched in all vectors, so
+    every list is as long as the exact one.
     """
-    if bits is None:
-        if n_vectors is None:
-            n_vectors = vectors.count()
-        bits = max(1, math.ceil(math.log2(max(2.0, n_vectors / bucket_target))))
-    if dim is None:
-        dim = len(vectors.select("features").first()[0])
-    vec = one_vector_per_track(vectors)
+    spark = vectors.sparkSession
+    vec = materialize(spark, one_vector_per_track(vectors), "lsh_vectors")
+    n_vectors = vec.count()  # from the footers
+    if n_vectors == 0:
+        return similar_tracks(vec, k, 0, block_rows)
+    if n_bands is None or bits is None:
+        sample = vec.orderBy(F.xxhash64("track_id"), "track_id").limit(RECALL_SAMPLE)
+        near = nearest_of(sample, vec, k, RECALL_SAMPLE, n_vectors, block_rows)
+        # at most RECALL_SAMPLE * k numbers
+        cosines = near.select(F.col("similarity").cast("double")).toPandas()["similarity"].to_numpy()
+        if len(cosines) == 0:  # no two vectors with a direction
+            return similar_tracks(vec, k, n_vectors, block_rows)
+        found, bits = _lsh_shape(cosines, n_vectors, bits, target_recall)
+        n_bands = found if n_bands is None else n_bands
+    dim = len(vec.select("features").first()[0])
     codes = vec.select("track_id", "features").mapInPandas(
         _hyperplane_codes(dim, n_bands, bits, seed), "track_id long, band int, bucket long")
+    # a track alone in its bucket meets nobody there
     sizes = (codes.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
-             .withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("size") / block_rows))
-                         .cast("int")))
-    # one row per (band, bucket): at most n_bands * 2^bits rows
-    placed = (codes.join(broadcast_if_bounded(sizes, n_bands * 2 ** bits), ["band", "bucket"])
+             .filter(F.col("size") > 1)
+             .select("band", "bucket",
+                     F.ceil(F.col("size") / block_rows).cast("int").alias("nb")))
+    bound = n_bands * min(2 ** bits, n_vectors // 2)
+    placed = (codes.join(broadcast_if_bounded(sizes, bound), ["band", "bucket"])
               .join(vec, "track_id")
               .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.col("nb")).cast("int")))
     partial = (_pair_layout(placed, F.col("nb"), ["band", "bucket"])
                .groupBy("band", "bucket", "lo", "hi")
                .applyInPandas(_pair_top_k(k, False), _PARTIAL_SCHEMA))
     best = (partial.groupBy("track_id", "similar_track_id")
-            .agg(F.max("sim_micro").alias("sim_micro"), F.first("similar_label").alias(
-                "similar_label")))
-    w = Window.partitionBy("track_id").orderBy(F.col("sim_micro").desc(),
-                                               F.col("similar_track_id").asc())
-    return (best.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k)
-            .select("track_id", "rank", "similar_track_id",
-                    (F.col("sim_micro").cast("decimal(14,0)") / F.lit(1_000_000))
-                    .cast(SIMILARITY_TYPE).alias("similarity"),
-                    "similar_label"))
+            .agg(F.max("sim_micro").alias("sim_micro"),
+                 F.max("similar_label").alias("similar_label")))
+    lists = materialize(spark, _ranked(best, k), "lsh_lists")
+    full = lists.filter(F.col("rank") == k).select("track_id")
+    short = vec.join(full, "track_id", "left_anti")
+    return (lists.join(full, "track_id", "left_semi")
+            .unionByName(nearest_of(short, vec, k, None, n_vectors, block_rows)))
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:

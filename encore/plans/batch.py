@@ -52,8 +52,8 @@ def build_index(vectors: DataFrame, k: int = DEFAULT_K, n_vectors: int | None =
         raise ValueError(f"mode must be 'exact' or 'lsh', not {mode!r}")
     if n_vectors is None:
         n_vectors = vectors.count()
-    build = similar_tracks if mode == "exact" else similar_tracks_lsh
-    sim = build(vectors, k=k, n_vectors=n_vectors)
+    sim = (similar_tracks(vectors, k, n_vectors) if mode == "exact"
+           else similar_tracks_lsh(vectors, k))
     table = materialize(vectors.sparkSession, sim, "similar_tracks")
     return SimilarIndex(table, _labels(vectors), n_vectors, k * n_vectors)
 

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from tests.conftest import SF_MID, SF_SMALL
-from encore.operators.similar import recall_at_k, similar_tracks, similar_tracks_lsh
+from encore.operators.similar import (nearest_of, recall_at_k, similar_tracks,
+                                      similar_tracks_lsh)
 from encore.sources import testdata as td
 
 
@@ -30,14 +31,39 @@ def test_blocked_exact_matches_brute_force(spark, block_rows):
     assert len(got) == 10 * len(want)
 
 
-def test_lsh_recall(spark):
+@pytest.mark.parametrize("bits", [None, 2, 6])
+def test_lsh_recall_and_full_lists(spark, bits):
     vec = td.vectors(spark, SF_MID)
+    exact = similar_tracks(vec, k=10).cache()
+    approx = similar_tracks_lsh(vec, k=10, bits=bits).cache()
+    assert recall_at_k(approx, exact).collect()[0].recall >= 0.8
+    assert approx.count() == exact.count()
+
+
+def test_lsh_completes_short_lists(spark):
+    vec = td.vectors(spark, SF_SMALL)
     exact = similar_tracks(vec, k=10)
-    approx = similar_tracks_lsh(vec, k=10, dim=64, bucket_target=64)
-    recall = recall_at_k(approx, exact).collect()[0].recall
-    assert recall >= 0.8
-    # every approximate pair carries its true similarity, so it can't beat exact
-    assert approx.count() <= exact.count()
+    # one band of many bits: nearly every track is alone in its bucket
+    approx = similar_tracks_lsh(vec, k=10, n_bands=1, bits=20)
+    assert recall_at_k(approx, exact).collect()[0].recall == 1.0
+    assert approx.count() == exact.count()
+
+
+def test_lsh_of_few_or_no_vectors(spark):
+    schema = "track_id long, features array<double>, label int"
+    rows = [(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 2), (3, [0.0, 0.0], 3), (4, None, 4)]
+    for own in (rows, rows[2:], []):
+        vec = spark.createDataFrame(own, schema)
+        assert sorted(similar_tracks_lsh(vec).collect()) == sorted(similar_tracks(vec).collect())
+
+
+def test_nearest_of_equals_the_exact_lists(spark):
+    vec = td.vectors(spark, SF_SMALL)
+    asked = vec.filter("track_id % 7 = 0")
+    got = nearest_of(asked, vec, k=10, block_rows=30)
+    want = similar_tracks(vec, k=10).filter("track_id % 7 = 0")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
 
 
 def test_lsh_index_is_the_callers_choice(spark):
