@@ -1,11 +1,11 @@
 """Per-user Bloom filter of dismissed tracks.
 
 The filter may drop a few extra candidates (false positives, bounded by
-``fp_rate``) but never keeps a dismissed one. Each user gets ``m`` bits sized
-from their own number of dismissals and ``k`` salted ``xxhash64`` positions
-per track. Bits are stored with Spark's bitmap functions: one 4 KB bitmap per
-(user, bucket of 32,768 bits), built with partial aggregation, so a user with
-a third of all dismissals spreads over many rows. Probing is JVM-side.
+``fp_rate``) but never keeps a dismissed one. A user's dismissals make one
+filter of 64-bit words, joined once to the user's candidates; all bits of a
+candidate are tested in that row, JVM-side. A user with more than
+``PART_ITEMS`` dismissals has several filters, dealt by track, so no row grows
+with the data and a user with a third of all dismissals spreads over many.
 """
 
 from __future__ import annotations
@@ -15,61 +15,80 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.joins import reshuffled
+
 LN2 = math.log(2.0)
-MIN_BITS = 64
+WORD_BITS = 64
+#: Dismissals of one filter, about; at a rate of 0.01 it takes some 5 KB.
+PART_ITEMS = 4096
+
+
+def _with_part(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """Each row's filter number: 0, or by track for a user with several filters."""
+    part = F.pmod(F.xxhash64("track_id"), F.coalesce("_parts", F.lit(1)))
+    return (df.join(hot, F.col("user_id").cast("bigint") == F.col("_hot"), "left")
+            .withColumn("_part", part).drop("_hot", "_parts"))
+
+
+def _bit_position(salt: Column) -> Column:
+    return F.pmod(F.xxhash64("user_id", "track_id", salt), F.size("_words") * WORD_BITS)
+
+
+def hot_users(dismissals: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
+    """(user, number of filters) of the users whose dismissals don't fit one."""
+    return (dismissals.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > part_items)
+            .select(reshuffled("user_id").alias("_hot"),
+                    F.ceil(F.col("n") / part_items).alias("_parts")))
 
 
-def _sizes(dismissals: DataFrame, fp_rate: float) -> DataFrame:
+def build_bloom(dismissals: DataFrame, hot: DataFrame, fp_rate: float = 0.01) -> DataFrame:
+    """(user_id, _part, n_hashes, _words ARRAY<BIGINT>): one row per filter."""
     bits_per_item = -math.log(fp_rate) / (LN2 * LN2)
-    n = F.count(F.lit(1))
-    return (dismissals.groupBy("user_id").agg(n.alias("n_items"))
-            .withColumn("m_bits", F.greatest(F.lit(MIN_BITS),
-                                             F.ceil(F.col("n_items") * bits_per_item))
-                        .cast("bigint"))
-            .withColumn("n_hashes", F.greatest(F.lit(1), F.round(
-                F.col("m_bits") / F.col("n_items") * LN2)).cast("int")))
-
-
-def _positions(df: DataFrame) -> DataFrame:
-    """One row per (row, salt) with the 1-based bit position of that hash."""
-    salted = df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_hashes") - 1)))
-    pos = F.pmod(F.xxhash64("user_id", "track_id", "salt"), F.col("m_bits")) + 1
-    return (salted.withColumn("bucket", F.bitmap_bucket_number(pos))
-            .withColumn("bit", F.bitmap_bit_position(pos)))
-
-
-def build_bloom(dismissals: DataFrame, fp_rate: float = 0.01) -> tuple[DataFrame, DataFrame]:
-    """Returns (sizes: user_id, n_items, m_bits, n_hashes; bits: user_id, bucket, bitmap)."""
-    sizes = _sizes(dismissals.select("user_id", "track_id"), fp_rate)
-    bits = (_positions(dismissals.select("user_id", "track_id").join(sizes, "user_id"))
-            .groupBy("user_id", "bucket")
-            .agg(F.bitmap_construct_agg("bit").alias("bitmap")))
-    return sizes, bits
-
-
-def _bit_is_set(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substr(bitmap, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.pow(F.lit(2), bit % 8).cast("int")
-    return byte.bitwiseAND(mask) != 0
-
-
-def probe_bloom(candidates: DataFrame, sizes: DataFrame, bits: DataFrame) -> DataFrame:
-    """Candidates with ``maybe_dismissed`` (True if all k bits are set)."""
-    keyed = candidates.select("user_id", "track_id").distinct()
-    probes = _positions(keyed.join(sizes.select("user_id", "m_bits", "n_hashes"), "user_id"))
-    checked = (probes.join(bits, ["user_id", "bucket"], "left")
-               .withColumn("hit", F.coalesce(_bit_is_set(F.col("bitmap"), F.col("bit")),
-                                             F.lit(False))))
-    hits = (checked.groupBy("user_id", "track_id")
-            .agg(F.min(F.col("hit").cast("int")).alias("all_set")))
-    return (candidates.join(hits, ["user_id", "track_id"], "left")
-            .withColumn("maybe_dismissed", F.coalesce(F.col("all_set") == 1, F.lit(False)))
-            .drop("all_set"))
-
-
-def filter_dismissed_bloom(candidates: DataFrame, dismissals: DataFrame,
-                           fp_rate: float = 0.01) -> DataFrame:
+    items = _with_part(dismissals.select("user_id", "track_id"), hot)
+    key = ["user_id", "_part"]
+    sizes = (items.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("n_words", F.ceil(F.col("n") * bits_per_item / WORD_BITS).cast("int"))
+             .select(*key, "n_words", F.greatest(F.lit(1), F.round(
+                 F.col("n_words") * WORD_BITS / F.col("n") * LN2)).cast("int").alias("n_hashes")))
+    # a filter of few items would take dozens of hashes; 16 are past any rate in use
+    sizes = sizes.withColumn("n_hashes", F.least("n_hashes", F.lit(16)))
+    hashed = (items.join(sizes, key)
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_hashes") - 1)))
+              .withColumn("pos", F.pmod(F.xxhash64("user_id", "track_id", "salt"),
+                                        F.col("n_words") * WORD_BITS)))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                          (F.col("pos") % WORD_BITS).cast("int"))
+    set_bits = hashed.select(*key, "n_hashes", F.expr(f"int(pos div {WORD_BITS})").alias("word"),
+                             one.alias("bits"))
+    every_word = sizes.select(*key, "n_hashes",
+                              F.explode(F.sequence(F.lit(0), F.col("n_words") - 1)).alias("word"),
+                              F.lit(0).cast("bigint").alias("bits"))
+    words = (set_bits.unionByName(every_word).groupBy(*key, "n_hashes", "word")
+             .agg(F.bit_or("bits").alias("bits")))
+    # bounded: the words of one filter
+    return (words.groupBy(*key, "n_hashes")
+            .agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("w"))
+            .select(*key, "n_hashes", F.col("w.bits").alias("_words")))
+
+
+def probe_bloom(candidates: DataFrame, hot: DataFrame, filters: DataFrame) -> DataFrame:
+    """Candidates with ``maybe_dismissed`` (True if all bits of the pair are set)."""
+    def is_set(salt: Column) -> Column:
+        pos = _bit_position(salt)
+        word = F.get("_words", F.floor(pos / WORD_BITS).cast("int"))
+        return F.getbit(word, (pos % WORD_BITS).cast("int")) == 1
+
+    all_set = F.forall(F.sequence(F.lit(0), F.col("n_hashes") - 1), is_set)
+    return (_with_part(candidates, hot).join(filters, ["user_id", "_part"], "left")
+            .withColumn("maybe_dismissed", F.coalesce(all_set, F.lit(False)))
+            .drop("_part", "n_hashes", "_words"))
+
+
+def filter_dismissed_bloom(candidates: DataFrame, dismissals: DataFrame, fp_rate: float = 0.01,
+                           part_items: int = PART_ITEMS) -> DataFrame:
     """drop candidates the user's Bloom filter reports as dismissed."""
-    sizes, bits = build_bloom(dismissals, fp_rate)
-    return (probe_bloom(candidates, sizes, bits)
+    hot = hot_users(dismissals, part_items)
+    filters = build_bloom(dismissals, hot, fp_rate)
+    return (probe_bloom(candidates, hot, filters)
             .filter(~F.col("maybe_dismissed")).drop("maybe_dismissed"))

@@ -1,5 +1,7 @@
 """Bloom filter properties and filter selectivity on the test tables."""
 
+import pytest
+
 from tests.conftest import SF_MID
 from encore.catalog import _today_candidates
 from encore.operators import filters as flt
@@ -7,11 +9,12 @@ from encore.operators.bloom import filter_dismissed_bloom
 from encore.sources import testdata as td
 
 
-def test_bloom_no_false_negative_and_bounded_fp(spark):
+@pytest.mark.parametrize("part_items", [4096, 3])
+def test_bloom_no_false_negative_and_bounded_fp(spark, part_items):
     cands = _today_candidates(spark, SF_MID).cache()
     dis = td.dismissals(spark, SF_MID)
     exact = flt.filter_dismissed(cands, dis)
-    bloom = filter_dismissed_bloom(cands, dis, fp_rate=0.01)
+    bloom = filter_dismissed_bloom(cands, dis, fp_rate=0.01, part_items=part_items).cache()
     # never keeps a dismissed pair
     assert bloom.join(dis, ["user_id", "track_id"], "left_semi").count() == 0
     # drops only a few extra rows
