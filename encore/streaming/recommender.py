@@ -10,21 +10,65 @@ shuffles the whole dismissal or recommendation table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.parse import parse_daily
-from encore.plans.batch import SimilarIndex, candidate_recs, recommend
+from encore.operators.model import fold_in_items
+from encore.operators.recommend import weigh_events
+from encore.operators.similar import nearest_of
+from encore.plans.batch import DEFAULT_K, SimilarIndex, candidate_recs, recommend
+
+
+@dataclass
+class Refresh:
+    """M4 in the stream: what re-solves the vectors of a batch's tracks.
+
+    ``vectors`` (track_id, features, label) are the item factors the index was
+    built from and ``users`` the user factors of the same model, with ``gram``
+    = Y^T Y; ``k`` is the length of the index's lists.
+    """
+    vectors: DataFrame
+    users: DataFrame
+    gram: np.ndarray
+    rank: int
+    k: int = DEFAULT_K
+
+
+def refreshed_index(index: SimilarIndex, events: DataFrame, refresh: Refresh) -> SimilarIndex:
+    """The index with the lists of the batch's tracks searched anew by their refreshed vectors.
+
+    Only tracks played by a user with a vector are refreshed; the others keep
+    their stored lists. The batch's tracks are asked against all vectors in
+    blocks; their neighbours' vectors stay as stored.
+    """
+    ratings = (weigh_events(events).select("user_id", "track_id", F.col("weight").alias("rating"))
+               .join(refresh.users.select("user_id"), "user_id", "left_semi"))
+    tracks = ratings.select("track_id").distinct()
+    n_tracks = tracks.count()
+    fresh = fold_in_items(ratings, refresh.users, refresh.gram, refresh.rank)
+    lists = nearest_of(fresh, refresh.vectors, refresh.k, n_tracks, index.n_vectors)
+    columns = ["track_id", "similar_track_id", "similarity"]
+    table = (index.table.join(tracks, "track_id", "left_anti").select(*columns)
+             .unionByName(lists.select(*columns)))
+    return replace(index, table=table, rows_bound=index.rows_bound + refresh.k * n_tracks)
 
 
 def recommend_transform(index: SimilarIndex, dismissals: DataFrame,
-                        previous: DataFrame | None, n: int = 30):
-    """foreachBatch transform: daily lines -> final recs of the batch's users."""
+                        previous: DataFrame | None, n: int = 30, refresh: Refresh | None = None):
+    """foreachBatch transform: daily lines -> final recs of the batch's users.
+
+    With ``refresh``, candidates come from the batch's refreshed track vectors.
+    """
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = parse_daily(batch_lines)
         users = events.select("user_id").distinct()
         prev = None if previous is None else previous.join(users, "user_id", "left_semi")
-        out = recommend(events, index, dismissals.join(users, "user_id", "left_semi"), prev, n)
+        known = index if refresh is None else refreshed_index(index, events, refresh)
+        out = recommend(events, known, dismissals.join(users, "user_id", "left_semi"), prev, n)
         return out.select("user_id", "rank", "track_id", "score", "base_score",
                           F.lit(batch_id).alias("batch_id"))
     return transform
@@ -48,9 +92,6 @@ def fold_in_transform(users: DataFrame, gram, rank: int):
     implicit rating; item vectors are re-solved against the fixed user
     factors ``users`` with the broadcast ``gram`` = Y^T Y (rank x rank).
     """
-    from encore.operators.model import fold_in_items
-    from encore.operators.recommend import weigh_events
-
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = weigh_events(parse_daily(batch_lines))
         ratings = events.select("user_id", "track_id", F.col("weight").alias("rating"))

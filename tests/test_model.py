@@ -82,3 +82,49 @@ def test_stream_fold_in_equals_batch_fold_in(spark):
     assert set(streamed) == set(batch) and len(batch) > 0
     for t in batch:
         np.testing.assert_allclose(streamed[t], batch[t], rtol=1e-9, atol=1e-12)
+
+
+def test_stream_candidates_use_refreshed_vectors(spark):
+    from pyspark.sql import functions as F
+
+    from encore.functions.parse import parse_daily, to_als_rating
+    from encore.operators.model import user_factors
+    from encore.operators.recommend import weigh_events
+    from encore.plans.batch import build_index
+    from encore.sources import testdata as td
+    from encore.sources.text import to_daily_lines
+    from encore.streaming.recommender import Refresh, recommend_transform, refreshed_index
+    rank = 4
+    model = train_implicit_als(to_als_rating(td.acc(spark, SF_SMALL)), rank=rank, iterations=3,
+                               blocks=2)
+    users, vectors = user_factors(model).cache(), item_factors(model).cache()
+    gram = np.zeros((rank, rank))
+    for r in gram_matrix(users, dim=rank).collect():
+        gram[r.i, r.j] = r.value
+    index = build_index(vectors, k=5)
+    refresh = Refresh(vectors, users, gram, rank, k=5)
+    lines = to_daily_lines(td.plays(spark, SF_SMALL)).limit(40).cache()
+    events = parse_daily(lines)
+    fresh = {r.track_id: np.array(r.features) for r in fold_in_items(
+        weigh_events(events).select("user_id", "track_id", F.col("weight").alias("rating")),
+        users, gram, rank).collect()}
+    stored = {r.track_id: np.array(r.features) for r in vectors.collect()}
+    before = {t: [] for t in stored}
+    for r in index.table.orderBy("track_id", "rank").collect():
+        before[r.track_id].append(r.similar_track_id)
+    after = {}
+    for r in refreshed_index(index, events, refresh).table.collect():
+        after.setdefault(r.track_id, {})[r.similar_track_id] = float(r.similarity)
+    assert fresh
+    for t, found in after.items():
+        if t not in fresh:
+            assert set(found) == set(before[t])
+            continue
+        cos = {o: fresh[t] @ v / np.linalg.norm(fresh[t]) / np.linalg.norm(v)
+               for o, v in stored.items() if o != t}
+        best = sorted(cos.values(), reverse=True)[:5]
+        np.testing.assert_allclose(sorted(found.values(), reverse=True), best, atol=2e-6)
+    no_dismissals = td.dismissals(spark, SF_SMALL).limit(0)
+    plain = recommend_transform(index, no_dismissals, None)(lines, 3).collect()
+    out = recommend_transform(index, no_dismissals, None, refresh=refresh)(lines, 3).collect()
+    assert out and {r.batch_id for r in out} == {3} and sorted(out) != sorted(plain)
