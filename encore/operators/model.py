@@ -16,6 +16,8 @@ ALS_ITERATIONS = 15
 ALS_LAMBDA = 0.01
 ALS_ALPHA = 40.0
 
+#: Rating rows that one ALS block takes in, about.
+BLOCK_RATINGS = 1_000_000
 #: (user, track) pairs of one track that one task folds; a track with more is dealt over several.
 FOLD_PAIRS = 100_000
 #: Tracks whose equations are handed on together.
@@ -28,17 +30,18 @@ def train_implicit_als(ratings: DataFrame, rank: int = ALS_RANK,
                        seed: int = 42, checkpoint_interval: int = 10) -> ALSModel:
     """M1: implicit-feedback ALS on (user_id INT, track_id INT, rating).
 
-    ``blocks`` defaults to the cluster's default parallelism (its total
-    cores: one user and one item block per core; the reference's 2000 is for
-    its own cluster). Lineage is cut every ``checkpoint_interval`` iterations
+    ``blocks`` defaults to a user and an item block per ``BLOCK_RATINGS``
+    ratings, at least one per core that the session has when the fit starts
+    (pass a written table: its rows are counted). Lineage is cut every ``checkpoint_interval`` iterations
     into the session's checkpoint folder, so a lost executor costs at most
     that many iterations.
     """
     if blocks is None:
         try:
-            blocks = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
+            cores = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
         except Exception:  # no driver-side context (Spark Connect)
-            blocks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions", "10"))
+            cores = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions", "10"))
+        blocks = max(cores, -(-ratings.count() // BLOCK_RATINGS))
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user_id", itemCol="track_id", ratingCol="rating",
               numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
