@@ -26,6 +26,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def objects(columns: list[str], values) -> pd.DataFrame:
+    """Rows as they were fetched: a NULL stays None and a BIGINT an int, where
+    ``toPandas`` and ``df`` make some such columns floats with NaN."""
+    return pd.DataFrame([tuple(v) for v in values], columns=columns, dtype=object)
+
+
+def duck_rows(con: duckdb.DuckDBPyConnection, sql: str) -> pd.DataFrame:
+    done = con.execute(sql)
+    return objects([d[0] for d in done.description], done.fetchall())
+
+
 STRICT = False
 
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tests.oracle_compare import duck, rows
+from tests.oracle_compare import duck, duck_rows, objects, rows
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
@@ -23,11 +23,11 @@ SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
-    got = df.toPandas()
+    got = objects(df.columns, df.collect())
     if key not in ORACLE:
         assert len(got) > 0
         return
-    want = con.execute(ORACLE[key]).df()
+    want = duck_rows(con, ORACLE[key])
     assert sorted(got.columns) == sorted(want.columns)
     spark_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType))
                    for f in df.schema.fields}
