@@ -14,9 +14,10 @@ filter only thins: whatever size the benchmark has, the join decides, and the
 words around each hit verify the overlap.
 
 Defined cases: null and empty texts overlap nothing; a null doc_id is kept as
-null; several overlaps of a document with an item are one row; rows that
-repeat a doc_id are one document; other columns are ignored; an empty table
-on either side gives an empty result.
+null; several overlaps of a document with an item are one row; rows that agree
+in doc_id and text are one document, rows that share a null or repeated doc_id
+but not the text are documents of their own, each with rows of its own; other
+columns are ignored; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import NULL_ID, keyed_texts, opaque, tidy
+from .tables import NULL_ID, keyed_texts, opaque, text_digest, tidy, without
 from .windows import word_chunks
 
 WINDOW, MISMATCHES = 13, 2
@@ -38,15 +39,15 @@ SPAN = 8
 AROUND = WINDOW - SPAN
 BLOOM_HASHES, BITS_PER_SEED, LEAST_BITS, MOST_BITS = 4, 64, 20, 27
 _SALT = b.mix(np.arange(77, 77 + len(MASKS) + WINDOW, dtype=np.uint64))
-_ROW = "doc_id long, place long, hash long, around binary"
+_ROW = "doc_id long, th long, place long, hash long, around binary"
 
 
-def word_hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(doc_id, first word, word hashes) of each text, long ones in pieces that overlap by a window."""
+def word_hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(doc_id, th, first word, word hashes) of each text, long ones in pieces that overlap by a window."""
     for chunk in word_chunks(batch, WINDOW, 1, lower=True):
         words = chunk.spans.every(1)
         for row in range(len(chunk.doc_id)):
-            yield int(chunk.doc_id[row]), int(chunk.base[row]), words[chunk.begin[row]:chunk.end[row]]
+            yield int(chunk.doc_id[row]), int(chunk.th[row]), int(chunk.base[row]), words[chunk.begin[row]:chunk.end[row]]
 
 
 def masked(words: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -77,11 +78,11 @@ def around(words: np.ndarray, place: int, span: int) -> bytes:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    ids, places, hashes, blobs = zip(*rows, strict=True) if rows else ((), (), (), ())
+    ids, th, places, hashes, blobs = zip(*rows, strict=True) if rows else ((), (), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(places, pa.int64()),
+        [pa.array(ids, pa.int64()), pa.array(th, pa.int64()), pa.array(places, pa.int64()),
          pa.array(np.array(hashes, np.uint64).view(np.int64), pa.int64()), pa.array(blobs, pa.binary())],
-        ["doc_id", "place", "hash", "around"])
+        ["doc_id", "th", "place", "hash", "around"])
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
@@ -90,15 +91,15 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for item, base, words in word_hashes(batch):
+            for item, th, base, words in word_hashes(batch):
                 if 0 < len(words) < WINDOW and not base:
-                    rows.append((item, 0, whole(words, len(words))[0], words.tobytes()))
+                    rows.append((item, th, 0, whole(words, len(words))[0], words.tobytes()))
                     continue
                 for hashes, span in masked(words):
-                    rows += [(item, base + i, h, around(words, i, span)) for i, h in enumerate(hashes)]
+                    rows += [(item, th, base + i, h, around(words, i, span)) for i, h in enumerate(hashes)]
             yield _rows(rows)
 
-    items = keyed_texts(benchmark.select(F.col("item_id").alias("doc_id"), "text"))
+    items = keyed_texts(benchmark.select(F.col("item_id").alias("doc_id"), "text"), th=text_digest())
     return items.mapInArrow(tidy(seeds), _ROW).select(
         F.col("doc_id").alias("item_id"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"),
         F.col("around").alias("item_around"))
@@ -136,7 +137,7 @@ def bloom(seeds: DataFrame) -> tuple[int, bytes, list[int]]:
 
 
 def hits(docs: DataFrame, bits: int, filled: bytes, lengths: list[int]) -> DataFrame:
-    """(doc_id, place, hash, around): hashes of documents that pass the filter."""
+    """(doc_id, th, place, hash, around): hashes of documents that pass the filter."""
 
     def passing(h: np.ndarray) -> np.ndarray:
         table = np.frombuffer(filled, np.uint8)
@@ -161,10 +162,11 @@ def hits(docs: DataFrame, bits: int, filled: bytes, lengths: list[int]) -> DataF
                         lo = int(chunk.begin[row])
                         own = words[lo:chunk.end[row]]
                         near = own[i - lo:i - lo - span].tobytes() if span < 0 else around(own, i - lo, span)
-                        rows.append((int(chunk.doc_id[row]), int(chunk.base[row]) + i - lo, hashes[i], near))
+                        rows.append((int(chunk.doc_id[row]), int(chunk.th[row]), int(chunk.base[row]) + i - lo, hashes[i],
+                                     near))
                 yield _rows(rows)
 
-    return keyed_texts(docs).mapInArrow(tidy(found), _ROW)
+    return keyed_texts(docs, th=text_digest()).mapInArrow(tidy(found), _ROW)
 
 
 def verified(mine: bytes, theirs: bytes) -> tuple[int, int, int] | None:
@@ -187,13 +189,13 @@ def verified(mine: bytes, theirs: bytes) -> tuple[int, int, int] | None:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, first_word, end_word, n_hits) for each document that overlaps an item."""
+    """(doc_id, th, item_id, first_word, end_word, n_hits) for each document that overlaps an item."""
     seeds = item_seeds(benchmark)
     bits, filled, lengths = bloom(seeds)
     mine = hits(docs, bits, filled, lengths)
     theirs = seeds.withColumn("item_hash", opaque(F.col("item_hash")))
     met = mine.join(theirs, opaque(F.col("hash")) == F.col("item_hash")).select(
-        "doc_id", "item_id", "place", "around", "item_around")
+        "doc_id", "th", "item_id", "place", "around", "item_around")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,11 +209,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     end.append(int(place[i]) + span[1])
             kept = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(kept), batch.column("item_id").take(kept), pa.array(first, pa.int64()),
-                 pa.array(end, pa.int64())], ["doc_id", "item_id", "first_word", "end_word"])
+                [*(batch.column(c).take(kept) for c in ("doc_id", "th", "item_id")), pa.array(first, pa.int64()),
+                 pa.array(end, pa.int64())], ["doc_id", "th", "item_id", "first_word", "end_word"])
 
-    rows = met.mapInArrow(tidy(check), "doc_id long, item_id long, first_word long, end_word long")
-    return rows.groupBy("doc_id", "item_id").agg(
+    rows = met.mapInArrow(tidy(check), "doc_id long, th long, item_id long, first_word long, end_word long")
+    return rows.groupBy("doc_id", "th", "item_id").agg(
         F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.count("*").alias("n_hits"))
 
 
@@ -224,5 +226,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == bad["_id"], "left_anti")
+    return without(docs, overlaps(docs, benchmark).select("doc_id", "th").distinct())

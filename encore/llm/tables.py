@@ -76,15 +76,32 @@ def text_key(told_apart: bool = True) -> Column:
     return F.hash(F.coalesce(F.col("text"), F.lit(""))) if told_apart else F.lit(0)
 
 
-def keyed_texts(docs: DataFrame, told_apart: bool = True) -> DataFrame:
+def keyed_texts(docs: DataFrame, told_apart: bool = True, th: Column | None = None) -> DataFrame:
     """(doc_id, th, text as UTF-8 bytes): ``th`` tells apart rows that share a doc_id.
 
     A null doc_id becomes ``NULL_ID``, a null text the empty text. Rows that
     agree in doc_id and text are the same document, stated several times.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-                       text_key(told_apart).alias("th"), text.cast("binary").alias("text"))
+    return docs.select(id_key().alias("doc_id"), (text_key(told_apart) if th is None else th).alias("th"),
+                       text.cast("binary").alias("text"))
+
+
+def id_key() -> Column:
+    """doc_id, or ``NULL_ID`` where it is null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+
+
+def text_digest() -> Column:
+    """64 bits of the text: with ``id_key`` they name a document where very many rows share an id."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose document (``id_key``, ``text_digest``) isn't among ``gone`` (doc_id, th)."""
+    gone = gone.select(opaque(F.col("doc_id")).alias("_gone_id"), opaque(F.col("th")).alias("_gone_th"))
+    same = (opaque(id_key()) == gone["_gone_id"]) & (opaque(text_digest()) == gone["_gone_th"])
+    return docs.join(gone, same, "left_anti")
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -332,6 +332,18 @@ def test_decontamination(spark, no_documents):
     assert decontaminate.leaks(frame, bench.limit(0)).collect() == []
 
 
+def test_decontamination_tells_rows_of_one_id_apart(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    rows = [(None, "x " + item), (None, "clean one"), (None, "clean two"), (None, None), (4, item + " y"), (4, "clean"),
+            (4, item + " z"), (5, "clean"), (6, item), (6, item)]
+    frame = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, th int").repartition(3)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = [(r.doc_id, r.text) for r in decontaminate.decontaminated(frame, bench).collect()]
+    assert sorted(kept, key=repr) == sorted([r for r in rows if item not in (r[1] or "")], key=repr)
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()), key=repr)
+    assert got == [(4, 1), (4, 1), (6, 1), (None, 1)]
+
+
 # --- shards -----------------------------------------------------------------------------------------------------------
 
 

@@ -57,3 +57,13 @@ def test_extra_columns_stay(spark, documents):
         got = out.collect()
         assert got and all(r["row"] == "r" and r["spans"] == 2 for r in got)
         docs = spark.createDataFrame(got, out.schema)
+
+
+def test_decontamination_stage_with_null_and_repeated_ids(spark):
+    item = max((r.text or "" for r in read(spark, SF, "benchmark").collect()), key=len)
+    rows = [(None, item), (None, "clean one"), (None, "clean two"), (None, None), (4, "a " + item), (4, "clean"), (5, "b")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, _gone_id int").repartition(2)
+    out = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([r for r in rows if item not in (r[1] or "")], key=repr)
