@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from encore.llm import decontaminate, minhash, quality, sentencepiece_table, superkmer
 from encore.llm.queries import sentencepiece_model
-from encore.llm.tables import NULL_ID, read, stored
+from encore.llm.tables import id_key, opaque, read, stored, text_digest, without
 
 #: Near duplicates share at least this percentage of their five-word shingles.
 PERCENT = 80
@@ -24,10 +24,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near duplicates; textless ones stay."""
-    gone = minhash.near_duplicates(docs, PERCENT).filter("not kept").select(
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"))
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == gone["_id"], "left_anti")
+    """One row, of the document with the smallest doc_id, of each group of near duplicates; textless rows stay.
+
+    Documents are told apart by doc_id and text. Of rows that agree in both
+    any one stays.
+    """
+    found = stored(minhash.grouped(docs, PERCENT), "groups")
+    kept = without(docs, found.filter("not kept"))
+    again = found.filter("kept and n > 0").groupBy("doc_id", "th").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = kept.select(id_key().alias("doc_id"), text_digest().alias("th"), row)
+    named = again.select(opaque(F.col("doc_id")).alias("_id"), opaque(F.col("th")).alias("_th"))
+    same = (opaque(keyed["doc_id"]) == named["_id"]) & (opaque(keyed["th"]) == named["_th"])
+    # F.first combines in each task, so a document stated very often is no hot key.
+    one = keyed.join(named, same, "left_semi").groupBy("doc_id", "th").agg(F.first("row").alias("row"))
+    return without(kept, again).unionAll(one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,10 +18,15 @@ block retains pairs by their signatures, confirms them on full sets and
 returns links that connect its members, no more. So each pair that meets
 under a prefix is either confirmed, refuted or already connected.
 
+A document is a doc_id and a text: rows that agree in both are one, stated
+several times; rows that share a null or repeated doc_id but not the text are
+documents of their own and linked by their sets alone. Of a component the
+document with the smallest doc_id is kept (of several, the smallest digest).
+
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle are one shingle; a null doc_id is
-ordered first and returned as null; rows that share a doc_id count as linked;
-other columns are ignored; an empty table gives an empty result.
+ordered first and returned as null; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import bytescan as b
 from .components import components
-from .tables import NULL_ID, keyed_texts, opaque, stored, tidy
+from .tables import NULL_ID, keyed_texts, opaque, stored, text_digest, tidy
 from .windows import word_chunks
 
 SHINGLE, PERCENT = 5, 85
@@ -91,23 +96,25 @@ def signature(own: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), k1 and k2 (digest of the set; null: empty), sig."""
+    """doc_id, th, n (set size), k1 and k2 (digest of the set; null: empty), sig."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, one, two, sigs = [], [], [], [], []
-            for doc_id, _, own in shingle_sets(batch):
+            ids, hashes, sizes, one, two, sigs = [], [], [], [], [], []
+            for doc_id, th, own in shingle_sets(batch):
                 ids.append(doc_id)
+                hashes.append(th)
                 sizes.append(len(own))
                 filled = len(own) > 0
                 one.append(int(b.mix(own).sum().view(np.int64)) if filled else None)
                 two.append(int(b.mix(own ^ _FACTORS[0]).sum().view(np.int64)) if filled else None)
                 sigs.append(signature(own) if filled else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "n", "k1", "k2", "sig"])
+                [*(pa.array(x, pa.int64()) for x in (ids, hashes, sizes, one, two)),
+                 pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "th", "n", "k1", "k2", "sig"])
 
-    return keyed_texts(docs).mapInArrow(tidy(signed), "doc_id long, n long, k1 long, k2 long, sig array<int>")
+    return keyed_texts(docs, th=text_digest()).mapInArrow(
+        tidy(signed), "doc_id long, th long, n long, k1 long, k2 long, sig array<int>")
 
 
 def similar_size(n: Column, m: Column, percent: int) -> Column:
@@ -148,12 +155,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             a, b_ = (batch.column(c).to_numpy() for c in ("a", "b"))
             keep = []
-            others = pa.RecordBatch.from_arrays([batch.column("b"), batch.column("th"), batch.column("text")],
+            others = pa.RecordBatch.from_arrays([batch.column("b"), batch.column("b"), batch.column("text")],
                                                 ["doc_id", "th", "text"])
             for i, (_, _, own) in enumerate(shingle_sets(others)):
                 if last[0] != a[i]:
                     one = pa.RecordBatch.from_arrays(
-                        [batch.column("a").slice(i, 1), batch.column("th").slice(i, 1),
+                        [batch.column("a").slice(i, 1), batch.column("a").slice(i, 1),
                          batch.column("text_a").slice(i, 1)], ["doc_id", "th", "text"])
                     last[:] = [a[i], next(shingle_sets(one))[2]]
                 shared = len(np.intersect1d(last[1], own, assume_unique=True))
@@ -161,10 +168,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b_[keep])], ["a", "b"])
 
-    other = texts.select(F.col("doc_id").alias("_b"), "th", "text")
-    first = texts.select(F.col("doc_id").alias("_a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("node").alias("_b"), "text")
+    first = texts.select(F.col("node").alias("_a"), F.col("text").alias("text_a"))
     met = pairs.join(other, F.col("b") == F.col("_b")).join(first, F.col("a") == F.col("_a"))
-    return met.select("a", "b", "th", "text", "text_a").mapInArrow(tidy(check), "a long, b long")
+    return met.select("a", "b", "text", "text_a").mapInArrow(tidy(check), "a long, b long")
 
 
 def _compared(table: pa.Table, matches: int, percent: int) -> pa.Table:
@@ -217,7 +224,7 @@ def across_components(posted: DataFrame, firsts: DataFrame, roots: DataFrame, cl
     mixed = mixed.select(opaque(F.col("token")).alias("_token"), blocks.alias("blocks"))
     rest = rest.join(mixed, opaque(F.col("token")) == F.col("_token")).drop("_token")
     lists = posted.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # a prefix: COORDINATES at most
-    rest = rest.join(lists, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    rest = rest.join(lists, "node").join(texts, "node")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rest = rest.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
@@ -225,15 +232,23 @@ def across_components(posted: DataFrame, firsts: DataFrame, roots: DataFrame, cl
         "token", "lo", "hi").applyInArrow(lambda table: _compared(table, matches, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
+def class_texts(docs: DataFrame, classes: DataFrame, several: bool) -> DataFrame:
+    """(node, text): one text of each of ``classes``; ``several``: documents may be stated in several rows."""
+    owners = classes.select("node", opaque(F.col("doc_id")).alias("_id"), opaque(F.col("th")).alias("_th"))
+    texts = keyed_texts(docs, th=text_digest())
+    same = (opaque(texts.doc_id) == owners["_id"]) & (opaque(texts.th) == owners["_th"])
+    out = texts.join(owners, same).select("node", "text")
+    return out.groupBy("node").agg(F.first("text").alias("text")) if several else out
+
+
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, th, n, component (its smallest doc_id), kept for each row of ``docs``; a null id is ``NULL_ID``."""
     matches = least_matches(COORDINATES, percent)
     signed = stored(signatures(docs), "signatures")
     of_class = signed.filter("k1 is not null").groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "n", "sig")).alias("first"))
-    classes = of_class.select("k1", "k2", F.col("first.doc_id").alias("node"), F.col("first.n").alias("n"),
-                              F.col("first.sig").alias("sig"))
-    classes = stored(classes, "classes")
+        F.min(F.struct("doc_id", "th", "n", "sig")).alias("first"))
+    # Ids of documents may be null or repeat, so a class gets a number of its own.
+    classes = stored(of_class.select("k1", "k2", "first.*", F.monotonically_increasing_id().alias("node")), "classes")
     posted = stored(postings(classes, matches), "postings")
     firsts = posted.groupBy("token").agg(F.min("node").alias("first"), F.count("*").alias("m")).filter("m > 1").select(
         opaque(F.col("token")).alias("_token"), "first")
@@ -244,18 +259,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = stored(with_signatures(stars, classes).filter(enough).select("a", "b"), "stars")
     # Texts of the classes that may be similar to any: what is left of the corpus for the exact check.
     in_lists = posted.join(firsts, opaque(F.col("token")) == F.col("_token")).select("node").distinct()
-    texts = keyed_texts(docs)
-    texts = texts.join(in_lists, texts.doc_id == in_lists.node, "left_semi")
-    texts = stored(texts, "candidates")
+    several = not signed.groupBy("doc_id", "th").count().filter("count > 1").isEmpty()
+    texts = stored(class_texts(docs, classes.join(in_lists, "node", "left_semi"), several), "candidates")
     links = stored(confirmed(stars, texts, percent), "confirmed")
     roots = components(links)
     more = stored(across_components(posted, firsts, roots, classes, texts, matches, percent), "across")
     if not more.isEmpty():
         roots = components(links.unionAll(more))
-    ids = classes.join(roots, "node", "left").select(
-        F.concat_ws("/", "k1", "k2").alias("_key"), F.coalesce("root", "node").alias("root"))
+    rooted = classes.join(roots, "node", "left").select(
+        F.concat_ws("/", "k1", "k2").alias("_key"), F.coalesce("root", "node").alias("root"),
+        F.struct("doc_id", "th").alias("head"))
+    heads = rooted.groupBy("root").agg(F.min("head").alias("head")).select(opaque(F.col("root")).alias("_root"), "head")
+    ids = rooted.drop("head").join(heads, opaque(F.col("root")) == F.col("_root")).select("_key", "head")
     met = signed.withColumn("key", F.concat_ws("/", "k1", "k2")).join(ids, F.col("key") == F.col("_key"), "left")
-    own = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id"))
-    root = F.coalesce("root", "doc_id")
-    return met.select(own.alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.when(root != NULL_ID, root).alias("component_id"), (root == F.col("doc_id")).alias("kept"))
+    head, th = F.coalesce("head.doc_id", "doc_id"), F.coalesce("head.th", "th")
+    return met.select("doc_id", "th", "n", head.alias("component"),
+                      ((head == F.col("doc_id")) & (th == F.col("th"))).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
+    def restored(c):
+        return F.when(F.col(c) != NULL_ID, F.col(c))
+    return grouped(docs, percent).select(restored("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                                         restored("component").alias("component_id"), "kept")

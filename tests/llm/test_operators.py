@@ -208,6 +208,43 @@ def test_links_between_members_of_one_list_are_not_lost(spark):
     assert 1 < max(sum(v[1] == w[1] for v in want.values()) for w in want.values())
 
 
+def chains_and_shared_ids():
+    """(doc_id, text) with null and repeated ids: chains of neighbours that are similar, copies, unique texts."""
+    rnd = np.random.default_rng(5)
+    rows = []
+    for chain in range(3):
+        words = [f"c{k}" for k in range(250)]
+        for i in range(25):
+            for k in rnd.integers(0, 250, 2):
+                words[k] = f"v{chain}_{i}_{k}"
+            rows.append((None if i % 3 else 7, " ".join(words)))
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows += [(3, one), (5, one), (5, two), (None, "null only one"), (None, "null only two"), (None, None), (5, None)]
+    return [*rows, rows[0], rows[1], rows[1], (5, two), (5, two + " "), (None, "null only one")]
+
+
+def test_near_duplicates_tell_rows_of_one_id_apart(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rows = chains_and_shared_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for percent in (85, 97):
+        texts = {t: k for k, t in enumerate(sorted({t for _, t in rows if t}))}
+        groups = brute_groups([(k, t) for t, k in texts.items()], percent)
+        low = {}
+        for i, t in rows:
+            if t:
+                low.setdefault(groups[texts[t]][1], set()).add(i)
+        least = {g: None if None in ids else min(ids) for g, ids in low.items()}
+        want = sorted(((i, len(shingles(t)), least[groups[texts[t]][1]] if t else i) for i, t in rows), key=repr)
+        found = minhash.near_duplicates(docs, percent).collect()
+        assert sorted((tuple(r)[:3] for r in found), key=repr) == want
+        keyed = docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
+            "doc_id", F.coalesce("doc_id", F.lit(minhash.NULL_ID))).distinct()
+        kept = minhash.grouped(docs, percent).filter("kept").distinct().join(keyed, ["doc_id", "th"]).collect()
+        assert sorted(groups[texts[r.text]][1] for r in kept if r.text) == sorted(low)
+        assert len(low) > 4
+
+
 def test_components(spark):
     rnd = np.random.default_rng(4)
     links = [(int(a), int(c)) for a, c in rnd.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1100)]

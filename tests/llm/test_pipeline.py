@@ -7,7 +7,7 @@ import corpus_pipeline
 from encore.llm import quality
 from encore.llm.tables import read
 
-from .test_operators import brute_groups, brute_leaks
+from .test_operators import brute_groups, brute_leaks, chains_and_shared_ids
 from .test_windows import brute_words
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +67,16 @@ def test_decontamination_stage_with_null_and_repeated_ids(spark):
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
     assert got == sorted([r for r in rows if item not in (r[1] or "")], key=repr)
+
+
+def test_near_duplicate_stage_with_null_and_repeated_ids(spark):
+    rows = chains_and_shared_ids()
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, th int").repartition(3)
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert out.columns == docs.columns
+    got = out.collect()
+    texts = {t: k for k, t in enumerate(sorted({t for _, t in rows if t}))}
+    groups = brute_groups([(k, t) for t, k in texts.items()], corpus_pipeline.PERCENT)
+    assert sorted(groups[texts[r.text]][1] for r in got if r.text) == sorted({g[1] for g in groups.values()})
+    assert sum(r.text is None for r in got) == 2
+    assert any(r.doc_id == 5 and r.text.startswith("b0 ") for r in got if r.text)
