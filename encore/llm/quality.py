@@ -7,9 +7,11 @@ maximises the conditional likelihood; scoring runs forward-backward over all
 lines of a text and averages the lines' marginals, weighted by their length.
 
 Fitting uses a documented sample: ``SAMPLE`` labelled documents, as many bad
-as good where there are enough, chosen by the hash of doc_id, and of each the
-first ``FIT_LINES`` lines. Chains are weighted so that good and bad count as
-among all learning labels. Scoring reads whole texts of all documents.
+as good where there are enough, chosen by the hash of doc_id, and of each all
+lines. Their features are a stored table; in each round every task sums
+forward-backward over its own texts, and the driver adds the sums. Chains are
+weighted so that good and bad count as among all learning labels. Scoring reads
+whole texts of all documents.
 
 Defined cases: a text without lines (null, empty, white space) scores the
 prior of learning labels; with nothing to learn from every score is 1; rows that
@@ -19,7 +21,8 @@ is not held out; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
 from .langid import held_out
-from .tables import tidy
+from .tables import stored, tidy
 
-SAMPLE, FIT_LINES = 3000, 48
+SAMPLE = 3000
+#: Lines of the sample that a task fits on, and padded lines that run side by side.
+PART_LINES, PADDED = 20_000, 1 << 17
 ROUNDS, RATE, DECAY = 120, 0.1, 1e-3
 THRESHOLD = 0.7
 _KINDS = 16
@@ -97,14 +102,18 @@ def line_features(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[
                            np.minimum(n / np.maximum(words, 1), 30) / 10, np.log1p(n) / 5, again,
                            alike / np.maximum(words, 1), olds / np.maximum(words, 1)])
     own[:, 3] = counts[:, 3] / n
+    return with_neighbours(own, owner).astype(np.float32), size, np.bincount(owner, minlength=len(begin))
+
+
+def with_neighbours(own: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """All features of lines from their own ones; ``owner`` is the text of each line."""
     before, after = np.zeros_like(own), np.zeros_like(own)
     same = owner[1:] == owner[:-1]
     before[1:][same] = own[:-1][same]
     after[:-1][same] = own[1:][same]
     alone = np.ones(len(own))
     alone[1:][same] = 0
-    out = np.column_stack([own, before, after, alone, np.ones(len(own))]).astype(np.float32)
-    return out, size, np.bincount(owner, minlength=len(begin))
+    return np.column_stack([own, before, after, alone, np.ones(len(own))])
 
 
 def batch_features(batch: pa.RecordBatch):
@@ -172,23 +181,29 @@ def forward_backward(state: np.ndarray, lines: np.ndarray, turn: np.ndarray, mas
     return out, moves, total
 
 
-def fit(x: np.ndarray, lines: np.ndarray, label: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of line features and of label steps, by Adam on the conditional likelihood of whole chains.
+def slopes(x: np.ndarray, lines: np.ndarray, label: np.ndarray, mass: np.ndarray, weight: np.ndarray,
+           turn: np.ndarray) -> np.ndarray:
+    """Sums over whole chains: slope by line weight and label step, then the chains' mass.
 
     A chain counts ``mass`` over its number of lines, so long texts don't outweigh the others.
     """
-    weight, turn = np.zeros(x.shape[1]), np.zeros((2, 2))
     y = np.repeat(label, lines).astype(float)
     mass = mass / np.maximum(lines, 1)
     by_line = np.repeat(mass, lines)
     steps = np.zeros((2, 2))
     for k in (0, 1):
         steps[k, k] = (mass * np.maximum(lines - 1, 0))[label == k].sum()
-    total = max(by_line.sum(), 1e-9)
+    good, moves, _ = forward_backward(x @ weight, lines, turn, mass)
+    return np.concatenate((x.T @ (by_line * (y - good)), (steps - moves).ravel(), [by_line.sum()]))
+
+
+def fit(sums: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of line features and of label steps, by Adam on the conditional likelihood; ``sums`` as ``slopes``."""
+    weight, turn = np.zeros(FEATURES), np.zeros((2, 2))
     mean, square = np.zeros(len(weight) + 4), np.zeros(len(weight) + 4)
     for k in range(1, ROUNDS + 1):
-        good, moves, _ = forward_backward(x @ weight, lines, turn, mass)
-        slope = np.concatenate((x.T @ (by_line * (y - good)), (steps - moves).ravel())) / total
+        got = sums(weight, turn)
+        slope = got[:-1] / max(got[-1], 1e-9)
         slope -= DECAY * np.concatenate((weight, turn.ravel()))
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope ** 2
@@ -198,7 +213,7 @@ def fit(x: np.ndarray, lines: np.ndarray, label: np.ndarray, mass: np.ndarray) -
 
 
 def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, float]:
-    """(label, lines, features) of the fitting sample, and the share of good among all learning labels."""
+    """(id, label, lines, own features) of the fitting sample, and the share of good among all learning labels."""
     known = labels.filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id"), 4, 2))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").cast("int").alias("label"))
     good, n = known.agg(F.sum("label"), F.count("*")).first()
@@ -207,43 +222,62 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[D
     # ``sample`` rows of two numbers: small by definition.
     chosen = F.broadcast(ids[0].unionAll(ids[1]))
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(
-        chosen, F.col("_id") == F.col("id")).select("label", "text")
+        chosen, F.col("_id") == F.col("id")).select("id", "label", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("label").to_numpy()
             for i, j, x, _, lines in batch_features(batch):
                 ends = np.cumsum(lines)
-                some = [min(int(k), FIT_LINES) for k in lines]
-                blobs = [x[e - k:e - k + m].tobytes() for e, k, m in zip(ends, lines, some, strict=True)]
+                blobs = [x[e - k:e, :OWN].tobytes() for e, k in zip(ends, lines, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(label[i:j], pa.int32()), pa.array(some, pa.int32()), pa.array(blobs, pa.binary())],
-                    ["label", "lines", "features"])
+                    [batch.column("id").slice(i, j - i), pa.array(label[i:j], pa.int32()), pa.array(lines, pa.int32()),
+                     pa.array(blobs, pa.binary())], ["id", "label", "lines", "own"])
+
+    return rows.mapInArrow(tidy(features), "id long, label int, lines int, own binary"), (good / n if n else 1.0)
+
+
+def alike_long(lines: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of texts by rising length, so many at once that padding them takes ``PADDED`` lines, or one longer text."""
+    order = np.argsort(lines, kind="stable")
+    at = 0
+    while at < len(order):
+        n = np.arange(1, len(order) - at + 1)
+        stop = at + max(1, int(np.searchsorted(n * lines[order[at:]], PADDED, "right")))
+        yield order[at:stop]
+        at = stop
 
-    return rows.mapInArrow(tidy(features), "label int, lines int, features binary"), (good / n if n else 1.0)
+
+def summed(rows: DataFrame, masses: tuple[float, float], weight: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """``slopes`` over all of ``rows``: each task sums its own texts, the driver adds the sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, lines = (batch.column(c).to_numpy().astype(np.int64) for c in ("label", "lines"))
+            for some in alike_long(lines):
+                own = np.concatenate([np.frombuffer(batch.column("own")[int(i)].as_buffer(), np.float32) for i in some])
+                n = lines[some]
+                x = with_neighbours(own.reshape(-1, OWN), np.repeat(np.arange(len(n)), n)).astype(float)
+                got = slopes(x, n, label[some], np.array(masses)[label[some]], weight, turn)
+                yield pa.RecordBatch.from_arrays([pa.array([got.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = rows.mapInArrow(tidy(run), "sums array<double>").collect()
+    # Exact sums: the order in which tasks end doesn't matter.
+    return np.array([fsum(column) for column in zip(*(r[0] for r in parts), strict=True)])
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """Line weights, step weights and prior; fitting runs in one task, on the bounded sample."""
+    """Line weights, step weights and prior."""
     rows, prior = sampled(docs, labels)
-
-    def train(table: pa.Table) -> pa.Table:
-        x = np.frombuffer(b"".join(table.column("features").to_pylist()), np.float32).reshape(-1, FEATURES)
-        order = sorted(range(table.num_rows), key=lambda i: (table["label"][i].as_py(), table["features"][i].as_py()))
-        lines, label = table.column("lines").to_numpy(), table.column("label").to_numpy()
-        starts = np.cumsum(lines) - lines
-        x = np.concatenate([x[starts[i]:starts[i] + lines[i]] for i in order])
-        lines, label = lines[order].astype(np.int64), label[order]
-        share = max(label.mean(), 1e-9)  # of good ones in the sample, against the prior
-        mass = np.where(label == 1, prior / share, (1 - prior) / max(1 - share, 1e-9))
-        weight, turn = fit(x.astype(float), lines, label, mass)
-        return pa.table({"weights": pa.array([np.concatenate((weight, turn.ravel())).tolist()])})
-
-    got = rows.withColumn("all", F.lit("all")).groupBy("all").applyInArrow(train, "weights array<double>").collect()
-    if not got:
+    rows = stored(rows, "quality-lines")
+    n, good, total = rows.agg(F.count("*"), F.sum("label"), F.sum("lines")).first()
+    if not total:
         return np.zeros(FEATURES), np.zeros((2, 2)), prior
-    w = np.array(got[0][0])
-    return w[:-4], w[-4:].reshape(2, 2), prior
+    rows = rows.filter("lines > 0").repartition(-(-total // PART_LINES), "id").sortWithinPartitions("id", "own")
+    rows = stored(rows, "quality-sample")
+    share = max(good / n, 1e-9)  # of good ones in the sample, against the prior
+    masses = (1 - prior) / max(1 - share, 1e-9), prior / share
+    return *fit(lambda weight, turn: summed(rows, masses, weight, turn)), prior
 
 
 def scores(batch: pa.RecordBatch, weight: np.ndarray, turn: np.ndarray, prior: float) -> np.ndarray:

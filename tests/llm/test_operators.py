@@ -448,6 +448,36 @@ def test_quality_on_held_out_rows(spark, documents, no_documents):
     assert kept.columns == awkward(documents).columns
 
 
+def test_quality_learns_from_all_lines_of_long_texts(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    vocab = np.array([f"word{i}" for i in range(200)])
+
+    def prose(n):
+        return [" ".join(rnd.choice(vocab, 9)) + "." for _ in range(n)]
+
+    spam = [f"BUY NOW!!! $$$ {i} !!!" for i in range(30)]
+    texts = [prose(60 + i % 9) + (spam if i % 2 else prose(30)) for i in range(40)]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "ROUNDS", 12)
+    monkeypatch.setattr(quality, "PART_LINES", 1000)
+    monkeypatch.setattr(quality, "PADDED", 700)
+    weight, turn, prior = quality.fitted(docs, labels)
+    known = [(i, t.encode()) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    ends = np.cumsum([len(t) for _, t in known])
+    x, _, lines = quality.line_features(np.frombuffer(b"".join(t for _, t in known), np.uint8),
+                                        ends - [len(t) for _, t in known], ends)
+    assert lines.min() >= 90
+    label = np.array([1 - i % 2 for i, _ in known])
+    ones = np.ones(len(known))  # sample and labels have the same share of good ones
+    want = quality.fit(lambda w, t: quality.slopes(x.astype(float), lines, label, ones, w, t))
+    assert np.allclose(weight, want[0]) and np.allclose(turn, want[1]) and np.isclose(prior, label.mean())
+    batch = pa.RecordBatch.from_pydict({"text": [b"\n".join(s.encode() for s in part) for part in (spam, prose(30))]})
+    bad, good = quality.scores(batch, weight, turn, prior)
+    assert bad < 0.3 and good > bad + 0.2
+
+
 def test_line_features_do_not_depend_on_the_batch():
     texts = [b"One two.\nTHREE!! FOUR!!\n\nx", b"", b"\n", b"a | b | c\na | b | c", b"\xc3\xa9 "]
     buf = np.frombuffer(b"".join(texts), np.uint8)
