@@ -54,9 +54,14 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``n_tokens``, ``ids`` and ``decoded``."""
+    """The documents with ``n_tokens``, ``ids`` and ``decoded``; where the input has such a column, ``encoded_ids`` etc."""
     out = sentencepiece_table.encode(docs, sentencepiece_model())
-    added = [c for c in ("n_tokens", "ids", "decoded") if c not in docs.columns]
+    taken, added = {c.lower() for c in docs.columns}, []
+    for c in ("n_tokens", "ids", "decoded"):
+        name = c
+        while name in taken:
+            name = f"encoded_{name}"
+        added.append(F.col(c).alias(name))
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], *added)
 
 

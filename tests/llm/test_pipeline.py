@@ -80,3 +80,15 @@ def test_near_duplicate_stage_with_null_and_repeated_ids(spark):
     assert sorted(groups[texts[r.text]][1] for r in got if r.text) == sorted({g[1] for g in groups.values()})
     assert sum(r.text is None for r in got) == 2
     assert any(r.doc_id == 5 and r.text.startswith("b0 ") for r in got if r.text)
+
+
+def test_encoding_stays_beside_input_columns_of_its_names(spark):
+    import sentencepiece
+    docs = spark.createDataFrame([(1, "some text", "i", 5), (2, None, "j", 6)],
+                                 "doc_id long, text string, ids string, encoded_ids int")
+    out = corpus_pipeline.encoded(spark, docs, SF)
+    assert out.columns == [*docs.columns, "n_tokens", "encoded_encoded_ids", "decoded"]
+    sp = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.sentencepiece_model())
+    got = {r.doc_id: r for r in out.collect()}
+    assert [(got[i].ids, got[i].encoded_ids) for i in (1, 2)] == [("i", 5), ("j", 6)]
+    assert all(r.encoded_encoded_ids == sp.encode(r.text or "", add_eos=True) for r in got.values())
