@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, fingerprint, langid, minhash, quality, sentencepiece_table, sharding, suffixarray, superkmer, warc,
+    decontaminate, fingerprint, langid, minhash, periodic, quality, sentencepiece_table, sharding, suffixarray, superkmer, warc,
 )
 from .sql import ORACLES  # noqa: F401
 from .tables import read
@@ -57,6 +57,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.digests(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_fingerprints, op3_minhash, op4_sentencepiece, op5_langid, op6_decontamination, op7_sharding,
-    op8_quality, op9_suffix_array, op10_substring)}
+    op8_quality, op9_suffix_array, op10_substring, op11_periodic_runs)}

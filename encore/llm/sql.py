@@ -78,4 +78,51 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(removed, 0
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op9_suffix_array": _OP9, "op10_substring": _OP10}
+#: crc32 of a number's decimal digits; -1 stands for one of a byte's eight rounds.
+_CRC = """xor(list_reduce(
+  list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST({id} AS VARCHAR), ''),
+    lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+_OP11 = """
+WITH d AS (
+  SELECT doc_id, """ + _WORDS.format(text="coalesce(text, '')") + """ AS words,
+         """ + _CRC.format(id="doc_id") + """ AS h FROM documents),
+e AS (SELECT *, len(words) AS n, h // 10 AS g,
+             CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+w AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN words ELSE list_transform(range(n),
+           lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS words FROM f),
+grams AS (
+  SELECT doc_id, n, i, list_aggregate(words[i + 1:i + 5], 'string_agg', ' ') AS gram
+  FROM (SELECT doc_id, n, words, unnest(range(n - 4)) AS i FROM w WHERE n >= 6)),
+twice AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM grams) WHERE c > 1),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM twice x JOIN twice y
+  ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+same AS (SELECT doc_id, min(i) AS start, count(*) + 4 + q AS length, q FROM islands GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM same WHERE length >= greatest(6, 4 * q)
+  GROUP BY doc_id, start, length),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place FROM runs),
+best AS (
+  SELECT doc_id, count(*) AS n_runs, min(start) FILTER (WHERE place = 1) AS start,
+         min(length) FILTER (WHERE place = 1) AS length, min(period) FILTER (WHERE place = 1) AS period,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+  FROM ranked GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i FROM w),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS t FROM placed p
+  LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.doc_id)
+SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start,
+       CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM w LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op9_suffix_array": _OP9, "op10_substring": _OP10,
+           "op11_periodic_runs": _OP11}
