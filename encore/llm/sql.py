@@ -124,5 +124,41 @@ SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BI
 FROM w LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_OP12 = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, """ + _CRC.format(id="conv_id") + """ % 6 AS h FROM t GROUP BY conv_id),
+path AS (
+  SELECT conv_id, 0 AS d, '' AS role, '' AS text FROM c
+  UNION ALL
+  SELECT c.conv_id, t.r, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.r <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + t.r - c.h, t.role, t.text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.r > c.h LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+keyed AS (
+  SELECT conv_id, d, text, max(d) OVER (PARTITION BY conv_id) AS m,
+         sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM path),
+node AS (SELECT d, k, min(conv_id) AS rep, count(*) AS n, max(length(text)) AS chars FROM keyed GROUP BY d, k),
+named AS (SELECT keyed.conv_id, d, rep, n, chars, m FROM keyed JOIN node USING (d, k)),
+own AS (
+  SELECT o.conv_id, o.d, o.n, o.chars, p.rep AS parent
+  FROM named o LEFT JOIN named p ON p.conv_id = o.conv_id AND p.d = o.d - 1 WHERE o.rep = o.conv_id),
+child AS (SELECT parent, d - 1 AS d, count(*) AS children FROM own WHERE d > 0 GROUP BY ALL),
+valued AS (
+  SELECT own.*, coalesce(children, 0) AS children, (n - 1) * chars AS saved
+  FROM own LEFT JOIN child ON child.parent = own.conv_id AND child.d = own.d),
+total AS (
+  SELECT a.rep, a.d, count(*) FILTER (WHERE v.children = 0) AS leaves, sum(v.saved) AS saved
+  FROM valued v JOIN named a ON a.conv_id = v.conv_id AND a.d <= v.d GROUP BY ALL),
+ends AS (
+  SELECT rep, d, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+  FROM named WHERE d = m GROUP BY ALL)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, v.parent AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs,
+       CAST(v.children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+FROM valued v JOIN total t ON t.rep = v.conv_id AND t.d = v.d LEFT JOIN ends e ON e.rep = v.conv_id AND e.d = v.d
+"""
+
 ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op9_suffix_array": _OP9, "op10_substring": _OP10,
-           "op11_periodic_runs": _OP11}
+           "op11_periodic_runs": _OP11, "op12_prefix_trie": _OP12}
