@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, fingerprint, langid, minhash, periodic, quality, sentencepiece_table, sharding, suffixarray, superkmer, trie,
-    warc,
+    decontaminate, fingerprint, jaccard, langid, minhash, periodic, quality, sentencepiece_table, sharding, suffixarray, superkmer,
+    trie, warc,
 )
 from .sql import ORACLES  # noqa: F401
 from .tables import read
@@ -66,7 +66,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_fingerprints, op3_minhash, op4_sentencepiece, op5_langid, op6_decontamination, op7_sharding,
     op8_quality, op9_suffix_array, op10_substring, op11_periodic_runs,
-    op12_prefix_trie)}
+    op12_prefix_trie, op13_ngram_join)}

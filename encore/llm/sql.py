@@ -160,5 +160,10 @@ SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, v.parent AS parent_conv_id, CAST
 FROM valued v JOIN total t ON t.rep = v.conv_id AND t.d = v.d LEFT JOIN ends e ON e.rep = v.conv_id AND e.d = v.d
 """
 
+#: The links of op3 by four-word shingles.
+_OP13 = _OP3.replace("i + 4]", "i + 3]").replace("len(words) - 4", "len(words) - 3").replace(
+    "root.component_id,\n       root.component_id = d.doc_id AS kept", "root.component_id")
+
 ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op9_suffix_array": _OP9, "op10_substring": _OP10,
-           "op11_periodic_runs": _OP11, "op12_prefix_trie": _OP12}
+           "op11_periodic_runs": _OP11, "op12_prefix_trie": _OP12,
+           "op13_ngram_join": _OP13}
