@@ -20,9 +20,10 @@ for both.
 
 No list of the index is expanded into its pairs. Each member is held against
 the list's first on full sets; links are contracted to components; where a
-list still holds several, members of different components are compared in
-blocks, each pair in its first common list alone. So each pair that meets is
-linked, refuted or already connected.
+list still holds several, its members are compared in blocks by their
+parities, bit maps that prove most pairs unlike, and those that can be similar
+across components on full sets. So each pair that meets is linked, refuted or
+already connected.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle are one shingle; a null doc_id is
@@ -53,6 +54,8 @@ SINGLE, PAIRS = 32, 2048
 GROUP_TOKENS = 16
 #: Members of a block, and tokens of its members' sets on average.
 BLOCK, BLOCK_TOKENS = 1024, 2_000_000
+#: Members of a block where only parities travel.
+LIST_BLOCK = 4096
 #: Sets that a task remembers to pass over copies.
 REMEMBERED = 1_000_000
 
@@ -105,17 +108,28 @@ def lonely(docs: DataFrame, shingle: int) -> DataFrame:
     return owners.filter("k1 = other").groupBy("k1").agg(F.count("*").alias("lone"))
 
 
+def parities(own: np.ndarray) -> bytes:
+    """A bit for each bucket of tokens, as many as tokens at least: whether the bucket holds an odd number of them.
+
+    Two sets differ in at least as many tokens as their parities differ in bits.
+    """
+    size = max(64, 1 << (max(len(own), 1) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(8)).astype(np.int64) & (size - 1), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def packed(texts: DataFrame, shingle: int) -> DataFrame:
-    """node, tokens: the sorted set as bytes."""
+    """node, tokens: the sorted set as bytes; bits: its parities."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(node, own.tobytes()) for node, _, own in shingle_sets(batch, shingle)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                              pa.array([r[1] for r in rows], pa.binary())], ["node", "tokens"])
+            rows = [(node, own.tobytes(), parities(own)) for node, _, own in shingle_sets(batch, shingle)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))],
+                ["node", "tokens", "bits"])
 
     return texts.select(F.col("node").alias("doc_id"), F.lit(0).cast("long").alias("th"), "text").mapInArrow(
-        tidy(sets), "node long, tokens binary")
+        tidy(sets), "node long, tokens binary, bits binary")
 
 
 def unpacked(sets: DataFrame) -> DataFrame:
@@ -215,6 +229,40 @@ def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
+def _words(bits: bytes) -> np.ndarray:
+    return np.frombuffer(bits, np.uint64)
+
+
+def _may_be_alike(bits: np.ndarray, other: np.ndarray, total, percent: int):
+    """Whether sets of ``total`` tokens together can be similar, by their parities; ``other`` is one or rows of as many
+    words as ``bits``, or more."""
+    while other.shape[-1] > len(bits):
+        half = other.shape[-1] // 2
+        other = other[..., :half] ^ other[..., half:]
+    differing = np.bitwise_count(bits ^ other).sum(-1, dtype=np.int64)
+    return differing * (100 + percent) <= total * (100 - percent)
+
+
+def likely(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that can be similar by their parities."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            total = batch.column("total").to_numpy()
+            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
+                x, y = sorted((_words(x), _words(y)), key=len)
+                if _may_be_alike(x, y, total[i], percent):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in "ab"], ["a", "b"])
+
+    sized = sets.select("node", "bits").join(sizes, "node")
+    one = sized.select(opaque(F.col("node")).alias("_a"), F.col("bits").alias("x"), F.col("n").alias("m"))
+    two = sized.select(opaque(F.col("node")).alias("_b"), F.col("bits").alias("y"), "n")
+    met = pairs.join(two, opaque(F.col("b")) == F.col("_b")).join(one, opaque(F.col("a")) == F.col("_a"))
+    return met.select("a", "b", "x", "y", (F.col("n") + F.col("m")).alias("total")).mapInArrow(tidy(check), "a long, b long")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that are similar on full sets."""
 
@@ -230,67 +278,90 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "x", "y").mapInArrow(tidy(check), "a long, b long")
 
 
-def _compared(table: pa.Table, percent: int) -> pa.Table:
-    """Links that connect members of two blocks of one list (or of one block) across components.
-
-    Sets of members are bits of an integer: those of like size, of other
-    components, and those met in an earlier common list.
-    """
-    table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-    key, lo, hi = (table.column(c)[0].as_py() for c in ("key", "lo", "hi"))
-    node, mine = table.column("node").to_pylist(), table.column("mine").to_pylist()
-    n, root = table.column("n").to_numpy(), table.column("root").to_pylist()
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
-    earlier = [[k for k in keys if k < key] for keys in table.column("keys").to_pylist()]
-    having: dict[int, int] = {}
-    side, team = {lo: 0, hi: 0}, {}
-    for i in range(len(node)):
-        bit = 1 << i
-        side[mine[i]] |= bit
-        team[root[i]] = team.get(root[i], 0) | bit
-        for k in earlier[i]:
-            having[k] = having.get(k, 0) | bit
+def _near(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member i of a table sorted by n: later members, of the other side and another root, that can be similar."""
+    lo, hi = (table.column(c)[0].as_py() for c in ("lo", "hi"))
+    n, root, mine = (table.column(c).to_numpy() for c in ("n", "root", "mine"))
+    bits = [_words(x) for x in table.column("bits").to_pylist()]
+    width = np.array([len(x) for x in bits])  # grows with n, twofold at most among sets of like size
     upto = np.searchsorted(n, 100 * n // percent, "right")
+    rows = {w: np.stack([bits[i] for i in np.flatnonzero(width == w)]) for w in set(width.tolist())}
+    first = {w: int(np.argmax(width == w)) for w in rows}
+    for i in range(len(n)):
+        for w in (int(width[i]), 2 * int(width[i])):
+            if w not in rows:
+                continue
+            x, y = max(i + 1, first[w]), min(int(upto[i]), first[w] + len(rows[w]))
+            if x >= y:
+                continue
+            other = (root[x:y] != root[i]) & (mine[x:y] == (hi if mine[i] == lo else lo))
+            j = np.flatnonzero(other)
+            j = j[_may_be_alike(bits[i], rows[w][x - first[w] + j], n[x + j] + n[i], percent)]
+            if len(j):
+                yield i, x + j
+
+
+def _by_size(table: pa.Table) -> pa.Table:
+    return table.sort_by([("n", "ascending"), ("node", "ascending")])
+
+
+def _spanning(table: pa.Table, found: Iterator[tuple[int, int]], start: np.ndarray) -> pa.Table:
+    """Of the pairs found those that join what ``start`` and the pairs before leave apart."""
+    node, label = table.column("node").to_numpy(), start.copy()
     a, c = [], []
-    for i in range(len(node)):
-        others = side[hi if mine[i] == lo else lo] & ((1 << int(upto[i])) - 1) >> (i + 1) << (i + 1)
-        for k in earlier[i]:
-            others &= ~having[k]
-        others &= ~team[root[i]]
-        while others:
-            j = (others & -others).bit_length() - 1
-            others &= others - 1
-            if _alike(sets[i], sets[j], percent):
-                a.append(node[i])
-                c.append(node[j])
-                old, new = root[j], root[i]
-                bits = team.pop(old)
-                team[new] |= bits
-                others &= ~bits
-                while bits:
-                    k = (bits & -bits).bit_length() - 1
-                    bits &= bits - 1
-                    root[k] = new
+    for i, j in found:
+        if label[i] != label[j]:
+            a.append(node[i])
+            c.append(node[j])
+            label[label == label[j]] = label[i]
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
 
 
-def across(posted: DataFrame, firsts: DataFrame, roots: DataFrame, keys: DataFrame, sets: DataFrame,
-           percent: int) -> DataFrame:
-    """Links (a, b) between members of one list that the list's first has left in different components."""
-    labelled = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = labelled.join(firsts, opaque(F.col("key")) == F.col("_key")).filter("m > 2 and node != first.node")
-    rest = stored(rest.select("key", "node", "n", "root"), "rest")
-    mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"),
-                                    F.sum("n").alias("size")).filter("lo != hi")
-    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_TOKENS)).cast("int")
+def _promising(table: pa.Table, percent: int) -> pa.Table:
+    """Pairs that connect the members of two blocks (or of one) that can be similar, of different components."""
+    table = _by_size(table)
+    pairs = ((i, j) for i, near in _near(table, percent) for j in near.tolist())
+    return _spanning(table, pairs, np.arange(table.num_rows))
+
+
+def _compared(table: pa.Table, percent: int) -> pa.Table:
+    """Links that connect members of two blocks (or of one) across components."""
+    table = _by_size(table)
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
+    roots = table.column("root").to_numpy()
+    pairs = ((i, j) for i, near in _near(table, percent) for j in near.tolist() if _alike(sets[i], sets[j], percent))
+    return _spanning(table, pairs, roots)
+
+
+def in_blocks(rest: DataFrame, members: int, tokens: int) -> DataFrame:
+    """The rows of lists (key, node, n, root) that hold several components, dealt to pairs of blocks."""
+    mixed = rest.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m"),
+                                    F.sum("n").alias("size")).filter("least != most")
+    blocks = F.ceil(F.greatest(F.col("m") / members, F.col("size") / tokens)).cast("int")
     mixed = mixed.select(opaque(F.col("key")).alias("_key"), blocks.alias("blocks"))
     rest = rest.join(mixed, opaque(F.col("key")) == F.col("_key")).drop("_key")
     rest = rest.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
-    rest = rest.join(keys.select("node", "keys"), "node").join(sets, "node")
-    return rest.select("key", "lo", "hi", "mine", "node", "n", "root", "keys", "tokens").groupBy("key", "lo", "hi").applyInArrow(
-        lambda table: _compared(table, percent), "a long, b long")
+    return rest.select("key", "node", "n", "root", "mine", F.least("mine", "other").alias("lo"),
+                       F.greatest("mine", "other").alias("hi"))
+
+
+def across(posted: DataFrame, firsts: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one list that the list's first has left in different components.
+
+    Parities, an eighth of a byte a token, tell which members can be similar;
+    what they connect is a cluster, and a member is in one. Sets travel for
+    the members of clusters alone, once for each pair of a cluster's blocks.
+    """
+    labelled = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = labelled.join(firsts, opaque(F.col("key")) == F.col("_key")).filter("m > 2 and node != first.node")
+    rest = stored(rest.select("key", "node", "n", "root"), "rest")
+    dealt = in_blocks(rest, LIST_BLOCK, LIST_BLOCK * BLOCK_TOKENS // BLOCK).join(sets.select("node", "bits"), "node")
+    edges = dealt.groupBy("key", "lo", "hi").applyInArrow(lambda table: _promising(table, percent), "a long, b long")
+    clusters = components(stored(edges.distinct(), "promising")).withColumnRenamed("root", "key")
+    members = stored(clusters.join(rest.select("node", "n", "root").distinct(), "node").select("key", "node", "n", "root"), "clusters")
+    left = in_blocks(members, BLOCK, BLOCK_TOKENS).join(sets, "node")
+    return left.groupBy("key", "lo", "hi").applyInArrow(lambda table: _compared(table, percent), "a long, b long")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -316,9 +387,10 @@ def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) ->
     close = 100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")
     stars = posted.join(firsts, opaque(F.col("key")) == F.col("_key")).filter((F.col("node") != F.col("first.node")) & close)
     stars = stored(stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = stored(likely(stars, sets, left.select("node", "n"), percent), "likely")
     links = stored(confirmed(stars, sets, percent), "links")
     roots = components(links)
-    more = stored(across(posted, firsts, roots, keys, sets, percent), "more")
+    more = stored(across(posted, firsts, roots, sets, percent), "more")
     if not more.isEmpty():
         roots = components(links.unionAll(more))
     named = roots.select(F.col("node").alias("_node"), "root")

@@ -74,6 +74,7 @@ def test_join_equals_all_pairs(spark, monkeypatch, single, pairs, block):
     monkeypatch.setattr(jaccard, "SINGLE", single)
     monkeypatch.setattr(jaccard, "PAIRS", pairs)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", block)
     rows = near_copies()
     docs = spark.createDataFrame([(d, t, i, "x") for i, (d, t) in enumerate(rows)],
                                  "doc_id long, text string, node long, key string").repartition(4)
@@ -122,3 +123,15 @@ def test_long_text(spark):
                                  "doc_id long, text string")
     assert [(r.n_shingles, r.component_id) for r in jaccard.joined(docs).orderBy("doc_id").collect()] == [
         (149_997, 1), (len(shingles(" ".join(edited))), 1), (99_997, 3)]
+
+
+def test_parities_never_refute_similar_sets():
+    rng = np.random.default_rng(7)
+    for _ in range(600):
+        n = int(rng.integers(1, 700))
+        x = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate((x[rng.random(len(x)) > 0.08], rng.integers(0, 2 ** 63, n // 12).astype(np.uint64))))
+        shared = len(np.intersect1d(x, y))
+        if 100 * shared >= 85 * (len(x) + len(y) - shared):
+            a, c = sorted((jaccard._words(jaccard.parities(v)) for v in (x, y)), key=len)
+            assert jaccard._may_be_alike(a, c, len(x) + len(y), 85)
