@@ -28,6 +28,7 @@ from encore.operators.similar import similar_tracks as _similar_tracks
 from encore.operators.topn import user_top_n
 from encore.plans import batch, training
 from encore.session import scratch_path
+from encore.sinks import bucketed
 from encore.sinks.files import (materialize, read_user_recs, write_rating_lines,
                                 write_user_recs)
 from encore.sources import testdata as td
@@ -248,6 +249,14 @@ def q_merge_ratings(spark, sf_dir):
     return merge_ratings(td.acc(spark, sf_dir), scores)
 
 
+@query("upsert_ratings")
+def q_upsert_ratings(spark, sf_dir):
+    """J1 on the bucketed table: the accumulated side is neither shuffled to merge nor to write."""
+    scores = weigh_events(td.daily(spark, sf_dir)).withColumnRenamed("weight", "score")
+    table = bucketed.write_ratings(td.acc(spark, sf_dir), scratch_path(spark, "ratings_table"), 8)
+    return bucketed.read(spark, bucketed.upsert(spark, table, scores, scratch_path(spark, "ratings_table")))
+
+
 @query("latest_rating")
 def q_latest_rating(spark, sf_dir):
     return latest_rating(td.history(spark, sf_dir))

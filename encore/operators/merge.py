@@ -1,33 +1,77 @@
 """Merges of ratings and recommendation lists.
 
 The reference upserts into an in-memory map; here a merge is a union and one
-``groupBy``: one shuffle on (user, track) with partial aggregation.
+``groupBy``: one shuffle on (user, track) with partial aggregation. Sums of
+ratings are exact (``functions.exact``) and rounded once. With the accumulated
+ratings stored in buckets (``sinks.bucketed``) a merge moves the day's rows alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from encore.functions import exact
 
 RATING_SUM_TYPE = "decimal(38,6)"
 SCORE_TYPE = "double"
 
 
-def merge_ratings(acc: DataFrame, daily_scores: DataFrame,
-                  score: str = "score") -> DataFrame:
+PAIR = ["user_id", "track_id"]
+
+
+def _grid(df: DataFrame, column: str) -> exact.Grid:
+    """The exact sum's grid for a column: from its type if that is a decimal, else from its values."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return exact.decimal_grid(kind.precision, kind.scale)
+    return exact.grid_of(df, column)
+
+
+def rating_grid(acc: DataFrame, daily_scores: DataFrame, score: str = "score") -> exact.Grid:
+    """A grid that holds the accumulated ratings and the day's scores."""
+    one, two = _grid(acc, "rating"), _grid(daily_scores, score)
+    return exact.Grid(min(one.low, two.low), max(one.high, two.high))
+
+
+def merge_ratings(acc: DataFrame, daily_scores: DataFrame, score: str = "score",
+                  grid: exact.Grid | None = None) -> DataFrame:
     """Upsert daily scores into accumulated ratings.
 
     Present (user, track): rating + sum of the day's scores; absent: inserted.
     Time is the latest time seen (the reference keeps the last one read).
-    Sums are exact decimals; the result rating is DOUBLE.
+    The sum of a pair's doubles is exact and rounded once, so neither order nor
+    partitioning changes a bit of it. Without ``grid`` (see ``rating_grid``) one
+    pass over the ratings finds it.
     """
-    left = acc.select("user_id", "track_id", "ts",
-                      F.col("rating").cast(RATING_SUM_TYPE).alias("_r"))
-    right = daily_scores.select("user_id", "track_id", "ts",
-                                F.col(score).cast(RATING_SUM_TYPE).alias("_r"))
-    return (left.unionByName(right)
-            .groupBy("user_id", "track_id")
-            .agg(F.max("ts").alias("ts"), F.sum("_r").cast("double").alias("rating")))
+    grid = grid or rating_grid(acc, daily_scores, score)
+    left = acc.select(*PAIR, "ts", F.col("rating").cast("double").alias("_r"))
+    right = daily_scores.select(*PAIR, "ts", F.col(score).cast("double").alias("_r"))
+    sums = exact.split(left.unionByName(right), "_r").groupBy(*PAIR).agg(
+        F.max("ts").alias("ts"), exact.place_sums(grid).alias("_sum"))
+    return exact.with_rounded(sums, "_sum", grid, "rating")
+
+
+def day_sums(daily_scores: DataFrame, grid: exact.Grid, score: str = "score") -> DataFrame:
+    """One row a pair: the day's latest time and its exact sum in parts (``exact.place_sums``)."""
+    scores = daily_scores.select(*PAIR, "ts", F.col(score).cast("double").alias("_r"))
+    return exact.split(scores, "_r").groupBy(*PAIR).agg(F.max("ts").alias("_day_ts"),
+                                                        exact.place_sums(grid).alias("_day"))
+
+
+def merge_day(acc: DataFrame, day: DataFrame, grid: exact.Grid) -> DataFrame:
+    """J1 as a join: ``acc`` with one row a pair, ``day`` from ``day_sums``.
+
+    Sides that lie in the same hash partitions of the pair are not moved.
+    """
+    there = acc.select(*[F.col(c).alias(f"_{c}") for c in PAIR], "ts", "rating")
+    own = exact.split(there, "rating").withColumn("_own", exact.place_values(grid))
+    same = [own[f"_{c}"] == day[c] for c in PAIR]
+    met = own.join(day, same, "full_outer").select(
+        *[F.coalesce(f"_{c}", c).alias(c) for c in PAIR],
+        F.greatest("ts", "_day_ts").alias("ts"), exact.added(F.col("_own"), F.col("_day")).alias("_sum"))
+    return exact.with_rounded(met, "_sum", grid, "rating")
 
 
 def latest_rating(ratings: DataFrame) -> DataFrame:

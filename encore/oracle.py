@@ -188,11 +188,19 @@ TRAINING = with_ctes(
   SELECT CAST(user_id AS INTEGER) AS user_id, CAST(track_id AS INTEGER) AS track_id, rating
   FROM t2)""")
 
-MERGED = with_ctes(PLAYS, DAILY, BEFORE, ACC, weighted("w_today", "daily"), """merged AS (
-  SELECT user_id, track_id, max(ts) AS ts, CAST(sum(r) AS DOUBLE) AS rating FROM (
-    SELECT user_id, track_id, ts, CAST(rating AS DECIMAL(38,6)) AS r FROM acc
-    UNION ALL SELECT user_id, track_id, ts, CAST(weight AS DECIMAL(38,6)) AS r FROM w_today) u
-  GROUP BY user_id, track_id)""")
+#: Exact sums of doubles: each is scaled by 2**64 to an integer (the tables hold none below 2**-11), the
+#: integers are added, and the sum's 61 leading bits, the last one set if anything below is, round as the whole does.
+MERGED = with_ctes(PLAYS, DAILY, BEFORE, ACC, weighted("w_today", "daily"), """scaled AS (
+  SELECT user_id, track_id, max(ts) AS ts, sum(CAST(r * pow(2.0, 64) AS HUGEINT)) AS h FROM (
+    SELECT user_id, track_id, ts, rating AS r FROM acc
+    UNION ALL SELECT user_id, track_id, ts, CAST(weight AS DOUBLE) AS r FROM w_today) u
+  GROUP BY user_id, track_id)""", """shifted AS (
+  SELECT *, CASE WHEN h = 0 THEN 0 ELSE greatest(0, CAST(floor(log2(abs(CAST(h AS DOUBLE)))) AS INTEGER) - 60) END AS s
+  FROM scaled)""", """merged AS (
+  SELECT user_id, track_id, ts, CAST(sign(h) AS DOUBLE) * pow(2.0, s - 64) * CAST(
+           CAST(abs(h) // CAST(pow(2.0, s) AS HUGEINT) AS BIGINT)
+           | CASE WHEN abs(h) % CAST(pow(2.0, s) AS HUGEINT) = 0 THEN 0 ELSE 1 END AS DOUBLE) AS rating
+  FROM shifted)""")
 
 QUERIES: dict[str, str] = {
     # sources
@@ -256,6 +264,7 @@ FROM kept_today""",
   CAST(ms_played AS DOUBLE) AS ms_played, reason_start FROM plays WHERE user_id = 42""",
     # merges
     "merge_ratings": MERGED + "SELECT * FROM merged",
+    "upsert_ratings": MERGED + "SELECT * FROM merged",
     "latest_rating": with_ctes(HISTORY) + """SELECT user_id, track_id, ts, max(rating) AS rating
 FROM (SELECT *, max(ts) OVER (PARTITION BY user_id, track_id) AS latest FROM history) h
 WHERE ts = latest GROUP BY user_id, track_id, ts""",

@@ -53,9 +53,15 @@ def daily_line(df: DataFrame) -> Column:
 
 
 def rating_line(df: DataFrame) -> Column:
-    """Format a rating as ``user,track,epoch_seconds,rating`` (rating with 6 decimals)."""
-    return _line(F.col("user_id"), F.col("track_id"), epoch_seconds(F.col("ts")),
-                 F.col("rating").cast("decimal(38,6)"))
+    """Format a rating as ``user,track,epoch_seconds,rating``.
+
+    A rating that 6 decimals hold is written with them, any other as the
+    shortest text that reads back as the same double: no bit is lost.
+    """
+    rating = F.col("rating").cast("double")
+    short = rating.try_cast("decimal(38,6)")
+    text = F.when(short.cast("double") == rating, short.cast("string")).otherwise(rating.cast("string"))
+    return _line(F.col("user_id"), F.col("track_id"), epoch_seconds(F.col("ts")), text)
 
 
 def to_daily_lines(df: DataFrame) -> DataFrame:

@@ -61,7 +61,8 @@ def test_als_rating_never_loses_an_id_silently(spark):
 
 def test_refused_events_say_why(spark):
     vals = ["1,2,1445047130,5.0,rec,null", "1,2,1445047130,5.0,telepathy,null", "x,2,1,1.0,rec,null",
-            "1,2,1445047130,123456789012,rec,null", "1,2,1445047130,NaN,rec,null"]
+            "1,2,1445047130,1e308,rec,null", "1,2,1445047130,NaN,rec,null",
+            "1,2,1445047130,123456789012.5,rec,null"]
     got = {r.line: r.parse_error for r in refused_events(parse_daily_lines(lines(spark, vals))).collect()}
     assert got == {vals[1]: "unknown reason", vals[2]: "bad user_id",
                    vals[3]: "ms_played too large for a weight", vals[4]: "bad ms_played"}
