@@ -285,11 +285,16 @@ def test_sentencepiece_is_the_librarys(spark, documents, no_documents):
 
 
 def test_a_full_table_changes_nothing(monkeypatch):
+    import pyarrow as pa
     sp = sentencepiece_table.processor(sentencepiece_model())
-    text = "the a of " * 20 + "new words here"
-    want = sentencepiece_table.encoded(text, sentencepiece_table.Table(sp), 2)
-    monkeypatch.setattr(sentencepiece_table, "TABLE_CHUNKS", 2)
-    assert sentencepiece_table.encoded(text, sentencepiece_table.Table(sp), 2) == want
+    texts = pa.array(["the a of " * 20 + "new words here", "", "the of", "words  and ▁ more", " "] * 9)
+    want = list(sentencepiece_table.encoded(texts, sentencepiece_table.Table(sp), 2))
+    for bound in (0, 2, 5, 9):
+        monkeypatch.setattr(sentencepiece_table, "TABLE_CHUNKS", bound)
+        monkeypatch.setattr(sentencepiece_table, "GROUP_BYTES", 20 * bound)
+        table = sentencepiece_table.Table(sp)
+        assert list(sentencepiece_table.encoded(texts, table, 2)) == want
+        assert len(table.entries) <= bound
 
 
 # --- language ---------------------------------------------------------------------------------------------------------
