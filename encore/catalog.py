@@ -22,13 +22,13 @@ from encore.operators import filters as flt
 from encore.operators.joins import broadcast_if_bounded
 from encore.operators.merge import (latest_rating, merge_prev_recs, merge_ratings,
                                     user_ratings_and_events)
-from encore.operators.partitions import parse_daily_in_pandas
+from encore.operators.partitions import parse_daily_in_pandas, step_counts
 from encore.operators.recommend import diversity_reweight, event_candidates, weigh_events
 from encore.operators.similar import similar_tracks as _similar_tracks
 from encore.operators.topn import user_top_n
 from encore.plans import batch, training
 from encore.session import scratch_path
-from encore.sinks import bucketed
+from encore.sinks import bucketed, keyed
 from encore.sinks.files import (materialize, read_user_recs, write_rating_lines,
                                 write_user_recs)
 from encore.sources import testdata as td
@@ -326,6 +326,17 @@ def q_stage_counts(spark, sf_dir):
     return spark.createDataFrame(counts, "stage string, n_rows long")
 
 
+@query("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    """Lines, good events and weighted events, counted by partition and added up."""
+    parsed = parse_daily_lines(scan_lines(spark, [_daily_lines_dir(spark, sf_dir), _rating_lines_dir(spark, sf_dir)]))
+    good = F.col("parse_error").isNull()
+    weighed = weigh_events(parsed, mode="keep")
+    counts = step_counts(weighed, {"lines": F.lit(True), "events": good,
+                                   "weighted_events": good & F.col("weight").isNotNull()})
+    return counts.groupBy("step").agg(F.sum("n_rows").alias("n_rows"))
+
+
 # ---------------------------------------------------------------- top-N
 
 @query("user_top_n")
@@ -502,6 +513,18 @@ def q_stream_recommendations(spark, sf_dir):
         .drop("batch_id")
 
 
+@query("stream_recommendations_keyed")
+def q_stream_recommendations_keyed(spark, sf_dir):
+    """T6 with the dismissals and earlier recs laid out by user: a batch reads its users' buckets."""
+    index = _index(spark, sf_dir)
+    prev = keyed.write_by_user(batch.previous_recs(spark, sf_dir, index), scratch_path(spark, "previous_recs"), 16)
+    dismissals = keyed.write_by_user(td.dismissals(spark, sf_dir), scratch_path(spark, "dismissals"), 16)
+    lines = source.event_lines(_event_stream(spark, sf_dir))
+    transform = recommender.recommend_transform(index, dismissals, prev, N)
+    return spark.read.parquet(_run_lines_stream(spark, lines, transform, "stream_recs")) \
+        .drop("batch_id")
+
+
 # ---------------------------------------------------------------- approximate and fold-in
 # (property checks; no SQL oracle)
 

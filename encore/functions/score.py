@@ -1,9 +1,9 @@
 """Event weight, rec score and diversity expressions.
 
-Weights of decimal play times are exact decimals, kept at precision 18 so
-Spark computes them on longs; those of double play times are doubles, neither
-rounded nor refused by size. Sums of either don't depend on the order rows
-arrive in: decimal sums, or exact sums of doubles. A rec score is one
+Weights are exact decimals, kept at precision 18 so Spark computes them on
+longs; the trainer's are doubles, neither rounded nor refused by size. Sums of
+either don't depend on the order rows arrive in: decimal sums, or exact sums
+of doubles. A rec score is one
 IEEE multiply of the exactly converted similarity and weight: max and top-N
 on it are order independent, and the same two operations give the same bits
 in any engine.
@@ -37,7 +37,7 @@ def reason_weight(reason: Column) -> Column:
 
 
 def event_weight(reason: Column, ms_played: Column) -> Column:
-    """P6 for a DECIMAL play time: reason weight x ms played, exact DECIMAL(18,4).
+    """Reason weight x ms played, exact DECIMAL(18,4).
 
     A play value too large for the type gives NULL (the row is dropped like an
     unknown reason) instead of failing the job.
@@ -46,7 +46,7 @@ def event_weight(reason: Column, ms_played: Column) -> Column:
 
 
 def double_event_weight(reason: Column, ms_played: Column) -> Column:
-    """P6 for a DOUBLE play time, of any size: one IEEE multiply, as the reference does.
+    """P6 for play times of any size: one IEEE multiply, as the reference does.
 
     Sums of such weights are taken exactly (``functions.exact``). A product
     beyond the largest double gives NULL.

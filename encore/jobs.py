@@ -41,10 +41,12 @@ from encore.operators.recommend import refused_events, weigh_events  # noqa: E40
 from encore.plans.batch import (DEFAULT_K, DEFAULT_N, build_index, load_index,  # noqa: E402
                                 recommend)
 from encore.plans.training import merged_active_ratings  # noqa: E402
+from encore.sinks import keyed  # noqa: E402
+from encore.sinks import keyed  # noqa: E402
 from encore.sinks.files import (materialize, read_previous_recs, write_rating_lines,  # noqa: E402
                                 write_table, write_user_recs)
 from encore.sources.text import scan_lines  # noqa: E402
-from encore.session import ship_package  # noqa: E402
+from encore.session import scratch_path, ship_package  # noqa: E402
 from encore.streaming import process, recommender, source  # noqa: E402
 
 EMPTY_PAIRS = "user_id bigint, track_id bigint"
@@ -103,8 +105,8 @@ def run_train(spark: SparkSession, accumulated: str, daily: str, out: str, as_of
     _write_refused(spark, quarantine(ratings), f"{out}/refused_ratings")
     acc = materialize(spark, filter_recent(_good(ratings, RATING_FIELDS), as_of), "recent_ratings")
     events = parse_daily_lines(scan_lines(spark, daily, ignore_missing=True))
-    _write_refused(spark, refused_events(events), f"{out}/refused_daily")
-    day = (weigh_events(_good(events, DAILY_FIELDS))
+    _write_refused(spark, refused_events(events, doubles=True), f"{out}/refused_daily")
+    day = (weigh_events(_good(events, DAILY_FIELDS), doubles=True)
            .select("user_id", "track_id", "ts", F.col("weight").alias("score")))
     merged = materialize(spark, merged_active_ratings(acc, day, as_of), "merged_ratings")
     lines = write_rating_lines(merged, f"{out}/accumulated")
@@ -118,13 +120,19 @@ def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
                lines: DataFrame, dismissals: str | None = None,
                previous: str | None = None, n: int = DEFAULT_N, k: int = DEFAULT_K,
                available_now: bool = False, processing_time: str = "10 seconds",
-               timeout: float | None = None, index: str | None = None):
+               timeout: float | None = None, index: str | None = None,
+               user_buckets: int | None = None):
     """Streaming recommender on a stream of daily-event lines (column ``value``).
+    With ``user_buckets`` the dismissals and earlier recs are laid out by user
+    first, and a batch reads its users' buckets alone.
     Refused lines go to ``<out>_refused/batch_id=<id>``."""
     index = _index(spark, vectors, index, k)
     prev = read_previous_recs(spark, previous) if previous else None
-    recommended = recommender.recommend_transform(index, _pairs_or_empty(spark, dismissals),
-                                                  prev, n)
+    dismissed = _pairs_or_empty(spark, dismissals)
+    if user_buckets:
+        dismissed = keyed.write_by_user(dismissed, scratch_path(spark, "dismissals"), user_buckets)
+        prev = prev and keyed.write_by_user(prev, scratch_path(spark, "previous_recs"), user_buckets)
+    recommended = recommender.recommend_transform(index, dismissed, prev, n)
 
     def transform(batch: DataFrame, batch_id: int) -> DataFrame:
         (refused_events(parse_daily_lines(batch)).write.mode("overwrite")
@@ -180,6 +188,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--min-partitions", type=int, help="split large topic partitions")
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--index")
+    s.add_argument("--user-buckets", type=int, help="lay out dismissals and earlier recs by user in so many buckets")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
@@ -201,7 +210,7 @@ def main(argv: list[str] | None = None) -> None:
                                        min_partitions=args.min_partitions)
         run_stream(spark, args.vectors, args.out, args.checkpoint, lines, args.dismissals,
                    args.previous, args.n, args.k, processing_time=args.trigger,
-                   index=args.index)
+                   index=args.index, user_buckets=args.user_buckets)
 
 
 if __name__ == "__main__":

@@ -1,13 +1,14 @@
-"""Per-partition user code (X2): lazy, batch-by-batch ``mapInPandas``."""
+"""Per-partition user code (X2): lazy, batch-by-batch ``mapInPandas``; work and counts by partition index."""
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.time import EPOCH_RANGE, from_epoch_seconds
@@ -60,3 +61,25 @@ def parse_daily_in_pandas(lines: DataFrame) -> DataFrame:
         "reason_end string")
     return parsed.select("user_id", "track_id", from_epoch_seconds(F.col("epoch")).alias("ts"),
                          "ms_played", "reason_start", "reason_end")
+
+
+def map_with_index(df: DataFrame, work: Callable[[int, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                   schema: str) -> DataFrame:
+    """``work`` on each partition's batches, given the partition's index."""
+    def run(batches):
+        from pyspark import TaskContext
+        yield from work(TaskContext.get().partitionId(), batches)
+    return df.mapInPandas(run, schema)
+
+
+def step_counts(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """(step, partition, n_rows): how many of a partition's rows reach each step.
+
+    ``steps`` gives each step's condition on ``df``'s rows; a row counts where it
+    is true. Counted in the partitions that ``df`` is read in, in one pass. The
+    counts are rows of a table, not accumulators: those of a task that fails or is
+    run twice are never added.
+    """
+    counts = [F.count(F.when(reached, F.lit(1))).alias(step) for step, reached in steps.items()]
+    one = df.groupBy(F.spark_partition_id().alias("partition")).agg(*counts)
+    return one.unpivot("partition", list(steps), "step", "n_rows").select("step", "partition", "n_rows")

@@ -11,22 +11,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from encore.functions.score import double_event_weight, event_weight, reason_weight, rec_score
 from encore.operators.joins import broadcast_if_bounded
 
 
-def _weight(events: DataFrame):
-    exact = isinstance(events.schema["ms_played"].dataType, DecimalType)
-    return (event_weight if exact else double_event_weight)(F.col("reason_start"), F.col("ms_played"))
+def _weight(doubles: bool):
+    return (double_event_weight if doubles else event_weight)(F.col("reason_start"), F.col("ms_played"))
 
 
-def weigh_events(events: DataFrame, mode: str = "drop") -> DataFrame:
+def weigh_events(events: DataFrame, mode: str = "drop", doubles: bool = False) -> DataFrame:
     """Add ``weight``; unknown reasons get NULL and are dropped (``mode='drop'``),
-    kept (``'keep'``) or fail the job (``'failfast'``). DECIMAL play times have
-    exact decimal weights, DOUBLE ones double weights."""
-    out = events.withColumn("weight", _weight(events))
+    kept (``'keep'``) or fail the job (``'failfast'``). Weights are exact decimals, or
+    with ``doubles`` (for ``merge_ratings``, whose sums of doubles are exact) doubles of any size."""
+    out = events.withColumn("weight", _weight(doubles))
     if mode == "keep":
         return out
     if mode == "failfast":
@@ -39,11 +37,11 @@ def weigh_events(events: DataFrame, mode: str = "drop") -> DataFrame:
     return out.filter(F.col("weight").isNotNull())
 
 
-def refused_events(parsed: DataFrame) -> DataFrame:
+def refused_events(parsed: DataFrame, doubles: bool = False) -> DataFrame:
     """(line, parse_error) of the lines that get no weight, from ``parse_daily_lines``."""
     why = (F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
            .when(reason_weight(F.col("reason_start")).isNull(), F.lit("unknown reason"))
-           .when(_weight(parsed).isNull(),
+           .when(_weight(doubles).isNull(),
                  F.lit("ms_played too large for a weight")))
     return parsed.select("line", why.alias("parse_error")).filter(F.col("parse_error").isNotNull())
 

@@ -300,6 +300,10 @@ FROM w_today
 UNION ALL SELECT 'candidates', count(*) FROM cand_today
 UNION ALL SELECT 'not_dismissed', count(*) FROM kept_today
 UNION ALL SELECT 'top_n', count(*) FROM top_today""",
+    "partition_counts": with_ctes(PLAYS, BEFORE, ACC) + """SELECT 'lines' AS step,
+  (SELECT count(*) FROM plays) + (SELECT count(*) FROM acc) AS n_rows
+UNION ALL SELECT 'events', count(*) FROM plays
+UNION ALL SELECT 'weighted_events', count(*) FROM plays WHERE reason_start <> 'unknown'""",
     # top-N
     "user_top_n": today_ctes() + """SELECT user_id, rank, track_id, CAST(score AS DOUBLE) AS score
 FROM top_today""",
@@ -335,3 +339,6 @@ FROM final""",
     "stream_recommendations": recs_ctes("plays") + """SELECT user_id, rank, track_id, score,
   base_score FROM final""",
 }
+
+#: The layout by user changes what is read, not the result.
+QUERIES["stream_recommendations_keyed"] = QUERIES["stream_recommendations"]

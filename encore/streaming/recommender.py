@@ -21,6 +21,7 @@ from encore.operators.model import fold_in_items
 from encore.operators.recommend import weigh_events
 from encore.operators.similar import nearest_of
 from encore.plans.batch import DEFAULT_K, SimilarIndex, candidate_recs, recommend
+from encore.sinks.keyed import UserTable
 
 
 @dataclass
@@ -57,8 +58,14 @@ def refreshed_index(index: SimilarIndex, events: DataFrame, refresh: Refresh) ->
     return replace(index, table=table, rows_bound=index.rows_bound + refresh.k * n_tracks)
 
 
-def recommend_transform(index: SimilarIndex, dismissals: DataFrame,
-                        previous: DataFrame | None, n: int = 30, refresh: Refresh | None = None):
+def rows_of_users(table: DataFrame | UserTable, users: DataFrame) -> DataFrame:
+    """The rows of a batch's users: a semi join, over their buckets alone if the table is laid out by user."""
+    return table.of(users) if isinstance(table, UserTable) else table.join(users, "user_id", "left_semi")
+
+
+def recommend_transform(index: SimilarIndex, dismissals: DataFrame | UserTable,
+                        previous: DataFrame | UserTable | None, n: int = 30,
+                        refresh: Refresh | None = None):
     """foreachBatch transform: daily lines -> final recs of the batch's users.
 
     With ``refresh``, candidates come from the batch's refreshed track vectors.
@@ -66,20 +73,20 @@ def recommend_transform(index: SimilarIndex, dismissals: DataFrame,
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = parse_daily(batch_lines)
         users = events.select("user_id").distinct()
-        prev = None if previous is None else previous.join(users, "user_id", "left_semi")
+        prev = None if previous is None else rows_of_users(previous, users)
         known = index if refresh is None else refreshed_index(index, events, refresh)
-        out = recommend(events, known, dismissals.join(users, "user_id", "left_semi"), prev, n)
+        out = recommend(events, known, rows_of_users(dismissals, users), prev, n)
         return out.select("user_id", "rank", "track_id", "score", "base_score",
                           F.lit(batch_id).alias("batch_id"))
     return transform
 
 
-def top_n_transform(index: SimilarIndex, dismissals: DataFrame, n: int = 30):
+def top_n_transform(index: SimilarIndex, dismissals: DataFrame | UserTable, n: int = 30):
     """W3 per batch: today's candidates cut to ``n`` per user."""
     def transform(batch_lines: DataFrame, batch_id: int) -> DataFrame:
         events = parse_daily(batch_lines)
         users = events.select("user_id").distinct()
-        out = candidate_recs(events, index, dismissals.join(users, "user_id", "left_semi"), n)
+        out = candidate_recs(events, index, rows_of_users(dismissals, users), n)
         return out.select("user_id", "rank", "track_id", F.col("score").cast("double"),
                           F.lit(batch_id).alias("batch_id"))
     return transform

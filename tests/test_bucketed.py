@@ -76,4 +76,4 @@ def test_no_bit_of_a_rating_is_lost(spark):
 def test_double_play_times_keep_their_size(spark):
     plays = spark.createDataFrame([(1, 1, 12345678901234.5, "rec"), (1, 2, 1e-7, "query"), (1, 3, 1.0, "?"), (1, 4, 1e308, "query")],
                                   "user_id long, track_id long, ms_played double, reason_start string")
-    assert {r.track_id: r.weight for r in weigh_events(plays).collect()} == {1: 61728394506172.5, 2: 1e-6}
+    assert {r.track_id: r.weight for r in weigh_events(plays, doubles=True).collect()} == {1: 61728394506172.5, 2: 1e-6}
