@@ -483,6 +483,23 @@ def test_quality_learns_from_all_lines_of_long_texts(spark, monkeypatch):
     assert bad < 0.3 and good > bad + 0.2
 
 
+def test_a_text_of_many_lines_takes_bounded_memory():
+    """Scores of 1,000 short texts beside one of 200,000 lines: as alone, without padding them to its length."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    weight, turn = rng.normal(size=quality.FEATURES), rng.normal(size=(2, 2))
+    short = [f"a line {i}\nanother, of {i % 7} words\n".encode() for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*short[:500], b"x\n" * 200_000, *short[500:]], pa.binary())], ["text"])
+    tracemalloc.start()
+    got = quality.scores(batch, weight, turn, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6, peak
+    alone = quality.scores(pa.RecordBatch.from_arrays([pa.array(short, pa.binary())], ["text"]), weight, turn, 0.5)
+    assert np.allclose(np.delete(got, 500), alone, atol=1e-12)
+
+
 def test_line_features_do_not_depend_on_the_batch():
     texts = [b"One two.\nTHREE!! FOUR!!\n\nx", b"", b"\n", b"a | b | c\na | b | c", b"\xc3\xa9 "]
     buf = np.frombuffer(b"".join(texts), np.uint8)
