@@ -12,10 +12,10 @@ all slices side by side, and merges shards that hold parts of one minimiser
 by binary search of the one's suffixes in the other's array.
 
 Defined cases: a null text is empty; a text shorter than ``WIDTH`` loses
-nothing; a null doc_id is kept as null; rows that agree in doc_id and text are
-one document stated several times, so they are no copies of each other; rows
-that share a doc_id with other texts are separate documents; other columns
-are ignored; an empty table gives an empty result.
+nothing; a null doc_id is kept as null; each row is a document, so rows that
+agree in doc_id and text are copies of each other and lose all their bytes
+(``WIDTH`` or more); a shared or null doc_id makes no copies of different texts;
+other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import ids_repeat, keyed_texts, text_bytes, tidy
-from .windows import HOT_RECORDS, byte_chunks, planned, repeats, united, with_spans
+from .tables import identity, keyed_texts, text_bytes, text_key, tidy
+from .windows import HOT_RECORDS, byte_chunks, planned, repeats, united, whole_texts, with_spans
 
 WIDTH, SHORT = 200, 32
 #: Bytes of a shard, below 2**21 so that two ranks and a place fit one sort key.
@@ -229,7 +229,6 @@ def repeated_windows(fields: dict, place: np.ndarray, buf: np.ndarray, width: in
     partly = ~whole[hit]
     hit, offset = hit[partly], (found - at[row])[partly]
     copies = np.flatnonzero(whole)
-    # Slices stated several times by repeated rows share one identity, so the first speaks for them.
     return (np.concatenate((ids[copies], ids[hit])), np.concatenate((th[copies], th[hit])),
             np.concatenate((start[copies], start[hit] + offset)),
             np.concatenate((start[copies] + size[copies], start[hit] + offset + width)))
@@ -238,13 +237,15 @@ def repeated_windows(fields: dict, place: np.ndarray, buf: np.ndarray, width: in
 def repeated_bytes(docs: DataFrame, width: int = WIDTH, short: int = SHORT,
                    hot_records: int = HOT_RECORDS) -> DataFrame:
     """The rows of ``docs`` with ``spans`` (of bytes to remove)."""
-    told_apart = ids_repeat(docs)
-    texts = keyed_texts(docs, told_apart)
+    names = identity(docs)
+    texts = keyed_texts(docs, text_key(names.salt))
     chunks = partial(byte_chunks, width=width, short=short)
     run = (width - short + 2) / 2
     plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, run, True, hot_records)
     spans = repeats(texts, plan, partial(repeated_windows, width=width), keep_first=False)
-    return with_spans(docs, spans, told_apart)
+    if names.again is not None:  # equal rows have one name in the buckets: here they are several documents
+        spans = spans.unionAll(whole_texts(names.again, width))
+    return with_spans(docs, spans, names.salt)
 
 
 def digests(docs: DataFrame) -> DataFrame:

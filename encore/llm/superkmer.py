@@ -10,8 +10,8 @@ earlier start) is removed. Windows are judged on the input.
 Defined cases: a null text has no words; a text of fewer than ``WIDTH`` words
 loses nothing; words are kept unchanged; white space is ASCII white space; a
 null doc_id counts as the smallest; rows that agree in doc_id and text are one
-document stated several times and get the same result; rows that share a
-doc_id with other texts are ordered by a hash of the text; other columns are
+document stated several times and get the same result (none starts earlier); rows
+that share a doc_id with other texts are ordered by 64 bits of the text; other columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import bytescan as b
-from .tables import ids_repeat, keyed_texts, text_bytes, tidy
+from .tables import identity, keyed_texts, text_bytes, text_key, tidy
 from .windows import HOT_RECORDS, planned, repeats, united, with_spans, word_chunks
 
 WIDTH, SHORT = 20, 3
@@ -74,13 +74,13 @@ def _confirmed(buf, at, window, lead, width):
 def repeated_words(docs: DataFrame, width: int = WIDTH, short: int = SHORT,
                    hot_records: int = HOT_RECORDS) -> DataFrame:
     """``doc_id``, ``text`` and ``spans`` (of words to remove) for each row of ``docs``."""
-    told_apart = ids_repeat(docs)
-    texts = keyed_texts(docs, told_apart)
+    names = identity(docs)
+    texts = keyed_texts(docs, text_key(names.salt))
     chunks = partial(word_chunks, width=width, short=short)
     run = (width - short + 2) / 2  # windows of a record on average
     plan = planned(texts, text_bytes(docs), chunks, width, (run + width - 1) / run, 6 * run, False, hot_records)
     spans = repeats(texts, plan, partial(later_windows, width=width), keep_first=True)
-    return with_spans(docs, spans, told_apart)
+    return with_spans(docs, spans, names.salt)
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -94,9 +94,11 @@ def digests(docs: DataFrame) -> DataFrame:
                 start, end = united(spans.as_py())
                 words_n.append(len(words))
                 removed_n.append(int((end - start).sum()))
-                for x, y in zip(start[::-1].tolist(), end[::-1].tolist(), strict=True):
-                    del words[x:y]
-                shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                kept, at = [], 0
+                for x, y in zip(start.tolist(), end.tolist(), strict=True):
+                    kept += words[at:x]
+                    at = y
+                shas.append(hashlib.sha256(b" ".join(kept + words[at:])).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(words_n, pa.int64()), pa.array(removed_n, pa.int64()),
                  pa.array(shas, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])

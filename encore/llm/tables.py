@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import itertools
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -66,25 +68,50 @@ def opaque(col: Column) -> Column:
     return F.bitwise_not(F.bitwise_not(col.cast("long")))
 
 
-def ids_repeat(docs: DataFrame) -> bool:
-    """Whether any doc_id stands in several rows (then ``th`` is needed to tell them apart)."""
-    return not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+def text_key(salt: int | None) -> Column:
+    """64 bits of the text under a salt; 0 where doc_ids alone tell rows apart (no salt)."""
+    if salt is None:
+        return F.lit(0).cast("long")
+    return F.xxhash64(F.lit(salt), F.coalesce(F.col("text"), F.lit("")))
 
 
-def text_key(told_apart: bool = True) -> Column:
-    """A hash of the text, or 0 where doc_ids alone tell rows apart."""
-    return F.hash(F.coalesce(F.col("text"), F.lit(""))) if told_apart else F.lit(0)
+@dataclass(frozen=True)
+class Identity:
+    """How rows are named: by ``id_key`` and ``text_key(salt)``; ``again`` has the names of several rows.
+
+    ``again`` (doc_id, th, n_bytes) is None where all ids differ. A name stands for one text.
+    """
+
+    salt: int | None
+    again: DataFrame | None
 
 
-def keyed_texts(docs: DataFrame, told_apart: bool = True, th: Column | None = None) -> DataFrame:
+def identity(docs: DataFrame) -> Identity:
+    """Names under which no two texts are one: ids alone where they differ, else with 64 bits of the text.
+
+    Names that several rows have are checked by another 64 bits of their texts;
+    should two texts share a name, another salt is taken.
+    """
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return Identity(None, None)
+    proof = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.lit("proof"))
+    for salt in itertools.count():
+        named = docs.select(id_key().alias("doc_id"), text_key(salt).alias("th"), proof.alias("proof"),
+                            F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+        again = stored(named.groupBy("doc_id", "th").agg(
+            F.count(F.lit(1)).alias("n"), F.min("proof").alias("lo"), F.max("proof").alias("hi"),
+            F.max("n_bytes").alias("n_bytes")).filter("n > 1"), "repeated-rows")
+        if again.filter("lo != hi").isEmpty():
+            return Identity(salt, again.select("doc_id", "th", "n_bytes"))
+
+
+def keyed_texts(docs: DataFrame, th: Column) -> DataFrame:
     """(doc_id, th, text as UTF-8 bytes): ``th`` tells apart rows that share a doc_id.
 
-    A null doc_id becomes ``NULL_ID``, a null text the empty text. Rows that
-    agree in doc_id and text are the same document, stated several times.
+    A null doc_id becomes ``NULL_ID``, a null text the empty text.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(id_key().alias("doc_id"), (text_key(told_apart) if th is None else th).alias("th"),
-                       text.cast("binary").alias("text"))
+    return docs.select(id_key().alias("doc_id"), th.alias("th"), text.cast("binary").alias("text"))
 
 
 def id_key() -> Column:

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytescan as b
-from .tables import NULL_ID, opaque, release, stored, text_key, tidy
+from .tables import id_key, opaque, release, stored, text_key, tidy
 
 #: Raw bytes of records that one bucket should hold.
 BUCKET_BYTES = 4 << 20
@@ -30,7 +30,7 @@ BUCKET_BYTES = 4 << 20
 FLUSH_BYTES = 24 << 20
 #: Records of one slot of seeds from which it counts as hot (or 16 times the mean).
 HOT_RECORDS = 16_384
-SPANS = "doc_id long, th int, spans binary"
+SPANS = "doc_id long, th long, spans binary"
 
 
 @dataclass
@@ -191,7 +191,7 @@ def planned(texts: DataFrame, total_bytes: int, chunks: Callable, width: int, sw
     return Plan(chunks, plan.buckets, bits, np.packbits(bitmap, bitorder="little").tobytes(), width, seeded)
 
 
-_FIELDS = (("doc_id", np.int64), ("th", np.int32), ("start", np.int64), ("windows", np.int32),
+_FIELDS = (("doc_id", np.int64), ("th", np.int64), ("start", np.int64), ("windows", np.int32),
            ("size", np.int32), ("seed", np.uint32))
 
 
@@ -281,7 +281,7 @@ def records(texts: DataFrame, plan: Plan) -> DataFrame:
     return texts.mapInArrow(tidy(pack), "bucket int, blob binary")
 
 
-_HOT = "d1 long, d2 long, doc_id long, th int, start long, spans binary"
+_HOT = "d1 long, d2 long, doc_id long, th long, start long, spans binary"
 #: Hot windows that a map task gathers before it unites equal ones.
 HOT_FLUSH = 400_000
 
@@ -299,7 +299,7 @@ def _united(rows: list[tuple], keep_first: bool, width: int) -> Iterator[pa.Reco
     several[lead[other]] = True
     settled = other if keep_first else several[lead]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(d1[first]), pa.array(d2[first]), pa.array(doc_id[first]), pa.array(th[first].astype(np.int32)),
+        [pa.array(d1[first]), pa.array(d2[first]), pa.array(doc_id[first]), pa.array(th[first]),
          pa.array(start[first]), pa.nulls(len(first), pa.binary())],
         ["d1", "d2", "doc_id", "th", "start", "spans"])
     spans = span_rows(doc_id[settled], th[settled], start[settled], start[settled] + width)
@@ -384,7 +384,7 @@ def span_rows(doc_id: np.ndarray, th: np.ndarray, start: np.ndarray, end: np.nda
             hashes.append(th[x])
             blobs.append(np.stack(merged(start[x:y], end[x:y]), 1).astype(np.int64).tobytes())
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(hashes, pa.int32()), pa.array(blobs, pa.binary())],
+        [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(blobs, pa.binary())],
         ["doc_id", "th", "spans"])
 
 
@@ -401,12 +401,23 @@ def repeats(docs_texts: DataFrame, plan: Plan, decide: Callable[[dict, np.ndarra
     return out.unionAll(hot_repeats(docs_texts, plan, keep_first)) if plan.hot else out
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, told_apart: bool) -> DataFrame:
+def with_spans(docs: DataFrame, spans: DataFrame, salt: int | None) -> DataFrame:
     """The rows of ``docs`` with ``spans``: an array of blobs, null where nothing is marked."""
-    mine = spans.groupBy(opaque(F.col("doc_id")).alias("_id"), F.col("th").alias("_th")).agg(
+    mine = spans.groupBy(opaque(F.col("doc_id")).alias("_id"), opaque(F.col("th")).alias("_th")).agg(
         F.collect_list("spans").alias("spans"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.join(mine, (key == mine["_id"]) & (text_key(told_apart) == mine["_th"]), "left").drop("_id", "_th")
+    same = (opaque(id_key()) == mine["_id"]) & (opaque(text_key(salt)) == mine["_th"])
+    return docs.join(mine, same, "left").drop("_id", "_th")
+
+
+def whole_texts(again: DataFrame, width: int) -> DataFrame:
+    """(doc_id, th, spans): all of each text of ``again`` that holds a window."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, th, ends = (batch.column(c).to_numpy() for c in ("doc_id", "th", "n_bytes"))
+            yield span_rows(ids, th, np.zeros(len(ids), np.int64), ends)
+
+    return again.filter(F.col("n_bytes") >= width).mapInArrow(rows, SPANS)
 
 
 def united(blobs) -> tuple[np.ndarray, np.ndarray]:

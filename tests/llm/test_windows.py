@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from encore.llm import bytescan as b, suffixarray, superkmer, windows
+from encore.llm import bytescan as b, suffixarray, superkmer, tables, windows
 
 
 def brute_words(rows, width=20):
@@ -145,7 +145,7 @@ def test_long_texts_are_cut_into_overlapping_pieces(spark, monkeypatch):
     monkeypatch.setattr(b, "CHUNK_BYTES", 300)
     import pyarrow as pa
     text = b" ".join(b"w%d" % (i % 97) for i in range(2000)) + b" " + b"y" * 2500 + b" z" * 30
-    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([5]), "th": pa.array([1], pa.int32()),
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([5]), "th": pa.array([1], pa.int64()),
                                         "text": pa.array([text])})
     for chunks, units in ((windows.byte_chunks, len(text)), (windows.word_chunks, len(text.split()))):
         seen = []
@@ -166,15 +166,64 @@ def test_defined_cases(spark, documents, no_documents):
     for module in (superkmer, suffixarray):
         assert module.digests(no_documents).collect() == []
         base = {r.doc_id: tuple(r)[1:] for r in module.digests(documents).collect()}
-        twice = documents.withColumns({"spans": F.lit(1), "bucket": F.lit("x"), "_id": F.lit(2), "th": F.lit(0)})
-        twice = twice.unionAll(twice.filter("doc_id < 60"))
-        rows = [(r.doc_id, tuple(r)[1:]) for r in module.digests(twice).collect()]
-        assert len(rows) == twice.count() and all(base[i] == v for i, v in rows)
+        more = documents.withColumns({"spans": F.lit(1), "bucket": F.lit("x"), "_id": F.lit(2), "th": F.lit(0)})
+        assert {r.doc_id: tuple(r)[1:] for r in module.digests(more).collect()} == base
         odd = spark.createDataFrame([(None, "w " * 150), (None, "w " * 150), (4, None)], "doc_id long, text string")
         got = sorted((r.doc_id is None, r.n_removed > 0) for r in module.digests(odd).collect())
         assert got == [(False, False), (True, True), (True, True)]
 
 
+def passage(seed, n=60):
+    rnd = np.random.default_rng(seed)
+    return " ".join(f"w{x}" for x in rnd.integers(0, 9999, n))
+
+
+@pytest.fixture(params=[False, True], ids=["apart", "colliding"])
+def weak_first_salt(request, monkeypatch):
+    """With it all texts of one id have one name under the first salt."""
+    if request.param:
+        real = tables.text_key
+        weak = lambda salt: F.lit(7).cast("long") if salt == 0 else real(salt)
+        for module in (tables, windows, suffixarray, superkmer):
+            monkeypatch.setattr(module, "text_key", weak)
+
+
+def test_shared_ids_make_no_copies(spark, weak_first_salt):
+    """Rows are documents, compared with brute force over rows."""
+    a, b_, c = passage(1), passage(2), passage(3)
+    short = "x" * 199
+    cases = [[(None, a), (None, b_), (7, a)], [(1, a), (9, a), (9, b_)], [(None, a), (None, a), (3, c)],
+             [(3, a), (3, a), (4, short), (4, short), (5, None), (5, None)], [(9, b_), (9, c), (9, a), (2, a + " " + c)]]
+    for rows in cases:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        places = defaultdict(set)
+        for i, (_, t) in enumerate(rows):
+            raw = (t or "").encode()
+            for s in range(len(raw) - 199):
+                places[raw[s:s + 200]].add((i, s))
+        want = []
+        for i, (d, t) in enumerate(rows):
+            raw = (t or "").encode()
+            gone = np.zeros(len(raw), bool)
+            for s in range(len(raw) - 199):
+                if len(places[raw[s:s + 200]]) > 1:
+                    gone[s:s + 200] = True
+            kept = bytes(x for x, g in zip(raw, gone) if not g)
+            want.append((str(d), len(raw), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+        got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in suffixarray.digests(docs).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_substrings_of_shared_ids_stay(spark, weak_first_salt):
+    a, b_ = passage(1), passage(2)
+    for rows in ([(None, a), (None, b_), (7, a)], [(1, a), (9, a), (9, b_)], [(3, a), (3, a), (9, b_)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        kept = sorted((str(r.doc_id), r.text) for r in superkmer.deduplicated(docs).collect())
+        first = min((d if d is not None else -1) for d, t in rows if t == a)
+        want = sorted((str(d), "" if t == a and (d if d is not None else -1) != first else t) for d, t in rows)
+        assert kept == want
+
+
 def test_deduplicated_keeps_columns(documents):
     out = superkmer.deduplicated(documents)
     assert out.columns == documents.columns
