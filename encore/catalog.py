@@ -22,6 +22,7 @@ from encore.operators import filters as flt
 from encore.operators.joins import broadcast_if_bounded
 from encore.operators.merge import (latest_rating, merge_prev_recs, merge_ratings,
                                     user_ratings_and_events)
+from encore.operators.lists import track_event_lists, user_lists
 from encore.operators.partitions import parse_daily_in_pandas, step_counts
 from encore.operators.recommend import diversity_reweight, event_candidates, weigh_events
 from encore.operators.similar import similar_tracks as _similar_tracks
@@ -267,6 +268,16 @@ def q_user_ratings_and_events(spark, sf_dir):
     return user_ratings_and_events(td.acc(spark, sf_dir), weigh_events(td.daily(spark, sf_dir)))
 
 
+@query("user_lists")
+def q_user_lists(spark, sf_dir):
+    """J2 as lists, exploded: one row per element."""
+    lists = user_lists(td.acc(spark, sf_dir), weigh_events(td.daily(spark, sf_dir)))
+    one = lambda side, value: lists.select(
+        "user_id", F.lit(side).alias("side"), F.explode(side).alias("e")).select(
+        "user_id", "side", "e.track_id", "e.ts", F.col(f"e.{value}").cast("double").alias("value"), "e.times")
+    return one("ratings", "rating").unionByName(one("events", "weight"))
+
+
 @query("merge_prev_recs")
 def q_merge_prev_recs(spark, sf_dir):
     index = _index(spark, sf_dir)
@@ -283,6 +294,14 @@ def q_events_by_track(spark, sf_dir):
     return out.select("track_id", "n_events", _dbl("weight_sum"), "last_ts")
 
 
+@query("track_event_lists")
+def q_track_event_lists(spark, sf_dir):
+    """A1 as lists, exploded: one row per element."""
+    lists = track_event_lists(weigh_events(td.plays(spark, sf_dir)))
+    return lists.select("track_id", F.explode("events").alias("e")).select(
+        "track_id", "e.user_id", "e.ts", F.col("e.weight").cast("double").alias("weight"), "e.times")
+
+
 @query("track_activity")
 def q_track_activity(spark, sf_dir):
     return agg.track_activity(_recent_history(spark, sf_dir))

@@ -42,11 +42,10 @@ from encore.plans.batch import (DEFAULT_K, DEFAULT_N, build_index, load_index,
                                 recommend)
 from encore.plans.training import merged_active_ratings  # noqa: E402
 from encore.sinks import keyed  # noqa: E402
-from encore.sinks import keyed  # noqa: E402
 from encore.sinks.files import (materialize, read_previous_recs, write_rating_lines,  # noqa: E402
                                 write_table, write_user_recs)
 from encore.sources.text import scan_lines  # noqa: E402
-from encore.session import scratch_path, ship_package  # noqa: E402
+from encore.session import scratch_path, scratch_scope, ship_package, sized  # noqa: E402
 from encore.streaming import process, recommender, source  # noqa: E402
 
 EMPTY_PAIRS = "user_id bigint, track_id bigint"
@@ -189,10 +188,18 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--index")
     s.add_argument("--user-buckets", type=int, help="lay out dismissals and earlier recs by user in so many buckets")
+    for job in (b, x, t, s):
+        job.add_argument("--partitions", type=int, help="shuffle partitions of this job (X4)")
+        job.add_argument("--shuffle-bytes", type=int, help="size of its largest shuffle: sizes partitions and scans")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
     ship_package(spark)
+    with sized(spark, args.shuffle_bytes, args.partitions), scratch_scope(spark):
+        _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "batch":
         run_batch(spark, args.daily, args.vectors, args.out, args.dismissals, args.previous,
                   args.n, args.k, index=args.index)

@@ -276,12 +276,18 @@ WHERE ts = latest GROUP BY user_id, track_id, ts""",
   FROM w_today GROUP BY user_id)""") + """SELECT r.user_id, r.n_ratings,
   CAST(r.rating_sum AS DOUBLE) AS rating_sum, coalesce(e.n_events, 0) AS n_events,
   CAST(e.weight_sum AS DOUBLE) AS weight_sum FROM r LEFT JOIN e ON r.user_id = e.user_id""",
+    "user_lists": with_ctes(PLAYS, DAILY, BEFORE, ACC, weighted("w_today", "daily"))
+    + """SELECT user_id, 'ratings' AS side, track_id, ts, rating AS value, CAST(1 AS BIGINT) AS times FROM acc
+UNION ALL SELECT user_id, 'events', track_id, ts, CAST(weight AS DOUBLE), count(*)
+FROM w_today WHERE user_id IN (SELECT user_id FROM acc) GROUP BY user_id, track_id, ts, weight""",
     "merge_prev_recs": recs_ctes() + """SELECT user_id, track_id, CAST(score AS DOUBLE) AS score
 FROM merged""",
     # aggregates
     "events_by_track": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT track_id,
   count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS weight_sum, max(ts) AS last_ts
 FROM w GROUP BY track_id""",
+    "track_event_lists": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT track_id, user_id, ts,
+  CAST(weight AS DOUBLE) AS weight, count(*) AS times FROM w GROUP BY track_id, user_id, ts, w.weight""",
     "track_activity": with_ctes(HISTORY, RECENT) + """SELECT track_id, count(*) AS listens,
   max(ts) AS last_active FROM recent GROUP BY track_id""",
     "user_activity": with_ctes(HISTORY, RECENT) + """SELECT user_id, count(*) AS listens,

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,28 +26,45 @@ DEFAULT_CONF = {
 
 
 def scale_conf(shuffle_bytes: int, total_cores: int,
-               target_partition_bytes: int = 256 * 1024 ** 2,
-               max_partitions: int = 50_000) -> dict[str, str]:
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Settings that keep each task's data near ``target_partition_bytes``.
 
     ``shuffle_bytes`` is the size of the largest shuffle: after column
     pruning and partial aggregation that is the (user, track) pairs times the
     similar-track fan-out, far less than the raw events. Shuffle partitions
-    are max(2 x cores, shuffle_bytes / target), capped at ``max_partitions``
-    (map x reduce block counts grow quadratically beyond it; AQE splits any
-    partition that still grows too large). Scans split at the same target.
+    are max(2 x cores, shuffle_bytes / target). Scans split at the same target.
     """
     wanted = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(max_partitions, wanted)),
+        "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
             str(2 * target_partition_bytes),
-        "spark.default.parallelism": str(2 * total_cores),
     }
 
 
+@contextmanager
+def sized(spark: SparkSession, shuffle_bytes: int | None = None, partitions: int | None = None):
+    """What runs inside is planned with these settings; those before come back after it.
+
+    ``shuffle_bytes`` (as an earlier run's event log gives it) sizes all
+    through ``scale_conf``; ``partitions`` sets the number of shuffle
+    partitions and goes before; with neither the session's settings stay.
+    """
+    conf = scale_conf(shuffle_bytes, spark.sparkContext.defaultParallelism) if shuffle_bytes else {}
+    if partitions:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[8]", app_name: str = "encore",
                   shuffle_partitions: int | None = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -90,10 +108,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused directory under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/encore/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/encore/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables named inside go when the block ends, also after an error.
+
+    For jobs, whose outputs are written by then. Only paths that
+    ``scratch_path`` gave out inside the block are removed, through Hadoop's file
+    system of each, so any shared folder will do.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 _SHIPPED: set[str] = set()
@@ -144,5 +188,8 @@ def ship_package(spark: SparkSession) -> None:
         else:
             spark.addArtifacts(archive, pyfile=True)
         _SHIPPED.add(key)
-    except Exception as exc:  # workers may still import it from the working directory
-        warnings.warn(f"could not ship the encore package to the workers: {exc}")
+    except Exception as exc:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise  # elsewhere the Python stages would fail later
+        warnings.warn(  # local workers may import it from the working directory
+            f"could not ship the encore package to the workers: {exc}")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from encore import jobs
+from encore import jobs, session
 from encore.functions.parse import parse_ratings
 from encore.functions.score import REASON_WEIGHTS
 from encore.plans import batch
@@ -100,3 +100,36 @@ def test_jobs_feed_each_other(spark, inputs):
     assert len(a) > 0 and rows(a) == rows(b)
     raw = read_previous_recs(spark, first).toPandas()
     assert len(raw) == len(a) and (raw.score >= 0).any()
+
+
+def test_a_job_plans_with_its_settings_and_leaves_its_outputs_alone(spark, inputs, monkeypatch):
+    """The given number of partitions is in the plan; X5: scratch tables go with the job."""
+    import os
+
+    plans, made = [], []
+    real_recommend, real_path = jobs.recommend, session.scratch_path
+
+    def recommend(*args, **kwargs):
+        out = real_recommend(*args, **kwargs)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        made.extend(session._SCOPES[-1])
+        return out
+
+    monkeypatch.setattr(jobs, "recommend", recommend)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = real_path(spark, "j_sized")
+    jobs.main(["batch", "--daily", inputs["daily"], "--vectors", inputs["vectors"], "--out", out,
+               "--previous", inputs["previous"], "--partitions", "13"])
+    assert ", 13)" in plans[0] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert not read_user_recs(spark, out).isEmpty()
+    assert made and not any(os.path.exists(p.removeprefix("file:")) for p in made)
+    assert session._SCOPES == []
+
+
+def test_scale_settings_grow_with_the_shuffle(spark):
+    assert session.scale_conf(10 ** 15, 100)["spark.sql.shuffle.partitions"] == str(-(-10 ** 15 // 2 ** 28))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    with session.sized(spark, shuffle_bytes=10 ** 12):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3726" and spark.conf.get(key) == str(2 ** 27)
+    assert spark.conf.get(key, None) == before
