@@ -33,6 +33,7 @@ from encore.sinks import bucketed, keyed
 from encore.sinks.files import (materialize, read_user_recs, write_rating_lines,
                                 write_user_recs)
 from encore.sources import testdata as td
+from encore.sources.line_log import line_log
 from encore.sources.text import scan_lines, to_daily_lines, to_rating_lines, write_lines
 from encore.streaming import process, recommender, source, window
 
@@ -494,6 +495,22 @@ def q_stream_events_by_track(spark, sf_dir):
         .drop("batch_id")
 
 
+@query("stream_line_log")
+def q_stream_line_log(spark, sf_dir):
+    """Line files that grow, read by offset; three runs on one checkpoint, one batch each."""
+    folder, out = scratch_path(spark, "line_log"), scratch_path(spark, "line_log_out")
+    checkpoint = scratch_path(spark, "line_log_checkpoint")
+
+    def transform(df, _id):
+        found = agg.events_by_track(weigh_events(parse_daily(df)))
+        return found.select("track_id", "n_events", _dbl("weight_sum"), "last_ts")
+    for part in range(3):
+        mine = td.plays(spark, sf_dir).filter(F.col("event_id") % 3 == part)
+        to_daily_lines(mine).write.mode("append").text(folder)
+        process.run_stream(line_log(spark, folder), process.batch_dir_writer(out, transform), checkpoint)
+    return spark.read.parquet(out)
+
+
 @query("stream_track_window")
 def q_stream_track_window(spark, sf_dir):
     """T5: 1-day event-time windows per track, watermark 1 hour, update mode."""

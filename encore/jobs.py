@@ -5,8 +5,8 @@
   previous recs) -> each user's final recommendations (K1).
 * ``train``: accumulated rating lines + daily event lines -> the new
   accumulated rating lines (K4) and the ALS item factors (K3).
-* ``stream``: daily event lines from Kafka (or a directory of text files)
-  -> per-batch recommendations (K2).
+* ``stream``: daily event lines from Kafka (or a directory of text files, or
+  of line files that grow) -> per-batch recommendations (K2).
 
 Run with spark-submit, e.g.
 
@@ -44,6 +44,7 @@ from encore.plans.training import merged_active_ratings  # noqa: E402
 from encore.sinks import keyed  # noqa: E402
 from encore.sinks.files import (materialize, read_previous_recs, write_rating_lines,  # noqa: E402
                                 write_table, write_user_recs)
+from encore.sources.line_log import line_log  # noqa: E402
 from encore.sources.text import scan_lines  # noqa: E402
 from encore.session import scratch_path, scratch_scope, ship_package, sized  # noqa: E402
 from encore.streaming import process, recommender, source  # noqa: E402
@@ -179,6 +180,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--kafka-servers")
     s.add_argument("--topic")
     s.add_argument("--lines-dir", help="read new text files here instead of Kafka")
+    s.add_argument("--log-dir", help="read line files that grow here, by offset, instead of Kafka")
+    s.add_argument("--max-bytes", type=int, help="bytes of one micro-batch from --log-dir at most")
     s.add_argument("--dismissals")
     s.add_argument("--previous")
     s.add_argument("--n", type=int, default=DEFAULT_N)
@@ -211,6 +214,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         if args.lines_dir:
             lines = text_line_stream(spark, args.lines_dir)
+        elif args.log_dir:
+            lines = line_log(spark, args.log_dir, args.max_bytes, f"{args.checkpoint}_progress")
         else:
             lines = source.kafka_lines(spark, args.kafka_servers, args.topic,
                                        max_offsets_per_trigger=args.max_offsets,

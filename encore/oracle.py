@@ -337,6 +337,10 @@ FROM final""",
     "stream_events_by_track": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT track_id,
   count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS weight_sum,
   max(date_trunc('second', ts)) AS last_ts FROM w GROUP BY track_id""",
+    "stream_line_log": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT
+  CAST(event_id % 3 AS INTEGER) AS batch_id, track_id, count(*) AS n_events,
+  CAST(sum(weight) AS DOUBLE) AS weight_sum, max(date_trunc('second', ts)) AS last_ts
+FROM w GROUP BY 1, 2""",
     "stream_track_window": with_ctes(PLAYS, weighted("w", "plays")) + """SELECT
   CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, track_id, count(*) AS n_events,
   CAST(sum(weight) AS DOUBLE) AS weight_sum FROM w GROUP BY 1, 2""",
