@@ -18,6 +18,7 @@ from encore.functions.parse import (parse_daily, parse_daily_lines, parse_rating
 from encore.functions.score import diversity_ratio, rec_score
 from encore.functions.vector import rounded_similarity
 from encore.operators import aggregates as agg
+from encore.operators import cells
 from encore.operators import filters as flt
 from encore.operators.joins import broadcast_if_bounded
 from encore.operators.merge import (latest_rating, merge_prev_recs, merge_ratings,
@@ -35,7 +36,7 @@ from encore.sinks.files import (materialize, read_user_recs, write_rating_lines,
 from encore.sources import testdata as td
 from encore.sources.line_log import line_log
 from encore.sources.text import scan_lines, to_daily_lines, to_rating_lines, write_lines
-from encore.streaming import process, recommender, source, window
+from encore.streaming import carried, process, recommender, source, window
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -582,17 +583,13 @@ def q_filter_dismissed_bloom(spark, sf_dir):
 @query("als_fold_in")
 def q_als_fold_in(spark, sf_dir):
     """M4: item vectors re-solved from the recent history with user factors fixed."""
-    import numpy as np
-
     from encore.operators.model import fold_in_items, train_implicit_als, user_factors
     rank = 8
     ratings = materialize(spark, training.history_training_ratings(spark, sf_dir),
                           "fold_in_ratings")
     users = materialize(spark, user_factors(train_implicit_als(ratings, rank=rank,
                                                                iterations=5)), "user_factors")
-    gram = np.zeros((rank, rank))
-    for row in agg.gram_matrix(users, dim=rank).collect():  # rank x rank values
-        gram[row["i"], row["j"]] = row["value"]
+    gram = agg.gram_array(users, rank)
     events = td.history_daily(spark, sf_dir).select(
         F.col("user_id").cast("int").alias("user_id"), "track_id", "rating")
     vectors = fold_in_items(events, users, gram, rank)
@@ -603,18 +600,50 @@ def q_als_fold_in(spark, sf_dir):
 def q_stream_fold_in(spark, sf_dir):
     """M4 in the stream: each batch re-solves the vectors of the tracks it played,
     with user factors from an ALS on the accumulated ratings."""
-    import numpy as np
+    users, gram, rank = _acc_model(spark, sf_dir)
+    lines = source.event_lines(_event_stream(spark, sf_dir))
+    out = _run_lines_stream(spark, lines, recommender.fold_in_transform(users, gram, rank),
+                            "stream_fold_in")
+    return training.item_factor_summary(spark.read.parquet(out))
+
 
-    from encore.functions.parse import to_als_rating as _als_ids
+def _acc_model(spark, sf_dir):
+    """User vectors, their Gram matrix and the rank of an ALS on the accumulated ratings."""
     from encore.operators.model import train_implicit_als, user_factors
     rank = 8
-    ratings = materialize(spark, _als_ids(td.acc(spark, sf_dir)), "acc_ratings")
+    ratings = materialize(spark, to_als_rating(td.acc(spark, sf_dir)), "acc_ratings")
     users = materialize(spark, user_factors(train_implicit_als(ratings, rank=rank,
                                                                iterations=5)), "acc_users")
-    gram = np.zeros((rank, rank))
-    for row in agg.gram_matrix(users, dim=rank).collect():  # rank x rank values
-        gram[row["i"], row["j"]] = row["value"]
-    lines = source.event_lines(_event_stream(spark, sf_dir))
-    out = _run_lines_stream(spark, lines, recommender.fold_in_transform(users, gram, rank),
-                            "stream_fold_in")
-    return training.item_factor_summary(spark.read.parquet(out))
+    return users, agg.gram_array(users, rank), rank
+
+
+@query("stream_carried_fold_in")
+def q_stream_carried_fold_in(spark, sf_dir):
+    """M4 in T6 with state: the lines come in three batches, vectors are carried from each to the next."""
+    users, gram, rank = _acc_model(spark, sf_dir)
+    folder, out = scratch_path(spark, "carried_log"), scratch_path(spark, "carried_out")
+    checkpoint = scratch_path(spark, "carried_checkpoint")
+    for part in range(3):
+        mine = td.plays(spark, sf_dir).filter(F.col("event_id") % 3 == part)
+        to_daily_lines(mine).write.mode("append").text(folder)
+        with carried.state_on_disk(spark):
+            process.run_stream(carried.folded_stream(line_log(spark, folder), users, gram, rank),
+                               process.batch_dir_writer(out, lambda df, _id: df), checkpoint)
+    return training.item_factor_summary(carried.latest_vectors(spark, out))
+
+
+@query("similar_tracks_cells")
+def q_similar_tracks_cells(spark, sf_dir):
+    """The stored index, all of its cells probed: the exact lists."""
+    vec = td.vectors(spark, sf_dir)
+    index = cells.build_cells(vec, scratch_path(spark, "cells"))
+    sim = index.nearest(vec, K, probes=len(index.centroids))
+    return sim.select("track_id", "rank", "similar_track_id", _dbl("similarity"), "similar_label")
+
+
+@query("similar_tracks_probed")
+def q_similar_tracks_probed(spark, sf_dir):
+    """A fifth of the stored index's cells probed (recall in tests/test_cells.py)."""
+    vec = td.vectors(spark, sf_dir)
+    sim = cells.build_cells(vec, scratch_path(spark, "cells")).nearest(vec, K)
+    return sim.select("track_id", "rank", "similar_track_id", _dbl("similarity"), "similar_label")

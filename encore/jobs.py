@@ -1,10 +1,13 @@
-"""The three applications as Spark jobs over the line formats.
+"""The applications as Spark jobs over the line formats.
 
 * ``index``: track vectors -> the similar-tracks table (K6), built once.
 * ``batch``: daily event lines + track vectors (+ index, dismissals,
   previous recs) -> each user's final recommendations (K1).
 * ``train``: accumulated rating lines + daily event lines -> the new
   accumulated rating lines (K4) and the ALS item factors (K3).
+* ``cells``: track vectors -> a stored index that new vectors can probe (K6).
+* ``fold-in``: daily event lines as a stream -> the vectors of their tracks,
+  carried from batch to batch (M4).
 * ``stream``: daily event lines from Kafka (or a directory of text files, or
   of line files that grow) -> per-batch recommendations (K2).
 
@@ -36,7 +39,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from encore.functions.parse import (DAILY_FIELDS, RATING_FIELDS, parse_daily_lines,  # noqa: E402
                                     parse_rating_lines, quarantine, to_als_rating)
 from encore.operators.filters import filter_recent  # noqa: E402
-from encore.operators.model import item_factors, train_implicit_als  # noqa: E402
+from encore.operators.aggregates import as_array, gram_matrix  # noqa: E402
+from encore.operators.cells import build_cells, load_cells  # noqa: E402
+from encore.operators import model as als  # noqa: E402
 from encore.operators.recommend import refused_events, weigh_events  # noqa: E402
 from encore.plans.batch import (DEFAULT_K, DEFAULT_N, build_index, load_index,  # noqa: E402
                                 recommend)
@@ -47,7 +52,7 @@ from encore.sinks.files import (materialize, read_previous_recs, write_rating_li
 from encore.sources.line_log import line_log  # noqa: E402
 from encore.sources.text import scan_lines  # noqa: E402
 from encore.session import scratch_path, scratch_scope, ship_package, sized  # noqa: E402
-from encore.streaming import process, recommender, source  # noqa: E402
+from encore.streaming import carried, process, recommender, source  # noqa: E402
 
 EMPTY_PAIRS = "user_id bigint, track_id bigint"
 
@@ -98,8 +103,8 @@ def run_batch(spark: SparkSession, daily: str, vectors: str, out: str,
 def run_train(spark: SparkSession, accumulated: str, daily: str, out: str, as_of: str,
               rank: int = 40, iterations: int = 15, blocks: int | None = None,
               alpha: float = 40.0, reg: float = 0.01) -> dict[str, str]:
-    """Model trainer: writes ``<out>/accumulated`` (lines) and ``<out>/item_factors``,
-    and refused lines under ``<out>/refused_ratings`` and ``<out>/refused_daily``.
+    """Model trainer: writes ``<out>/accumulated`` (lines), ``<out>/item_factors``, ``<out>/user_factors``
+    and their Gram matrix ``<out>/gram`` (for fold-ins), and refused lines under ``<out>/refused_ratings`` and ``<out>/refused_daily``.
     A daily path that is not there is skipped (S4)."""
     ratings = parse_rating_lines(scan_lines(spark, accumulated))
     _write_refused(spark, quarantine(ratings), f"{out}/refused_ratings")
@@ -110,10 +115,34 @@ def run_train(spark: SparkSession, accumulated: str, daily: str, out: str, as_of
            .select("user_id", "track_id", "ts", F.col("weight").alias("score")))
     merged = materialize(spark, merged_active_ratings(acc, day, as_of), "merged_ratings")
     lines = write_rating_lines(merged, f"{out}/accumulated")
-    model = train_implicit_als(to_als_rating(merged), rank=rank, iterations=iterations,
+    model = als.train_implicit_als(to_als_rating(merged), rank=rank, iterations=iterations,
                                reg=reg, alpha=alpha, blocks=blocks)
-    factors = write_table(item_factors(model), f"{out}/item_factors")
-    return {"accumulated": lines, "item_factors": factors}
+    factors = write_table(als.item_factors(model), f"{out}/item_factors")
+    users = write_table(als.user_factors(model), f"{out}/user_factors")
+    gram = write_table(gram_matrix(spark.read.parquet(users), rank).coalesce(1), f"{out}/gram")
+    return {"accumulated": lines, "item_factors": factors, "user_factors": users, "gram": gram}
+
+
+def run_cells(spark: SparkSession, vectors: str, out: str) -> str:
+    """K6: the stored index of cells, which the stream probes with refreshed vectors."""
+    return build_cells(spark.read.parquet(vectors), out).path
+
+
+def _user_model(spark: SparkSession, user_factors: str, gram: str):
+    """User factors, their Gram matrix and its rank, as the trainer wrote them."""
+    table = spark.read.parquet(gram)
+    rank = 1 + table.agg(F.max("i")).first()[0]
+    return spark.read.parquet(user_factors), as_array(table, rank), rank
+
+
+def run_fold_in(spark: SparkSession, user_factors: str, gram: str, out: str, checkpoint: str, lines: DataFrame,
+                available_now: bool = False, processing_time: str = "10 seconds", timeout: float | None = None):
+    """M4 in T6: item vectors carried from batch to batch, written to ``<out>/batch_id=<id>``."""
+    users, matrix, rank = _user_model(spark, user_factors, gram)
+    with carried.state_on_disk(spark):
+        return process.run_stream(carried.folded_stream(lines, users, matrix, rank),
+                                  process.batch_dir_writer(out, lambda df, _id: df), checkpoint,
+                                  available_now=available_now, processing_time=processing_time, timeout=timeout)
 
 
 def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
@@ -121,8 +150,12 @@ def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
                previous: str | None = None, n: int = DEFAULT_N, k: int = DEFAULT_K,
                available_now: bool = False, processing_time: str = "10 seconds",
                timeout: float | None = None, index: str | None = None,
-               user_buckets: int | None = None):
+               user_buckets: int | None = None, user_factors: str | None = None, gram: str | None = None,
+               cells: str | None = None, folded: str | None = None):
     """Streaming recommender on a stream of daily-event lines (column ``value``).
+    With ``user_factors`` and ``gram`` (the trainer's) candidates come from the batch's
+    refreshed vectors: those that ``run_fold_in`` carries in ``folded``, or folded from
+    the batch; ``cells`` (``run_cells``) are probed with them, else all vectors are searched.
     With ``user_buckets`` the dismissals and earlier recs are laid out by user
     first, and a batch reads its users' buckets alone.
     Refused lines go to ``<out>_refused/batch_id=<id>``."""
@@ -132,7 +165,11 @@ def run_stream(spark: SparkSession, vectors: str, out: str, checkpoint: str,
     if user_buckets:
         dismissed = keyed.write_by_user(dismissed, scratch_path(spark, "dismissals"), user_buckets)
         prev = prev and keyed.write_by_user(prev, scratch_path(spark, "previous_recs"), user_buckets)
-    recommended = recommender.recommend_transform(index, dismissed, prev, n)
+    refresh = None
+    if user_factors:
+        refresh = recommender.Refresh(spark.read.parquet(vectors), *_user_model(spark, user_factors, gram), k,
+                                      load_cells(spark, cells) if cells else None, folded)
+    recommended = recommender.recommend_transform(index, dismissed, prev, n, refresh)
 
     def transform(batch: DataFrame, batch_id: int) -> DataFrame:
         (refused_events(parse_daily_lines(batch)).write.mode("overwrite")
@@ -165,6 +202,9 @@ def main(argv: list[str] | None = None) -> None:
     x.add_argument("--vectors", required=True)
     x.add_argument("--out", required=True)
     x.add_argument("--k", type=int, default=DEFAULT_K)
+    c = sub.add_parser("cells")
+    c.add_argument("--vectors", required=True)
+    c.add_argument("--out", required=True)
     t = sub.add_parser("train")
     t.add_argument("--accumulated", required=True)
     t.add_argument("--daily", required=True)
@@ -175,23 +215,31 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--blocks", type=int)
     s = sub.add_parser("stream")
     s.add_argument("--vectors", required=True)
-    s.add_argument("--out", required=True)
-    s.add_argument("--checkpoint", required=True)
-    s.add_argument("--kafka-servers")
-    s.add_argument("--topic")
-    s.add_argument("--lines-dir", help="read new text files here instead of Kafka")
-    s.add_argument("--log-dir", help="read line files that grow here, by offset, instead of Kafka")
-    s.add_argument("--max-bytes", type=int, help="bytes of one micro-batch from --log-dir at most")
     s.add_argument("--dismissals")
     s.add_argument("--previous")
     s.add_argument("--n", type=int, default=DEFAULT_N)
     s.add_argument("--k", type=int, default=DEFAULT_K)
-    s.add_argument("--max-offsets", type=int, help="Kafka messages of one micro-batch at most")
-    s.add_argument("--min-partitions", type=int, help="split large topic partitions")
-    s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--index")
     s.add_argument("--user-buckets", type=int, help="lay out dismissals and earlier recs by user in so many buckets")
-    for job in (b, x, t, s):
+    s.add_argument("--user-factors", help="the trainer's: candidates from vectors refreshed by each batch")
+    s.add_argument("--gram", help="the trainer's, with --user-factors")
+    s.add_argument("--cells", help="output of the job cells, probed with refreshed vectors")
+    s.add_argument("--folded", help="output of the job fold-in, whose vectors go before those of the batch alone")
+    f = sub.add_parser("fold-in")
+    f.add_argument("--user-factors", required=True)
+    f.add_argument("--gram", required=True)
+    for job in (s, f):
+        job.add_argument("--out", required=True)
+        job.add_argument("--checkpoint", required=True)
+        job.add_argument("--kafka-servers")
+        job.add_argument("--topic")
+        job.add_argument("--lines-dir", help="read new text files here instead of Kafka")
+        job.add_argument("--log-dir", help="read line files that grow here, by offset, instead of Kafka")
+        job.add_argument("--max-bytes", type=int, help="bytes of one micro-batch from --log-dir at most")
+        job.add_argument("--max-offsets", type=int, help="Kafka messages of one micro-batch at most")
+        job.add_argument("--min-partitions", type=int, help="split large topic partitions")
+        job.add_argument("--trigger", default="10 seconds")
+    for job in (b, x, c, t, s, f):
         job.add_argument("--partitions", type=int, help="shuffle partitions of this job (X4)")
         job.add_argument("--shuffle-bytes", type=int, help="size of its largest shuffle: sizes partitions and scans")
     args = parser.parse_args(argv)
@@ -208,6 +256,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
                   args.n, args.k, index=args.index)
     elif args.job == "index":
         run_index(spark, args.vectors, args.out, args.k)
+    elif args.job == "cells":
+        run_cells(spark, args.vectors, args.out)
     elif args.job == "train":
         run_train(spark, args.accumulated, args.daily, args.out, args.as_of, args.rank,
                   args.iterations, args.blocks)
@@ -220,9 +270,14 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             lines = source.kafka_lines(spark, args.kafka_servers, args.topic,
                                        max_offsets_per_trigger=args.max_offsets,
                                        min_partitions=args.min_partitions)
+        if args.job == "fold-in":
+            run_fold_in(spark, args.user_factors, args.gram, args.out, args.checkpoint, lines,
+                        processing_time=args.trigger)
+            return
         run_stream(spark, args.vectors, args.out, args.checkpoint, lines, args.dismissals,
                    args.previous, args.n, args.k, processing_time=args.trigger,
-                   index=args.index, user_buckets=args.user_buckets)
+                   index=args.index, user_buckets=args.user_buckets, user_factors=args.user_factors,
+                   gram=args.gram, cells=args.cells, folded=args.folded)
 
 
 if __name__ == "__main__":

@@ -76,3 +76,16 @@ def gram_matrix(vectors: DataFrame, dim: int, features: str = "features") -> Dat
     partial = (vectors.select(F.col(features).cast("array<double>").alias("features"))
                .mapInPandas(_partial_gram(dim), "i int, j int, value double"))
     return partial.groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
+def gram_array(vectors: DataFrame, dim: int, features: str = "features") -> np.ndarray:
+    """X^T X as a dim x dim array on the driver."""
+    return as_array(gram_matrix(vectors, dim, features), dim)
+
+
+def as_array(gram: DataFrame, dim: int) -> np.ndarray:
+    """(i, j, value) as a dim x dim array."""
+    out = np.zeros((dim, dim))
+    for row in gram.collect():  # dim x dim values
+        out[row["i"], row["j"]] = row["value"]
+    return out

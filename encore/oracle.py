@@ -352,3 +352,15 @@ FROM w GROUP BY 1, 2""",
 
 #: The layout by user changes what is read, not the result.
 QUERIES["stream_recommendations_keyed"] = QUERIES["stream_recommendations"]
+
+#: All cells probed give the exact lists.
+QUERIES["similar_tracks_cells"] = QUERIES["similar_tracks"]
+
+#: What SQL can tell of trained and folded vectors: whose they are, how long, and that all numbers are finite.
+QUERIES["als_item_factors"] = f"SELECT track_id, 40 AS n_dims, TRUE AS finite FROM ({QUERIES['als_item_ids']})"
+QUERIES["als_fold_in"] = f"""SELECT DISTINCT track_id, 8 AS n_dims, TRUE AS finite
+FROM ({with_ctes(HISTORY)} SELECT * FROM history WHERE ts >= {HISTORY_SPLIT})
+WHERE user_id IN (SELECT user_id FROM ({QUERIES['training_ratings']}))"""
+QUERIES["stream_fold_in"] = with_ctes(PLAYS, BEFORE, ACC, weighted("w", "plays")) + """SELECT DISTINCT track_id,
+  8 AS n_dims, TRUE AS finite FROM w WHERE user_id IN (SELECT user_id FROM acc)"""
+QUERIES["stream_carried_fold_in"] = QUERIES["stream_fold_in"]

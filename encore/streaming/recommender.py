@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.parse import parse_daily
+from encore.operators.cells import CellIndex
 from encore.operators.model import fold_in_items
 from encore.operators.recommend import weigh_events
 from encore.operators.similar import nearest_of
 from encore.plans.batch import DEFAULT_K, SimilarIndex, candidate_recs, recommend
+from encore.sinks.files import materialize
 from encore.sinks.keyed import UserTable
+from encore.streaming.carried import latest_vectors
 
 
 @dataclass
@@ -30,13 +33,18 @@ class Refresh:
 
     ``vectors`` (track_id, features, label) are the item factors the index was
     built from and ``users`` the user factors of the same model, with ``gram``
-    = Y^T Y; ``k`` is the length of the index's lists.
+    = Y^T Y; ``k`` is the length of the index's lists. ``cells`` is a stored
+    index of the same vectors that is probed instead of searching them all.
+    ``carried`` is the output of ``carried.folded_stream``: a track's newest
+    vector there goes before one folded from this batch alone.
     """
     vectors: DataFrame
     users: DataFrame
     gram: np.ndarray
     rank: int
     k: int = DEFAULT_K
+    cells: CellIndex | None = None
+    carried: str | None = None
 
 
 def refreshed_index(index: SimilarIndex, events: DataFrame, refresh: Refresh) -> SimilarIndex:
@@ -44,14 +52,21 @@ def refreshed_index(index: SimilarIndex, events: DataFrame, refresh: Refresh) ->
 
     Only tracks played by a user with a vector are refreshed; the others keep
     their stored lists. The batch's tracks are asked against all vectors in
-    blocks; their neighbours' vectors stay as stored.
+    blocks, or the stored cells; their neighbours' vectors stay as stored.
     """
     ratings = (weigh_events(events).select("user_id", "track_id", F.col("weight").alias("rating"))
                .join(refresh.users.select("user_id"), "user_id", "left_semi"))
     tracks = ratings.select("track_id").distinct()
     n_tracks = tracks.count()
     fresh = fold_in_items(ratings, refresh.users, refresh.gram, refresh.rank)
-    lists = nearest_of(fresh, refresh.vectors, refresh.k, n_tracks, index.n_vectors)
+    if refresh.carried:
+        known = latest_vectors(tracks.sparkSession, refresh.carried).join(tracks, "track_id", "left_semi")
+        known = materialize(tracks.sparkSession, known, "carried_vectors")
+        fresh = known.unionByName(fresh.join(known.select("track_id"), "track_id", "left_anti"))
+    if refresh.cells:
+        lists = refresh.cells.nearest(fresh, refresh.k)
+    else:
+        lists = nearest_of(fresh, refresh.vectors, refresh.k, n_tracks, index.n_vectors)
     columns = ["track_id", "similar_track_id", "similarity"]
     table = (index.table.join(tracks, "track_id", "left_anti").select(*columns)
              .unionByName(lists.select(*columns)))
