@@ -1,9 +1,10 @@
 """Shards with the corpus's mixture by proportional stratified interleaving (operator 7).
 
 Law ``rows``: shard sizes in rows differ by one at most. Rows of a source are
-ranked by a seeded digest; a row's fractional rank is its place within its
-source, from 0 to 1. Sorted by it, the sources interleave in proportion, and
-cutting the order into equal parts gives shards that all match the mixture.
+ranked by a seeded digest of doc_id and text; a row's fractional rank is a point,
+by its digest, of its part of 0 to 1, which a source's rows share equally. Sorted
+by it, the sources interleave in proportion, and cutting the order into equal
+parts gives shards that all match the mixture. Sources of one row spread as well.
 
 No rank is taken over a whole source or table in one task: digests and
 fractions are cut into ``STRATA`` fixed ranges, rows are ranked within a range,
@@ -45,16 +46,20 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFram
     """doc_id, size, text_crc32, law, shard, slot (gapless in its shard), grown_shard (null for this law)."""
     utf8 = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    crc = F.crc32(utf8)
+    named = F.concat_ws(":", F.lit(seed), key, crc.cast("string"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("source"), F.lit("")).alias("source"),
                        F.col("source").isNull().alias("no_source"),
-                       (F.octet_length(utf8) + 16).cast("long").alias("size"), F.crc32(utf8).alias("text_crc32"),
-                       F.md5(F.concat(F.lit(seed + ":"), key).cast("binary")).alias("digest"))
+                       (F.octet_length(utf8) + 16).cast("long").alias("size"), crc.alias("text_crc32"),
+                       F.md5(named.cast("binary")).alias("digest"))
     rows = rows.withColumn("stratum", stratum_of(F.col("digest")))
     order = ["digest", "doc_id", "size", "text_crc32"]
     rows = ranked(rows, ["source", "no_source"], "stratum", order, "place").drop("stratum")
-    rows = rows.withColumn("fraction", (2 * F.col("place") + 1) / (2 * F.col("place_n")))
-    rows = rows.withColumns({"stratum": F.floor(F.col("fraction") * STRATA).cast("int"), "everything": F.lit(1)})
+    # The digest's first digits follow from the place, so the point in the row's part comes from its last ones.
+    point = F.conv(F.substring("digest", 25, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    rows = rows.withColumn("fraction", (F.col("place") + point) / F.col("place_n"))
+    rows = rows.withColumns({"stratum": F.least(F.floor(F.col("fraction") * STRATA).cast("int"), F.lit(STRATA - 1)), "everything": F.lit(1)})
     rows = ranked(rows, ["everything"], "stratum", ["fraction", *order, "source", "no_source"], "global")
     # Shard s takes the places from ceil(s * n / shards) on.
     shard = F.expr(f"global * {shards} div global_n").cast("int")
