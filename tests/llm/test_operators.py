@@ -5,7 +5,7 @@ import hashlib
 import itertools
 import json
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -314,6 +314,31 @@ def test_language_on_held_out_rows(spark, documents, no_documents):
     assert {r.lang_pred for r in untaught.collect()} == {"und"}
 
 
+def test_languages_in_blocks_are_one_model(spark):
+    documents = read(spark, "/root/testdata/sf0.001", "documents")
+    docs = documents.withColumn("lang", F.concat(F.col("lang"), F.lit("-"), (F.col("doc_id") % 3).cast("string")))
+    whole, parts = (langid.fitted(docs, block) for block in (256, 5))
+    assert len(whole) == 1 and len(parts) > 1
+    assert [x for m in parts for x in m.langs] == whole[0].langs
+    want = {r.doc_id: r for r in langid.predicted(docs, whole).collect()}
+    for r in langid.predicted(docs, parts).collect():
+        assert r.lang_pred == want[r.doc_id].lang_pred and abs(r.score - want[r.doc_id].score) < 1e-9
+    # against the rule itself, one document at a time
+    model = whole[0]
+    for r in documents.filter("text is not null").limit(20).collect():
+        n = langid.gram_counts(r.text)
+        if n.sum():
+            total = model.prior + n @ model.logs.astype(np.float64)
+            np.testing.assert_allclose(langid.totals(model, [n, n])[1], total)
+
+
+def test_hundreds_of_languages(spark):
+    rows = [(i, f"{chr(0x4E00 + i)} word{i} " * 5, f"l{i:03d}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predicted(docs, langid.fitted(docs)).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id:03d}" for r in got) > 290
+
+
 def test_gram_counts_match_brute_force(monkeypatch):
     text = "Ünï — 漢字 abc" * 9
     whole = langid.gram_counts(text)
@@ -415,6 +440,20 @@ def test_shards(spark, no_documents):
     assert len({r.shard for r in few}) == 3 and {r.slot for r in few} == {0}
 
 
+def test_shards_of_tiny_sources_and_null_ids(spark):
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+        F.when(F.col("id") < 2000, F.concat(F.lit("s"), F.col("id"))).otherwise(F.lit("hot")).alias("source"))
+    rows = sharding.sharded(docs).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert len(rows) == 3000 and all(sorted(v) == list(range(75)) for v in slots.values()) and len(slots) == 40
+    texts = {zlib.crc32(r.text.encode()): r.source for r in docs.collect()}
+    hot = Counter(r.shard for r in rows if texts[r.text_crc32] == "hot")
+    assert set(hot) == set(range(40)) and max(hot.values()) < 50  # 25 on average
+
+
 # --- quality ----------------------------------------------------------------------------------------------------------
 
 
