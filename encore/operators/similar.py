@@ -4,9 +4,10 @@ Exact top-k (J4) without a cross join: vectors are hashed into ``nb`` blocks;
 every unordered pair of blocks becomes one group holding the two blocks, so a
 group holds about ``2 * block_rows`` vectors whatever the data, and each
 vector is shuffled ``nb`` times. Inside the group numpy scores the pair in
-both directions and keeps only the k best candidates per vector; a final
-top-k per track merges the ``nb`` partial lists. Pairs are never
-materialised as rows.
+both directions, a tile of bounded size at a time, and keeps only the k best
+candidates per vector; a final top-k per track merges the ``nb`` partial
+lists. Pairs are never materialised as rows, and a task's memory is its two
+blocks and some tiles, however many vectors there are.
 
 Similarities are rounded to 6 decimals (half away from zero) and ranked on
 the rounded value, ties by candidate id.
@@ -26,13 +27,16 @@ from encore.operators.joins import broadcast_if_bounded
 from encore.sinks.files import materialize
 
 DEFAULT_BLOCK_ROWS = 16384
+#: Blocks that vectors are cut into, at least, if these hold ``LEAST_BLOCK_ROWS``: their pairs are tasks for all cores.
+LEAST_BLOCKS, LEAST_BLOCK_ROWS = 8, 1024
 #: Tracks whose exact neighbours tell how many bands a recall takes.
 RECALL_SAMPLE = 256
 #: Shuffling one vector costs about as much as scoring so many pairs.
 _COPY_COST = 512
 _MAX_BITS = 24
 _SIGNS_AT_ONCE = 1 << 22
-_QUERY_CHUNK = 512
+#: Queries and candidates of a tile: what a task holds beside its two blocks is some tiles of 2 MB.
+_QUERY_CHUNK, _CAND_CHUNK = 512, 512
 _NO_SCORE = -np.iinfo(np.int64).max  # its negative, used to sort, is a number too
 
 _PARTIAL_SCHEMA = ("track_id long, similar_track_id long, sim_micro long, "
@@ -55,113 +59,84 @@ def _empty_partial() -> pd.DataFrame:
                          "rank": pd.Series([], dtype="int32")})
 
 
+def _block(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids (ascending), labels, vectors and their norms."""
+    rows = rows.sort_values("track_id")
+    mat = np.stack(rows["features"].to_numpy()).astype(np.float64, copy=False)
+    return rows["track_id"].to_numpy(np.int64), rows["label"].to_numpy(), mat, np.linalg.norm(mat, axis=1)
+
+
+def _chunks(n: int, size: int) -> list[slice]:
+    return [slice(at, min(at + size, n)) for at in range(0, n, size)]
+
+
+def _tile(qmat: np.ndarray, q_norm: np.ndarray, cmat: np.ndarray,
+          c_norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rounded similarities of a tile of queries and candidates, and which are defined."""
+    den = np.outer(q_norm, c_norm)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sim = (qmat @ cmat.T) / den
+    valid = np.isfinite(sim) & (den > 0)
+    return _round_micro(np.where(valid, sim, 0.0)), valid
+
+
+def _best(best: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` largest keys of each row of both."""
+    both = np.concatenate([best, key], axis=1)
+    return both if both.shape[1] <= k else np.partition(both, both.shape[1] - k, axis=1)[:, -k:].copy()
+
+
+def _lists(ids: np.ndarray, best: np.ndarray, c_ids: np.ndarray, c_lab: np.ndarray) -> pd.DataFrame:
+    """Each row's keys as ranked candidates; a key is micro * len(c_ids) + len(c_ids) - 1 - position:
+    similarity first, then the smaller candidate id."""
+    best = -np.sort(-best, axis=1)
+    rows, places = np.nonzero(best != _NO_SCORE)
+    keys = best[rows, places]
+    at = len(c_ids) - 1 - keys % len(c_ids)
+    return pd.DataFrame({"track_id": ids[rows], "similar_track_id": c_ids[at], "sim_micro": keys // len(c_ids),
+                         "similar_label": c_lab[at], "rank": (places + 1).astype(np.int32)})
+
+
 def _score(queries: pd.DataFrame, cands: pd.DataFrame, k: int,
            include_self: bool) -> list[pd.DataFrame]:
-    """The k best candidates of every query row (one direction of a block pair)."""
-    cands = cands.sort_values("track_id")
-    c_ids = cands["track_id"].to_numpy(np.int64)
-    c_lab = cands["label"].to_numpy()
-    cmat = np.stack(cands["features"].to_numpy()).astype(np.float64)
-    c_norm = np.linalg.norm(cmat, axis=1)
+    """The k best candidates of every query row (one direction of a block pair), scored tile by tile."""
+    c_ids, c_lab, cmat, c_norm = _block(cands)
+    q_ids, _, qmat, q_norm = _block(queries)
     mc = len(c_ids)
-    kk = min(k, mc)
-    # larger key = better: similarity first, then the smaller candidate id
-    tie = (mc - 1 - np.arange(mc, dtype=np.int64))
+    tie = mc - 1 - np.arange(mc, dtype=np.int64)
     out = []
-    q_ids_all = queries["track_id"].to_numpy(np.int64)
-    q_feat_all = queries["features"].to_numpy()
-    for start in range(0, len(q_ids_all), _QUERY_CHUNK):
-        q_ids = q_ids_all[start:start + _QUERY_CHUNK]
-        qmat = np.stack(q_feat_all[start:start + _QUERY_CHUNK]).astype(np.float64)
-        q_norm = np.linalg.norm(qmat, axis=1)
-        den = np.outer(q_norm, c_norm)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = (qmat @ cmat.T) / den
-        valid = np.isfinite(sim) & (den > 0)
-        if not include_self:
-            valid &= q_ids[:, None] != c_ids[None, :]
-        micro = np.where(valid, _round_micro(np.where(valid, sim, 0.0)), 0)
-        key = np.where(valid, micro * mc + tie[None, :], _NO_SCORE)
-        idx = np.argpartition(key, mc - kk, axis=1)[:, mc - kk:]
-        top = np.take_along_axis(key, idx, axis=1)
-        order = np.argsort(-top, axis=1, kind="stable")
-        idx = np.take_along_axis(idx, order, axis=1)
-        rows = np.repeat(np.arange(len(q_ids)), kk)
-        ranks = np.tile(np.arange(1, kk + 1, dtype=np.int32), len(q_ids))
-        cols = idx.ravel()
-        keep = key[rows, cols] != _NO_SCORE
-        rows, cols, ranks = rows[keep], cols[keep], ranks[keep]
-        out.append(pd.DataFrame({
-            "track_id": q_ids[rows],
-            "similar_track_id": c_ids[cols],
-            "sim_micro": micro[rows, cols],
-            "similar_label": c_lab[cols],
-            "rank": ranks,
-        }))
+    for q in _chunks(len(q_ids), _QUERY_CHUNK):
+        best = np.empty((q.stop - q.start, 0), np.int64)
+        for c in _chunks(mc, _CAND_CHUNK):
+            micro, valid = _tile(qmat[q], q_norm[q], cmat[c], c_norm[c])
+            if not include_self:
+                valid &= q_ids[q, None] != c_ids[None, c]
+            best = _best(best, np.where(valid, micro * mc + tie[c], _NO_SCORE), k)
+        out.append(_lists(q_ids[q], best, c_ids, c_lab))
     return out
 
 
 def _score_both(first: pd.DataFrame, second: pd.DataFrame, k: int) -> list[pd.DataFrame]:
-    """Two disjoint blocks scored against each other with one similarity matrix.
+    """Two disjoint blocks scored against each other, every pair once.
 
-    Each chunk of ``first`` rows gives the row-wise top-k (first -> second)
-    and updates a running column-wise top-k (second -> first), so every pair
-    is scored once.
+    Each tile of similarities updates the running top-k of its rows
+    (first -> second) and of its columns (second -> first).
     """
-    first = first.sort_values("track_id")
-    second = second.sort_values("track_id")
-    a_ids = first["track_id"].to_numpy(np.int64)
-    b_ids = second["track_id"].to_numpy(np.int64)
-    a_lab, b_lab = first["label"].to_numpy(), second["label"].to_numpy()
-    amat = np.stack(first["features"].to_numpy()).astype(np.float64)
-    bmat = np.stack(second["features"].to_numpy()).astype(np.float64)
-    a_norm, b_norm = np.linalg.norm(amat, axis=1), np.linalg.norm(bmat, axis=1)
+    a_ids, a_lab, amat, a_norm = _block(first)
+    b_ids, b_lab, bmat, b_norm = _block(second)
     ma, mb = len(a_ids), len(b_ids)
-    ka, kb = min(k, mb), min(k, ma)   # list lengths for first rows / second rows
-    tie_b = mb - 1 - np.arange(mb, dtype=np.int64)
-    tie_a = ma - 1 - np.arange(ma, dtype=np.int64)
-    best_key = np.full((0, mb), _NO_SCORE, dtype=np.int64)
-    best_pos = np.zeros((0, mb), dtype=np.int64)
+    tie_a, tie_b = (m - 1 - np.arange(m, dtype=np.int64) for m in (ma, mb))
+    columns = _chunks(mb, _CAND_CHUNK)
+    best_b = [np.empty((c.stop - c.start, 0), np.int64) for c in columns]
     out = []
-    for start in range(0, ma, _QUERY_CHUNK):
-        rows_a = np.arange(start, min(start + _QUERY_CHUNK, ma))
-        den = np.outer(a_norm[rows_a], b_norm)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = (amat[rows_a] @ bmat.T) / den
-        valid = np.isfinite(sim) & (den > 0)
-        micro = np.where(valid, _round_micro(np.where(valid, sim, 0.0)), 0)
-        # first -> second: row-wise
-        key = np.where(valid, micro * mb + tie_b[None, :], _NO_SCORE)
-        idx = np.argpartition(key, mb - ka, axis=1)[:, mb - ka:]
-        top = np.take_along_axis(key, idx, axis=1)
-        idx = np.take_along_axis(idx, np.argsort(-top, axis=1, kind="stable"), axis=1)
-        r = np.repeat(np.arange(len(rows_a)), ka)
-        c = idx.ravel()
-        ranks = np.tile(np.arange(1, ka + 1, dtype=np.int32), len(rows_a))
-        keep = key[r, c] != _NO_SCORE
-        r, c, ranks = r[keep], c[keep], ranks[keep]
-        out.append(pd.DataFrame({"track_id": a_ids[rows_a[r]], "similar_track_id": b_ids[c],
-                                 "sim_micro": micro[r, c], "similar_label": b_lab[c],
-                                 "rank": ranks}))
-        # second -> first: column-wise, merged into the running best
-        key2 = np.where(valid, micro * ma + tie_a[rows_a][:, None], _NO_SCORE)
-        cand_key = np.concatenate([best_key, key2], axis=0)
-        cand_pos = np.concatenate([best_pos, np.broadcast_to(rows_a[:, None], key2.shape)], axis=0)
-        keep_n = min(kb, cand_key.shape[0])
-        sel = np.argpartition(cand_key, cand_key.shape[0] - keep_n, axis=0)[-keep_n:, :]
-        best_key = np.take_along_axis(cand_key, sel, axis=0)
-        best_pos = np.take_along_axis(cand_pos, sel, axis=0)
-    order = np.argsort(-best_key, axis=0, kind="stable")
-    best_key = np.take_along_axis(best_key, order, axis=0)
-    best_pos = np.take_along_axis(best_pos, order, axis=0)
-    ranks = np.repeat(np.arange(1, best_key.shape[0] + 1, dtype=np.int32), mb)
-    cols = np.tile(np.arange(mb), best_key.shape[0])
-    keys, pos = best_key.ravel(), best_pos.ravel()
-    keep = keys != _NO_SCORE
-    keys, pos, cols, ranks = keys[keep], pos[keep], cols[keep], ranks[keep]
-    out.append(pd.DataFrame({"track_id": b_ids[cols], "similar_track_id": a_ids[pos],
-                             "sim_micro": np.floor_divide(keys, ma), "similar_label": a_lab[pos],
-                             "rank": ranks}))
+    for r in _chunks(ma, _QUERY_CHUNK):
+        best_a = np.empty((r.stop - r.start, 0), np.int64)
+        for i, c in enumerate(columns):
+            micro, valid = _tile(amat[r], a_norm[r], bmat[c], b_norm[c])
+            best_a = _best(best_a, np.where(valid, micro * mb + tie_b[c], _NO_SCORE), k)
+            best_b[i] = _best(best_b[i], np.where(valid.T, micro.T * ma + tie_a[r], _NO_SCORE), k)
+        out.append(_lists(a_ids[r], best_a, b_ids, b_lab))
+    out += [_lists(b_ids[c], best, a_ids, a_lab) for c, best in zip(columns, best_b)]
     return out
 
 
@@ -211,8 +186,13 @@ def _pair_layout(placed: DataFrame, nb, keys: list[str]) -> DataFrame:
                     "track_id", "features", "label")
 
 
+def block_rows_for(n_vectors: int) -> int:
+    """Rows of a block: ``DEFAULT_BLOCK_ROWS``, fewer where that would leave cores without work."""
+    return max(LEAST_BLOCK_ROWS, min(DEFAULT_BLOCK_ROWS, math.ceil(n_vectors / LEAST_BLOCKS)))
+
+
 def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None,
-                   block_rows: int = DEFAULT_BLOCK_ROWS,
+                   block_rows: int | None = None,
                    include_self: bool = False) -> DataFrame:
     """Exact k most similar tracks per track.
 
@@ -221,7 +201,7 @@ def similar_tracks(vectors: DataFrame, k: int = 10, n_vectors: int | None = None
     """
     if n_vectors is None:
         n_vectors = vectors.count()
-    nb = max(1, math.ceil(n_vectors / block_rows))
+    nb = max(1, math.ceil(n_vectors / (block_rows or block_rows_for(n_vectors))))
     base = (one_vector_per_track(vectors)
             .withColumn("blk", F.pmod(F.xxhash64("track_id"), F.lit(nb)).cast("int")))
     partial = (_pair_layout(base, F.lit(nb), [])

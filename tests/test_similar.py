@@ -122,3 +122,25 @@ def test_score_both_equals_two_directions(seed, monkeypatch):
     both = both.sort_values(key).reset_index(drop=True)
     one = one.sort_values(key).reset_index(drop=True)
     pd.testing.assert_frame_equal(both, one, check_dtype=False)
+
+
+def test_scoring_holds_tiles_not_a_block_of_similarities():
+    import tracemalloc
+
+    import pandas as pd
+
+    import encore.operators.similar as sim
+    rng = np.random.default_rng(5)
+    n = 6000
+    df = pd.DataFrame({"track_id": np.arange(2 * n), "features": list(rng.normal(size=(2 * n, 8))), "label": 1})
+    for run in (lambda: sim._score_both(df[:n], df[n:], 3), lambda: sim._score(df[:n], df[n:], 3, False)):
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6  # a chunk of queries against the whole block took several times 24 MB
+
+
+def test_small_tables_are_cut_for_all_cores():
+    import encore.operators.similar as sim
+    assert [sim.block_rows_for(n) for n in (500, 10_256, 102_564, 10 ** 7)] == [1024, 1282, 12_821, 16_384]
