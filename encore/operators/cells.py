@@ -8,8 +8,12 @@ fifth of all, and the best answer of each pair is kept.
 The centroids are fitted on a bounded sample, ``FIT_PER_CELL`` vectors a cell
 at most, dealt by a hash of the track id; all vectors are indexed. Only the
 centroids and the cells' sizes are held by the driver and sent to tasks:
-``MOST_CELLS`` rows at most. A cell with more than ``block_rows`` vectors is
-searched in blocks, so one that holds a third of all rows is many tasks.
+``MOST_CELLS`` rows at most. Queries are cut into blocks, and cells are dealt
+to blocks of about ``block_rows`` vectors, so a query travels once for each
+block of cells that it asks, not for each cell; in a pair of blocks each cell is
+scored, a tile at a time, against the queries that ask it. A cell with more than
+``block_rows`` vectors is cut into blocks of its own, so one that holds a third
+of all rows is many tasks.
 
 Defined cases: vectors without a direction (null, empty, all zero) have no
 neighbours and are not stored; copies of a track collapse as in
@@ -26,12 +30,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators.similar import (_PARTIAL_SCHEMA, DEFAULT_BLOCK_ROWS, _empty_partial, _ranked, _score,
+from encore.operators.similar import (_CAND_CHUNK, _NO_SCORE, _PARTIAL_SCHEMA, _QUERY_CHUNK, DEFAULT_BLOCK_ROWS,
+                                      _best, _block, _chunks, _empty_partial, _lists, _ranked, _tile, block_rows_for,
                                       nearest_of, one_vector_per_track)
 from encore.sinks.files import materialize
 
@@ -42,7 +48,8 @@ MOST_CELLS = 65_536
 #: Cells that share a folder beyond this many folders; files are sorted by cell inside.
 MOST_FOLDERS = 4_096
 COPIES, PROBED_SHARE = 3, 0.2
-_AT_ONCE = 2_048
+#: Rows, and numbers of their distances to centroids, that a task holds at once.
+_AT_ONCE, _DISTANCES = 2_048, 1 << 20
 FOLDER, CELL, COPY = "_cell_folder", "_cell", "_copy"
 _STORED = "track_id bigint, features array<double>, label int"
 
@@ -53,17 +60,27 @@ def _directions(vectors: DataFrame) -> DataFrame:
     return one_vector_per_track(vectors).filter((square > 0) & (square < float("inf")))
 
 
+def _rows_at_once(centroids: np.ndarray) -> int:
+    return max(1, min(_AT_ONCE, _DISTANCES // max(1, len(centroids))))
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` cells nearest to each row."""
+    x = x.astype(np.float64)
+    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centroids.T
+    return np.argsort(-near, axis=1, kind="stable")[:, :n]
+
+
 def nearest_cells(centroids: np.ndarray, n: int):
     """mapInPandas function: each row once for each of its ``n`` nearest cells, with its place among them."""
     n = min(n, len(centroids))
+    step = _rows_at_once(centroids)
 
     def run(batches):
         for pdf in batches:
-            for at in range(0, len(pdf), _AT_ONCE):
-                rows = pdf.iloc[at:at + _AT_ONCE]
-                x = np.stack(rows["features"].to_numpy()).astype(np.float64)
-                near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centroids.T
-                cells = np.argsort(-near, axis=1, kind="stable")[:, :n]
+            for at in range(0, len(pdf), step):
+                rows = pdf.iloc[at:at + step]
+                cells = _nearest(np.stack(rows["features"].to_numpy()), centroids, n)
                 out = rows.loc[rows.index.repeat(n)].reset_index(drop=True)
                 out[CELL] = cells.ravel().astype(np.int32)
                 out[COPY] = np.tile(np.arange(n, dtype=np.int32), len(rows))
@@ -71,6 +88,84 @@ def nearest_cells(centroids: np.ndarray, n: int):
     return run
 
 
+def dealt(sizes: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block of each cell, and how many blocks it has: cells share a block while that holds ``block_rows``
+    vectors, larger ones have several of their own."""
+    first, several = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32)
+    block, held = 0, 0
+    for cell, size in enumerate(sizes.tolist()):
+        if held and held + size > block_rows:
+            block, held = block + 1, 0
+        first[cell] = block
+        if size > block_rows:
+            several[cell] = math.ceil(size / block_rows)
+            block += int(several[cell])
+        else:
+            held += size
+    return first, several
+
+
+def asking(centroids: np.ndarray, n: int, first: np.ndarray, several: np.ndarray):
+    """mapInArrow function: each query with ``asked``, the blocks that hold its ``n`` nearest cells and which cells
+    of each they are."""
+    step = _rows_at_once(centroids)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                features = part.column("features")
+                x = features.flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                cells = _nearest(x, centroids, n)
+                row = np.repeat(np.arange(part.num_rows), cells.shape[1])
+                cell = cells.ravel()
+                times = several[cell]
+                offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                row, cell = np.repeat(row, times), np.repeat(cell, times)
+                block = first[cell] + offset
+                order = np.lexsort((cell, block, row))
+                row, cell, block = row[order], cell[order], block[order]
+                starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (block[1:] != block[:-1])))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(row)), pa.int32()),
+                                                 pa.array(cell, pa.int32()))
+                blocks = pa.StructArray.from_arrays([pa.array(block[starts], pa.int32()), lists], ["vb", "cells"])
+                ends = np.searchsorted(row[starts], np.arange(part.num_rows + 1))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), blocks)],
+                                                 [*part.schema.names, "asked"])
+    return run
+
+
+def _score_cells(queries: pd.DataFrame, cands: pd.DataFrame, k: int) -> list[pd.DataFrame]:
+    """The best candidates of every query among those in a cell it asks, ``k`` different ones where there are.
+
+    ``cells``: the cells a query asks, or the cell a candidate stands in.
+    """
+    c_ids, c_lab, cmat, c_norm = _block(cands)
+    q_ids, _, qmat, q_norm = _block(queries)
+    c_cell = np.concatenate(cands.sort_values("track_id")["cells"].to_numpy())
+    asked = queries.sort_values("track_id")["cells"].to_numpy()
+    asked_cell = np.concatenate(asked)
+    order = np.argsort(asked_cell, kind="stable")
+    asker = np.repeat(np.arange(len(q_ids)), [len(a) for a in asked])[order]
+    asked_cell = asked_cell[order]
+    # copies of a candidate have one key; as many more are kept that k different ones stay
+    ids, at = np.unique(c_ids, return_index=True)
+    place = np.searchsorted(ids, c_ids)
+    keep, m = k * int(np.bincount(place).max()), len(ids)
+    best = np.full((len(q_ids), keep), _NO_SCORE, np.int64)
+    for cell in np.unique(c_cell):
+        held = np.flatnonzero(c_cell == cell)
+        who = asker[slice(*np.searchsorted(asked_cell, [cell, cell + 1]))]
+        for q in (who[part] for part in _chunks(len(who), _QUERY_CHUNK)):
+            for c in (held[part] for part in _chunks(len(held), _CAND_CHUNK)):
+                micro, valid = _tile(qmat[q], q_norm[q], cmat[c], c_norm[c])
+                valid &= q_ids[q, None] != c_ids[None, c]
+                best[q] = _best(best[q], np.where(valid, micro * m + (m - 1 - place[c]), _NO_SCORE), keep)
+    best = np.sort(best, axis=1)
+    best[:, 1:][best[:, 1:] == best[:, :-1]] = _NO_SCORE
+    return [_lists(q_ids[q], best[q], ids, c_lab[at]) for q in _chunks(len(q_ids), _QUERY_CHUNK)]
+
+
 @dataclass(frozen=True)
 class CellIndex:
     """An index written by ``build_cells``: centroids, vectors of each cell, and where they are stored."""
@@ -94,37 +189,49 @@ class CellIndex:
         folders = sorted({c % self.folders for c in cells})
         return self.stored().filter(F.col(FOLDER).isin(folders) & F.col(CELL).isin(sorted(cells))).drop(FOLDER, COPY)
 
+    def _searched(self, probes: int, placed: DataFrame | None = None) -> DataFrame:
+        """The stored vectors that queries may meet; where all cells are asked, each once will do."""
+        if probes >= len(self.centroids):
+            return self.stored().filter(F.col(COPY) == 0).drop(FOLDER, COPY)
+        # as many rows as there are cells, at most
+        wanted = placed.select(F.explode("asked.cells").alias("c")).select(F.explode("c").alias("c")).distinct()
+        return self.of_cells([r.c for r in wanted.collect()])
+
     def nearest(self, queries: DataFrame, k: int = 10, probes: int | None = None,
-                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                block_rows: int | None = None) -> DataFrame:
         """The ``k`` most similar tracks found for each query track; columns of ``similar_tracks``."""
         n_cells = len(self.centroids)
         asked = materialize(self.spark, _directions(queries), "cell_queries")
         if self.n_vectors == 0:
-            return nearest_of(asked, self.vectors(), k, 1, 1, block_rows)
-        probes = max(1, int(n_cells * PROBED_SHARE)) if probes is None else probes
-        placed = materialize(self.spark, asked.mapInPandas(
-            nearest_cells(self.centroids, probes), f"{_STORED}, {CELL} int, {COPY} int"), "cell_probes").drop(COPY)
-        # as many rows as there are cells, at most
-        wanted = {r[CELL]: r["count"] for r in placed.groupBy(CELL).count().collect()}
-        blocks = self.spark.createDataFrame(
-            [(c, max(1, math.ceil(int(self.sizes[c]) / block_rows)), max(1, math.ceil(n / block_rows)))
-             for c, n in wanted.items() if self.sizes[c]], f"{CELL} int, vb_n int, qb_n int")
-
-        def dealt(df, side, own, own_n, other, other_n):
-            return df.join(F.broadcast(blocks), CELL).select(
-                CELL, F.pmod(F.xxhash64("track_id"), F.col(own_n)).cast("int").alias(own),
-                F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)).alias(other),
-                F.lit(side).alias("side"), "track_id", "features", "label")
+            return nearest_of(asked, self.vectors(), k, 1, 1, block_rows or DEFAULT_BLOCK_ROWS)
+        n_queries = asked.count()  # from the footers
+        rows = block_rows or block_rows_for(self.n_vectors)
+        probes = max(1, int(n_cells * PROBED_SHARE)) if probes is None else min(probes, n_cells)
+        sizes = self.sizes
+        if probes == n_cells:
+            sizes = _sizes(self._searched(probes), n_cells)
+        first, several = dealt(sizes, rows)
+        placed = materialize(self.spark, asked.select("track_id", "features", "label").mapInArrow(
+            asking(self.centroids, probes, first, several),
+            f"{_STORED}, asked array<struct<vb int, cells array<int>>>"), "cell_probes")
+        places = self.spark.createDataFrame(
+            [(c, int(first[c]), int(several[c])) for c in range(n_cells)], f"{CELL} int, first int, several int")
+        q_blocks = max(1, math.ceil(n_queries / rows))
+        block = F.pmod(F.xxhash64("track_id"), F.lit(q_blocks)).cast("int")
+        mine = placed.select(block.alias("qb"), F.explode("asked").alias("a"), "track_id", "features", "label").select(
+            "qb", "a.vb", F.lit(0).alias("side"), "a.cells", "track_id", "features", "label")
+        found = self._searched(probes, placed).join(F.broadcast(places), CELL).select(
+            F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"),
+            (F.col("first") + F.pmod(F.xxhash64("track_id"), F.col("several"))).cast("int").alias("vb"),
+            F.lit(1).alias("side"), F.array(CELL).alias("cells"), "track_id", "features", "label")
 
         def score(pdf: pd.DataFrame) -> pd.DataFrame:
             mine, found = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
             if mine.empty or found.empty:
                 return _empty_partial()
-            return pd.concat(_score(mine, found, k, False), ignore_index=True)
+            return pd.concat(_score_cells(mine, found, k), ignore_index=True)
 
-        both = (dealt(placed, 0, "qb", "qb_n", "vb", "vb_n")
-                .unionByName(dealt(self.of_cells(list(wanted)), 1, "vb", "vb_n", "qb", "qb_n")))
-        partial = both.groupBy(CELL, "qb", "vb").applyInPandas(score, _PARTIAL_SCHEMA)
+        partial = mine.unionByName(found).groupBy("qb", "vb").applyInPandas(score, _PARTIAL_SCHEMA)
         best = partial.groupBy("track_id", "similar_track_id").agg(
             F.max("sim_micro").alias("sim_micro"), F.max("similar_label").alias("similar_label"))
         lists = materialize(self.spark, _ranked(best, k), "cell_lists")
@@ -133,7 +240,15 @@ class CellIndex:
         if short.isEmpty():
             return lists
         return (lists.join(full, "track_id", "left_semi")
-                .unionByName(nearest_of(short, self.vectors(), k, None, self.n_vectors, block_rows)))
+                .unionByName(nearest_of(short, self.vectors(), k, None, self.n_vectors, rows)))
+
+
+def _sizes(stored: DataFrame, n_cells: int) -> np.ndarray:
+    """Rows of each cell."""
+    sizes = np.zeros(n_cells, np.int64)
+    for r in stored.groupBy(CELL).count().collect():
+        sizes[r[CELL]] = r["count"]
+    return sizes
 
 
 def _fitted(vectors: DataFrame, n_vectors: int, n_cells: int, seed: int) -> np.ndarray:
@@ -182,6 +297,5 @@ def load_cells(spark: SparkSession, path: str) -> CellIndex:
     centroids = [r.centroid for r in spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()]
     index = CellIndex(spark, path, np.array(centroids), np.zeros(len(centroids), np.int64), about["folders"],
                       about["n_vectors"])
-    for r in index.stored().groupBy(CELL).count().collect():
-        index.sizes[r[CELL]] = r["count"]
+    index.sizes[:] = _sizes(index.stored(), len(centroids))
     return index

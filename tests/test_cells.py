@@ -75,3 +75,30 @@ def test_a_hot_cell_is_searched_in_blocks(spark):
     exact = nearest_of(asked, alike, 3)
     total = lambda df: df.agg(F.sum("similarity")).first()[0]
     assert got.count() == exact.count() and abs(total(got) - total(exact)) < 1e-3
+
+
+def test_a_query_travels_by_blocks_of_cells():
+    import numpy as np
+    import pyarrow as pa
+    first, several = cells.dealt(np.array([3, 4, 2, 25, 1, 0, 9]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 4, 4] and several.tolist() == [1, 1, 1, 3, 1, 1, 1]
+    centroids = np.eye(7)
+    batch = pa.RecordBatch.from_pydict({"track_id": [1], "features": [[1.0, 0.9, 0.1, 0.8, 0.2, 0.3, 0.4]], "label": [1]})
+    out, = cells.asking(centroids, 4, first, several)([batch])
+    # four cells asked in five blocks, the features once for each block
+    assert out.column("asked").to_pylist() == [[{"vb": 0, "cells": [0, 1]}, {"vb": 1, "cells": [3]}, {"vb": 2, "cells": [3]},
+                                                {"vb": 3, "cells": [3]}, {"vb": 4, "cells": [6]}]]
+
+
+def test_what_a_task_yields_is_bounded_for_any_number_of_cells():
+    import numpy as np
+    import pyarrow as pa
+    n = 5000
+    vectors = np.random.default_rng(1).normal(size=(n, 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(300)), pa.array(list(vectors[:300])), pa.array(np.zeros(300, np.int32))],
+                                       ["track_id", "features", "label"])
+    got = list(cells.asking(vectors, n, *cells.dealt(np.full(n, 3), 1000))([batch]))
+    assert sum(b.num_rows for b in got) == 300
+    assert max(b.num_rows for b in got) * n <= cells._DISTANCES
+    # a query stands once, not once for each of its 5000 cells
+    assert {len(a) for b in got for a in b.column("asked").to_pylist()} == {16}
