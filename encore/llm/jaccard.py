@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import bytescan as b
 from .components import components
 from .minhash import class_texts, shingle_sets
-from .tables import NULL_ID, keyed_texts, opaque, stored, text_digest, tidy
+from .tables import NULL_ID, id_key, keyed_texts, opaque, sifted, stored, text_digest, tidy
 
 SHINGLE, PERCENT = 4, 85
 #: Greatest counts of tokens indexed singly and in pairs; those beyond are indexed in triples.
@@ -264,7 +264,7 @@ def likely(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) ->
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are similar on full sets."""
+    """Those of ``pairs`` (a, b) that are similar on full sets; the sets of their members alone travel."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,8 +272,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     if _alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in "ab"], ["a", "b"])
 
-    one = sets.select(opaque(F.col("node")).alias("_a"), F.col("tokens").alias("x"))
-    two = sets.select(opaque(F.col("node")).alias("_b"), F.col("tokens").alias("y"))
+    one, two = (sifted(sets, [F.col("node")], pairs.select(end)) for end in "ab")
+    one = one.select(opaque(F.col("node")).alias("_a"), F.col("tokens").alias("x"))
+    two = two.select(opaque(F.col("node")).alias("_b"), F.col("tokens").alias("y"))
     met = pairs.join(two, opaque(F.col("b")) == F.col("_b")).join(one, opaque(F.col("a")) == F.col("_a"))
     return met.select("a", "b", "x", "y").mapInArrow(tidy(check), "a long, b long")
 
@@ -360,7 +361,8 @@ def across(posted: DataFrame, firsts: DataFrame, roots: DataFrame, sets: DataFra
     edges = dealt.groupBy("key", "lo", "hi").applyInArrow(lambda table: _promising(table, percent), "a long, b long")
     clusters = components(stored(edges.distinct(), "promising")).withColumnRenamed("root", "key")
     members = stored(clusters.join(rest.select("node", "n", "root").distinct(), "node").select("key", "node", "n", "root"), "clusters")
-    left = in_blocks(members, BLOCK, BLOCK_TOKENS).join(sets, "node")
+    own = sifted(sets, [F.col("node")], members.select("node"))
+    left = in_blocks(members, BLOCK, BLOCK_TOKENS).join(own, "node")
     return left.groupBy("key", "lo", "hi").applyInArrow(lambda table: _compared(table, percent), "a long, b long")
 
 
@@ -379,7 +381,8 @@ def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) ->
         F.coalesce("lone", F.lit(0)) < needed(F.col("n"), percent)).select("node", "doc_id", "th", "n")
     left = stored(left, "left")
     several = not signed.groupBy("doc_id", "th").count().filter("count > 1").isEmpty()
-    sets = stored(packed(class_texts(docs, left, several), shingle), "tokensets")
+    own = sifted(docs, [id_key(), text_digest()], left.select("doc_id", "th"))
+    sets = stored(packed(class_texts(own, left, several), shingle), "tokensets")
     keys = stored(index(sets, left.select("node", "n"), percent), "keys")
     posted = keys.select(F.explode("keys").alias("key"), "node", "n")
     firsts = posted.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("m")).filter("m > 1")

@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from encore.llm import jaccard
+from pyspark.sql import functions as F
+
+from encore.llm import jaccard, tables
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -135,3 +137,28 @@ def test_parities_never_refute_similar_sets():
         if 100 * shared >= 85 * (len(x) + len(y) - shared):
             a, c = sorted((jaccard._words(jaccard.parities(v)) for v in (x, y)), key=len)
             assert jaccard._may_be_alike(a, c, len(x) + len(y), 85)
+
+
+def test_texts_and_sets_without_a_partner_stay_where_they_are(spark, monkeypatch):
+    """Only what a join can meet is shuffled: texts of the classes left, sets of the pairs to confirm."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"{i}w{rnd.random()}" for _ in range(120))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    moved = []
+    class_texts = jaccard.class_texts
+    monkeypatch.setattr(jaccard, "class_texts", lambda d, *rest: moved.append(d.count()) or class_texts(d, *rest))
+    assert rows_of(jaccard.joined(docs)) == brute(rows)
+    assert len(moved) == 1 and 6 <= moved[0] <= 12
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 18])
+def test_sift_loses_no_wanted_row(spark, monkeypatch, words):
+    monkeypatch.setattr(tables, "SIFT_WORDS", words)
+    rows = spark.range(-500, 4000).selectExpr("id", "id * 7 AS th")
+    wanted = rows.filter("id % 50 = 0").unionAll(rows.filter("id < 0"))
+    got = tables.sifted(rows, [F.col("id"), F.col("th")], wanted)
+    assert wanted.exceptAll(got).exceptAll(rows.filter("id < 0 AND id % 50 = 0")).isEmpty()
+    assert got.count() == got.distinct().count() <= 4500
+    assert words < 1 << 18 or got.count() < 700
+    assert tables.sifted(rows, [F.col("id"), F.col("th")], wanted.limit(0)).isEmpty()
