@@ -6,11 +6,12 @@ checks both). So pieces can't cross from a character to a marker: a text is
 a row of chunks, each some markers and what follows up to the next marker,
 and the ids of a text are its chunks' ids, one after the other. A group of
 texts is cut into chunks by one scan of its bytes; Arrow's dictionary encoding
-gives its distinct chunks and the place of each; a worker's table segments each
-distinct chunk once, with the library, for all tasks the worker runs; and
-ids and decoded bytes are joined back by position in one gather. A table of
-``TABLE_CHUNKS`` entries that is full keeps those that came up again, which
-bounds memory and changes no result.
+gives its distinct chunks and the place of each; a task's table segments each
+distinct chunk once, with the library; and ids and decoded bytes are joined
+back by position in one gather. A table of ``TABLE_CHUNKS`` entries that is
+full keeps those that came up again, which bounds memory and changes no
+result. It goes with its task: an executor has more Python workers than cores
+(each is kept for later stages), and none holds a table while others work.
 
 Defined cases: a null text is empty; an empty text has the end id alone;
 other columns are ignored; an empty table gives an empty result.
@@ -51,6 +52,14 @@ def chunks_are_closed(model: str) -> bool:
     return sp.decode(sp.encode(probe)) == probe
 
 
+@lru_cache(maxsize=2)
+def vocabulary(sp) -> tuple[list[str], list[str], set[int]]:
+    """The model's pieces, its ids as decimals, and the ids that don't stand for their piece."""
+    ids = range(sp.get_piece_size())
+    special = {i for i in ids if sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i)}
+    return [sp.id_to_piece(i) for i in ids], [f"{i} " for i in ids], special
+
+
 class Table:
     """Distinct chunks (as bytes) and what they stand for: count of ids, the ids packed, the decoded bytes.
 
@@ -62,10 +71,7 @@ class Table:
         self.sp, self.whole = sp, whole
         self.entries: dict[bytes, tuple[int, bytes, bytes]] = {}
         self.again: set[bytes] = set()  # came up in a later group too
-        self.pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        self.decimals = [f"{i} " for i in range(sp.get_piece_size())]
-        self.special = {i for i in range(sp.get_piece_size())
-                        if sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i)}
+        self.pieces, self.decimals, self.special = vocabulary(sp)
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, np.int32).tobytes() if self.whole else "".join([self.decimals[i] for i in ids]).encode()
@@ -106,12 +112,6 @@ class Table:
         return found
 
 
-@lru_cache(maxsize=2)
-def table_of(model: str, whole: bool) -> Table:
-    """The worker's table: kept from task to task."""
-    return Table(processor(model), whole)
-
-
 def _cut(buf: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """The chunks of some texts, one after the other, and how many each text has; a blank stands before each text."""
     sizes = np.diff(offsets)
@@ -168,7 +168,7 @@ def encoded(texts: pa.Array, table: Table, end_id: int) -> Iterator[tuple[int, b
 
 
 def _run(batches: Iterator[pa.RecordBatch], model: str, whole: bool) -> Iterator[pa.RecordBatch]:
-    table = table_of(model, whole)
+    table = Table(processor(model), whole)
     end = table.sp.eos_id()
     for batch in batches:
         counts, ids, texts = [], [], []

@@ -1,11 +1,13 @@
 """The other operators against brute force, the library or held-out accuracy."""
 
+import gc
 import gzip
 import hashlib
 import itertools
 import json
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from encore.llm import (
     components, decontaminate, fingerprint, langid, minhash, quality, sentencepiece_table, sharding, warc,
 )
 from encore.llm.queries import sentencepiece_model
-from encore.llm.tables import read
+from encore.llm.tables import read, tidy
 
 SF = "/root/testdata/sf0.001"
 
@@ -297,6 +299,16 @@ def test_a_full_table_changes_nothing(monkeypatch):
         assert len(table.entries) <= bound
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_no_table_outlives_its_task(whole):
+    """A worker is kept for later stages: what it holds then, the executor holds beside their own memory."""
+    batch = pa.RecordBatch.from_pydict({"row": [{"doc_id": 1}], "text": ["some words, and some more"]})
+    work = tidy(partial(sentencepiece_table._run, model=sentencepiece_model(), whole=whole))
+    assert [b.num_rows for b in work(iter([batch]))] == [1]
+    gc.collect()
+    assert not [o for o in gc.get_objects() if isinstance(o, sentencepiece_table.Table)]
+
+
 # --- language ---------------------------------------------------------------------------------------------------------
 
 
