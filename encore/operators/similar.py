@@ -86,6 +86,56 @@ def _best(best: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
     return both if both.shape[1] <= k else np.partition(both, both.shape[1] - k, axis=1)[:, -k:].copy()
 
 
+def _similarities(qmat: np.ndarray, q_norm: np.ndarray, cmat: np.ndarray, c_norm: np.ndarray,
+                  room: np.ndarray) -> np.ndarray:
+    """A tile of similarities in ``room``, not rounded; not finite where they are not defined."""
+    sim, den = room[:, :len(qmat), :len(cmat)]
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        np.matmul(qmat, cmat.T, out=sim)
+        np.multiply(q_norm[:, None], c_norm, out=den)
+        sim /= den
+    return sim
+
+
+def _room() -> np.ndarray:
+    return np.empty((2, _QUERY_CHUNK, _CAND_CHUNK))
+
+
+def _reaching(sim: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and rounded similarities of the defined pairs of a tile at or above their row's floor.
+
+    Rows without a floor take two millionths below their k-th similarity here: what is less rounds to less.
+    """
+    if k < sim.shape[1] and np.isneginf(floor).any():
+        defined = np.where(np.isfinite(sim), sim, -np.inf)
+        floor = np.maximum(floor, np.partition(defined, sim.shape[1] - k, axis=1)[:, -k] - 2e-6)
+    rows, columns = np.divmod(np.flatnonzero(sim >= floor[:, None]), sim.shape[1])
+    value = sim[rows, columns]
+    defined = np.isfinite(value)
+    return rows[defined], columns[defined], _round_micro(value[defined])
+
+
+def _enter(best: np.ndarray, floor: np.ndarray, rows: np.ndarray, keys: np.ndarray, n_cands: int) -> None:
+    """Take keys, in order of their rows, into the largest of these rows.
+
+    A row's floor is a millionth below its last similarity, so that no
+    candidate that rounds to it is left out; none while it has fewer.
+    """
+    if not len(rows):
+        return
+    own, first, n = np.unique(rows, return_index=True, return_counts=True)
+    new = np.full((len(own), n.max()), _NO_SCORE, np.int64)
+    new[np.repeat(np.arange(len(own)), n), np.arange(len(rows)) - np.repeat(first, n)] = keys
+    best[own] = _best(best[own], new, best.shape[1])
+    least = best[own].min(axis=1)
+    floor[own] = np.where(least == _NO_SCORE, -np.inf, (least // n_cands - 1) * 1e-6)
+
+
+def _no_lists(n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and floors of rows without a candidate yet."""
+    return np.full((n, k), _NO_SCORE, np.int64), np.full(n, -np.inf)
+
+
 def _lists(ids: np.ndarray, best: np.ndarray, c_ids: np.ndarray, c_lab: np.ndarray) -> pd.DataFrame:
     """Each row's keys as ranked candidates; a key is micro * len(c_ids) + len(c_ids) - 1 - position:
     similarity first, then the smaller candidate id."""
@@ -104,14 +154,15 @@ def _score(queries: pd.DataFrame, cands: pd.DataFrame, k: int,
     q_ids, _, qmat, q_norm = _block(queries)
     mc = len(c_ids)
     tie = mc - 1 - np.arange(mc, dtype=np.int64)
-    out = []
+    out, room = [], _room()
     for q in _chunks(len(q_ids), _QUERY_CHUNK):
-        best = np.empty((q.stop - q.start, 0), np.int64)
+        best, floor = _no_lists(q.stop - q.start, min(k, mc))
         for c in _chunks(mc, _CAND_CHUNK):
-            micro, valid = _tile(qmat[q], q_norm[q], cmat[c], c_norm[c])
+            sim = _similarities(qmat[q], q_norm[q], cmat[c], c_norm[c], room)
             if not include_self:
-                valid &= q_ids[q, None] != c_ids[None, c]
-            best = _best(best, np.where(valid, micro * mc + tie[c], _NO_SCORE), k)
+                sim[q_ids[q, None] == c_ids[None, c]] = -np.inf
+            rows, columns, micro = _reaching(sim, floor, k)
+            _enter(best, floor, rows, micro * mc + tie[c][columns], mc)
         out.append(_lists(q_ids[q], best, c_ids, c_lab))
     return out
 
@@ -120,23 +171,25 @@ def _score_both(first: pd.DataFrame, second: pd.DataFrame, k: int) -> list[pd.Da
     """Two disjoint blocks scored against each other, every pair once.
 
     Each tile of similarities updates the running top-k of its rows
-    (first -> second) and of its columns (second -> first).
+    (first -> second) and of its columns (second -> first). Only pairs that
+    reach a list's last similarity so far are rounded and ranked.
     """
     a_ids, a_lab, amat, a_norm = _block(first)
     b_ids, b_lab, bmat, b_norm = _block(second)
     ma, mb = len(a_ids), len(b_ids)
     tie_a, tie_b = (m - 1 - np.arange(m, dtype=np.int64) for m in (ma, mb))
-    columns = _chunks(mb, _CAND_CHUNK)
-    best_b = [np.empty((c.stop - c.start, 0), np.int64) for c in columns]
-    out = []
+    best_b, floor_b = _no_lists(mb, min(k, ma))
+    out, room = [], _room()
     for r in _chunks(ma, _QUERY_CHUNK):
-        best_a = np.empty((r.stop - r.start, 0), np.int64)
-        for i, c in enumerate(columns):
-            micro, valid = _tile(amat[r], a_norm[r], bmat[c], b_norm[c])
-            best_a = _best(best_a, np.where(valid, micro * mb + tie_b[c], _NO_SCORE), k)
-            best_b[i] = _best(best_b[i], np.where(valid.T, micro.T * ma + tie_a[r], _NO_SCORE), k)
+        best_a, floor_a = _no_lists(r.stop - r.start, min(k, mb))
+        for c in _chunks(mb, _CAND_CHUNK):
+            sim = _similarities(amat[r], a_norm[r], bmat[c], b_norm[c], room)
+            rows, columns, micro = _reaching(sim, floor_a, k)
+            _enter(best_a, floor_a, rows, micro * mb + tie_b[c][columns], mb)
+            rows, columns, micro = _reaching(sim.T, floor_b[c], k)
+            _enter(best_b[c], floor_b[c], rows, micro * ma + tie_a[r][columns], ma)
         out.append(_lists(a_ids[r], best_a, b_ids, b_lab))
-    out += [_lists(b_ids[c], best, a_ids, a_lab) for c, best in zip(columns, best_b)]
+    out += [_lists(b_ids[c], best_b[c], a_ids, a_lab) for c in _chunks(mb, _CAND_CHUNK)]
     return out
 
 

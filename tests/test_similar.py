@@ -144,3 +144,66 @@ def test_scoring_holds_tiles_not_a_block_of_similarities():
 def test_small_tables_are_cut_for_all_cores():
     import encore.operators.similar as sim
     assert [sim.block_rows_for(n) for n in (500, 10_256, 102_564, 10 ** 7)] == [1024, 1282, 12_821, 16_384]
+
+
+def _odd_vectors(n, seed):
+    """Few directions (ties), opposite ones, copies, vectors without a direction, too long or no number."""
+    import pandas as pd
+    rng = np.random.default_rng(seed)
+    base = np.concatenate([rng.normal(size=(9, 4)), -np.ones((1, 4)), np.ones((1, 4))])
+    feats = base[rng.integers(0, len(base), n)] * rng.choice([1e-3, 0.5, 7.0], (n, 1))
+    feats[rng.integers(0, n, 3)] = 0.0
+    feats[rng.integers(0, n, 2)] = 1e200
+    feats[rng.integers(0, n, 2), 1] = np.nan
+    return pd.DataFrame({"track_id": rng.permutation(10 * n)[:n], "features": list(feats),
+                         "label": rng.integers(0, 5, n).astype(np.int32)})
+
+
+@pytest.mark.parametrize("k", [1, 10, 500])
+@pytest.mark.parametrize("chunk", [7, 512])
+def test_lists_of_odd_vectors_equal_a_full_ranking(k, chunk, monkeypatch):
+    import pandas as pd
+
+    import encore.operators.similar as sim
+    monkeypatch.setattr(sim, "_QUERY_CHUNK", chunk)
+    monkeypatch.setattr(sim, "_CAND_CHUNK", chunk)
+    df = _odd_vectors(150, 4)
+    a, b = df.iloc[:90], df.iloc[90:]
+
+    def ranked(queries, cands, own):
+        q_ids, _, qmat, q_norm = sim._block(queries)
+        c_ids, c_lab, cmat, c_norm = sim._block(cands)
+        with np.errstate(all="ignore"):
+            cos = (qmat @ cmat.T) / np.outer(q_norm, c_norm)
+            micro = sim._round_micro(np.where(np.isfinite(cos), cos, 0.0))
+        rows = []
+        for i, t in enumerate(q_ids):
+            found = sorted((-micro[i, j], c_ids[j], c_lab[j]) for j in range(len(c_ids))
+                           if np.isfinite(cos[i, j]) and (own or c_ids[j] != t))
+            rows += [(t, c, -m, lab, r + 1) for r, (m, c, lab) in enumerate(found[:k])]
+        return rows
+
+    def rows(parts):
+        return sorted(map(tuple, pd.concat(parts, ignore_index=True).itertuples(index=False)))
+    assert rows(sim._score_both(a, b, k)) == sorted(ranked(a, b, True) + ranked(b, a, True))
+    assert rows(sim._score(df, df, k, False)) == sorted(ranked(df, df, False))
+    assert rows(sim._score(df, df, k, True)) == sorted(ranked(df, df, True))
+
+
+def test_only_pairs_that_can_enter_a_list_are_ranked(monkeypatch):
+    import pandas as pd
+
+    import encore.operators.similar as sim
+    ranked, plain = [], sim._round_micro
+
+    def counted(values):
+        ranked.append(values.size)
+        return plain(values)
+    monkeypatch.setattr(sim, "_round_micro", counted)
+    rng = np.random.default_rng(6)
+    n = 3000
+    df = pd.DataFrame({"track_id": np.arange(2 * n), "features": list(rng.normal(size=(2 * n, 8))), "label": 1})
+    for run in (lambda: sim._score_both(df[:n], df[n:], 5), lambda: sim._score(df[:n], df[:n], 5, False)):
+        ranked.clear()
+        run()
+        assert sum(ranked) < n * n / 20  # all n * n pairs before
