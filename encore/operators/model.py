@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.joins import reshuffled
@@ -18,12 +21,54 @@ ALS_ALPHA = 40.0
 
 #: Rating rows that one ALS block takes in, about.
 BLOCK_RATINGS = 1_000_000
+#: Bytes of factors in shuffle files that the iterations since the last checkpoint may have left, about.
+KEPT_BYTES = 1 << 30
+#: Seconds between two looks for shuffles that no later iteration can ask for.
+_LOOK_S = 5.0
 #: (user, track) pairs of one track that one task folds; a track with more is dealt over several.
 FOLD_PAIRS = 100_000
 #: Tracks whose equations are handed on together.
 _FOLD_ROWS = 256
 
 
+def iterations_kept(n_ratings: int, rank: int, most: int) -> int:
+    """Iterations between two checkpoints: ``most``, fewer where their shuffles hold over ``KEPT_BYTES``.
+
+    An iteration sends the user factors to the item blocks and the item factors
+    to the user blocks, each at most once for each rating.
+    """
+    return most if most < 1 else max(1, min(most, KEPT_BYTES // max(1, 2 * 4 * rank * n_ratings)))
+
+
+@contextmanager
+def unreachable_removed(spark: SparkSession, every: float = _LOOK_S):
+    """Shuffles that nothing refers to any more go every few seconds, not when the driver's heap fills.
+
+    Spark's cleaner removes a shuffle's files once the driver's garbage
+    collector finds it unreachable. The fit is one call with thousands of
+    small objects on the driver, whose own collections come too late.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # no driver-side context (Spark Connect)
+        jvm = None
+    done = threading.Event()
+
+    def look():
+        while not done.wait(every):
+            jvm.System.gc()
+
+    thread = threading.Thread(target=look, daemon=True)
+    if jvm is not None:
+        thread.start()
+    try:
+        yield
+    finally:
+        done.set()
+        if jvm is not None:
+            thread.join()
+
+
 def train_implicit_als(ratings: DataFrame, rank: int = ALS_RANK,
                        iterations: int = ALS_ITERATIONS, reg: float = ALS_LAMBDA,
                        alpha: float = ALS_ALPHA, blocks: int | None = None,
@@ -34,20 +79,24 @@ def train_implicit_als(ratings: DataFrame, rank: int = ALS_RANK,
     ratings, at least one per core that the session has when the fit starts
     (pass a written table: its rows are counted). Lineage is cut every ``checkpoint_interval`` iterations
     into the session's checkpoint folder, so a lost executor costs at most
-    that many iterations.
+    that many iterations; sooner where the shuffle files of so many iterations
+    would fill the disks (``iterations_kept``), and those before it are removed.
     """
+    spark = ratings.sparkSession
+    n_ratings = ratings.count()
     if blocks is None:
         try:
-            cores = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
+            cores = max(1, spark.sparkContext.defaultParallelism)
         except Exception:  # no driver-side context (Spark Connect)
-            cores = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions", "10"))
-        blocks = max(cores, -(-ratings.count() // BLOCK_RATINGS))
+            cores = int(spark.conf.get("spark.sql.shuffle.partitions", "10"))
+        blocks = max(cores, -(-n_ratings // BLOCK_RATINGS))
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user_id", itemCol="track_id", ratingCol="rating",
               numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
-              checkpointInterval=checkpoint_interval, coldStartStrategy="drop")
-    return als.fit(ratings.select("user_id", "track_id",
-                                  F.col("rating").cast("float").alias("rating")))
+              checkpointInterval=iterations_kept(n_ratings, rank, checkpoint_interval), coldStartStrategy="drop")
+    with unreachable_removed(spark):
+        return als.fit(ratings.select("user_id", "track_id",
+                                      F.col("rating").cast("float").alias("rating")))
 
 
 def item_factors(model: ALSModel) -> DataFrame:

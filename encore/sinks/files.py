@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.aggregates import recs_by_user
-from encore.session import scratch_path
+from encore.session import scratch_path, shuffles_removed
 from encore.sources.text import to_rating_lines, write_lines
 
 
@@ -27,9 +27,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage of an expensive intermediate that is used more than once
-    (a lost executor then re-reads the table instead of recomputing it).
+    (a lost executor then re-reads the table instead of recomputing it). Its
+    shuffle files go with the write.
     """
-    path = write_table(df, scratch_path(spark, name))
+    with shuffles_removed(df.sparkSession):
+        path = write_table(df, scratch_path(spark, name))
     return spark.read.parquet(path)
 
 
