@@ -8,12 +8,15 @@ fifth of all, and the best answer of each pair is kept.
 The centroids are fitted on a bounded sample, ``FIT_PER_CELL`` vectors a cell
 at most, dealt by a hash of the track id; all vectors are indexed. Only the
 centroids and the cells' sizes are held by the driver and sent to tasks:
-``MOST_CELLS`` rows at most. Queries are cut into blocks, and cells are dealt
-to blocks of about ``block_rows`` vectors, so a query travels once for each
-block of cells that it asks, not for each cell; in a pair of blocks each cell is
-scored, a tile at a time, against the queries that ask it. A cell with more than
-``block_rows`` vectors is cut into blocks of its own, so one that holds a third
-of all rows is many tasks.
+``MOST_CELLS`` rows at most. Queries are cut into few large blocks
+(``streamed.QUERY_BYTES``), and cells are dealt to blocks too: a query travels once
+for each block of cells that it asks, with the cells as bits, a stored vector once
+for each block of queries. A task holds a block of queries and reads its cells in
+a stream, each scored against the queries that ask it. A cell with more vectors
+than a block has is cut into blocks of its own, so one that holds a third
+of all rows is many tasks. Where all cells are asked, each vector travels by a
+hash of its track, once for each block of queries. Vectors travel as FLOAT where
+that loses nothing.
 
 Defined cases: vectors without a direction (null, empty, all zero) have no
 neighbours and are not stored; copies of a track collapse as in
@@ -29,16 +32,16 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators.similar import (_CAND_CHUNK, _NO_SCORE, _PARTIAL_SCHEMA, _QUERY_CHUNK, DEFAULT_BLOCK_ROWS,
-                                      _best, _block, _chunks, _empty_partial, _lists, _ranked, _tile, block_rows_for,
-                                      nearest_of, one_vector_per_track)
+from encore.operators.similar import (DEFAULT_BLOCK_ROWS, LEAST_BLOCK_ROWS, _ranked, block_rows_for, nearest_of,
+                                      one_vector_per_track)
+from encore.operators.streamed import QUERY_BYTES, SCORED_SCHEMA, streamed_lists
+from encore.session import shuffles_removed
 from encore.sinks.files import materialize
 
 #: Vectors that each cell's centroid is fitted on, about.
@@ -46,10 +49,12 @@ FIT_PER_CELL = 64
 #: Bounds what the driver and the tasks hold: 65,536 centroids of 100 numbers are 50 MB.
 MOST_CELLS = 65_536
 #: Cells that share a folder beyond this many folders; files are sorted by cell inside.
-MOST_FOLDERS = 4_096
+MOST_FOLDERS = 512
 COPIES, PROBED_SHARE = 3, 0.2
 #: Rows, and numbers of their distances to centroids, that a task holds at once.
 _AT_ONCE, _DISTANCES = 2_048, 1 << 20
+#: Pairs of blocks for each core, at least, where there are rows for them; stored rows that one task reads at most, about.
+TASKS_PER_CORE, MOST_STREAMED = 4, 1 << 20
 FOLDER, CELL, COPY = "_cell_folder", "_cell", "_copy"
 _STORED = "track_id bigint, features array<double>, label int"
 
@@ -67,8 +72,16 @@ def _rows_at_once(centroids: np.ndarray) -> int:
 def _nearest(x: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` cells nearest to each row."""
     x = x.astype(np.float64)
-    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centroids.T
-    return np.argsort(-near, axis=1, kind="stable")[:, :n]
+    far = -((x / np.linalg.norm(x, axis=1, keepdims=True)) @ centroids.T)
+    if n >= far.shape[1]:
+        return np.argsort(far, axis=1, kind="stable")
+    some = np.sort(np.argpartition(far, n - 1, axis=1)[:, :n], axis=1)
+    value = np.take_along_axis(far, some, axis=1)
+    cells = np.take_along_axis(some, np.argsort(value, axis=1, kind="stable"), axis=1)
+    # of cells as near as the last one, the first
+    tied = np.flatnonzero((far <= value.max(axis=1)[:, None]).sum(axis=1) > n)
+    cells[tied] = np.argsort(far[tied], axis=1, kind="stable")[:, :n]
+    return cells
 
 
 def nearest_cells(centroids: np.ndarray, n: int):
@@ -135,35 +148,55 @@ def asking(centroids: np.ndarray, n: int, first: np.ndarray, several: np.ndarray
     return run
 
 
-def _score_cells(queries: pd.DataFrame, cands: pd.DataFrame, k: int) -> list[pd.DataFrame]:
-    """The best candidates of every query among those in a cell it asks, ``k`` different ones where there are.
+def packed(run, low: np.ndarray, held: np.ndarray):
+    """mapInArrow function: what ``run`` (see ``asking``) yields, the cells asked of a block as bits: bit i is the i-th of
+    the block's ``held`` cells, which begin with cell ``low``."""
+    size = -(-held // 8)
+
+    def pack(batches):
+        for batch in run(batches):
+            asked = batch.column("asked")
+            blocks = asked.flatten()
+            vb, lists = blocks.field("vb").to_numpy(), blocks.field("cells")
+            entry = np.repeat(np.arange(len(vb)), np.diff(lists.offsets.to_numpy()))
+            ends = np.append(0, np.cumsum(size[vb])).astype(np.int32)
+            bits = np.zeros(8 * int(ends[-1]), np.uint8)
+            bits[8 * ends[entry] + lists.flatten().to_numpy() - low[vb[entry]]] = 1
+            raw = pa.Array.from_buffers(pa.binary(), len(vb), [
+                None, pa.py_buffer(ends), pa.py_buffer(np.packbits(bits, bitorder="little"))])
+            out = pa.ListArray.from_arrays(asked.offsets, pa.StructArray.from_arrays([pa.array(vb), raw], ["vb", "bits"]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], batch.schema.names)
+    return pack
+
+
+def cells_of(low: np.ndarray, n_cells: int):
+    """mapInArrow function: the cells that a batch of what ``packed`` yields asks, each once."""
+    def run(batches):
+        for batch in batches:
+            blocks, wanted = batch.column("asked").flatten(), np.zeros(n_cells, bool)
+            vb, raw = blocks.field("vb").to_numpy(), blocks.field("bits")
+            for block in np.unique(vb):
+                rows = raw.filter(pa.array(vb == block)).to_pylist()
+                bits = np.unpackbits(np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in rows]), bitorder="little")
+                wanted[low[block] + np.flatnonzero(bits)] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(wanted).astype(np.int32))], ["c"])
+    return run
 
-    ``cells``: the cells a query asks, or the cell a candidate stands in.
-    """
-    c_ids, c_lab, cmat, c_norm = _block(cands)
-    q_ids, _, qmat, q_norm = _block(queries)
-    c_cell = np.concatenate(cands.sort_values("track_id")["cells"].to_numpy())
-    asked = queries.sort_values("track_id")["cells"].to_numpy()
-    asked_cell = np.concatenate(asked)
-    order = np.argsort(asked_cell, kind="stable")
-    asker = np.repeat(np.arange(len(q_ids)), [len(a) for a in asked])[order]
-    asked_cell = asked_cell[order]
-    # copies of a candidate have one key; as many more are kept that k different ones stay
-    ids, at = np.unique(c_ids, return_index=True)
-    place = np.searchsorted(ids, c_ids)
-    keep, m = k * int(np.bincount(place).max()), len(ids)
-    best = np.full((len(q_ids), keep), _NO_SCORE, np.int64)
-    for cell in np.unique(c_cell):
-        held = np.flatnonzero(c_cell == cell)
-        who = asker[slice(*np.searchsorted(asked_cell, [cell, cell + 1]))]
-        for q in (who[part] for part in _chunks(len(who), _QUERY_CHUNK)):
-            for c in (held[part] for part in _chunks(len(held), _CAND_CHUNK)):
-                micro, valid = _tile(qmat[q], q_norm[q], cmat[c], c_norm[c])
-                valid &= q_ids[q, None] != c_ids[None, c]
-                best[q] = _best(best[q], np.where(valid, micro * m + (m - 1 - place[c]), _NO_SCORE), keep)
-    best = np.sort(best, axis=1)
-    best[:, 1:][best[:, 1:] == best[:, :-1]] = _NO_SCORE
-    return [_lists(q_ids[q], best[q], ids, c_lab[at]) for q in _chunks(len(q_ids), _QUERY_CHUNK)]
+
+def narrowest(*tables: DataFrame) -> str:
+    """The type in which the vectors travel: FLOAT where every number of them is one, so that nothing is lost."""
+    same = F.forall("features", lambda x: x.cast("float").cast("double") == x)
+    held = [t.agg(F.min(same)).first()[0] for t in tables]
+    return "array<double>" if any(x is False for x in held) else "array<float>"
+
+
+def blocks_for(n_queries: int, n_rows: int, most: int, tasks: int) -> tuple[int, int]:
+    """Blocks of queries and of stored rows: at most ``most`` queries a block, pairs of blocks for ``tasks`` tasks where
+    there are rows enough, and then as few copies of either side as can be."""
+    wanted = round(math.sqrt(tasks * n_queries / max(1, n_rows)))
+    q = max(1, math.ceil(n_queries / most), min(wanted, math.ceil(n_queries / LEAST_BLOCK_ROWS)))
+    v = max(1, math.ceil(n_rows / MOST_STREAMED), min(math.ceil(tasks / q), math.ceil(n_rows / LEAST_BLOCK_ROWS)))
+    return q, v
 
 
 @dataclass(frozen=True)
@@ -189,58 +222,85 @@ class CellIndex:
         folders = sorted({c % self.folders for c in cells})
         return self.stored().filter(F.col(FOLDER).isin(folders) & F.col(CELL).isin(sorted(cells))).drop(FOLDER, COPY)
 
-    def _searched(self, probes: int, placed: DataFrame | None = None) -> DataFrame:
-        """The stored vectors that queries may meet; where all cells are asked, each once will do."""
-        if probes >= len(self.centroids):
-            return self.stored().filter(F.col(COPY) == 0).drop(FOLDER, COPY)
-        # as many rows as there are cells, at most
-        wanted = placed.select(F.explode("asked.cells").alias("c")).select(F.explode("c").alias("c")).distinct()
-        return self.of_cells([r.c for r in wanted.collect()])
-
     def nearest(self, queries: DataFrame, k: int = 10, probes: int | None = None,
                 block_rows: int | None = None) -> DataFrame:
         """The ``k`` most similar tracks found for each query track; columns of ``similar_tracks``."""
         n_cells = len(self.centroids)
-        asked = materialize(self.spark, _directions(queries), "cell_queries")
+        asked = materialize(self.spark, _directions(queries), "cell_queries").select("track_id", "features", "label")
         if self.n_vectors == 0:
             return nearest_of(asked, self.vectors(), k, 1, 1, block_rows or DEFAULT_BLOCK_ROWS)
         n_queries = asked.count()  # from the footers
-        rows = block_rows or block_rows_for(self.n_vectors)
         probes = max(1, int(n_cells * PROBED_SHARE)) if probes is None else min(probes, n_cells)
-        sizes = self.sizes
+        tasks = TASKS_PER_CORE * self._cores()
+        # where all cells are asked, each vector once will do
+        n_rows = self.n_vectors if probes == n_cells else int(self.sizes.sum())
+        most = max(1, QUERY_BYTES // (8 * self.centroids.shape[1]))
+        q_blocks, v_blocks = blocks_for(n_queries, n_rows, most, tasks)
+        if block_rows:
+            q_blocks, v_blocks = (max(1, math.ceil(n / block_rows)) for n in (n_queries, n_rows))
         if probes == n_cells:
-            sizes = _sizes(self._searched(probes), n_cells)
-        first, several = dealt(sizes, rows)
-        placed = materialize(self.spark, asked.select("track_id", "features", "label").mapInArrow(
-            asking(self.centroids, probes, first, several),
-            f"{_STORED}, asked array<struct<vb int, cells array<int>>>"), "cell_probes")
-        places = self.spark.createDataFrame(
-            [(c, int(first[c]), int(several[c])) for c in range(n_cells)], f"{CELL} int, first int, several int")
-        q_blocks = max(1, math.ceil(n_queries / rows))
-        block = F.pmod(F.xxhash64("track_id"), F.lit(q_blocks)).cast("int")
-        mine = placed.select(block.alias("qb"), F.explode("asked").alias("a"), "track_id", "features", "label").select(
-            "qb", "a.vb", F.lit(0).alias("side"), "a.cells", "track_id", "features", "label")
-        found = self._searched(probes, placed).join(F.broadcast(places), CELL).select(
-            F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"),
-            (F.col("first") + F.pmod(F.xxhash64("track_id"), F.col("several"))).cast("int").alias("vb"),
-            F.lit(1).alias("side"), F.array(CELL).alias("cells"), "track_id", "features", "label")
-
-        def score(pdf: pd.DataFrame) -> pd.DataFrame:
-            mine, found = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-            if mine.empty or found.empty:
-                return _empty_partial()
-            return pd.concat(_score_cells(mine, found, k), ignore_index=True)
-
-        partial = mine.unionByName(found).groupBy("qb", "vb").applyInPandas(score, _PARTIAL_SCHEMA)
-        best = partial.groupBy("track_id", "similar_track_id").agg(
+            mine, found = self._all_met(asked, v_blocks)
+        else:
+            mine, found, v_blocks = self._probed(asked, probes, block_rows or math.ceil(n_rows / v_blocks))
+        kind = narrowest(asked, self.vectors())
+        query_block = F.pmod(F.xxhash64("track_id"), F.lit(q_blocks)).cast("int")
+        rows = ["cell", "bits", "track_id", F.col("features").cast(kind).alias("features"), "label"]
+        groups = q_blocks * v_blocks
+        both = mine.select((query_block * v_blocks + F.col("vb")).alias("grp"), F.lit(0).alias("side"), *rows).unionByName(
+            found.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+            .select((F.col("qb") * v_blocks + F.col("vb")).alias("grp"), F.lit(1).alias("side"), *rows))
+        parts = min(groups, 8 * tasks)
+        partial = (both.repartitionById(parts, F.pmod("grp", F.lit(parts)))
+                   .sortWithinPartitions("grp", "side", "cell", "track_id")
+                   .mapInArrow(streamed_lists(k), SCORED_SCHEMA))
+        best = partial.repartition("track_id").groupBy("track_id", "similar_track_id").agg(
             F.max("sim_micro").alias("sim_micro"), F.max("similar_label").alias("similar_label"))
         lists = materialize(self.spark, _ranked(best, k), "cell_lists")
         full = lists.filter(F.col("rank") == min(k, max(1, self.n_vectors - 1))).select("track_id")
         short = materialize(self.spark, asked.join(full, "track_id", "left_anti"), "cell_short")
         if short.isEmpty():
             return lists
-        return (lists.join(full, "track_id", "left_semi")
-                .unionByName(nearest_of(short, self.vectors(), k, None, self.n_vectors, rows)))
+        return (lists.join(full, "track_id", "left_semi").unionByName(nearest_of(
+            short, self.vectors(), k, None, self.n_vectors, block_rows or block_rows_for(self.n_vectors))))
+
+    def _cores(self) -> int:
+        try:
+            return max(1, self.spark.sparkContext.defaultParallelism)
+        except Exception:  # no driver-side context (Spark Connect)
+            return int(self.spark.conf.get("spark.sql.shuffle.partitions", "10"))
+
+    def _all_met(self, asked: DataFrame, v_blocks: int) -> tuple[DataFrame, DataFrame]:
+        """Queries, each to all blocks, and every stored vector once."""
+        each = [F.lit(0).alias("cell"), F.lit(None).cast("binary").alias("bits"), "track_id", "features", "label"]
+        mine = asked.select(F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("vb"), *each)
+        found = self.vectors().select(F.pmod(F.xxhash64("track_id"), F.lit(v_blocks)).cast("int").alias("vb"), *each)
+        return mine, found
+
+    def _probed(self, asked: DataFrame, probes: int, rows: int) -> tuple[DataFrame, DataFrame, int]:
+        """Queries, each once for every block in which it asks cells, what these cells hold, and the blocks there are."""
+        n_cells = len(self.centroids)
+        first, several = dealt(self.sizes, rows)
+        v_blocks = int((first + several).max())
+        low = np.full(v_blocks, n_cells, np.int64)
+        held = np.zeros(v_blocks, np.int64)
+        for cell in range(n_cells - 1, -1, -1):  # a cell's blocks hold it alone, or one block holds it with its neighbours
+            mine = slice(first[cell], first[cell] + several[cell])
+            low[mine], held[mine] = cell, held[mine] + 1
+        placed = materialize(self.spark, asked.mapInArrow(
+            packed(asking(self.centroids, probes, first, several), low, held),
+            f"{_STORED}, asked array<struct<vb int, bits binary>>"), "cell_probes")
+        # as many rows as there are cells, at most
+        wanted = [r.c for r in placed.select("asked").mapInArrow(cells_of(low, n_cells), "c int").distinct().collect()]
+        stored = self.stored().drop(FOLDER, COPY) if len(wanted) == n_cells else self.of_cells(wanted)
+        places = self.spark.createDataFrame([(c, int(first[c]), int(several[c]), int(low[first[c]])) for c in range(n_cells)],
+                                            f"{CELL} int, first int, several int, low int")
+        mine = placed.select(F.explode("asked").alias("a"), "track_id", "features", "label").select(
+            "a.vb", F.lit(-1).alias("cell"), "a.bits", "track_id", "features", "label")
+        found = stored.join(F.broadcast(places), CELL).select(
+            (F.col("first") + F.pmod(F.xxhash64("track_id"), F.col("several"))).cast("int").alias("vb"),
+            (F.col(CELL) - F.col("low")).alias("cell"), F.lit(None).cast("binary").alias("bits"),
+            "track_id", "features", "label")
+        return mine, found, v_blocks
 
 
 def _sizes(stored: DataFrame, n_cells: int) -> np.ndarray:
@@ -282,8 +342,9 @@ def build_cells(vectors: DataFrame, path: str, n_cells: int | None = None, copie
     else:
         rows = spark.createDataFrame([], f"{_STORED}, {CELL} int, {COPY} int")
     placed = rows.withColumn(FOLDER, F.col(CELL) % folders)
-    (placed.hint("rebalance", F.col(FOLDER)).sortWithinPartitions(FOLDER, CELL)
-     .write.mode("errorifexists").partitionBy(FOLDER).parquet(f"{path}/cells"))
+    with shuffles_removed(spark):
+        (placed.hint("rebalance", F.col(FOLDER)).sortWithinPartitions(FOLDER, CELL)
+         .write.mode("errorifexists").partitionBy(FOLDER).parquet(f"{path}/cells"))
     spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centroids)],
                           "cell int, centroid array<double>").coalesce(1).write.parquet(f"{path}/centroids")
     spark.createDataFrame([(json.dumps({"folders": folders, "n_vectors": n_vectors}),)], "about string").coalesce(
