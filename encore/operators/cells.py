@@ -55,6 +55,8 @@ COPIES, PROBED_SHARE = 3, 0.2
 _AT_ONCE, _DISTANCES = 2_048, 1 << 20
 #: Pairs of blocks for each core, at least, where there are rows for them; stored rows that one task reads at most, about.
 TASKS_PER_CORE, MOST_STREAMED = 4, 1 << 20
+#: Partitions for each core that the pairs are dealt to, at most.
+MOST_PARTS = 32
 FOLDER, CELL, COPY = "_cell_folder", "_cell", "_copy"
 _STORED = "track_id bigint, features array<double>, label int"
 
@@ -190,13 +192,16 @@ def narrowest(*tables: DataFrame) -> str:
     return "array<double>" if any(x is False for x in held) else "array<float>"
 
 
-def blocks_for(n_queries: int, n_rows: int, most: int, tasks: int) -> tuple[int, int]:
-    """Blocks of queries and of stored rows: at most ``most`` queries a block, pairs of blocks for ``tasks`` tasks where
-    there are rows enough, and then as few copies of either side as can be."""
+def blocks_for(n_queries: int, n_rows: int, most: int, cores: int) -> tuple[int, int]:
+    """Blocks of queries and of stored rows: at most ``most`` queries a block, ``TASKS_PER_CORE`` pairs of blocks for each
+    core where there are rows enough, and then as few copies of either side as can be. Pairs fill the cores evenly if some
+    more blocks of rows do that: the last ones would keep a few cores busy, the others idle."""
+    tasks, least = TASKS_PER_CORE * cores, math.ceil(n_rows / LEAST_BLOCK_ROWS)
     wanted = round(math.sqrt(tasks * n_queries / max(1, n_rows)))
     q = max(1, math.ceil(n_queries / most), min(wanted, math.ceil(n_queries / LEAST_BLOCK_ROWS)))
-    v = max(1, math.ceil(n_rows / MOST_STREAMED), min(math.ceil(tasks / q), math.ceil(n_rows / LEAST_BLOCK_ROWS)))
-    return q, v
+    v = max(1, math.ceil(n_rows / MOST_STREAMED), min(math.ceil(tasks / q), least))
+    more = range(v, max(v, min(v + v // 4, least)) + 1)
+    return q, max(more, key=lambda x: q * x / (math.ceil(q * x / cores) * cores))
 
 
 @dataclass(frozen=True)
@@ -231,11 +236,11 @@ class CellIndex:
             return nearest_of(asked, self.vectors(), k, 1, 1, block_rows or DEFAULT_BLOCK_ROWS)
         n_queries = asked.count()  # from the footers
         probes = max(1, int(n_cells * PROBED_SHARE)) if probes is None else min(probes, n_cells)
-        tasks = TASKS_PER_CORE * self._cores()
+        cores = self._cores()
         # where all cells are asked, each vector once will do
         n_rows = self.n_vectors if probes == n_cells else int(self.sizes.sum())
         most = max(1, QUERY_BYTES // (8 * self.centroids.shape[1]))
-        q_blocks, v_blocks = blocks_for(n_queries, n_rows, most, tasks)
+        q_blocks, v_blocks = blocks_for(n_queries, n_rows, most, cores)
         if block_rows:
             q_blocks, v_blocks = (max(1, math.ceil(n / block_rows)) for n in (n_queries, n_rows))
         if probes == n_cells:
@@ -249,7 +254,7 @@ class CellIndex:
         both = mine.select((query_block * v_blocks + F.col("vb")).alias("grp"), F.lit(0).alias("side"), *rows).unionByName(
             found.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
             .select((F.col("qb") * v_blocks + F.col("vb")).alias("grp"), F.lit(1).alias("side"), *rows))
-        parts = min(groups, 8 * tasks)
+        parts = min(groups, MOST_PARTS * cores)
         partial = (both.repartitionById(parts, F.pmod("grp", F.lit(parts)))
                    .sortWithinPartitions("grp", "side", "cell", "track_id")
                    .mapInArrow(streamed_lists(k), SCORED_SCHEMA))

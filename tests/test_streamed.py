@@ -122,14 +122,21 @@ def test_nearest_cells_are_those_of_a_full_sort():
 def test_few_copies_travel_however_many_vectors():
     n = 615_384  # as many as 6 GB have; blocks of 16,384 took 76 copies of a vector, and 226 with three stored copies
     for rows in (n, 3 * n):
-        q, v = cells.blocks_for(n, rows, streamed.QUERY_BYTES // (8 * 64), 24)
+        q, v = cells.blocks_for(n, rows, streamed.QUERY_BYTES // (8 * 64), 6)
         assert q * v >= 24
         assert v * n + q * rows <= 25 * n
-    assert cells.blocks_for(10, 10, 1000, 24) == (1, 1)
-    q, v = cells.blocks_for(2_000, 6_000, 1000, 24)
+    assert cells.blocks_for(10, 10, 1000, 6) == (1, 1)
+    q, v = cells.blocks_for(2_000, 6_000, 1000, 6)
     assert q >= 2 and v <= 6
 
 
+def test_pairs_of_blocks_fill_the_cores():
+    for cores in (4, 6, 8, 12):
+        q, v = cells.blocks_for(615_384, 615_384, streamed.QUERY_BYTES // (8 * 64), cores)
+        waves = -(-q * v // cores)
+        assert q * v / (waves * cores) >= 0.9, (cores, q, v)
+
+
 def test_vectors_travel_in_the_type_that_holds_them(spark):
     floats = spark.createDataFrame([(1, [0.5, -0.25]), (2, [1.0, 3.0])], "track_id long, features array<double>")
     doubles = floats.withColumn("features", F.transform("features", lambda x: x + 1e-12))
